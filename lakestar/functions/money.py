@@ -14,8 +14,17 @@ def money_text(amount: Column) -> Column:
 
 
 def money(amount: Column) -> Column:
-    """The value :func:`money_text` shows, as a decimal that can be added and multiplied."""
-    return F.replace(money_text(amount), F.lit(","), F.lit("")).try_cast(MONEY)
+    """The value :func:`money_text` shows, as a decimal that can be added and multiplied.
+
+    Only near a tie does the exact value of the double decide, and only there, or where cents
+    are too many for a double, is the text made and read. Elsewhere the nearest cent is the
+    same and costs a fraction.
+    """
+    cents = amount * 100
+    far_from_tie = F.abs(cents - F.floor(cents) - 0.5) > 1e-4
+    in_range = F.abs(cents) < 1e11
+    by_text = F.replace(money_text(amount), F.lit(","), F.lit("")).try_cast(MONEY)
+    return F.when(in_range & far_from_tie, (F.rint(cents) / 100).cast(MONEY)).otherwise(by_text)
 
 
 def line_total(unit_price: Column, units: Column) -> Column:

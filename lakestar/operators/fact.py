@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakestar.operators.dimensions import stamped
-from lakestar.operators.lookup import Limits, Lookup, attach
+from lakestar.operators.lookup import Limits, Lookup, attach, measure
+from lakestar.sources.tables import gathered
 from lakestar.specs import FACT_LOOKUPS, FACT_MEASURES, FACT_SCHEMA, PERIOD
 
 
@@ -24,12 +25,19 @@ def build_fact(
     on_duplicate: str = "fail",
     limits: Limits = Limits(),
 ) -> DataFrame:
-    """Silver rows with the keys of their five dimensions. A row that lacks one is left out."""
+    """Silver rows with the keys of their five dimensions. A row that lacks one is left out.
+
+    If every lookup can be broadcast, rows stay where they were read, month by month.
+    Otherwise a lookup has shuffled them and they are gathered again for the write.
+    """
     needed = ["sale_date", *[d.lookup for d in FACT_LOOKUPS], *FACT_MEASURES, *PERIOD]
+    lookups = fact_lookups(dimensions)
+    sizes = measure(lookups)
     keyed = attach(
-        rows.select(*needed), fact_lookups(dimensions), on_duplicate=on_duplicate, limits=limits
+        rows.select(*needed), lookups, on_duplicate=on_duplicate, limits=limits, sizes=sizes
     )
-    return stamped(keyed, stamp).select(*FACT_SCHEMA.names)
+    fact = stamped(keyed, stamp).select(*FACT_SCHEMA.names)
+    return fact if all(map(limits.allow, sizes.values())) else gathered(fact, *PERIOD)
 
 
 def rejects(

@@ -31,6 +31,13 @@ class Lookup:
         return self.table.select(*self.on, self.take)
 
 
+@dataclass(frozen=True)
+class Size:
+    rows: int
+    keys: int
+    bytes: int
+
+
 @dataclass(frozen=True)
 class Limits:
     """When to broadcast, and how far to split hot keys otherwise."""
@@ -39,12 +46,9 @@ class Limits:
     hot_share: float = 0.01
     salts: int = 64
 
-
-@dataclass(frozen=True)
-class Size:
-    rows: int
-    keys: int
-    bytes: int
+    def allow(self, size: Size) -> bool:
+        """Whether a table of this size may be broadcast."""
+        return size.bytes <= self.broadcast_bytes
 
 
 def _same(left: DataFrame, right: DataFrame, columns: Sequence[str], null_safe: bool) -> Column:
@@ -131,6 +135,7 @@ def attach(
     *,
     on_duplicate: str = "fail",
     limits: Limits = Limits(),
+    sizes: dict[str, Size] | None = None,
 ) -> DataFrame:
     """Add the key of every lookup to the rows.
 
@@ -138,13 +143,13 @@ def attach(
     that names several members stops the load, unless ``on_duplicate='fan_out'`` asks for
     one row per member.
     """
-    sizes = measure(lookups)
+    sizes = sizes or measure(lookups)
     if on_duplicate == "fail":
         bad = {n: s.rows - s.keys for n, s in sizes.items() if s.rows > s.keys}
         if bad:
             raise DuplicateLookupKey(f"surplus rows by lookup: {bad}")
     for lookup in lookups:
-        if sizes[lookup.name].bytes <= limits.broadcast_bytes:
+        if limits.allow(sizes[lookup.name]):
             facts = _broadcast(facts, lookup, how)
         else:
             facts = _salted(facts, lookup, how, limits)

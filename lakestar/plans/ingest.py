@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from lakestar.operators.silver import clean, with_period
 from lakestar.sources.landing import FILE_IDENTITY, landing_files, read_landing
-from lakestar.sources.ledger import BRONZE, SILVER
-from lakestar.sources.tables import Lake
+from lakestar.sources.ledger import BRONZE, SILVER, few_rows
+from lakestar.sources.tables import Lake, gathered
 from lakestar.specs import BATCH, PERIOD
 
 
@@ -25,7 +25,8 @@ def now() -> dt.datetime:
 
 
 def write_bronze(lake: Lake, rows: DataFrame, batch_id: int) -> None:
-    lake.write_batch(with_period(rows), lake.bronze, batch_id, PERIOD)
+    """Write raw rows by month. This is the only shuffle between the files and the fact."""
+    lake.write_batch(gathered(with_period(rows), *PERIOD), lake.bronze, batch_id, PERIOD)
 
 
 def record_bronze(lake: Lake, files: DataFrame, batch_id: int, stamp: dt.datetime) -> None:
@@ -67,14 +68,17 @@ def write_silver(
     stamp: dt.datetime | None = None,
     max_records_per_file: int | None = None,
 ) -> None:
-    """Write clean rows as a silver batch and record it."""
+    """Write clean rows, gathered by month, as a silver batch and record it."""
     lake.write_batch(rows, lake.silver, batch_id, PERIOD, max_records_per_file)
-    item = lake.spark.createDataFrame([("sales",)], "item string")
+    item = few_rows(lake.spark, "item string", [("sales",)])
     lake.ledger.record(SILVER, batch_id, item, stamp or now())
 
 
 def refine(lake: Lake, max_records_per_file: int | None = None) -> list[int]:
-    """Clean every bronze batch that silver lacks. One batch is one job over its files only."""
+    """Clean every bronze batch that silver lacks.
+
+    One batch is one job over its files only, without a shuffle: bronze files hold one month.
+    """
     batches = lake.ledger.pending(BRONZE, SILVER)
     for batch_id in batches:
         rows = clean(lake.bronze_sales().filter(F.col(BATCH) == batch_id))

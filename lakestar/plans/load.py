@@ -17,7 +17,7 @@ from lakestar.operators.dimensions import (
 from lakestar.operators.fact import build_fact
 from lakestar.operators.incremental import mark_of, slice_after, slice_of_batches
 from lakestar.operators.lookup import Limits
-from lakestar.sources.ledger import GOLD, SILVER
+from lakestar.sources.ledger import GOLD, SILVER, few_rows
 from lakestar.sources.tables import Lake
 from lakestar.specs import CUSTOMER, DIMENSIONS, FACT, PERIOD
 
@@ -31,10 +31,11 @@ def star(lake: Lake) -> dict[str, DataFrame]:
 
 
 def _record(lake: Lake, versions: Versions, batch_id: int, stamp: dt.datetime | None) -> None:
-    items = lake.spark.createDataFrame(
-        [(table, version) for table, (version, _) in sorted(versions.items())],
+    items = few_rows(
+        lake.spark,
         "item string, version long",
-    ).coalesce(1)
+        [(table, version) for table, (version, _) in sorted(versions.items())],
+    )
     lake.ledger.record(GOLD, batch_id, items, stamp or dt.datetime.now(dt.timezone.utc))
 
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from lakestar.plans.queries import CHECK_AFTER
-from lakestar.sources.fixture import CUT, SALES_SQL, TABLES
+from lakestar.sources.fixture import CUT, ORDER_LINES_SQL, SALES_SQL, TABLES
 
 CUT_DATE = f"date '{CUT.isoformat()}'"
 
-SALES = SALES_SQL.format(**{t: t for t in TABLES})
+_NAMES = {t: t for t in TABLES}
+SALES = SALES_SQL.format(order_lines=f"({ORDER_LINES_SQL.format(**_NAMES)})", **_NAMES)
 
 SILVER_FROM_SALES = """
 select order_id, sale_date,
@@ -98,11 +99,11 @@ FACT = """
 select sale_date, product_sk, category_sk, segment_sk, manufacturer_sk, customer_sk, units,
        unit_price, unit_cost, total_sales, sale_year, sale_month
 from silver
-join dim_product using (product_id)
+join (select product_id, product_sk from dim_product) using (product_id)
 join dim_category using (category)
 join dim_segment using (segment)
-join dim_manufacturer using (manufacturer)
-join dim_customer using (customer_id)
+join (select manufacturer, manufacturer_sk from dim_manufacturer) using (manufacturer)
+join (select customer_id, customer_sk from dim_customer) using (customer_id)
 """
 
 MONEY = "cast(sum(total_sales) as double) as total_sales"

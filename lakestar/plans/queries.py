@@ -92,15 +92,20 @@ def lake_with(spark: SparkSession, label: str, rows: DataFrame) -> Lake:
     return lake
 
 
+def silver_by_month(spark: SparkSession, folder: str) -> DataFrame:
+    """Silver to be written to a partitioned table."""
+    return clean(sales(spark, folder, by_month=True))
+
+
 def loaded_lake(spark: SparkSession, folder: str, label: str) -> Lake:
-    lake = lake_with(spark, label, silver(spark, folder))
+    lake = lake_with(spark, label, silver_by_month(spark, folder))
     load_full(lake, max_records_per_file=FACT_FILE_ROWS)
     return lake
 
 
 def lake_in_two_loads(spark: SparkSession, folder: str, label: str) -> Lake:
     """Sales up to the cut loaded in full, the later ones as an increment."""
-    rows = silver(spark, folder)
+    rows = silver_by_month(spark, folder)
     lake = lake_with(spark, label, rows.filter(up_to(CUT)))
     load_full(lake)
     write_silver(lake, rows.filter(later_than(CUT)), 2, LOADED_AT)
@@ -148,7 +153,7 @@ def landing_csv_scan(spark, folder):
 def bronze_partitioned_roundtrip(spark, folder):
     """Rows and units per year and month of the partitioned bronze table."""
     path = fresh_folder(spark, "bronze")
-    write_table(with_period(sales(spark, folder)), path, partition_by=PERIOD)
+    write_table(with_period(sales(spark, folder, by_month=True)), path, partition_by=PERIOD)
     return read_table(spark, path).groupBy(*PERIOD).agg(
         F.count("*").alias("row_count"), F.sum("units").alias("units")
     )
@@ -183,7 +188,10 @@ def silver_partitioned_roundtrip(spark, folder):
     """Rows and totals per year and month of the partitioned silver table."""
     path = fresh_folder(spark, "silver")
     write_table(
-        silver(spark, folder), path, partition_by=PERIOD, max_records_per_file=SILVER_FILE_ROWS
+        silver_by_month(spark, folder),
+        path,
+        partition_by=PERIOD,
+        max_records_per_file=SILVER_FILE_ROWS,
     )
     return plain(
         read_table(spark, path)
@@ -239,9 +247,9 @@ def fact_sales(spark, folder):
 @query
 def fact_rejects(spark, folder):
     """All sales against the dimensions of the first load: rows that find no key, by dimension."""
-    rows = silver(spark, folder)
-    lake = lake_with(spark, "rejects", rows.filter(up_to(CUT)))
-    return rejects(rows, build_dimensions(lake.silver_sales()))
+    lake = lake_with(spark, "rejects", silver_by_month(spark, folder))
+    rows = lake.silver_sales()
+    return rejects(rows, build_dimensions(rows.filter(up_to(CUT))))
 
 
 # --- incremental
@@ -249,7 +257,7 @@ def fact_rejects(spark, folder):
 
 @query
 def high_water_mark_of_base(spark, folder):
-    lake = lake_with(spark, "mark", silver(spark, folder).filter(up_to(CUT)))
+    lake = lake_with(spark, "mark", silver_by_month(spark, folder).filter(up_to(CUT)))
     return plain(high_water_mark(lake.silver_sales()))
 
 
@@ -259,7 +267,7 @@ QUERIES["high_water_mark"] = QUERIES.pop("high_water_mark_of_base")
 @query
 def incremental_slice(spark, folder):
     """Sales after the mark of the first load, read from partitioned silver."""
-    lake = lake_with(spark, "slice", silver(spark, folder))
+    lake = lake_with(spark, "slice", silver_by_month(spark, folder))
     rows = lake.silver_sales()
     mark = mark_of(rows.filter(up_to(CUT)))
     return plain(slice_after(rows, mark).drop("source_file", BATCH))
@@ -292,7 +300,7 @@ def dim_customer_upsert(spark, folder):
 def fact_append_schema_evolution(spark, folder):
     """A fact written without the stamp, then appended to with it; rows by stamp present."""
     path = fresh_folder(spark, "evolution")
-    rows = silver(spark, folder).drop("order_id")
+    rows = silver_by_month(spark, folder).drop("order_id")
     write_table(
         rows.filter(up_to(CUT)), path, partition_by=PERIOD, max_records_per_file=FACT_FILE_ROWS
     )

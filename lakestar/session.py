@@ -16,6 +16,7 @@ def local_session(cpus: int | str = "*", **conf: str) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")
         .config("spark.driver.memory", "8g")
     )
     for key, value in conf.items():

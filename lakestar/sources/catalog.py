@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakestar.sources.ledger import few_rows
 from lakestar.sources.tables import Lake
 from lakestar.specs import GOLD_SCHEMAS
 
@@ -108,7 +109,7 @@ def register_gold(lake: Lake, database: str) -> DataFrame:
             # a partitioned external table has no rows until its partitions are recorded
             spark.catalog.recoverPartitions(name)
         rows.append((table, path))
-    return spark.createDataFrame(rows, "table_name string, path string")
+    return few_rows(spark, "table_name string, path string", rows)
 
 
 def _location(spark: SparkSession, name: str) -> str:

@@ -5,13 +5,24 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lakestar.functions.calendar import period
+from lakestar.sources.tables import gathered
+from lakestar.specs import PERIOD
 
 TABLES = ("lineitem", "orders", "customer", "nation", "region", "part", "supplier")
 
 # Where the fixture splits into a first load and an increment.
 CUT = dt.date(2001, 6, 30)
 
-# The same text runs on Spark and on the checking engine.
+# The same texts run on Spark and on the checking engine.
+ORDER_LINES_SQL = """
+select o_orderkey, o_orderdate, o_custkey, l_linenumber, l_partkey, l_suppkey,
+       l_quantity, l_extendedprice, l_discount
+from {lineitem}
+join {orders} on l_orderkey = o_orderkey
+"""
 SALES_SQL = """
 select o_orderkey as order_id, l_linenumber as campaign_id,
        cast(o_orderdate as date) as sale_date,
@@ -24,8 +35,7 @@ select o_orderkey as order_id, l_linenumber as campaign_id,
        cast(l_quantity as int) as units,
        l_extendedprice / l_quantity as unit_price,
        l_extendedprice * (1 - l_discount) / l_quantity as unit_cost
-from {lineitem}
-join {orders} on l_orderkey = o_orderkey
+from {order_lines}
 join {customer} on o_custkey = c_custkey
 join {nation} on c_nationkey = n_nationkey
 join {region} on n_regionkey = r_regionkey
@@ -38,5 +48,16 @@ def tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {t: spark.read.parquet(f"{folder}/{t}.parquet") for t in TABLES}
 
 
-def sales(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.sql(SALES_SQL, **tables(spark, folder))
+def sales(spark: SparkSession, folder: str, by_month: bool = False) -> DataFrame:
+    """Raw sales; ``by_month`` for those to be written to a partitioned table.
+
+    The order lines are gathered by month while they are narrow: keys and numbers go through
+    the shuffle, and the names they stand for are joined on after it.
+    """
+    found = tables(spark, folder)
+    lines = spark.sql(ORDER_LINES_SQL, lineitem=found["lineitem"], orders=found["orders"])
+    if by_month:
+        dated = lines.withColumns(period(F.col("o_orderdate").cast("date")))
+        lines = gathered(dated, *PERIOD)
+    others = {t: found[t] for t in TABLES if t not in ("lineitem", "orders")}
+    return spark.sql(SALES_SQL, order_lines=lines, **others)

@@ -28,6 +28,25 @@ _ENTRY = T.StructType(
 )
 
 
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """An empty table that the optimizer knows to be empty."""
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(0).select(*nulls).filter(F.lit(False))
+
+
+def few_rows(spark: SparkSession, schema: T.StructType | str, rows: list[tuple]) -> DataFrame:
+    """A handful of rows as literals: no Python worker, one task."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    structs = [
+        F.struct(
+            *[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)]
+        )
+        for row in rows
+    ]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+
+
 class Ledger:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -40,7 +59,7 @@ class Ledger:
         except AnalysisException as problem:
             if problem.getCondition() != "PATH_NOT_FOUND":
                 raise
-            found = self.spark.createDataFrame([], _ENTRY)
+            found = no_rows(self.spark, _ENTRY)
         return found.filter(F.col("stage") == stage)
 
     def record(self, stage: str, batch_id: int, items: DataFrame, stamp: dt.datetime) -> None:

@@ -15,8 +15,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakestar.sources.ledger import Ledger
-from lakestar.specs import BATCH, BRONZE_SCHEMA, GOLD_SCHEMAS, PERIOD, SILVER_SCHEMA, STAMP
+from lakestar.sources.ledger import Ledger, no_rows
+from lakestar.specs import BATCH, BRONZE_SCHEMA, GOLD_SCHEMAS, SILVER_SCHEMA
+
+
+def gathered(rows: DataFrame, *columns: str) -> DataFrame:
+    """Bring rows of one partition value together before they are written.
+
+    Otherwise every task writes a file for every month it meets. A small month shares a task,
+    and a month with a third of all rows is split over many, so the number of files follows
+    the bytes. Rows read from a table that has these partitions are together already: every
+    file of it holds one month.
+    """
+    return rows.hint("rebalance", *[F.col(c) for c in columns])
 
 
 def write_table(
@@ -29,14 +40,7 @@ def write_table(
     fmt: str = "parquet",
     merge_schema: bool = False,
 ) -> None:
-    """Write a table, by default with files of the advised size instead of a row cap.
-
-    Partitioned rows are rebalanced first: each task gets few partition values, a small
-    month shares a task and a month with a third of all rows is split over many, so the
-    number of files follows the bytes and not tasks times months.
-    """
-    if partition_by:
-        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    """Write a table. Rows for a partitioned one should come :func:`gathered`."""
     writer = df.write.format(fmt).mode(mode).partitionBy(*partition_by)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
@@ -120,7 +124,7 @@ class Lake:
         except AnalysisException as problem:
             if problem.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)
+            return no_rows(self.spark, schema)
 
     def bronze_sales(self) -> DataFrame:
         return self._read_batches(self.bronze, BRONZE_SCHEMA)
@@ -136,13 +140,10 @@ class Lake:
         schema = GOLD_SCHEMAS[table]
         at = at or self.ledger.current_versions().get(table)
         if at is None:
-            return self.spark.createDataFrame([], schema)
+            return no_rows(self.spark, schema)
         version, batch_id = at
         path = self.gold(table, version)
         with_batch = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
         return (
             self._read_batches(path, with_batch).filter(F.col(BATCH) <= batch_id).drop(BATCH)
         )
-
-
-__all__ = ["BATCH", "PERIOD", "STAMP", "Lake", "read_table", "write_table"]
