@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestar.operators.keys import number, ranked, with_dense_keys
@@ -63,10 +63,11 @@ def with_parent_key(
     return attach(rows, [lookup], "left", limits=limits).drop(*spec.parent.columns)
 
 
-def concurrently(tasks: Sequence[Callable[[], object]]) -> list:
+def concurrently(spark: SparkSession, tasks: Sequence[Callable[[], object]]) -> list:
     """Run independent Spark jobs side by side, so that one's last tasks do not idle the rest."""
+    in_session = inheritable_thread_target(spark)
     with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
-        return [f.result() for f in [pool.submit(inheritable_thread_target(t)) for t in tasks]]
+        return [f.result() for f in [pool.submit(in_session(t)) for t in tasks]]
 
 
 def build_dimension(rows: DataFrame, spec: Dimension) -> DataFrame:
@@ -108,12 +109,13 @@ def build_dimensions(
         every = staged_versions(rows, spec)
         return ranked(latest_members(every, spec), spec.columns, spec.name), every
 
+    spark = rows.sparkSession
     roots = _roots_of(wanted)
-    found = dict(zip(roots, concurrently([lambda d=d: root(d) for d in roots])))
+    found = dict(zip(roots, concurrently(spark, [lambda d=d: root(d) for d in roots])))
     derived = [d for d in wanted if d not in found]
     if derived:
         keyed = concurrently(
-            [lambda d=d: build_dimension(found[DERIVED_FROM[d]][1], d) for d in derived]
+            spark, [lambda d=d: build_dimension(found[DERIVED_FROM[d]][1], d) for d in derived]
         )
         tables = {d.name: t for d, t in zip(derived, keyed)}
     else:
@@ -130,7 +132,8 @@ def build_dimensions(
 def incoming_members(rows: DataFrame) -> dict[Dimension, DataFrame]:
     """One row per key for every dimension, read from four staged sets of members."""
     roots = _roots_of(DIMENSIONS)
-    staged_by = dict(zip(roots, concurrently([lambda d=d: staged_versions(rows, d) for d in roots])))
+    tasks = [lambda d=d: staged_versions(rows, d) for d in roots]
+    staged_by = dict(zip(roots, concurrently(rows.sparkSession, tasks)))
     return {d: latest_members(staged_by[DERIVED_FROM.get(d, d)], d) for d in DIMENSIONS}
 
 
@@ -143,6 +146,10 @@ class Upsert:
     existing: DataFrame
     key: tuple[str, ...]
 
+    def rewrites(self) -> bool:
+        """Whether a known member changes, so that adding rows is not enough."""
+        return not self.changed.isEmpty()
+
     def snapshot(self) -> DataFrame:
         """The whole dimension after the batch."""
         return _without(self.existing, self.changed, self.key).unionByName(

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _SALT = "__salt"
+_ROW = "__row"
 
 
 class DuplicateLookupKey(ValueError):
@@ -101,16 +102,17 @@ def hot_fingerprints(facts: DataFrame, on: Sequence[str], limits: Limits) -> lis
     return [r.fingerprint for r in top]
 
 
-def _salted(facts: DataFrame, lookup: Lookup, how: str, limits: Limits) -> DataFrame:
+def _salted(
+    facts: DataFrame, lookup: Lookup, how: str, limits: Limits, hot: Sequence[int]
+) -> DataFrame:
     """A shuffled join in which the rows of a hot key go to ``salts`` tasks, not to one.
 
     The salt comes from the row itself, so a repeated task sends each row where it went
     before. Every fact row keeps exactly one salt and the dimension rows of hot keys exist
     once per salt, so the result is that of the plain join.
     """
-    hot = hot_fingerprints(facts, lookup.on, limits)
-    is_hot = _fingerprint(lookup.on).isin(hot) if hot else F.lit(False)
-    spread = F.pmod(F.xxhash64(*facts.columns), F.lit(limits.salts)).cast("int")
+    is_hot = _fingerprint(lookup.on).isin(list(hot)) if hot else F.lit(False)
+    spread = F.pmod(F.col(_ROW), F.lit(limits.salts)).cast("int")
     left = facts.withColumn(_SALT, F.when(is_hot, spread).otherwise(F.lit(0)))
     every = F.sequence(F.lit(0), F.lit(limits.salts - 1))
     right = lookup.narrow.withColumn(
@@ -148,9 +150,14 @@ def attach(
         bad = {n: s.rows - s.keys for n, s in sizes.items() if s.rows > s.keys}
         if bad:
             raise DuplicateLookupKey(f"surplus rows by lookup: {bad}")
-    for lookup in lookups:
-        if limits.allow(sizes[lookup.name]):
-            facts = _broadcast(facts, lookup, how)
-        else:
-            facts = _salted(facts, lookup, how, limits)
-    return facts
+    small = [l for l in lookups if limits.allow(sizes[l.name])]
+    large = [l for l in lookups if l not in small]
+    # hot keys are counted on the rows as they came, by their key columns only
+    hot = {l.name: hot_fingerprints(facts, l.on, limits) for l in large}
+    if large:
+        facts = facts.withColumn(_ROW, F.xxhash64(*facts.columns))
+    for lookup in small:  # first: rows are narrower by the time others shuffle them
+        facts = _broadcast(facts, lookup, how)
+    for lookup in large:
+        facts = _salted(facts, lookup, how, limits, hot[lookup.name])
+    return facts.drop(_ROW)

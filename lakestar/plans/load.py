@@ -46,7 +46,7 @@ def _write_dimensions(
         lake.write_batch(tables[name], lake.gold(name, versions[name][0]), batch_id)
 
     if tables:
-        concurrently([lambda name=name: write(name) for name in tables])
+        concurrently(lake.spark, [lambda name=name: write(name) for name in tables])
 
 
 def _write_fact(
@@ -188,7 +188,7 @@ def _upsert_dimensions(
             found = with_parent_key(found, spec, parent, null_safe=null_safe, limits=limits)
         change = upsert(existing, found, spec, on_change=on_change, stamp=stamp)
         version = before.get(spec.name, (1, 0))[0]
-        if change.changed is not None and not change.changed.isEmpty():
+        if change.rewrites():
             version += 1
             lake.write_batch(change.snapshot(), lake.gold(spec.name, version), batch_id)
         else:
@@ -196,7 +196,7 @@ def _upsert_dimensions(
         at[spec.name] = (version, batch_id)
 
     independent = [d for d in DIMENSIONS if d.parent is None]
-    concurrently([lambda d=d: bring(d) for d in independent])
+    concurrently(lake.spark, [lambda d=d: bring(d) for d in independent])
     bring(CUSTOMER)
     return at
 

@@ -1,8 +1,8 @@
 """Batch tables: a folder of ``batch_id=<n>`` folders, each written once as a whole.
 
 Writing a batch again replaces that batch and nothing else, so a retried job cannot repeat
-rows, without needing a transactional format. With such a format (``fmt='delta'``, if its
-jar is present) the same calls write it.
+rows, without needing a transactional format. Where the jar of one is present,
+``fmt='delta'`` makes each table one Delta table in which a batch replaces its own rows.
 """
 
 from __future__ import annotations
@@ -110,6 +110,14 @@ class Lake:
         partition_by: Sequence[str] = (),
         max_records_per_file: int | None = None,
     ) -> None:
+        if self.fmt == "delta":
+            rows = df.withColumn(BATCH, F.lit(batch_id).cast("long"))
+            writer = rows.write.format("delta").mode("overwrite").option("mergeSchema", True)
+            writer = writer.option("replaceWhere", f"{BATCH} = {batch_id}")
+            if max_records_per_file:
+                writer = writer.option("maxRecordsPerFile", max_records_per_file)
+            writer.partitionBy(BATCH, *partition_by).save(path)
+            return
         write_table(
             df.drop(BATCH),
             f"{path}/{BATCH}={batch_id}",
@@ -119,10 +127,13 @@ class Lake:
         )
 
     def _read_batches(self, path: str, schema: T.StructType) -> DataFrame:
+        reader = self.spark.read.format(self.fmt)
+        if self.fmt != "delta":  # Delta keeps the schema itself
+            reader = reader.schema(schema)
         try:
-            return self.spark.read.schema(schema).format(self.fmt).load(path)
+            return reader.load(path).select(*schema.names)
         except AnalysisException as problem:
-            if problem.getCondition() != "PATH_NOT_FOUND":
+            if problem.getCondition() not in ("PATH_NOT_FOUND", "DELTA_PATH_DOES_NOT_EXIST"):
                 raise
             return no_rows(self.spark, schema)
 
