@@ -17,6 +17,11 @@ def fact_lookups(dimensions: dict[str, DataFrame]) -> list[Lookup]:
     return [Lookup(d.name, dimensions[d.name], (d.lookup,), d.sk) for d in FACT_LOOKUPS]
 
 
+def keyable(rows: DataFrame) -> DataFrame:
+    """The rows a full load keeps: its dimensions hold every value, so only nulls find no key."""
+    return rows.dropna(subset=[d.lookup for d in FACT_LOOKUPS])
+
+
 def build_fact(
     rows: DataFrame,
     dimensions: dict[str, DataFrame],

@@ -41,24 +41,30 @@ def record_bronze(lake: Lake, files: DataFrame, batch_id: int, stamp: dt.datetim
     lake.ledger.record(BRONZE, batch_id, items, stamp)
 
 
-def ingest(lake: Lake, stamp: dt.datetime | None = None) -> int | None:
-    """Take the new landing files as one batch; its number, or None if there are none.
-
-    The list of files is fixed before anything is read, so a file that arrives meanwhile
-    waits for the next batch. Spark itself keeps the file list of a scan on the driver; for
-    an unending flow of files use the stream.
+def ingest(
+    lake: Lake, stamp: dt.datetime | None = None, files_per_batch: int = 10_000
+) -> list[int]:
+    """Take every new landing file, oldest first; the numbers of the batches written.
+
+    A batch's list of files is fixed before anything is read, so a file that arrives
+    meanwhile waits for a later batch. The reader needs the paths on the driver: that many,
+    and no more, are there at a time, and batches follow until no file is left.
     """
-    files = new_files(lake).select(*FILE_IDENTITY, "path").collect()
-    if not files:
-        return None
-    batch_id = lake.ledger.last_batch(BRONZE) + 1
-    write_bronze(lake, read_landing(lake.spark, [f.path for f in files]), batch_id)
-    listed = lake.spark.createDataFrame(
-        [(f.source_file, f.modified_at) for f in files],
-        "source_file string, modified_at timestamp",
-    )
-    record_bronze(lake, listed, batch_id, stamp or now())
-    return batch_id
+    batches = []
+    while True:
+        oldest = new_files(lake).orderBy("modified_at", "source_file").limit(files_per_batch)
+        files = oldest.select(*FILE_IDENTITY, "path").collect()
+        if files:
+            batch_id = lake.ledger.last_batch(BRONZE) + 1
+            write_bronze(lake, read_landing(lake.spark, [f.path for f in files]), batch_id)
+            listed = lake.spark.createDataFrame(
+                [(f.source_file, f.modified_at) for f in files],
+                "source_file string, modified_at timestamp",
+            )
+            record_bronze(lake, listed, batch_id, stamp or now())
+            batches.append(batch_id)
+        if len(files) < files_per_batch:
+            return batches
 
 
 def write_silver(

@@ -92,7 +92,7 @@ def register_gold(lake: Lake, database: str) -> DataFrame:
     spark = lake.spark
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{lake.root}/catalog'")
     rows = []
-    for table, (version, _) in sorted(lake.ledger.current_versions().items()):
+    for table, (version, last_batch) in sorted(lake.ledger.current_versions().items()):
         path = lake.gold(table, version)
         name = f"{database}.{table}"
         partitions = ["batch_id", "sale_year", "sale_month"] if table == "fact_sales" else ["batch_id"]
@@ -108,6 +108,7 @@ def register_gold(lake: Lake, database: str) -> DataFrame:
         if lake.fmt == "parquet":
             # a partitioned external table has no rows until its partitions are recorded
             spark.catalog.recoverPartitions(name)
+            _forget_after(spark, name, last_batch)
         rows.append((table, path))
     return few_rows(spark, "table_name string, path string", rows)
 
@@ -117,6 +118,14 @@ def _location(spark: SparkSession, name: str) -> str:
     return details.filter(F.col("col_name") == "Location").first()["data_type"]
 
 
+def _forget_after(spark: SparkSession, name: str, last_batch: int) -> None:
+    """Take batches out of a catalog entry that a failed load left unfinished."""
+    batch = F.regexp_extract("partition", r"batch_id=(\d+)", 1).cast("long")
+    found = spark.sql(f"SHOW PARTITIONS {name}").select(batch.alias("batch_id")).distinct()
+    for row in found.filter(F.col("batch_id") > last_batch).collect():
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (batch_id = {row.batch_id})")
+
+
 def registered_tables(spark: SparkSession, database: str) -> list[str]:
     """Names of the tables a database lists, views left out."""
     found = spark.catalog.listTables(database)

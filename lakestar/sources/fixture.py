@@ -23,22 +23,29 @@ select o_orderkey, o_orderdate, o_custkey, l_linenumber, l_partkey, l_suppkey,
 from {lineitem}
 join {orders} on l_orderkey = o_orderkey
 """
+# Names are put together once per customer and place, not once per order line.
 SALES_SQL = """
+with places as (
+  select n_nationkey, concat(n_name, ', ', r_name) as city, n_name as state, r_name as region,
+         case when n_nationkey % 5 = 0 then null else concat('D', cast(n_nationkey % 5 as string)) end as district,
+         r_name as country, lpad(cast(n_nationkey as string), 5, '0') as postal_code
+  from {nation} join {region} on n_regionkey = r_regionkey
+), buyers as (
+  select c_custkey as customer_id, c_mktsegment as segment,
+         concat('(', replace(c_name, '#', '.'), '@EXAMPLE.com):', split_part(c_name, '#', 2), ', ', split_part(c_name, '#', 1)) as email_name,
+         city, state, region, district, country, postal_code
+  from {customer} join places on c_nationkey = n_nationkey
+)
 select o_orderkey as order_id, l_linenumber as campaign_id,
-       cast(o_orderdate as date) as sale_date,
-       concat('(', replace(c_name, '#', '.'), '@EXAMPLE.com):', split_part(c_name, '#', 2), ', ', split_part(c_name, '#', 1)) as email_name,
-       concat(n_name, ', ', r_name) as city, n_name as state, r_name as region,
-       case when n_nationkey % 5 = 0 then null else concat('D', cast(n_nationkey % 5 as string)) end as district,
-       r_name as country, lpad(cast(n_nationkey as string), 5, '0') as postal_code,
-       p_partkey as product_id, p_name as product, p_type as category, c_mktsegment as segment,
-       s_suppkey as manufacturer_id, s_name as manufacturer, c_custkey as customer_id,
+       cast(o_orderdate as date) as sale_date, email_name,
+       city, state, region, district, country, postal_code,
+       p_partkey as product_id, p_name as product, p_type as category, segment,
+       s_suppkey as manufacturer_id, s_name as manufacturer, customer_id,
        cast(l_quantity as int) as units,
        l_extendedprice / l_quantity as unit_price,
        l_extendedprice * (1 - l_discount) / l_quantity as unit_cost
-from {order_lines}
-join {customer} on o_custkey = c_custkey
-join {nation} on c_nationkey = n_nationkey
-join {region} on n_regionkey = r_regionkey
+from {order_lines} as order_lines
+join buyers on o_custkey = customer_id
 join {part} on l_partkey = p_partkey
 join {supplier} on l_suppkey = s_suppkey
 """

@@ -40,6 +40,16 @@ def test_tables_follow_the_current_version(spark, tmp_path):
         assert rows == lake.gold_table(table).count(), table
 
 
+def test_an_unfinished_batch_is_not_registered(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    write_silver(lake, silver_of(spark, raw_rows(50)), 1)
+    load_full(lake)
+    left_behind = lake.gold_table("fact_sales")
+    lake.write_batch(left_behind, lake.gold("fact_sales", 1), 2, ["sale_year", "sale_month"])
+    register_gold(lake, "gold_unfinished")
+    assert counts(spark, "gold_unfinished")["fact_sales"] == 50
+
+
 def test_source_names(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
     write_silver(lake, silver_of(spark, raw_rows(50)), 1)

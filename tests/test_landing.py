@@ -77,21 +77,31 @@ def test_file_names_are_those_on_disk(lake):
 def test_each_file_is_taken_once(lake):
     deliver(lake, "one.csv", raw_rows(30, seed=1))
     deliver(lake, "empty.csv", [])
-    assert ingest(lake) == 1
-    assert ingest(lake) is None
+    assert ingest(lake) == [1]
+    assert ingest(lake) == []
     deliver(lake, "two 2.csv", raw_rows(20, seed=2))
     assert [r.source_file for r in new_files(lake).collect()] == ["two 2.csv"]
-    assert ingest(lake) == 2
+    assert ingest(lake) == [2]
     entries = lake.ledger.entries(BRONZE).select("batch_id", "item", "row_count").collect()
     assert {tuple(r) for r in entries} == {(1, "one.csv", 30), (1, "empty.csv", 0), (2, "two 2.csv", 20)}
     assert lake.bronze_sales().count() == 50
     # the same name with new content is a new file
     deliver(lake, "one.csv", raw_rows(7, seed=3))
     os.utime(os.path.join(lake.landing, "one.csv"), (2_000_000_000, 2_000_000_000))
-    assert ingest(lake) == 3
+    assert ingest(lake) == [3]
     assert lake.bronze_sales().count() == 57
 
 
+def test_many_files_make_several_batches(lake):
+    for i in range(5):
+        deliver(lake, f"f{i}.csv", raw_rows(3, seed=i))
+        os.utime(os.path.join(lake.landing, f"f{i}.csv"), (1_000_000 - i, 1_000_000 - i))
+    assert ingest(lake, files_per_batch=2) == [1, 2, 3]
+    entries = lake.ledger.entries(BRONZE).select("batch_id", "item").collect()
+    assert {tuple(r) for r in entries} == {(1, "f4.csv"), (1, "f3.csv"), (2, "f2.csv"), (2, "f1.csv"), (3, "f0.csv")}
+    assert lake.bronze_sales().count() == 15
+
+
 def test_a_batch_written_twice_counts_once(lake):
     """A run that fails after writing and before recording is repeated without harm."""
     deliver(lake, "one.csv", raw_rows(30))
@@ -103,7 +113,7 @@ def test_a_batch_written_twice_counts_once(lake):
     finally:
         type(lake.ledger).record = record
     deliver(lake, "two.csv", raw_rows(5, seed=9))
-    assert ingest(lake) == 1
+    assert ingest(lake) == [1]
     assert lake.bronze_sales().count() == 35
 
 
