@@ -121,9 +121,12 @@ def _location(spark: SparkSession, name: str) -> str:
 def _forget_after(spark: SparkSession, name: str, last_batch: int) -> None:
     """Take batches out of a catalog entry that a failed load left unfinished."""
     batch = F.regexp_extract("partition", r"batch_id=(\d+)", 1).cast("long")
-    found = spark.sql(f"SHOW PARTITIONS {name}").select(batch.alias("batch_id")).distinct()
-    for row in found.filter(F.col("batch_id") > last_batch).collect():
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (batch_id = {row.batch_id})")
+    found = spark.sql(f"SHOW PARTITIONS {name}").filter(batch > last_batch).collect()
+    if found:
+        parts = [p.partition.split("/") for p in found]
+        specs = [", ".join("{}='{}'".format(*v.split("=")) for v in values) for values in parts]
+        drops = ", ".join(f"PARTITION ({spec})" for spec in specs)
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {drops}")
 
 
 def registered_tables(spark: SparkSession, database: str) -> list[str]:
