@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 _SALT = "__salt"
 _ROW = "__row"
+_OTHER = "__other_"
 
 
 class DuplicateLookupKey(ValueError):
@@ -31,6 +32,17 @@ class Lookup:
     def narrow(self) -> DataFrame:
         return self.table.select(*self.on, self.take)
 
+    @property
+    def right(self) -> DataFrame:
+        """The table as the right side of a join, its key columns under names of their own."""
+        return self.table.select(*[F.col(c).alias(_OTHER + c) for c in self.on], self.take)
+
+    def matches(self) -> Column:
+        """The condition that joins rows, by the key's names, to :attr:`right`."""
+        pairs = [(F.col(c), F.col(_OTHER + c)) for c in self.on]
+        same = [a.eqNullSafe(b) if self.null_safe else a == b for a, b in pairs]
+        return reduce(Column.__and__, same)
+
 
 @dataclass(frozen=True)
 class Size:
@@ -52,13 +64,6 @@ class Limits:
         return size.bytes <= self.broadcast_bytes
 
 
-def _same(left: DataFrame, right: DataFrame, columns: Sequence[str], null_safe: bool) -> Column:
-    pairs = [
-        left[c].eqNullSafe(right[c]) if null_safe else left[c] == right[c] for c in columns
-    ]
-    return reduce(Column.__and__, pairs)
-
-
 def measure(lookups: Sequence[Lookup]) -> dict[str, Size]:
     """Rows, distinct keys and bytes of each lookup table, in one job.
 
@@ -111,23 +116,20 @@ def _salted(
     before. Every fact row keeps exactly one salt and the dimension rows of hot keys exist
     once per salt, so the result is that of the plain join.
     """
-    is_hot = _fingerprint(lookup.on).isin(list(hot)) if hot else F.lit(False)
     spread = F.pmod(F.col(_ROW), F.lit(limits.salts)).cast("int")
-    left = facts.withColumn(_SALT, F.when(is_hot, spread).otherwise(F.lit(0)))
+    salt = F.when(_fingerprint(lookup.on).isin(list(hot)), spread).otherwise(F.lit(0))
     every = F.sequence(F.lit(0), F.lit(limits.salts - 1))
-    right = lookup.narrow.withColumn(
-        _SALT, F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0))))
-    )
-    condition = _same(left, right, lookup.on, lookup.null_safe) & (left[_SALT] == right[_SALT])
-    return left.join(right, condition, how).select(*[left[c] for c in facts.columns], lookup.take)
+    is_hot = _fingerprint([_OTHER + c for c in lookup.on]).isin(list(hot))
+    salts = F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0))))
+    left = facts.withColumn(_SALT, salt)
+    right = lookup.right.withColumn(_OTHER + _SALT, salts)
+    condition = lookup.matches() & (F.col(_SALT) == F.col(_OTHER + _SALT))
+    return left.join(right, condition, how).select(*facts.columns, lookup.take)
 
 
 def _broadcast(facts: DataFrame, lookup: Lookup, how: str) -> DataFrame:
-    right = lookup.narrow
-    condition = _same(facts, right, lookup.on, lookup.null_safe)
-    return facts.join(F.broadcast(right), condition, how).select(
-        *[facts[c] for c in facts.columns], lookup.take
-    )
+    joined = facts.join(F.broadcast(lookup.right), lookup.matches(), how)
+    return joined.select(*facts.columns, lookup.take)
 
 
 def attach(

@@ -24,9 +24,14 @@ def now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 
 
-def write_bronze(lake: Lake, rows: DataFrame, batch_id: int) -> None:
-    """Write raw rows by month. This is the only shuffle between the files and the fact."""
-    lake.write_batch(gathered(with_period(rows), *PERIOD), lake.bronze, batch_id, PERIOD)
+def write_bronze(lake: Lake, rows: DataFrame, batch_id: int, gather: bool = True) -> None:
+    """Write raw rows by month. This is the only shuffle between the files and the fact.
+
+    Files that hold a month or two each need none: ``gather=False``.
+    """
+    rows = with_period(rows)
+    rows = gathered(rows, *PERIOD) if gather else rows
+    lake.write_batch(rows, lake.bronze, batch_id, PERIOD)
 
 
 def record_bronze(lake: Lake, files: DataFrame, batch_id: int, stamp: dt.datetime) -> None:
@@ -42,7 +47,10 @@ def record_bronze(lake: Lake, files: DataFrame, batch_id: int, stamp: dt.datetim
 
 
 def ingest(
-    lake: Lake, stamp: dt.datetime | None = None, files_per_batch: int = 10_000
+    lake: Lake,
+    stamp: dt.datetime | None = None,
+    files_per_batch: int = 10_000,
+    gather: bool = True,
 ) -> list[int]:
     """Take every new landing file, oldest first; the numbers of the batches written.
 
@@ -56,7 +64,8 @@ def ingest(
         files = oldest.select(*FILE_IDENTITY, "path").collect()
         if files:
             batch_id = lake.ledger.last_batch(BRONZE) + 1
-            write_bronze(lake, read_landing(lake.spark, [f.path for f in files]), batch_id)
+            rows = read_landing(lake.spark, [f.path for f in files])
+            write_bronze(lake, rows, batch_id, gather)
             listed = lake.spark.createDataFrame(
                 [(f.source_file, f.modified_at) for f in files],
                 "source_file string, modified_at timestamp",

@@ -8,16 +8,15 @@ from decimal import ROUND_HALF_EVEN, Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from settings import settings
 
 from lakestar.functions import calendar, money, text
 
 
 @pytest.fixture(params=["true", "false"], ids=["ansi", "no-ansi"])
 def session(spark, request):
-    before = spark.conf.get("spark.sql.ansi.enabled")
-    spark.conf.set("spark.sql.ansi.enabled", request.param)
-    yield spark
-    spark.conf.set("spark.sql.ansi.enabled", before)
+    with settings(spark, {"spark.sql.ansi.enabled": request.param}):
+        yield spark
 
 
 def evaluate(spark, values, kind, expression):

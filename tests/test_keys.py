@@ -6,6 +6,7 @@ import itertools
 
 import pytest
 from pyspark.sql import functions as F
+from settings import settings
 
 from lakestar.operators.keys import number, ranked, with_dense_keys
 
@@ -18,17 +19,12 @@ def natural(row):
     "partitions, adaptive", list(itertools.product(["1", "7", "64"], ["true", "false"]))
 )
 def test_keys_do_not_depend_on_partitions(spark, partitions, adaptive):
-    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
-    spark.conf.set("spark.sql.shuffle.partitions", partitions)
-    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
-    try:
-        members = [(f"n{i % 37:02d}", None if i % 11 == 0 else f"m{i}") for i in range(3000)]
-        members = list(dict.fromkeys(members))
+    members = [(f"n{i % 37:02d}", None if i % 11 == 0 else f"m{i}") for i in range(3000)]
+    members = list(dict.fromkeys(members))
+    changed = {"spark.sql.shuffle.partitions": partitions, "spark.sql.adaptive.enabled": adaptive}
+    with settings(spark, changed):
         rows = spark.createDataFrame(members, "a string, b string").repartition(13)
         got = {(r.a, r.b): r.key for r in number(rows, ["a", "b"], "key", 100).collect()}
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
     assert got == {m: 101 + i for i, m in enumerate(sorted(members, key=natural))}
 
 
@@ -39,12 +35,9 @@ def test_no_members(spark):
 
 def test_numbering_uses_more_than_one_task(spark):
     rows = spark.range(400_000).select(F.col("id").alias("a"), F.sha2(F.hex("id"), 256).alias("b"))
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
-    try:
+    with settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m"}):
         sorted_rows = ranked(rows, ["a", "b"])
         slices = sorted_rows.groupBy(F.shiftright("__position", 33)).count().collect()
         keyed = with_dense_keys(sorted_rows, "key")
         assert keyed.filter(F.col("key") != F.col("a") + 1).isEmpty()
-    finally:
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")
     assert len(slices) > 1 and max(r["count"] for r in slices) < 400_000

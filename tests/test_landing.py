@@ -9,7 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 from sample import raw_rows, write_csv
 
+from lakestar.operators.incremental import mark_of
 from lakestar.plans.ingest import ingest, new_files, refine
+from lakestar.plans.load import load_increment
 from lakestar.sources.landing import header_of, landing_files, read_landing
 from lakestar.sources.ledger import BRONZE, SILVER
 from lakestar.sources.tables import Lake
@@ -117,6 +119,32 @@ def test_a_batch_written_twice_counts_once(lake):
     assert lake.bronze_sales().count() == 35
 
 
+def test_gathering_changes_files_not_rows(lake, tmp_path):
+    deliver(lake, "one.csv", raw_rows(60))
+    ingest(lake)
+    (tmp_path / "other").mkdir()
+    other = Lake(lake.spark, str(tmp_path / "other"), landing_path=lake.landing)
+    ingest(other, gather=False)
+    rows = [sorted(map(repr, table.bronze_sales().collect())) for table in (lake, other)]
+    assert rows[0] == rows[1] and len(rows[0]) == 60
+
+
+def test_a_sale_without_a_date_reaches_the_fact(lake):
+    """It lies in no month and after no mark, so only loads by batch take it."""
+    rows = raw_rows(40)
+    deliver(lake, "one.csv", rows[:20])
+    ingest(lake)
+    refine(lake)
+    load_increment(lake)
+    deliver(lake, "two.csv", [dict(r, sale_date="no date") for r in rows[20:]])
+    ingest(lake)
+    refine(lake)
+    load_increment(lake, late="ledger")
+    fact = lake.gold_table("fact_sales")
+    assert fact.count() == 40 and fact.filter("sale_date is null and sale_year is null").count() == 20
+    assert mark_of(fact) == max(dt.date.fromisoformat(r["sale_date"]) for r in rows[:20])
+
+
 def test_refine_takes_pending_batches_only(lake):
     deliver(lake, "one.csv", raw_rows(30))
     ingest(lake)

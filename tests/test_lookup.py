@@ -6,6 +6,7 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from settings import settings
 
 from lakestar.operators.lookup import (
     DuplicateLookupKey,
@@ -61,16 +62,13 @@ def test_rows_are_those_of_the_plain_join(facts, table, how, null_safe, limits):
 
 
 def test_large_tables_are_not_broadcast(spark, facts, table):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
         joined = attach(facts, [Lookup("t", table, ("a", "b"), "sk")], limits=NEVER)
         plan = joined._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
         joined = attach(facts, [Lookup("t", table, ("a", "b"), "sk")])
         plan = joined._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_hot_keys_are_found_and_bounded(facts):
@@ -81,18 +79,10 @@ def test_hot_keys_are_found_and_bounded(facts):
 
 
 def test_a_hot_key_reaches_many_tasks(spark, facts, table):
-    before = {
-        k: spark.conf.get(k, None)
-        for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")
-    }
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
+    plain = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    with settings(spark, plain):
         joined = attach(facts, [Lookup("t", table, ("a", "b"), "sk")], limits=NEVER)
         tasks = joined.filter(F.col("a") == "hot").groupBy(F.spark_partition_id()).count().count()
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", before["spark.sql.adaptive.enabled"])
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert tasks > 4
 
 
@@ -113,3 +103,13 @@ def test_several_large_lookups_chain(facts, table):
     want = attach(facts, [one, two]).collect()
     got = attach(facts, [one, two], limits=NEVER).collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and got
+
+
+def test_a_table_made_from_the_rows_themselves(facts):
+    """Both sides share their origin; the condition still compares one with the other."""
+    table = facts.groupBy("a").agg(F.max("id").alias("last"))
+    want = {r.a: r["last"] for r in table.collect() if r.a is not None}
+    for limits in (Limits(), NEVER):
+        got = attach(facts, [Lookup("t", table, ("a",), "last")], limits=limits).collect()
+        assert all(r["last"] == want[r.a] for r in got)
+        assert len(got) == facts.filter("a is not null").count()

@@ -8,6 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 from sample import raw_rows, silver_of
+from settings import settings
 
 from lakestar.functions.calendar import later_than, up_to
 from lakestar.operators.analytics import (
@@ -23,7 +24,7 @@ from lakestar.operators.lookup import DuplicateLookupKey, Limits
 from lakestar.plans.ingest import write_silver
 from lakestar.plans.load import load_full, load_increment, star
 from lakestar.sources.ledger import GOLD
-from lakestar.sources.tables import Lake, read_table, write_table
+from lakestar.sources.tables import Lake, gathered, read_table, write_table
 from lakestar.specs import (
     CATEGORY,
     CUSTOMER,
@@ -32,6 +33,7 @@ from lakestar.specs import (
     FACT_LOOKUPS,
     GEOGRAPHY,
     MANUFACTURER,
+    PERIOD,
     PRODUCT,
 )
 
@@ -321,25 +323,17 @@ def test_fact_join_broadcasts_and_does_not_shuffle(spark, silver, tmp_path):
 
 
 def test_a_month_with_a_third_of_all_rows_is_written_by_many_tasks(spark, tmp_path):
-    from lakestar.sources.tables import gathered
-
     months = F.when(F.col("id") % 3 == 0, 1).otherwise(2 + F.col("id") % 11).cast("int")
     rows = spark.range(0, 600_000, 1, 16).select(
         F.sha2(F.hex("id"), 512).alias("text"), F.lit(2012).alias("sale_year"), months.alias("sale_month")
     )
-    settings = {
+    small = {
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2m",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2m",
     }
-    before = {k: spark.conf.get(k) for k in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        path = tmp_path / "t"
-        write_table(gathered(rows, "sale_year", "sale_month"), str(path), partition_by=["sale_year", "sale_month"])
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+    path = tmp_path / "t"
+    with settings(spark, small):
+        write_table(gathered(rows, *PERIOD), str(path), partition_by=PERIOD)
     files = {m: len(list(path.glob(f"sale_year=2012/sale_month={m}/*.parquet"))) for m in (1, 2)}
     assert files[1] > 4 > files[2] / 4
     assert read_table(spark, str(path)).count() == 600_000
