@@ -101,32 +101,28 @@ def build_dimensions(
     """
     wanted = list(dict.fromkeys([*specs, *[d.parent for d in specs if d.parent]]))
 
-    def root(spec: Dimension) -> tuple[DataFrame, DataFrame]:
+    def from_root(root: Dimension) -> dict[Dimension, DataFrame]:
         if versions == "all":
-            own = ranked(members(rows, spec), spec.columns, spec.name)
-            return own, own
-        # derived dimensions keep what only older versions refer to
-        every = staged_versions(rows, spec)
-        return ranked(latest_members(every, spec), spec.columns, spec.name), every
-
-    spark = rows.sparkSession
-    roots = _roots_of(wanted)
-    found = dict(zip(roots, concurrently(spark, [lambda d=d: root(d) for d in roots])))
-    derived = [d for d in wanted if d not in found]
-    if derived:
-        keyed = concurrently(
-            spark, [lambda d=d: build_dimension(found[DERIVED_FROM[d]][1], d) for d in derived]
-        )
-        tables = {d.name: t for d, t in zip(derived, keyed)}
-    else:
-        tables = {}
-    for spec in [d for d in wanted if d in found]:
-        table = with_dense_keys(found[spec][0], spec.sk)
+            every = own = ranked(members(rows, root), root.columns, root.name)
+        else:  # derived dimensions keep what only older versions refer to
+            every = staged_versions(rows, root)
+            own = ranked(latest_members(every, root), root.columns, root.name)
+        found = {root: with_dense_keys(own, root.sk)}
+        for spec in wanted:
+            if DERIVED_FROM.get(spec) == root:
+                found[spec] = build_dimension(every, spec)
+        return found
+
+    tasks = [lambda root=root: from_root(root) for root in _roots_of(wanted)]
+    tables: dict[Dimension, DataFrame] = {}
+    for found in concurrently(rows.sparkSession, tasks):
+        tables |= found
+    for spec in specs:
         if spec.parent:
-            parent = tables[spec.parent.name]
-            table = with_parent_key(table, spec, parent, null_safe=null_safe, limits=limits)
-        tables[spec.name] = table.select(*spec.attributes, spec.sk)
-    return {d.name: tables[d.name] for d in specs}
+            parent = tables[spec.parent]
+            keyed = with_parent_key(tables[spec], spec, parent, null_safe=null_safe, limits=limits)
+            tables[spec] = keyed.select(*spec.attributes, spec.sk)
+    return {d.name: tables[d] for d in specs}
 
 
 def incoming_members(rows: DataFrame) -> dict[Dimension, DataFrame]:
@@ -139,33 +135,31 @@ def incoming_members(rows: DataFrame) -> dict[Dimension, DataFrame]:
 
 @dataclass(frozen=True)
 class Upsert:
-    """What a batch does to a dimension: rows to add, and rows to rewrite in place."""
+    """What a batch does to a dimension: members to add, and members to rewrite in place."""
 
-    added: DataFrame
-    changed: DataFrame
+    spec: Dimension
     existing: DataFrame
-    key: tuple[str, ...]
+    matched: DataFrame
+    stamp: dt.datetime | None
 
-    def rewrites(self) -> bool:
-        """Whether a known member changes, so that adding rows is not enough."""
-        return not self.changed.isEmpty()
+    def counts(self) -> tuple[int, int]:
+        """How many members are new, and how many known ones change."""
+        new, changed = F.count_if(F.isnull(self.spec.sk)), F.count_if(F.col("differs"))
+        return tuple(self.matched.agg(new, changed).first())
+
+    def added(self) -> DataFrame:
+        """The new members, keys after the highest one, in natural order."""
+        start = self.existing.agg(F.max(self.spec.sk)).first()[0] or 0
+        fresh = self.matched.filter(F.isnull(self.spec.sk)).select(*self.spec.attributes)
+        return stamped(number(fresh, self.spec.attributes, self.spec.sk, start), self.stamp)
 
     def snapshot(self) -> DataFrame:
         """The whole dimension after the batch."""
-        return _without(self.existing, self.changed, self.key).unionByName(
-            self.changed
-        ).unionByName(self.added)
-
-
-def _match(left: DataFrame, right: DataFrame, key: Sequence[str]) -> Column:
-    return reduce(Column.__and__, [left[c].eqNullSafe(right[c]) for c in key])
-
-
-def _without(rows: DataFrame, others: DataFrame, key: Sequence[str]) -> DataFrame:
-    # selected anew, so that a table compared with a frame made from it stays unambiguous
-    others = others.select(*[F.col(c).alias(f"__{c}") for c in key])
-    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in key])
-    return rows.join(others, same, "left_anti")
+        changed = self.matched.filter("differs").drop("differs")
+        replaced = changed.select(F.col(self.spec.sk).alias("__sk"))
+        same = F.col(self.spec.sk) == F.col("__sk")
+        unchanged = self.existing.join(replaced, same, "left_anti")
+        return unchanged.unionByName(stamped(changed, self.stamp)).unionByName(self.added())
 
 
 def upsert(
@@ -179,27 +173,21 @@ def upsert(
     """Keep known members and their keys; new members get the next keys, in natural order.
 
     ``incoming`` has one row per key. A known member whose attributes differ takes the new
-    ones under its old key (``on_change='update'``) or stays (``'keep'``). Keys are unique
-    on both sides, so neither join has a hot key.
+    ones under its old key (``on_change='update'``) or stays (``'keep'``). The existing
+    members are read once, for one join whose result, as long as ``incoming``, is staged.
+    Keys are unique on both sides, so it has no hot key.
     """
-    existing = existing.select(*spec.attributes, spec.sk, STAMP)
-    incoming = incoming.select(*spec.attributes)
-    start = existing.agg(F.max(spec.sk)).first()[0] or 0
-    fresh = _without(incoming, existing, spec.key)
-    added = stamped(number(fresh, spec.attributes, spec.sk, start), stamp)
     rest = [c for c in spec.attributes if c not in spec.key]
-    if on_change == "keep" or not rest:
-        changed = existing.limit(0)
-    else:
-        known = existing.select(
-            *[F.col(c).alias(f"__{c}") for c in spec.attributes], F.col(spec.sk)
-        )
-        same_key = reduce(
-            Column.__and__, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in spec.key]
-        )
-        differs = reduce(Column.__or__, [~F.col(c).eqNullSafe(F.col(f"__{c}")) for c in rest])
-        changed = stamped(
-            incoming.join(known, same_key).filter(differs).select(*spec.attributes, spec.sk), stamp
-        )
-    return Upsert(added, changed, existing, spec.key)
-
+    known = existing.select(*[F.col(c).alias(f"__{c}") for c in spec.attributes], spec.sk)
+    same_key = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in spec.key]
+    differs = F.lit(False)
+    if on_change == "update":
+        for c in rest:
+            differs = differs | ~F.col(c).eqNullSafe(F.col(f"__{c}"))
+    matched = (
+        incoming.select(*spec.attributes)
+        .join(known, reduce(Column.__and__, same_key), "left")
+        .select(*spec.attributes, spec.sk, (F.isnotnull(spec.sk) & differs).alias("differs"))
+    )
+    existing = existing.select(*spec.attributes, spec.sk, STAMP)
+    return Upsert(spec, existing, staged(matched, f"{spec.name}-upsert"), stamp)

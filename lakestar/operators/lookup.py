@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 _SALT = "__salt"
 _ROW = "__row"
-_OTHER = "__other_"
 
 
 class DuplicateLookupKey(ValueError):
@@ -28,18 +27,22 @@ class Lookup:
     take: str
     null_safe: bool = False
 
+    def _other(self, column: str) -> str:
+        return f"__{self.name}_{column}"
+
     @property
-    def narrow(self) -> DataFrame:
-        return self.table.select(*self.on, self.take)
+    def others(self) -> list[str]:
+        """The key columns as the right side of a join names them."""
+        return [self._other(c) for c in self.on]
 
     @property
     def right(self) -> DataFrame:
         """The table as the right side of a join, its key columns under names of their own."""
-        return self.table.select(*[F.col(c).alias(_OTHER + c) for c in self.on], self.take)
+        return self.table.select(*[F.col(c).alias(self._other(c)) for c in self.on], self.take)
 
     def matches(self) -> Column:
         """The condition that joins rows, by the key's names, to :attr:`right`."""
-        pairs = [(F.col(c), F.col(_OTHER + c)) for c in self.on]
+        pairs = [(F.col(c), F.col(o)) for c, o in zip(self.on, self.others)]
         same = [a.eqNullSafe(b) if self.null_safe else a == b for a, b in pairs]
         return reduce(Column.__and__, same)
 
@@ -65,31 +68,28 @@ class Limits:
 
 
 def measure(lookups: Sequence[Lookup]) -> dict[str, Size]:
-    """Rows, distinct keys and bytes of each lookup table, in one job.
+    """Rows, distinct keys and bytes of each lookup table, in one query over all of them.
 
     One row per lookup comes back to the driver. A key that can match nothing is not counted.
     """
-    parts = []
+    keys = []
     for lookup in lookups:
-        width = reduce(
-            Column.__add__,
-            [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in lookup.on],
-        )
-        table = lookup.narrow
-        if not lookup.null_safe:
-            table = table.dropna(subset=list(lookup.on))
-        per_key = table.groupBy(*lookup.on).agg(F.count("*").alias("n"))
-        parts.append(
-            per_key.agg(
-                F.lit(lookup.name).alias("name"),
-                F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-                F.count("*").alias("keys"),
-                # text or number, plus the key fetched and what a hash table needs per row
-                F.coalesce(F.sum(F.col("n") * (width + 32)), F.lit(0)).alias("bytes"),
-            )
-        )
-    sizes = reduce(DataFrame.unionByName, parts).collect()
-    return {s["name"]: Size(s["rows"], s["keys"], s["bytes"]) for s in sizes}
+        # as text, which any key can be, so that the tables can be counted together
+        key = F.array(*[F.col(c).cast("string") for c in lookup.on]).alias("key")
+        table = lookup.table if lookup.null_safe else lookup.table.dropna(subset=list(lookup.on))
+        keys.append(table.select(F.lit(lookup.name).alias("name"), key))
+    per_key = reduce(DataFrame.unionByName, keys).groupBy("name", "key").agg(F.count("*").alias("n"))
+    text_bytes = F.aggregate(
+        "key", F.lit(0), lambda sum_, k: sum_ + F.coalesce(F.octet_length(k), F.lit(0))
+    )
+    found = per_key.groupBy("name").agg(
+        F.sum("n").alias("rows"),
+        F.count("*").alias("keys"),
+        # the key, plus the surrogate key fetched and what a hash table needs per row
+        F.sum(F.col("n") * (text_bytes + 32)).alias("bytes"),
+    )
+    sizes = {r["name"]: Size(r["rows"], r["keys"], r["bytes"]) for r in found.collect()}
+    return {l.name: sizes.get(l.name, Size(0, 0, 0)) for l in lookups}
 
 
 def _fingerprint(columns: Sequence[str]) -> Column:
@@ -119,19 +119,14 @@ def _salted(
     spread = F.pmod(F.col(_ROW), F.lit(limits.salts)).cast("int")
     salt = F.when(_fingerprint(lookup.on).isin(list(hot)), spread).otherwise(F.lit(0))
     every = F.sequence(F.lit(0), F.lit(limits.salts - 1))
-    is_hot = _fingerprint([_OTHER + c for c in lookup.on]).isin(list(hot))
+    is_hot = _fingerprint(lookup.others).isin(list(hot))
     salts = F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0))))
     left = facts.withColumn(_SALT, salt)
-    right = lookup.right.withColumn(_OTHER + _SALT, salts)
-    condition = lookup.matches() & (F.col(_SALT) == F.col(_OTHER + _SALT))
+    right = lookup.right.withColumn("__right" + _SALT, salts)
+    condition = lookup.matches() & (F.col(_SALT) == F.col("__right" + _SALT))
     return left.join(right, condition, how).select(*facts.columns, lookup.take)
 
 
-def _broadcast(facts: DataFrame, lookup: Lookup, how: str) -> DataFrame:
-    joined = facts.join(F.broadcast(lookup.right), lookup.matches(), how)
-    return joined.select(*facts.columns, lookup.take)
-
-
 def attach(
     facts: DataFrame,
     lookups: Sequence[Lookup],
@@ -158,8 +153,11 @@ def attach(
     hot = {l.name: hot_fingerprints(facts, l.on, limits) for l in large}
     if large:
         facts = facts.withColumn(_ROW, F.xxhash64(*facts.columns))
-    for lookup in small:  # first: rows are narrower by the time others shuffle them
-        facts = _broadcast(facts, lookup, how)
+    if small:  # first: rows are narrower by the time others shuffle them
+        columns = [*facts.columns, *[l.take for l in small]]
+        for lookup in small:
+            facts = facts.join(F.broadcast(lookup.right), lookup.matches(), how)
+        facts = facts.select(*columns)
     for lookup in large:
         facts = _salted(facts, lookup, how, limits, hot[lookup.name])
     return facts.drop(_ROW)

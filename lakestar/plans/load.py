@@ -175,7 +175,8 @@ def _upsert_dimensions(
     """Bring every dimension up to date.
 
     New members are added as a batch of the current version; the members already there are
-    neither read twice nor rewritten. Only a changed member makes a new version.
+    neither read twice nor rewritten. Only a changed member makes a new version, and a
+    dimension the batch does not touch is not written.
     """
     incoming = incoming_members(rows)
     at: Versions = {}
@@ -187,12 +188,12 @@ def _upsert_dimensions(
             parent = lake.gold_table(spec.parent.name, at[spec.parent.name])
             found = with_parent_key(found, spec, parent, null_safe=null_safe, limits=limits)
         change = upsert(existing, found, spec, on_change=on_change, stamp=stamp)
-        version = before.get(spec.name, (1, 0))[0]
-        if change.rewrites():
-            version += 1
+        new, changed = change.counts()
+        version = before.get(spec.name, (1, 0))[0] + (1 if changed else 0)
+        if changed:
             lake.write_batch(change.snapshot(), lake.gold(spec.name, version), batch_id)
-        else:
-            lake.write_batch(change.added, lake.gold(spec.name, version), batch_id)
+        elif new or spec.name not in before:
+            lake.write_batch(change.added(), lake.gold(spec.name, version), batch_id)
         at[spec.name] = (version, batch_id)
 
     independent = [d for d in DIMENSIONS if d.parent is None]

@@ -290,7 +290,7 @@ def dim_customer_upsert(spark, folder):
     places = published(spark, "places", stamped(base[GEOGRAPHY.name], None))
     known = published(spark, "customers", stamped(base[CUSTOMER.name], None))
     later = rows.filter(later_than(CUT))
-    new_places = upsert(places, latest_members(later, GEOGRAPHY), GEOGRAPHY).added
+    new_places = upsert(places, latest_members(later, GEOGRAPHY), GEOGRAPHY).added()
     incoming = with_parent_key(
         latest_members(later, CUSTOMER), CUSTOMER, places.unionByName(new_places)
     )
