@@ -71,7 +71,7 @@ def plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles and dates as text, order kept."""
     shown = {
         T.DecimalType: lambda c: F.col(c).cast("double").alias(c),
-        T.DateType: lambda c: F.date_format(c, "yyyy-MM-dd").alias(c),
+        T.DateType: lambda c: F.col(c).cast("string").alias(c),
     }
     return df.select(
         *[shown.get(type(f.dataType), F.col)(f.name) for f in df.schema.fields]
