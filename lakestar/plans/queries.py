@@ -22,8 +22,14 @@ from lakestar.operators.analytics import (
     sales_by_year,
     years_after,
 )
-from lakestar.operators.dimensions import build_dimensions, latest_members, upsert, with_parent_key
-from lakestar.operators.dimensions import build_dimension, stamped
+from lakestar.operators.dimensions import (
+    build_dimension,
+    build_dimensions,
+    latest_members,
+    stamped,
+    upsert,
+    with_parent_key,
+)
 from lakestar.operators.fact import keyable, rejects
 from lakestar.operators.incremental import high_water_mark, mark_of, slice_after
 from lakestar.operators.lookup import Lookup, attach
@@ -32,7 +38,7 @@ from lakestar.plans.ingest import ingest, new_files, refine, write_silver
 from lakestar.plans.load import load_full, load_increment, star
 from lakestar.session import fresh_folder
 from lakestar.sources import catalog
-from lakestar.sources.fixture import CUT, TABLES, sales, tables
+from lakestar.sources.fixture import CUT, sales, tables
 from lakestar.sources.landing import header_of, read_landing, rows_per_file
 from lakestar.sources.ledger import BRONZE
 from lakestar.sources.tables import Lake, read_table, write_table
@@ -40,7 +46,6 @@ from lakestar.specs import (
     BATCH,
     CATEGORY,
     CUSTOMER,
-    DIMENSIONS,
     FACT,
     FACT_FILE_ROWS,
     GEOGRAPHY,

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-import decimal
 import pathlib
 import sys
 import time
@@ -23,19 +21,11 @@ def expected(folder: str, sql: str) -> tuple[list[str], list[tuple]]:
     return [d[0] for d in result.description], result.fetchall()
 
 
-def _kind(value) -> str:
-    if isinstance(value, bool):
-        return "bool"
-    if isinstance(value, (dt.date, decimal.Decimal)):
-        return type(value).__name__
-    return type(value).__name__
-
-
 def normal(columns: list[str], rows: list[tuple]) -> list[tuple]:
     """Rows with columns in name order, sorted; values keep their types."""
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return sorted(
-        (tuple((_kind(r[i]), r[i]) for i in order) for r in rows), key=lambda r: repr(r)
+        (tuple((type(r[i]).__name__, r[i]) for i in order) for r in rows), key=lambda r: repr(r)
     )
 
 
