@@ -5,14 +5,16 @@ from __future__ import annotations
 import pytest
 from compare import difference
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from lakestar.plans.oracles import ORACLES
+from lakestar.plans.queries import QUERIES
 
 
 def test_every_query_has_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLES) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, folder, name):
     assert difference(spark, folder, name) is None
 
