@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestar.llm import mixing, sharding, url_reputation
+from lakestar.llm import mixing, quality, secrets, sharding, url_reputation
 from lakestar.llm.common import word_count
 
 SEED = 20
@@ -31,6 +31,25 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(docs, seed=SEED).select("doc_id", "size", "source_size", "target", taken)
 
 
+def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan(table(spark, folder, "documents").select("doc_id", "text")).drop("text")
+    base = F.filter("found", lambda x: x["kind"].isin("assign", "access", "hex"))
+    number = lambda kind: F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id",
+        *[number(kind) for kind in ("assign", "access", "hex")],
+        F.sha2(secrets.listed(base), 256).alias("base_sha256"),
+        secrets.listed(F.col("found")).alias("spans"),
+    )
+
+
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    measured = quality.measure(table(spark, folder, "documents").select("doc_id", "text", "lang", "source"))
+    return quality.verdicts(measured.drop("text")).select(
+        "doc_id", *quality.COUNTS, "base_failed", "kept", F.round("distance", 3).alias("distance")
+    )
+
+
 def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     docs = table(spark, folder, "documents").select(
@@ -57,6 +76,8 @@ def op10_url_reputation(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing": op4_mixing,
+    "op5_secrets": op5_secrets,
+    "op7_quality": op7_quality,
     "op9_sharding": op9_sharding,
     "op10_url_reputation": op10_url_reputation,
 }
