@@ -122,4 +122,53 @@ select page_id, j.host, path, rule,
 from j left join v on j.host = v.host
 """
 
-ORACLES: dict[str, str] = {"op4_mixing": OP4, "op10_url_reputation": OP10}
+OP6 = r"""
+with r as (
+  select conv_id, turn, role, coalesce(text, '') as text from conversations
+  union all values (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+e as (
+  select *, '<turn ' || regexp_replace(coalesce(role, ''), '([\\<>])', '\\\1', 'g') || '>'
+         || regexp_replace(text, '([\\<>])', '\\\1', 'g') || '</turn>' || chr(10) as formatted
+  from r)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(coalesce(role, '') || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+       cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+       cast(sum(length(formatted)) as bigint) as formatted_chars
+from e group by conv_id
+"""
+
+OP8 = r"""
+with d as (
+  select doc_id, row_number() over () as row_no,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents),
+b as (
+  select cast(item_id as varchar) as item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark),
+p as (
+  select distinct item, least(13, len(w)) as n, array_to_string(w[i : i + least(13, len(w)) - 1], ' ') as phrase
+  from (select item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) as i from b where len(w) > 0)),
+x as (
+  select row_no, i, n, array_to_string(w[i : i + n - 1], ' ') as phrase
+  from (select row_no, w, n, unnest(range(1, len(w) - n + 2)) as i from d, (select distinct n from p) where len(w) >= n)),
+m as (select row_no, i, x.n, item from x join p on x.phrase = p.phrase and x.n = p.n),
+h as (select row_no, count(distinct k) as n_hit from (select row_no, unnest(range(i, i + n)) as k from m) group by row_no),
+t as (
+  select row_no, count(*) as n_items, string_agg(item, ',' order by item) as items
+  from (select distinct row_no, item from m where item is not null) group by row_no)
+select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(items, '')) as items_sha256,
+       coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from d left join h on d.row_no = h.row_no left join t on d.row_no = t.row_no
+"""
+
+ORACLES: dict[str, str] = {
+    "op4_mixing": OP4,
+    "op6_chat": OP6,
+    "op8_decontaminate": OP8,
+    "op10_url_reputation": OP10,
+}
