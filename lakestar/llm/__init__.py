@@ -1 +1,10 @@
-"""Operators that prepare training data for language models."""
+"""Operators that prepare training data for language models.
+
+Their functions travel to the executors by value, so the package need not be installed there.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
