@@ -9,7 +9,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestar.llm import chat, decontaminate, mixing, quality, secrets, sharding, url_reputation
+from lakestar.llm import (
+    chat,
+    decontaminate,
+    minhash,
+    mixing,
+    quality,
+    secrets,
+    sharding,
+    suffixes,
+    url_reputation,
+)
 from lakestar.llm.common import word_count
 
 SEED = 20
@@ -27,6 +37,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = minhash.with_groups(table(spark, folder, "documents").select("doc_id", "text")).drop("text")
+    first = found.where("stays").select("group_no", F.col("doc_id").alias("group_id"))
+    return found.select("doc_id", "group_no").join(first, "group_no").select("doc_id", "group_id")
+
+
+def op2_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    spans = suffixes.with_spans(table(spark, folder, "documents").select("doc_id", "text"))
+    return spans.select(
+        "doc_id", F.col("start").alias("start_word"), F.col("end").alias("end_word"), "copies", F.col("first").alias("is_first")
+    )
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
     taken = (F.col("size") * F.col("copies")).alias("taken")
@@ -121,6 +144,8 @@ def op10_url_reputation(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash": op1_minhash,
+    "op2_suffixes": op2_suffixes,
     "op4_mixing": op4_mixing,
     "op5_secrets": op5_secrets,
     "op6_chat": op6_chat,
