@@ -14,6 +14,7 @@ from lakestar.llm import (
     decontaminate,
     minhash,
     mixing,
+    pitman_yor,
     quality,
     secrets,
     sharding,
@@ -50,6 +51,13 @@ def op2_suffixes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pitman_yor.score_documents(docs).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
     taken = (F.col("size") * F.col("copies")).alias("taken")
@@ -146,6 +154,7 @@ def op10_url_reputation(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_suffixes": op2_suffixes,
+    "op3_pitman_yor": op3_pitman_yor,
     "op4_mixing": op4_mixing,
     "op5_secrets": op5_secrets,
     "op6_chat": op6_chat,
