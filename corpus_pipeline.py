@@ -1,22 +1,64 @@
-"""Documents to shards: quality rules, near-dedup, decontamination, mixing, sharding."""
+"""Documents to shards: quality rules, near-dedup, decontamination, mixing, sharding.
+
+Every stage takes the documents that the one before kept and returns the same columns; the last
+one adds ``shard`` and ``slot``. Whatever else the input's columns are called, stages see them
+under neutral names.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakestar.llm import sharding
-from lakestar.llm.common import written
+from lakestar.llm import decontaminate, minhash, mixing, quality, sharding
+from lakestar.llm.common import neutral, word_count, written
 
 SHARDS = 16
 SEED = 20
 
 
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    rows, named = neutral(docs)
+    judged = quality.verdicts(quality.measure(rows, named.to["text"]), (named.to["lang"], named.to["source"]))
+    return named.back(judged.where("kept"))
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    rows, named = neutral(docs)
+    return named.back(minhash.with_groups(rows, named.to["text"]).where("stays"))
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the benchmark does not contaminate."""
+    rows, named = neutral(docs)
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return named.back(decontaminate.judge(rows, items, named.to["text"]).where("not contaminated"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them, a row for each copy."""
+    rows, named = neutral(docs)
+    sized = rows.withColumn("size", word_count(F.col(named.to["text"])))
+    taken = mixing.mix(sized, named.to["doc_id"], "size", named.to["source"], seed=SEED).where("copies > 0")
+    return named.back(taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))))
+
+
 def to_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows with their shard and their place in it."""
     return sharding.shuffle_to_shards(docs, SHARDS, seed=SEED)
 
 
-STAGES = [("sharding", to_shards)]
+STAGES = [
+    ("quality", good),
+    ("near_dedup", distinct),
+    ("decontamination", clean),
+    ("mixing", mixed),
+    ("sharding", to_shards),
+]
 
+#: SQL can express neither the robust distances nor the signatures; tests compare with brute force.
 ORACLE_SQL = None
 
 

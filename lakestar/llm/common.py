@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,3 +59,20 @@ def uniform(*parts: Column) -> Column:
 def word_count(text: Column) -> Column:
     """Number of words; none for a null text."""
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
+
+
+@dataclass(frozen=True)
+class Named:
+    """Neutral names (``to``) by what columns were called."""
+
+    to: dict[str, str]
+
+    def back(self, df: DataFrame) -> DataFrame:
+        """Only the columns that ``neutral`` got, under the names they had."""
+        return df.select(*[col(new).alias(old) for old, new in self.to.items()])
+
+
+def neutral(df: DataFrame) -> tuple[DataFrame, Named]:
+    """``df`` with columns called in_0, in_1, ..., which clash with no operator's results."""
+    named = Named({name: f"in_{i}" for i, name in enumerate(df.columns)})
+    return df.select(*[col(old).alias(new) for old, new in named.to.items()]), named
