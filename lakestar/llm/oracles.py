@@ -107,16 +107,18 @@ h as (
 d as (select domain, suffix, sum(n) as n, sum(bad) as bad from h group by all),
 s as (select suffix, sum(n) as n, sum(bad) as bad, (sum(sum(bad)) over () + 0.5) / (sum(sum(n)) over () + 1) as p from d group by suffix),
 sm as (select coalesce(sum((bad - n * p) * (bad - n * p) - n * p * (1 - p)) / nullif(sum(n * (n - 1.0) * p * (1 - p)), 0), 1.0) as x from s),
-sr as (select suffix, (bad + (1 / least(greatest(x, 0.0001), 0.5) - 1) * p) / (n + (1 / least(greatest(x, 0.0001), 0.5) - 1)) as rate from s, sm),
-dp as (select d.*, rate as p from d join sr using (suffix)),
+sv as (select *, 0.0::double as v from s),
+sr as (select suffix, rate, rate * (1 - rate) / (n + m + 1) + m / (n + m) * (m / (n + m)) * v as spread
+       from (select *, (bad + m * p) / (n + m) as rate from (select sv.*, 1 / least(greatest(x, 0.0001), 0.5) - 1 as m from sv, sm))),
+dp as (select d.*, rate as p, spread as v from d join sr using (suffix)),
 dm as (select coalesce(sum((bad - n * p) * (bad - n * p) - n * p * (1 - p)) / nullif(sum(n * (n - 1.0) * p * (1 - p)), 0), 1.0) as x from dp),
-dr as (select domain, (bad + (1 / least(greatest(x, 0.0001), 0.5) - 1) * p) / (n + (1 / least(greatest(x, 0.0001), 0.5) - 1)) as rate from dp, dm),
-hp as (select h.host, h.n, h.bad, rate as p from h join dr using (domain)),
+dr as (select domain, rate, rate * (1 - rate) / (n + m + 1) + m / (n + m) * (m / (n + m)) * v as spread
+       from (select *, (bad + m * p) / (n + m) as rate from (select dp.*, 1 / least(greatest(x, 0.0001), 0.5) - 1 as m from dp, dm))),
+hp as (select h.host, h.n, h.bad, rate as p, spread as v from (select host, n, bad, domain from h) h join dr using (domain)),
 hm as (select coalesce(sum((bad - n * p) * (bad - n * p) - n * p * (1 - p)) / nullif(sum(n * (n - 1.0) * p * (1 - p)), 0), 1.0) as x from hp),
-hr as (
-  select host, (bad + m * p) / (n + m) as rate, n + m as size
-  from (select hp.*, 1 / least(greatest(x, 0.0001), 0.5) - 1 as m from hp, hm)),
-v as (select host, rate - 1.645 * sqrt(rate * (1 - rate) / (size + 1)) as low from hr)
+hr as (select host, rate, rate * (1 - rate) / (n + m + 1) + m / (n + m) * (m / (n + m)) * v as spread
+       from (select *, (bad + m * p) / (n + m) as rate from (select hp.*, 1 / least(greatest(x, 0.0001), 0.5) - 1 as m from hp, hm))),
+v as (select host, rate - 1.645 * sqrt(spread) as low from hr)
 select page_id, j.host, path, rule,
        coalesce(rule_verdict, case when low > 0.5 then 'block' else 'allow' end) as verdict
 from j left join v on j.host = v.host

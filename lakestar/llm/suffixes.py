@@ -68,7 +68,7 @@ def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = _words(text)
             sizes.append(len(words))
             digests.append(xxhash.xxh3_128_digest(b" ".join(words)))
-            kept.append(_kept(known.of(words)) if len(words) >= WORDS else (np.empty(0, np.int64),) * 3)
+            kept.append(_kept(known.of(words if len(words) >= WORDS else [])))
         ends = np.cumsum([0] + [len(k[0]) for k in kept]).astype(np.int32)
         at, gram, ahead = (np.concatenate([k[i] for k in kept]) for i in range(3))
         flat = pa.StructArray.from_arrays(

@@ -3,8 +3,9 @@
 Labelled outcomes of pages (bad or not) are counted per host. A host's bad rate is shrunk
 towards that of its registered domain, the domain's towards its public suffix, the suffix's
 towards the whole: at each level a beta prior whose mean is the parent's posterior mean and
-whose strength comes from the spread of the children around it (beta-binomial moments). A URL
-is blocked if even a low quantile of its host's posterior is above a bound, so a host with
+whose strength comes from the spread of the children around it (beta-binomial moments). What is
+uncertain about a parent is so about its children, in the share that it has in them. A URL is
+blocked if even a low quantile of its host's posterior is above a bound, so a host with
 few labels keeps its pages.
 """
 
@@ -59,8 +60,11 @@ def _strength(level: DataFrame, floor: float = 1e-4) -> float:
 
 
 def _shrunk(level: DataFrame, strength: float) -> DataFrame:
-    rate = (F.col("bad") + F.lit(strength) * F.col("p")) / (F.col("n") + F.lit(strength))
-    return level.withColumn("rate", rate)
+    """Adds ``rate`` and ``spread``, its variance, in which the parent's (v) has a share."""
+    size = F.col("n") + F.lit(strength)
+    level = level.withColumn("rate", (F.col("bad") + F.lit(strength) * F.col("p")) / size)
+    share = F.lit(strength) / size
+    return level.withColumn("spread", F.col("rate") * (1 - F.col("rate")) / (size + 1) + share * share * F.col("v"))
 
 
 def reputation(hosts: DataFrame, z: float = 1.645, suffixes=TWO_LABEL_SUFFIXES) -> DataFrame:
@@ -71,19 +75,19 @@ def reputation(hosts: DataFrame, z: float = 1.645, suffixes=TWO_LABEL_SUFFIXES)
     """
     domain, suffix = parents(F.col("host"), suffixes)
     hosts = written(hosts.select("host", "n", "bad", domain.alias("domain"), suffix.alias("suffix")), "hosts")
+    given = (F.col("rate").alias("p"), F.col("spread").alias("v"))
     sums = (F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     domains = written(hosts.groupBy("domain", "suffix").agg(*sums), "domains")
     tops = written(domains.groupBy("suffix").agg(*sums), "suffixes")
     n, bad = tops.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("bad"), F.lit(0))).first()
-    tops = tops.withColumn("p", F.lit((bad + 0.5) / (n + 1)))
+    tops = tops.withColumns({"p": F.lit((bad + 0.5) / (n + 1)), "v": F.lit(0.0)})
     tops = written(_shrunk(tops, _strength(tops)), "suffix-rates")
-    domains = domains.join(tops.select("suffix", F.col("rate").alias("p")), "suffix")
+    domains = domains.join(tops.select("suffix", *given), "suffix")
     domains = written(_shrunk(domains, _strength(domains)), "domain-rates")
-    hosts = hosts.drop("suffix").join(domains.select("domain", F.col("rate").alias("p")), "domain")
+    hosts = hosts.drop("suffix").join(domains.select("domain", *given), "domain")
     strength = _strength(hosts)
-    mean, size = F.col("rate"), F.col("n") + F.lit(strength)
-    low = mean - z * F.sqrt(mean * (1 - mean) / (size + 1))
-    return _shrunk(hosts, strength).select("host", mean.alias("bad_rate"), low.alias("bad_low"))
+    low = F.col("rate") - z * F.sqrt("spread")
+    return _shrunk(hosts, strength).select("host", F.col("rate").alias("bad_rate"), low.alias("bad_low"))
 
 
 def fitting_rules(hosts: DataFrame, rules: DataFrame) -> DataFrame:

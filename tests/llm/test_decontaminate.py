@@ -1,0 +1,91 @@
+from __future__ import annotations
+
+import random
+import re
+
+import edges
+import pytest
+
+from lakestar.llm import decontaminate
+
+DOC, ITEM = "doc_id long, text string", "item_id long, text string"
+
+
+def words(text):
+    folded = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", folded)
+
+
+def brute(docs, items):
+    phrases = {}
+    for item, text in items:
+        w = words(text)
+        for i in range(max(1, len(w) - 12) if w else 0):
+            phrases.setdefault(tuple(w[i : i + 13]), set()).add(item)
+    out = []
+    for doc, text in docs:
+        w, hit, found = words(text), set(), set()
+        for n in {len(p) for p in phrases}:
+            for i in range(len(w) - n + 1):
+                if tuple(w[i : i + n]) in phrases:
+                    hit |= set(range(i, i + n))
+                    found |= phrases[tuple(w[i : i + n])]
+        out.append((doc, len(w), len(hit), sorted(map(str, found - {None})), bool(hit) and 20 * len(hit) >= len(w)))
+    return sorted(out, key=repr)
+
+
+def judged(spark, docs, items):
+    got = decontaminate.judge(spark.createDataFrame(docs, DOC).repartition(5), spark.createDataFrame(items, ITEM)).collect()
+    return sorted([(r["doc_id"], r["n_words"], r["n_hit"], r["items"], r["contaminated"]) for r in got], key=repr)
+
+
+def corpus(seed, vocabulary):
+    r = random.Random(seed)
+    say = lambda n: [r.choice(vocabulary) for _ in range(n)]
+    items = [(i, r.choice([" ", ", "]).join(say(r.choice([1, 2, 5, 13, 14, 30])))) for i in range(25)]
+    docs = []
+    for i in range(120):
+        parts = say(r.randrange(0, 300))
+        if i % 3 == 0:
+            w = words(r.choice(items)[1])
+            a = r.randrange(0, 4)
+            parts += (w if i % 2 else w[a:]) + say(r.randrange(0, 100))
+        docs.append((i, r.choice([" ", "; ", "\n"]).join(parts)))
+    return docs, items
+
+
+@pytest.mark.parametrize("n", [12, 400])
+def test_hits_equal_brute_force(spark, n):
+    """Few words make phrases of frequent terms only, many make rare ones."""
+    vocabulary = [f"T{i}é" if i % 5 == 0 else f"w{i}" for i in range(n)]
+    docs, items = corpus(n, vocabulary)
+    want = brute(docs, items)
+    assert judged(spark, docs, items) == want and any(w[2] for w in want)
+
+
+def test_one_in_twenty_words(spark):
+    item = " ".join(f"q{i}" for i in range(13))
+    docs = [(1, item + " x" * 247), (2, item + " x" * 248), (3, item.upper().replace(" ", "-")), (4, item[:-1])]
+    got = judged(spark, docs, [(7, item)])
+    assert [(g[0], g[2], g[4]) for g in got] == [(1, 13, True), (2, 13, False), (3, 13, True), (4, 0, False)]
+
+
+def test_proximity(spark):
+    item = "alpha b c d e f g h i j k l omega"
+    docs = [(1, item.replace(" e ", " e extra ")), (2, item), (3, "alpha " + "z " * 40 + item[6:]), (4, "b c d e f")]
+    got = decontaminate.judge(spark.createDataFrame(docs, DOC), spark.createDataFrame([(1, item)], ITEM)).collect()
+    assert {r["doc_id"]: (r["n_hit"], r["n_near"]) for r in got} == {1: (0, 1), 2: (13, 0), 3: (0, 0), 4: (0, 0)}
+
+
+def test_edges(spark):
+    items = [(1, None), (2, ""), (None, "the quick brown fox"), (3, "Word"), (3, "Word"), (10, "word")]
+    bench = edges.clashing(spark.createDataFrame(items, ITEM))
+    got = decontaminate.judge(edges.clashing(edges.documents(spark)), bench)
+    rows = got.collect()
+    assert len(rows) == len(edges.rows()) and {"items_input", "row_no_input", "n_hit_input"} <= set(got.columns)
+    fox = [r for r in rows if (r["text"] or "").lower().startswith("the quick")]
+    assert len(fox) == 3 and all(r["n_hit"] == 4 and r["items"] == [] and r["contaminated"] for r in fox)
+    assert [r["items"] for r in rows if r["doc_id"] == 6] == [["10", "3"]]
+    assert decontaminate.judge(edges.empty(spark), bench).count() == 0
+    clean = decontaminate.judge(edges.documents(spark), bench.limit(0)).collect()
+    assert len(clean) == len(edges.rows()) and not any(r["contaminated"] or r["items"] for r in clean)
