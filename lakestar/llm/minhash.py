@@ -7,9 +7,11 @@ shingles. Arrivals come in order of time: once a process is later than the last
 ends (early termination), so a long document costs little more than one look at each shingle.
 
 Registers are banded; equal bands make candidates, which are compared by their whole
-shingle sets. In a bucket of a band the members are compared with a hub, not with each other;
-hubs differ between bands. Where a bucket still spans several components after that, the pairs
-between its components are compared as well, so no candidate link that could join two groups is left out.
+shingle sets. In a bucket of a band the members are compared with a hub first, not with each other;
+the hubs of the first and of the second half of the bands differ. Where a bucket still spans
+several components after that, its members are compared in blocks of bounded size, every block with
+every other one of the bucket in a task of its own that returns only the links that join
+components. So no candidate is left out, and no pair is a row unless it is a link.
 """
 
 from __future__ import annotations
@@ -31,7 +33,11 @@ SIMILARITY = 0.8
 #: 20 bands of 5 registers find a pair of similarity 0.8 with probability 0.9996.
 BANDS, ROWS = 20, 5
 #: Bands that share an order of hubs.
-HUB_BANDS = 2
+HUB_BANDS = 10
+#: Members of a block, and bytes of their shingles, at most (a single member may be larger).
+BLOCK_ROWS, BLOCK_BYTES = 400, 32 << 20
+#: Shingles that are multiplied out at a time when two blocks are compared.
+COLUMNS = 4096
 #: Shingles that are hashed at a time.
 CHUNK = 250_000
 
@@ -144,12 +150,107 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return compared.mapInArrow(_compare, "a long, b long, similarity double").where(F.col("similarity") >= similarity)
 
 
-def _texts_of(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    wanted = pairs.select(F.col("a").alias("row_no")).unionByName(pairs.select(F.col("b").alias("row_no"))).distinct()
-    texts = rows.join(wanted, "row_no", "left_semi").select("row_no", "text")
+def _sets_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``row_no``, ``set`` of the texts whose row is in ``wanted`` (row_no).
+
+    The numbers are written, so Spark knows their size and need not shuffle texts while they are few.
+    """
+    texts = rows.join(written(wanted.distinct(), "near-wanted"), "row_no", "left_semi").select("row_no", "text")
     return written(texts.mapInArrow(_sets, "row_no long, set binary"), "near-sets")
 
 
+def common_counts(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """How many elements each of the sets ``x`` has in common with each of ``y``."""
+    sizes = [len(s) for s in x] + [len(s) for s in y]
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    _, element = np.unique(np.concatenate([*x, *y]), return_inverse=True)
+    in_x = owner < len(x)
+    n = element.max() + 1
+    shared = (np.bincount(element[in_x], minlength=n) > 0) & (np.bincount(element[~in_x], minlength=n) > 0)
+    place = np.cumsum(shared) - 1
+    kept = shared[element]
+    owner, at = owner[kept], place[element[kept]]
+    out = np.zeros((len(x), len(y)), np.float32)
+    for low in range(0, int(shared.sum()), COLUMNS):
+        here = (at >= low) & (at < low + COLUMNS)
+        table = np.zeros((len(sizes), COLUMNS), np.float32)
+        table[owner[here], at[here] - low] = 1
+        out += table[: len(x)] @ table[len(x) :].T
+    return out
+
+
+def _joining(a: np.ndarray, b: np.ndarray, one: np.ndarray, other: np.ndarray) -> tuple[list[int], list[int]]:
+    """Of the links a to b between labels, as many as it takes to join the labels they join."""
+    parent: dict[int, int] = {}
+
+    def top(i: int) -> int:
+        while parent.setdefault(i, i) != i:
+            i = parent[i]
+        return i
+
+    kept: tuple[list[int], list[int]] = ([], [])
+    for i, j, x, y in zip(a.tolist(), b.tolist(), one.tolist(), other.tolist()):
+        x, y = top(x), top(y)
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            kept[0].append(min(i, j))
+            kept[1].append(max(i, j))
+    return kept
+
+
+def _block_links(similarity: float):
+    def compare(group: pa.Table) -> pa.Table:
+        """Two blocks of a bucket, or one with itself."""
+        block = group.column("block").to_numpy()
+        rep, label = group.column("rep").to_numpy(), group.column("label").to_numpy()
+        bands = np.array(group.column("bands").to_pylist(), np.int64)
+        sets = [np.frombuffer(s, np.uint64) for s in group.column("set").to_pylist()]
+        i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+        x, y = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        links: tuple[list[int], list[int]] = ([], [])
+        if len(x) and len(y):
+            ask = label[x][:, None] != label[y][None, :]
+            # a pair is compared in the first bucket that it shares
+            ask &= (bands[x][:, None, :] == bands[y][None, :, :]).argmax(axis=2) == group.column("band")[0].as_py()
+            if i == j:
+                ask &= rep[x][:, None] < rep[y][None, :]
+            p, q = np.flatnonzero(ask.any(axis=1)), np.flatnonzero(ask.any(axis=0))
+            if len(p):
+                common = common_counts([sets[k] for k in x[p]], [sets[k] for k in y[q]])
+                size = np.array([len(s) for s in sets], np.float32)
+                total = size[x[p]][:, None] + size[y[q]][None, :] - common
+                m, n = np.nonzero(ask[np.ix_(p, q)] & (common >= np.float32(similarity) * total))
+                u, v = x[p][m], y[q][n]
+                links = _joining(rep[u], rep[v], label[u], label[v])
+        return pa.table({"a": pa.array(links[0], pa.int64()), "b": pa.array(links[1], pa.int64())})
+
+    return compare
+
+
+def _rest_links(rest: DataFrame, sets: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
+    """Links between components that share a bucket; ``rest``: key, band, rep, label."""
+    wanted = written(rest.select("rep").distinct(), "near-wanted")
+    known = written(
+        sets.withColumnRenamed("row_no", "rep").join(wanted, "rep", "left_semi")
+        .join(classes.select("rep", "bands").join(wanted, "rep", "left_semi"), "rep"),
+        "near-known",
+    )
+    size = known.select("rep", F.octet_length("set").alias("bytes"))
+    blocks = written(
+        rest.join(size, "rep").groupBy("key")
+        .agg(F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("blocks")),
+        "near-blocks",
+    )
+    mine = F.pmod(F.xxhash64("rep", F.lit(7)), F.col("blocks")).cast("int")
+    dealt = (
+        rest.join(blocks, "key")
+        .withColumn("block", mine)
+        .withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("key", "band", "rep", "label", "block", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j"))
+    )
+    return dealt.join(known, "rep").groupBy("key", "i", "j").applyInArrow(_block_links(similarity), "a long, b long")
+
+
 def _ordered(x: str, y: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
@@ -170,29 +271,25 @@ def groups(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     turn = F.xxhash64("rep", F.floor(F.col("band") / HUB_BANDS)).alias("turn")
     buckets = written(
         keys.groupBy("key").agg(F.min(F.struct(turn, "rep")).alias("hub"), F.count("*").alias("n"))
-        .where("n > 1").select("key", "hub.rep"),
+        .where("n > 1").select("key", F.col("hub.rep").alias("hub")),
         "near-buckets",
-    ).withColumnRenamed("rep", "hub")
-    members = written(keys.join(buckets, "key").select("key", "rep", "hub"), "near-members")
+    )
+    members = written(keys.join(buckets, "key").select("key", "band", "rep", "hub"), "near-members")
     pairs = written(members.where("rep <> hub").select(*_ordered("rep", "hub")).distinct(), "near-pairs")
-    links = written(_verified(pairs, _texts_of(rows, pairs), similarity), "near-links")
+    sets = _sets_of(rows, members.select(F.col("rep").alias("row_no")))
+    links = written(_verified(pairs, sets, similarity).select("a", "b"), "near-links")
     labels = components(links)
     own = F.coalesce("least", "rep").alias("label")
     labelled = written(
-        members.join(labels, F.col("rep") == F.col("node"), "left").select("key", "rep", own), "near-labelled"
+        members.join(labels, F.col("rep") == F.col("node"), "left").select("key", "band", "rep", own), "near-labelled"
     )
-    open_ = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
-    rest = written(labelled.join(written(open_, "near-open"), "key"), "near-rest")
-    other = rest.select("key", F.col("rep").alias("other"), F.col("label").alias("other_label"))
-    more = written(
-        rest.join(other, "key").where("label < other_label").select(*_ordered("rep", "other"))
-        .distinct().join(pairs, ["a", "b"], "left_anti"),
-        "near-pairs",
-    )
-    if not more.isEmpty():
-        found = written(_verified(more, _texts_of(rows, more), similarity), "near-links")
-        if not found.isEmpty():
-            labels = components(links.unionByName(found))
+    spans = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n"))
+    # two members were compared with each other already: one was the hub
+    open_ = written(spans.where("lo < hi and n > 2").select("key"), "near-open")
+    rest = written(labelled.join(open_, "key"), "near-rest")
+    found = written(_rest_links(rest, sets, classes, similarity), "near-links")
+    if not found.isEmpty():
+        labels = components(links.unionByName(found))
     label = F.coalesce("least", "rep", "row_no").alias("group_no")
     return (
         signed.select("row_no", "digest")
