@@ -36,6 +36,10 @@ def years_after(fact: DataFrame, year: int = CHECK_YEAR) -> DataFrame:
     return fact.select("sale_year").filter(F.col("sale_year") > year).distinct()
 
 
-def load_check(fact: DataFrame, year: int = CHECK_YEAR) -> bool:
-    """Whether a load reached the years after ``year``."""
-    return not years_after(fact, year).isEmpty()
+def load_check(fact: DataFrame, year: int = CHECK_YEAR) -> DataFrame:
+    """One row in one pass: ``years`` after ``year`` that the fact holds, and whether it ``passed``.
+
+    A load that did not get there has no years and has not passed.
+    """
+    later = F.sort_array(F.collect_set(F.when(F.col("sale_year") > year, F.col("sale_year"))))
+    return fact.select("sale_year").agg(later.alias("years")).select("years", (F.size("years") > 0).alias("passed"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,22 +11,20 @@ from pyspark.sql import functions as F
 from lakestar.operators.dimensions import stamped
 from lakestar.operators.lookup import Limits, Lookup, attach, measure
 from lakestar.sources.tables import gathered
-from lakestar.specs import FACT_LOOKUPS, FACT_MEASURES, FACT_SCHEMA, PERIOD
+from lakestar.specs import FACT_LOOKUPS, FACT_MEASURES, FACT_SCHEMA, PERIOD, Dimension
 
 
-def fact_lookups(dimensions: dict[str, DataFrame]) -> list[Lookup]:
-    return [Lookup(d.name, dimensions[d.name], (d.lookup,), d.sk) for d in FACT_LOOKUPS]
-
-
-def keyable(rows: DataFrame) -> DataFrame:
-    """The rows a full load keeps: its dimensions hold every value, so only nulls find no key."""
-    return rows.dropna(subset=[d.lookup for d in FACT_LOOKUPS])
+def fact_lookups(
+    dimensions: dict[str, DataFrame], by: Sequence[Dimension] = FACT_LOOKUPS
+) -> list[Lookup]:
+    return [Lookup(d.name, dimensions[d.name], (d.lookup,), d.sk) for d in by]
 
 
 def build_fact(
     rows: DataFrame,
     dimensions: dict[str, DataFrame],
     *,
+    by: Sequence[Dimension] = FACT_LOOKUPS,
     stamp: dt.datetime | None = None,
     on_duplicate: str = "fail",
     limits: Limits = Limits(),
@@ -35,23 +34,31 @@ def build_fact(
     If every lookup can be broadcast, rows stay where they were read, month by month.
     Otherwise a lookup has shuffled them and they are gathered again for the write.
     """
-    needed = ["sale_date", *[d.lookup for d in FACT_LOOKUPS], *FACT_MEASURES, *PERIOD]
-    lookups = fact_lookups(dimensions)
+    needed = ["sale_date", *[d.lookup for d in by], *FACT_MEASURES, *PERIOD]
+    lookups = fact_lookups(dimensions, by)
     sizes = measure(lookups)
     keyed = attach(
         rows.select(*needed), lookups, on_duplicate=on_duplicate, limits=limits, sizes=sizes
     )
     fact = stamped(keyed, stamp).select(*FACT_SCHEMA.names)
-    return fact if all(map(limits.allow, sizes.values())) else gathered(fact, *PERIOD)
+    return fact if len(limits.small(lookups, sizes)) == len(lookups) else gathered(fact, *PERIOD)
 
 
 def rejects(
-    rows: DataFrame, dimensions: dict[str, DataFrame], *, limits: Limits = Limits()
+    rows: DataFrame,
+    dimensions: dict[str, DataFrame],
+    *,
+    by: Sequence[Dimension] = FACT_LOOKUPS,
+    limits: Limits = Limits(),
 ) -> DataFrame:
-    """For each dimension, how many rows find no key in it. One pass over the rows."""
-    columns = list(dict.fromkeys(d.lookup for d in FACT_LOOKUPS))
-    keyed = attach(
-        rows.select(*columns), fact_lookups(dimensions), "left", on_duplicate="fail", limits=limits
+    """For each dimension, how many rows find no key in it.
+
+    Rows with equal lookup values are counted together before any join.
+    """
+    columns = list(dict.fromkeys(d.lookup for d in by))
+    alike = rows.groupBy(*columns).agg(F.count("*").alias("n"))
+    keyed = attach(alike, fact_lookups(dimensions, by), "left", on_duplicate="fail", limits=limits)
+    lost = keyed.agg(
+        *[F.coalesce(F.sum(F.when(F.isnull(d.sk), F.col("n"))), F.lit(0)).alias(d.name) for d in by]
     )
-    lost = keyed.agg(*[F.count_if(F.isnull(d.sk)).alias(d.name) for d in FACT_LOOKUPS])
-    return lost.unpivot([], [d.name for d in FACT_LOOKUPS], "dimension", "rows_lost")
+    return lost.unpivot([], [d.name for d in by], "dimension", "rows_lost")

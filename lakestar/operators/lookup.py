@@ -6,9 +6,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakestar.session import staged
+
 _SALT = "__salt"
 _ROW = "__row"
 
@@ -56,15 +59,29 @@ class Size:
 
 @dataclass(frozen=True)
 class Limits:
-    """When to broadcast, and how far to split hot keys otherwise."""
+    """When to broadcast, and how far to split hot keys otherwise.
+
+    ``broadcast_bytes`` holds for all tables that one stage has at once. A key with more than
+    ``rows_per_task`` rows is split over as many tasks as it takes.
+    """
 
     broadcast_bytes: int = 128 << 20
-    hot_share: float = 0.01
-    salts: int = 64
+    rows_per_task: int = 4_000_000
+
+    def small(self, lookups: Sequence[Lookup], sizes: dict[str, Size]) -> list[Lookup]:
+        """The lookups to broadcast: the smallest ones whose sizes add up to the limit."""
+        left, kept = self.broadcast_bytes, set()
+        for lookup in sorted(lookups, key=lambda l: sizes[l.name].bytes):
+            left -= sizes[lookup.name].bytes
+            if left < 0:
+                break
+            kept.add(lookup.name)
+        return [l for l in lookups if l.name in kept]
 
-    def allow(self, size: Size) -> bool:
-        """Whether a table of this size may be broadcast."""
-        return size.bytes <= self.broadcast_bytes
+
+#: What a row of a broadcast hash table takes besides the text of its key: two rows in Spark's format,
+#: the object around them and the pointers to it.
+ROW_BYTES = 160
 
 
 def measure(lookups: Sequence[Lookup]) -> dict[str, Size]:
@@ -85,8 +102,8 @@ def measure(lookups: Sequence[Lookup]) -> dict[str, Size]:
     found = per_key.groupBy("name").agg(
         F.sum("n").alias("rows"),
         F.count("*").alias("keys"),
-        # the key, plus the surrogate key fetched and what a hash table needs per row
-        F.sum(F.col("n") * (text_bytes + 32)).alias("bytes"),
+        # a key is there twice, once to be found and once in the row
+        F.sum(F.col("n") * (2 * text_bytes + ROW_BYTES)).alias("bytes"),
     )
     sizes = {r["name"]: Size(r["rows"], r["keys"], r["bytes"]) for r in found.collect()}
     return {l.name: sizes.get(l.name, Size(0, 0, 0)) for l in lookups}
@@ -96,33 +113,51 @@ def _fingerprint(columns: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(c).cast("string") for c in columns])
 
 
-def hot_fingerprints(facts: DataFrame, on: Sequence[str], limits: Limits) -> list[int]:
-    """Every key that may hold more than ``hot_share`` of the rows; at most 1/``hot_share``.
+def hot_keys(facts: DataFrame, lookups: Sequence[Lookup], limits: Limits) -> DataFrame:
+    """``name``, ``fingerprint``, ``salts`` of every key that has more rows than a task should.
 
-    Counts are combined before the shuffle. A key listed here without being hot does no harm.
+    One pass counts the keys of all lookups; counts are combined before the shuffle. There are at
+    most (rows / ``rows_per_task``) such keys for each lookup. Other keys don't need salts.
     """
-    most = int(1 / limits.hot_share)
-    counts = facts.groupBy(_fingerprint(on).alias("fingerprint")).count()
-    top = counts.orderBy(F.desc("count"), "fingerprint").limit(most).collect()
-    return [r.fingerprint for r in top]
+    each = F.array(
+        *[F.struct(F.lit(l.name).alias("name"), _fingerprint(l.on).alias("fingerprint")) for l in lookups]
+    )
+    counts = facts.select(F.inline(each)).groupBy("name", "fingerprint").agg(F.count("*").alias("n"))
+    salts = F.ceil(F.col("n") / limits.rows_per_task).cast("int")
+    return staged(counts.filter(F.col("n") > limits.rows_per_task).select("name", "fingerprint", salts.alias("salts")), "hot-keys")
 
 
-def _salted(
-    facts: DataFrame, lookup: Lookup, how: str, limits: Limits, hot: Sequence[int]
-) -> DataFrame:
-    """A shuffled join in which the rows of a hot key go to ``salts`` tasks, not to one.
+def row_identity(facts: DataFrame) -> DataFrame:
+    """Add a number that a repeated task gives to the same row, and that equal rows don't share.
 
-    The salt comes from the row itself, so a repeated task sends each row where it went
-    before. Every fact row keeps exactly one salt and the dimension rows of hot keys exist
-    once per salt, so the result is that of the plain join.
+    It is the row's place in its file. Rows that don't come straight from files are told apart
+    by their values only.
     """
-    spread = F.pmod(F.col(_ROW), F.lit(limits.salts)).cast("int")
-    salt = F.when(_fingerprint(lookup.on).isin(list(hot)), spread).otherwise(F.lit(0))
-    every = F.sequence(F.lit(0), F.lit(limits.salts - 1))
-    is_hot = _fingerprint(lookup.others).isin(list(hot))
-    salts = F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0))))
-    left = facts.withColumn(_SALT, salt)
-    right = lookup.right.withColumn("__right" + _SALT, salts)
+    try:
+        place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+        return facts.select("*", place.alias(_ROW))
+    except AnalysisException:
+        return facts.withColumn(_ROW, F.xxhash64(*facts.columns))
+
+
+def _salted(facts: DataFrame, lookup: Lookup, how: str, hot: DataFrame) -> DataFrame:
+    """A shuffled join in which the rows of a hot key go to several tasks, not to one.
+
+    Every fact row keeps exactly one salt and the dimension rows of hot keys exist once per
+    salt, so the result is that of the plain join.
+    """
+    named = hot.filter(F.col("name") == lookup.name)
+    mine = F.broadcast(named.select(F.col("fingerprint").alias("__f"), F.col("salts").alias("__n")))
+    left = (
+        facts.join(mine, _fingerprint(lookup.on) == F.col("__f"), "left")
+        .withColumn(_SALT, F.coalesce(F.pmod(F.col(_ROW), F.col("__n")), F.lit(0)).cast("int"))
+        .drop("__f", "__n")
+    )
+    right = (
+        lookup.right.join(mine, _fingerprint(lookup.others) == F.col("__f"), "left")
+        .withColumn("__right" + _SALT, F.explode(F.sequence(F.lit(0), F.coalesce("__n", F.lit(1)) - 1)))
+        .drop("__f", "__n")
+    )
     condition = lookup.matches() & (F.col(_SALT) == F.col("__right" + _SALT))
     return left.join(right, condition, how).select(*facts.columns, lookup.take)
 
@@ -147,17 +182,22 @@ def attach(
         bad = {n: s.rows - s.keys for n, s in sizes.items() if s.rows > s.keys}
         if bad:
             raise DuplicateLookupKey(f"surplus rows by lookup: {bad}")
-    small = [l for l in lookups if limits.allow(sizes[l.name])]
+    small = limits.small(lookups, sizes)
     large = [l for l in lookups if l not in small]
-    # hot keys are counted on the rows as they came, by their key columns only
-    hot = {l.name: hot_fingerprints(facts, l.on, limits) for l in large}
     if large:
-        facts = facts.withColumn(_ROW, F.xxhash64(*facts.columns))
+        # hot keys are counted on the rows as they came, by their key columns only
+        hot = hot_keys(facts, large, limits)
+        split = {r["name"] for r in hot.select("name").distinct().collect()}
+        facts = row_identity(facts) if split else facts
     if small:  # first: rows are narrower by the time others shuffle them
         columns = [*facts.columns, *[l.take for l in small]]
         for lookup in small:
             facts = facts.join(F.broadcast(lookup.right), lookup.matches(), how)
         facts = facts.select(*columns)
     for lookup in large:
-        facts = _salted(facts, lookup, how, limits, hot[lookup.name])
+        if lookup.name in split:
+            facts = _salted(facts, lookup, how, hot)
+        else:
+            columns = [*facts.columns, lookup.take]
+            facts = facts.join(lookup.right, lookup.matches(), how).select(*columns)
     return facts.drop(_ROW)

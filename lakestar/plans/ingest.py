@@ -3,47 +3,75 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestar.operators.silver import clean, with_period
 from lakestar.sources.landing import FILE_IDENTITY, landing_files, read_landing
-from lakestar.sources.ledger import BRONZE, SILVER, few_rows
+from lakestar.sources.ledger import BRONZE, QUALITY, SILVER, few_rows
 from lakestar.sources.tables import Lake, gathered
-from lakestar.specs import BATCH, PERIOD
+from lakestar.specs import BRONZE_SCHEMA, PERIOD, SILVER_SCHEMA
+
+
+def taken_files(lake: Lake) -> DataFrame:
+    """The files that batches have taken, whether listed by a job or read by a stream."""
+    return lake.ledger.entries(BRONZE).select(F.col("item").alias("source_file"), "modified_at")
 
 
 def new_files(lake: Lake) -> DataFrame:
     """Landing files no batch has taken. A file delivered again under its name is new."""
-    taken = lake.ledger.entries(BRONZE).select(F.col("item").alias("source_file"), "modified_at")
-    return landing_files(lake.spark, lake.landing).join(taken, list(FILE_IDENTITY), "left_anti")
+    return landing_files(lake.spark, lake.landing).join(taken_files(lake), list(FILE_IDENTITY), "left_anti")
 
 
 def now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 
 
-def write_bronze(lake: Lake, rows: DataFrame, batch_id: int, gather: bool = True) -> None:
+def write_bronze(lake: Lake, rows: DataFrame, batch_id: int, gather: bool = True) -> str:
     """Write raw rows by month. This is the only shuffle between the files and the fact.
 
     Files that hold a month or two each need none: ``gather=False``.
     """
     rows = with_period(rows)
     rows = gathered(rows, *PERIOD) if gather else rows
-    lake.write_batch(rows, lake.bronze, batch_id, PERIOD)
+    return lake.write_batch(rows, lake.bronze, batch_id, PERIOD)
 
 
-def record_bronze(lake: Lake, files: DataFrame, batch_id: int, stamp: dt.datetime) -> None:
+def record_bronze(
+    lake: Lake,
+    files: DataFrame,
+    batch_id: int,
+    written: str,
+    stamp: dt.datetime,
+    source: str | None = None,
+) -> None:
     """Record the files of a batch with the rows each gave, 0 for a file with a header only."""
-    written = lake.bronze_sales().filter(F.col(BATCH) == batch_id)
-    counts = written.groupBy("source_file").agg(F.count("*").alias("row_count"))
+    rows = lake.read_parts(lake.bronze, BRONZE_SCHEMA, [(batch_id, written)])
+    counts = rows.groupBy("source_file").agg(F.count("*").alias("row_count"))
     items = files.join(counts, "source_file", "left").select(
         F.col("source_file").alias("item"),
         "modified_at",
         F.coalesce("row_count", F.lit(0)).alias("row_count"),
     )
-    lake.ledger.record(BRONZE, batch_id, items, stamp)
+    lake.ledger.record(BRONZE, batch_id, items, stamp, written=written, source=source)
+
+
+def move_to(spark: SparkSession, paths: Sequence[str], folder: str) -> None:
+    """Move files, by the file system's own rename; names that are taken get a number."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(folder)
+    system = target.getFileSystem(conf)
+    system.mkdirs(target)
+    for path in paths:
+        source = jvm.org.apache.hadoop.fs.Path(path)
+        there, n = jvm.org.apache.hadoop.fs.Path(target, source.getName()), 0
+        while system.exists(there):
+            n += 1
+            there = jvm.org.apache.hadoop.fs.Path(target, f"{source.getName()}.{n}")
+        if not system.rename(source, there):
+            raise OSError(f"could not move {path} to {folder}")
 
 
 def ingest(
@@ -51,12 +79,14 @@ def ingest(
     stamp: dt.datetime | None = None,
     files_per_batch: int = 10_000,
     gather: bool = True,
+    archive: bool = False,
 ) -> list[int]:
     """Take every new landing file, oldest first; the numbers of the batches written.
 
     A batch's list of files is fixed before anything is read, so a file that arrives
     meanwhile waits for a later batch. The reader needs the paths on the driver: that many,
-    and no more, are there at a time, and batches follow until no file is left.
+    and no more, are there at a time, and batches follow until no file is left. With
+    ``archive``, files move out of the landing folder once their batch is recorded.
     """
     batches = []
     while True:
@@ -65,13 +95,15 @@ def ingest(
         if files:
             batch_id = lake.ledger.last_batch(BRONZE) + 1
             rows = read_landing(lake.spark, [f.path for f in files])
-            write_bronze(lake, rows, batch_id, gather)
+            written = write_bronze(lake, rows, batch_id, gather)
             listed = lake.spark.createDataFrame(
                 [(f.source_file, f.modified_at) for f in files],
                 "source_file string, modified_at timestamp",
             )
-            record_bronze(lake, listed, batch_id, stamp or now())
+            record_bronze(lake, listed, batch_id, written, stamp or now())
             batches.append(batch_id)
+            if archive:
+                move_to(lake.spark, [f.path for f in files], lake.archive)
         if len(files) < files_per_batch:
             return batches
 
@@ -83,10 +115,38 @@ def write_silver(
     stamp: dt.datetime | None = None,
     max_records_per_file: int | None = None,
 ) -> None:
-    """Write clean rows, gathered by month, as a silver batch and record it."""
-    lake.write_batch(rows, lake.silver, batch_id, PERIOD, max_records_per_file)
+    """Write clean rows, gathered by month, as a silver batch and record it with what it lacks."""
+    written = lake.write_batch(rows, lake.silver, batch_id, PERIOD, max_records_per_file)
+    stored = lake.read_parts(lake.silver, SILVER_SCHEMA, [(batch_id, written)])
+    record_quality(
+        lake,
+        batch_id,
+        stored.agg(
+            F.count("*").alias("rows"),
+            *[F.count_if(F.isnull(c)).alias(f"null_{c}") for c in ("sale_date", "unit_price", "unit_cost", "units")],
+        ),
+        stamp or now(),
+    )
     item = few_rows(lake.spark, "item string", [("sales",)])
-    lake.ledger.record(SILVER, batch_id, item, stamp or now())
+    lake.ledger.record(SILVER, batch_id, item, stamp or now(), written=written)
+
+
+def record_quality(lake: Lake, batch_id: int, counts: DataFrame, stamp: dt.datetime) -> None:
+    """Keep one row of counts as ledger entries, one for each name."""
+    names = counts.columns
+    lake.ledger.record(QUALITY, batch_id, counts.unpivot([], names, "item", "row_count"), stamp)
+
+
+def batch_quality(lake: Lake) -> DataFrame:
+    """``batch_id``, ``item``, ``row_count``: what batches lacked, lost or left behind.
+
+    A count of a later attempt at the same batch replaces the earlier one.
+    """
+    return (
+        lake.ledger.entries(QUALITY)
+        .groupBy(F.col("batch_id"), "item")
+        .agg(F.max_by("row_count", "attempt").alias("row_count"))
+    )
 
 
 def refine(lake: Lake, max_records_per_file: int | None = None) -> list[int]:
@@ -96,6 +156,6 @@ def refine(lake: Lake, max_records_per_file: int | None = None) -> list[int]:
     """
     batches = lake.ledger.pending(BRONZE, SILVER)
     for batch_id in batches:
-        rows = clean(lake.bronze_sales().filter(F.col(BATCH) == batch_id))
+        rows = clean(lake.bronze_sales([batch_id]))
         write_silver(lake, rows, batch_id, max_records_per_file=max_records_per_file)
     return batches

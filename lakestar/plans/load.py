@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lakestar.operators.dimensions import (
     build_dimensions,
@@ -14,14 +15,24 @@ from lakestar.operators.dimensions import (
     upsert,
     with_parent_key,
 )
-from lakestar.operators.fact import build_fact
-from lakestar.operators.incremental import mark_of, slice_after, slice_of_batches
+from lakestar.operators.fact import build_fact, rejects
+from lakestar.operators.incremental import late as late_sales
+from lakestar.operators.incremental import slice_after, slice_of_batches, undated
 from lakestar.operators.lookup import Limits
-from lakestar.sources.ledger import GOLD, SILVER, few_rows
-from lakestar.sources.tables import Lake
-from lakestar.specs import CUSTOMER, DIMENSIONS, FACT, PERIOD
+from lakestar.plans.ingest import now, record_quality
+from lakestar.sources.ledger import GOLD, SILVER, Current, few_rows
+from lakestar.sources.tables import Lake, gathered
+from lakestar.specs import (
+    CUSTOMER,
+    DIMENSIONS,
+    FACT,
+    FACT_LOOKUPS,
+    FACT_LOOKUPS_BY_NAME,
+    FACT_SCHEMA,
+    PERIOD,
+)
 
-Versions = dict[str, tuple[int, int]]
+Versions = dict[str, Current]
 
 
 def star(lake: Lake) -> dict[str, DataFrame]:
@@ -30,41 +41,90 @@ def star(lake: Lake) -> dict[str, DataFrame]:
     return {t: lake.gold_table(t, at.get(t)) for t in [*[d.name for d in DIMENSIONS], FACT]}
 
 
+def mark_of_lake(lake: Lake) -> dt.date | None:
+    """The latest sale date of the fact, from the ledger; no file of the fact is opened."""
+    at = lake.ledger.current_versions().get(FACT)
+    return at.max_date if at else None
+
+
+def _added(
+    lake: Lake,
+    rows: DataFrame | None,
+    table: str,
+    version: int,
+    batch_id: int,
+    before: Current | None,
+    **options,
+) -> Current:
+    """Write rows, if any, as an attempt at a batch of a version; what the table is then made of."""
+    kept = before.parts if before and before.version == version else ()
+    latest = before.max_date if kept else None
+    if rows is None:
+        return Current(version, batch_id, kept, latest)
+    written = lake.write_batch(rows, lake.gold(table, version), batch_id, **options)
+    return Current(version, batch_id, (*[p for p in kept if p[0] != batch_id], (batch_id, written)), latest)
+
+
 def _record(lake: Lake, versions: Versions, batch_id: int, stamp: dt.datetime | None) -> None:
+    """One entry per table. A table that the batch did not touch gets one without an attempt."""
     items = few_rows(
         lake.spark,
-        "item string, version long",
-        [(table, version) for table, (version, _) in sorted(versions.items())],
+        "item string, version long, written string, max_date date",
+        [(t, at.version, dict(at.parts).get(batch_id), at.max_date) for t, at in sorted(versions.items())],
     )
-    lake.ledger.record(GOLD, batch_id, items, stamp or dt.datetime.now(dt.timezone.utc))
+    lake.ledger.record(GOLD, batch_id, items, stamp or now())
 
 
 def _write_dimensions(
-    lake: Lake, tables: dict[str, DataFrame], versions: Versions, batch_id: int
-) -> None:
-    def write(name: str) -> None:
-        lake.write_batch(tables[name], lake.gold(name, versions[name][0]), batch_id)
+    lake: Lake, tables: dict[str, DataFrame], batch_id: int, before: Versions
+) -> Versions:
+    """Write each table as a new version of its own."""
+
+    def write(name: str) -> Current:
+        version = before[name].version + 1 if name in before else 1
+        return _added(lake, tables[name], name, version, batch_id, None)
 
-    if tables:
-        concurrently(lake.spark, [lambda name=name: write(name) for name in tables])
+    written = concurrently(lake.spark, [lambda name=name: write(name) for name in tables])
+    return dict(zip(tables, written))
 
 
 def _write_fact(
     lake: Lake,
     rows: DataFrame,
     versions: Versions,
+    version: int,
     batch_id: int,
+    before: Current | None,
     *,
     stamp: dt.datetime | None,
     on_duplicate: str,
+    by_name: bool,
     limits: Limits,
     max_records_per_file: int | None,
-) -> None:
-    """The fact joins the dimensions as written, so its keys are the ones readers find."""
+) -> Current:
+    """The fact joins the dimensions as written, so its keys are the ones readers find.
+
+    Rows that find no key are counted by dimension and recorded.
+    """
+    by = FACT_LOOKUPS_BY_NAME if by_name else FACT_LOOKUPS
     dimensions = {d.name: lake.gold_table(d.name, versions[d.name]) for d in DIMENSIONS}
-    fact = build_fact(rows, dimensions, stamp=stamp, on_duplicate=on_duplicate, limits=limits)
-    path = lake.gold(FACT, versions[FACT][0])
-    lake.write_batch(fact, path, batch_id, PERIOD, max_records_per_file)
+    fact = build_fact(rows, dimensions, by=by, stamp=stamp, on_duplicate=on_duplicate, limits=limits)
+    at = _added(
+        lake, fact, FACT, version, batch_id, before,
+        partition_by=PERIOD, max_records_per_file=max_records_per_file,
+    )
+    stored = lake.read_parts(lake.gold(FACT, version), FACT_SCHEMA, [(batch_id, dict(at.parts)[batch_id])])
+    latest, kept = stored.agg(F.max("sale_date"), F.count("*")).first()
+    offered = rows.count()
+    counts = few_rows(lake.spark, "rows_offered long, rows_loaded long", [(offered, kept)])
+    if kept != offered and on_duplicate == "fail":
+        lost = rejects(rows, dimensions, by=by, limits=limits).collect()
+        names = ", ".join(f"lost_{r.dimension} long" for r in lost)
+        found = (offered, kept, *[r.rows_lost for r in lost])
+        counts = few_rows(lake.spark, f"rows_offered long, rows_loaded long, {names}", [found])
+    record_quality(lake, batch_id, counts, stamp or now())
+    dates = [d for d in (at.max_date, latest) if d is not None]
+    return Current(at.version, batch_id, at.parts, max(dates, default=None))
 
 
 def load_full(
@@ -73,6 +133,7 @@ def load_full(
     versions: str = "all",
     null_safe: bool = True,
     on_duplicate: str = "fail",
+    manufacturer_by_name: bool = False,
     stamp: dt.datetime | None = None,
     limits: Limits = Limits(),
     max_records_per_file: int | None = None,
@@ -81,18 +142,20 @@ def load_full(
     silver = lake.silver_sales()
     batch_id = lake.ledger.last_batch(SILVER)
     before = lake.ledger.current_versions()
-    names = [*[d.name for d in DIMENSIONS], FACT]
-    at = {t: (before.get(t, (0, 0))[0] + 1, batch_id) for t in names}
     tables = build_dimensions(silver, versions=versions, null_safe=null_safe, limits=limits)
     tables = {name: stamped(table, stamp) for name, table in tables.items()}
-    _write_dimensions(lake, tables, at, batch_id)
-    _write_fact(
+    at = _write_dimensions(lake, tables, batch_id, before)
+    version = before[FACT].version + 1 if FACT in before else 1
+    at[FACT] = _write_fact(
         lake,
         silver,
         at,
+        version,
         batch_id,
+        None,
         stamp=stamp,
         on_duplicate=on_duplicate,
+        by_name=manufacturer_by_name,
         limits=limits,
         max_records_per_file=max_records_per_file,
     )
@@ -104,37 +167,48 @@ def load_increment(
     lake: Lake,
     *,
     late: str = "mark",
+    with_undated: bool = True,
     dimensions: str = "upsert",
     on_change: str = "update",
     null_safe: bool = True,
     on_duplicate: str = "fail",
+    manufacturer_by_name: bool = False,
     stamp: dt.datetime | None = None,
     limits: Limits = Limits(),
     max_records_per_file: int | None = None,
 ) -> int | None:
     """Load what silver got since the last load; the batch number, or None if nothing is new.
 
-    ``late='mark'`` takes sales dated after the fact's latest one; ``'ledger'`` takes the new
-    batches whatever their dates, late sales included. ``dimensions='upsert'`` keeps known
-    members and their keys; ``'replace'`` makes each dimension anew from the slice, keys from
-    1, which leaves earlier fact rows behind.
+    ``late='mark'`` takes sales dated after the fact's latest one, and the new batches' sales
+    without a date unless ``with_undated`` is false; how many of the new batches are left behind
+    is recorded. ``'ledger'`` takes the new batches whatever their dates, late sales included.
+    ``dimensions='upsert'`` keeps known members and their keys; ``'replace'`` makes each
+    dimension anew from the slice, keys from 1, which leaves earlier fact rows behind.
     """
     pending = lake.ledger.pending(SILVER, GOLD)
     if not pending:
         return None
     batch_id = pending[-1]
-    stamp = stamp or dt.datetime.now(dt.timezone.utc)
+    stamp = stamp or now()
     before = lake.ledger.current_versions()
     silver = lake.silver_sales()
     if late == "ledger":
         rows = slice_of_batches(silver, pending)
     else:
-        rows = slice_after(silver, mark_of(lake.gold_table(FACT, before.get(FACT))))
+        mark = before[FACT].max_date if FACT in before else None
+        new = lake.silver_sales(pending)
+        rows = slice_after(silver, mark)
+        if mark is not None:
+            left = late_sales(new, pending, mark).agg(F.count("*").alias("left_late"))
+            if with_undated:
+                rows = rows.unionByName(undated(new, pending))
+            else:
+                left = left.crossJoin(undated(new, pending).agg(F.count("*").alias("left_undated")))
+            record_quality(lake, batch_id, left, stamp)
     if dimensions == "replace":
-        at = {d.name: (before.get(d.name, (0, 0))[0] + 1, batch_id) for d in DIMENSIONS}
         tables = build_dimensions(rows, null_safe=null_safe, limits=limits)
         tables = {name: stamped(table, stamp) for name, table in tables.items()}
-        _write_dimensions(lake, tables, at, batch_id)
+        at = _write_dimensions(lake, tables, batch_id, before)
     else:
         at = _upsert_dimensions(
             lake,
@@ -146,14 +220,17 @@ def load_increment(
             stamp=stamp,
             limits=limits,
         )
-    at[FACT] = (before.get(FACT, (1, 0))[0], batch_id)
-    _write_fact(
+    version = before[FACT].version if FACT in before else 1
+    at[FACT] = _write_fact(
         lake,
         rows,
         at,
+        version,
         batch_id,
+        before.get(FACT),
         stamp=stamp,
         on_duplicate=on_duplicate,
+        by_name=manufacturer_by_name,
         limits=limits,
         max_records_per_file=max_records_per_file,
     )
@@ -182,19 +259,21 @@ def _upsert_dimensions(
     at: Versions = {}
 
     def bring(spec) -> None:
-        existing = lake.gold_table(spec.name, before.get(spec.name))
+        held = before.get(spec.name)
+        existing = lake.gold_table(spec.name, held)
         found = incoming[spec]
         if spec.parent:
             parent = lake.gold_table(spec.parent.name, at[spec.parent.name])
             found = with_parent_key(found, spec, parent, null_safe=null_safe, limits=limits)
         change = upsert(existing, found, spec, on_change=on_change, stamp=stamp)
         new, changed = change.counts()
-        version = before.get(spec.name, (1, 0))[0] + (1 if changed else 0)
+        version = (held.version if held else 1) + (1 if changed else 0)
+        fresh = None
         if changed:
-            lake.write_batch(change.snapshot(), lake.gold(spec.name, version), batch_id)
-        elif new or spec.name not in before:
-            lake.write_batch(change.added(), lake.gold(spec.name, version), batch_id)
-        at[spec.name] = (version, batch_id)
+            fresh = change.snapshot()
+        elif new or not held:
+            fresh = change.added()
+        at[spec.name] = _added(lake, fresh, spec.name, version, batch_id, held)
 
     independent = [d for d in DIMENSIONS if d.parent is None]
     concurrently(lake.spark, [lambda d=d: bring(d) for d in independent])
@@ -202,3 +281,21 @@ def _upsert_dimensions(
     return at
 
 
+def compact_fact(
+    lake: Lake, stamp: dt.datetime | None = None, max_records_per_file: int | None = None
+) -> None:
+    """Write the batches of the fact together, by month, as its next version.
+
+    Many small batches make many small files per month. Rows stay as they are; who reads the
+    version before is not disturbed, as its files stay where they are.
+    """
+    at = lake.ledger.current_versions().get(FACT)
+    if at is None or len(at.parts) < 2:
+        return
+    rows = gathered(lake.gold_table(FACT, at), *PERIOD)
+    whole = _added(
+        lake, rows, FACT, at.version + 1, at.batch_id, None,
+        partition_by=PERIOD, max_records_per_file=max_records_per_file,
+    )
+    whole = Current(whole.version, whole.batch_id, whole.parts, at.max_date)
+    _record(lake, {FACT: whole}, at.batch_id, stamp)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakestar.plans.queries import CHECK_AFTER
+from lakestar.plans.queries import CHECK_AFTER, CHECK_FAILS
 from lakestar.sources.fixture import CUT, ORDER_LINES_SQL, SALES_SQL, TABLES
 
 CUT_DATE = f"date '{CUT.isoformat()}'"
@@ -91,7 +91,7 @@ LOOKUPS = {
     "dim_product": "product_id",
     "dim_category": "category",
     "dim_segment": "segment",
-    "dim_manufacturer": "manufacturer",
+    "dim_manufacturer": "manufacturer_id",
     "dim_customer": "customer_id",
 }
 
@@ -102,7 +102,7 @@ from silver
 join (select product_id, product_sk from dim_product) using (product_id)
 join dim_category using (category)
 join dim_segment using (segment)
-join (select manufacturer, manufacturer_sk from dim_manufacturer) using (manufacturer)
+join (select manufacturer_id, manufacturer_sk from dim_manufacturer) using (manufacturer_id)
 join (select customer_id, customer_sk from dim_customer) using (customer_id)
 """
 
@@ -186,7 +186,7 @@ ORACLES: dict[str, str] = {
     ),
     **{name: on_silver(text) for name, text in _star().items()},
     "dim_customer_null_unsafe": on_silver(
-        f"select * replace (coalesce(geography_sk, 0) as geography_sk) from ({_customers('silver', '=')})"
+        _customers("silver", "=")
     ),
     "fact_sales": on_silver(SILVER_ROWS + f"({FACT})", **_star()),
     "fact_rejects": on_silver(
@@ -224,7 +224,9 @@ ORACLES: dict[str, str] = {
     ),
     "fact_append_schema_evolution": on_silver(
         f"select sale_date <= {CUT_DATE} as before_stamp, count(*) as row_count, {MONEY} "
-        "from silver group by 1"
+        "from fact group by 1",
+        **_star(),
+        fact=FACT,
     ),
     "fact_incremental_total": on_silver(f"select sale_year, {MONEY} from silver group by 1"),
     "audit_stamp": on_silver(
@@ -251,10 +253,32 @@ ORACLES: dict[str, str] = {
         "from texts group by 1, 2",
         texts=TEXT_FROM_SALES,
     ),
-    "sales_by_year": on_silver(f"select sale_year, {MONEY} from silver group by 1"),
+    "sales_by_year": on_silver(f"select sale_year, {MONEY} from fact group by 1", **_star(), fact=FACT),
     "load_check_years": on_silver(
-        "select distinct sale_year, exists (select 1 from silver where "
-        f"sale_year > {CHECK_AFTER}) as passed from silver where sale_year > {CHECK_AFTER}"
+        " union all ".join(
+            f"select {year} as after, coalesce(string_agg(sale_year::varchar, ',' order by sale_year), '') as years, "
+            f"count(*) > 0 as passed from (select distinct sale_year from fact where sale_year > {year})"
+            for year in (CHECK_AFTER, CHECK_FAILS)
+        ),
+        **_star(),
+        fact=FACT,
+    ),
+    "load_after_failed_attempt": on_silver(
+        " union all ".join(
+            f"select '{name}' as table_name, count(*) as row_count from {name}" for name in _star()
+        )
+        + " union all select 'fact_sales', count(*) from fact",
+        **_star(),
+        fact=FACT,
+    ),
+    "compacted_fact_total": on_silver(f"select sale_year, {MONEY} from silver group by 1"),
+    "batch_quality": on_silver(
+        "select unnest(['rows', 'null_sale_date', 'null_unit_price', 'null_unit_cost', 'null_units', "
+        "'left_late', 'rows_offered', 'rows_loaded']) as item, "
+        "unnest([n, undated, unpriced, cast(0 as bigint), cast(0 as bigint), late, n - late, n - late]) as row_count from ("
+        "select count(*) as n, count(*) filter (customer_id % 3 = 0) as undated, "
+        "count(*) filter (product_id % 5 = 0) as unpriced, count(*) filter (customer_id % 3 = 1) as late from later)",
+        later=LATER,
     ),
     "register_gold_catalog": on_silver(
         " union all ".join(

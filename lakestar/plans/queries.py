@@ -16,12 +16,7 @@ from pyspark.sql import types as T
 
 from lakestar.functions.calendar import later_than, up_to
 from lakestar.functions.money import money
-from lakestar.operators.analytics import (
-    load_check,
-    sales_by_category_year,
-    sales_by_year,
-    years_after,
-)
+from lakestar.operators.analytics import load_check, sales_by_category_year, sales_by_year
 from lakestar.operators.dimensions import (
     build_dimension,
     build_dimensions,
@@ -30,17 +25,16 @@ from lakestar.operators.dimensions import (
     upsert,
     with_parent_key,
 )
-from lakestar.operators.fact import keyable, rejects
-from lakestar.operators.incremental import high_water_mark, mark_of, slice_after
-from lakestar.operators.lookup import Lookup, attach
+from lakestar.operators.fact import rejects
+from lakestar.operators.incremental import mark_of, slice_after
 from lakestar.operators.silver import clean, clean_as_text, with_period
-from lakestar.plans.ingest import ingest, new_files, refine, write_silver
-from lakestar.plans.load import load_full, load_increment, star
-from lakestar.session import fresh_folder
+from lakestar.plans.ingest import batch_quality, ingest, new_files, refine, write_silver
+from lakestar.plans.load import compact_fact, load_full, load_increment, mark_of_lake, star
+from lakestar.session import fresh_folder, staged
 from lakestar.sources import catalog
 from lakestar.sources.fixture import CUT, sales, tables
 from lakestar.sources.landing import header_of, read_landing, rows_per_file
-from lakestar.sources.ledger import BRONZE
+from lakestar.sources.ledger import BRONZE, GOLD, SILVER, few_rows
 from lakestar.sources.tables import Lake, read_table, write_table
 from lakestar.specs import (
     BATCH,
@@ -63,6 +57,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # The test sales end in 2001, so the load check of the queries asks for later than this.
 CHECK_AFTER = 1997
+CHECK_FAILS = 2001
 LOADED_AT = dt.datetime(2002, 1, 1, tzinfo=dt.timezone.utc)
 QUERIES: dict[str, Query] = {}
 
@@ -231,13 +226,10 @@ def dim_customer(spark, folder):
 
 @query
 def dim_customer_null_unsafe(spark, folder):
-    """As ``dim_customer``, but a null in the place leaves the customer without one (key 0)."""
+    """As ``dim_customer``, but a null in the place leaves the customer without one (key null)."""
     rows = silver(spark, folder)
     table = build_dimensions(rows, [CUSTOMER], null_safe=False)[CUSTOMER.name]
-    known = F.coalesce(F.col(GEOGRAPHY.sk), F.lit(0)).alias(GEOGRAPHY.sk)
-    return published(spark, CUSTOMER.name, table).select(
-        *[known if c == GEOGRAPHY.sk else F.col(c) for c in table.columns]
-    )
+    return published(spark, CUSTOMER.name, table)
 
 
 # --- fact
@@ -253,21 +245,22 @@ def fact_sales(spark, folder):
 @query
 def fact_rejects(spark, folder):
     """All sales against the dimensions of the first load: rows that find no key, by dimension."""
-    lake = lake_with(spark, "rejects", silver_by_month(spark, folder))
-    rows = lake.silver_sales()
-    return rejects(rows, build_dimensions(rows.filter(up_to(CUT))))
+    rows = silver_by_month(spark, folder)
+    lake = lake_with(spark, "rejects", rows.filter(up_to(CUT)))
+    load_full(lake)
+    write_silver(lake, rows.filter(later_than(CUT)), 2, LOADED_AT)
+    return rejects(lake.silver_sales(), star(lake))
 
 
 # --- incremental
 
 
 @query
-def high_water_mark_of_base(spark, folder):
+def high_water_mark(spark, folder):
+    """The latest date of the fact of a first load, as the ledger has it."""
     lake = lake_with(spark, "mark", silver_by_month(spark, folder).filter(up_to(CUT)))
-    return plain(high_water_mark(lake.silver_sales()))
-
-
-QUERIES["high_water_mark"] = QUERIES.pop("high_water_mark_of_base")
+    load_full(lake)
+    return plain(few_rows(spark, "max_sale_date date", [(mark_of_lake(lake),)]))
 
 
 @query
@@ -290,11 +283,13 @@ def dim_refresh_slice(spark, folder):
 @query
 def dim_customer_upsert(spark, folder):
     """Customers of the first load with their keys, and new ones of the increment after them."""
-    rows = silver(spark, folder)
-    base = build_dimensions(rows.filter(up_to(CUT)), [GEOGRAPHY, CUSTOMER])
+    wanted = [*CUSTOMER.columns, "sale_date"]
+    rows = silver(spark, folder).select(*wanted, *PERIOD)
+    buyers = staged(rows.dropDuplicates([*CUSTOMER.columns, "sale_date"]), "buyers")
+    base = build_dimensions(buyers.filter(up_to(CUT)), [GEOGRAPHY, CUSTOMER])
     places = published(spark, "places", stamped(base[GEOGRAPHY.name], None))
     known = published(spark, "customers", stamped(base[CUSTOMER.name], None))
-    later = rows.filter(later_than(CUT))
+    later = buyers.filter(later_than(CUT))
     new_places = upsert(places, latest_members(later, GEOGRAPHY), GEOGRAPHY).added()
     incoming = with_parent_key(
         latest_members(later, CUSTOMER), CUSTOMER, places.unionByName(new_places)
@@ -306,17 +301,16 @@ def dim_customer_upsert(spark, folder):
 def fact_append_schema_evolution(spark, folder):
     """A fact written without the stamp, then appended to with it; rows by stamp present."""
     path = fresh_folder(spark, "evolution")
-    rows = silver_by_month(spark, folder).drop("order_id")
+    fact = loaded_lake(spark, folder, "evolution-fact").gold_table(FACT).drop(STAMP)
     write_table(
-        rows.filter(up_to(CUT)), path, partition_by=PERIOD, max_records_per_file=FACT_FILE_ROWS
+        fact.filter(up_to(CUT)), path, partition_by=PERIOD, max_records_per_file=FACT_FILE_ROWS
     )
     write_table(
-        stamped(rows.filter(later_than(CUT)), LOADED_AT),
+        stamped(fact.filter(later_than(CUT)), LOADED_AT),
         path,
         mode="append",
         partition_by=PERIOD,
         max_records_per_file=FACT_FILE_ROWS,
-        merge_schema=True,
     )
     stored = read_table(spark, path, merge_schema=True)
     return plain(
@@ -368,17 +362,9 @@ def landing_ledger(spark, folder):
 
 @query
 def sales_by_category_year_report(spark, folder):
-    """Total sales by category and year.
-
-    The fact is built as far as the question goes: one of its keys, one measure, the year.
-    Everything else is pruned from the plan. ``landing_to_gold_report`` and
-    ``legacy_names_report`` ask the same of written gold tables.
-    """
-    rows = keyable(silver(spark, folder))
-    categories = build_dimension(rows, CATEGORY)
-    lookup = Lookup(CATEGORY.name, categories, (CATEGORY.lookup,), CATEGORY.sk)
-    fact = attach(rows.select(CATEGORY.lookup, "sale_year", "total_sales"), [lookup])
-    return plain(sales_by_category_year(fact, categories))
+    """Total sales by category and year, from the gold tables of a full load."""
+    lake = loaded_lake(spark, folder, "report")
+    return plain(sales_by_category_year(lake.gold_table(FACT), lake.gold_table(CATEGORY.name)))
 
 
 QUERIES["sales_by_category_year"] = QUERIES.pop("sales_by_category_year_report")
@@ -398,7 +384,7 @@ def sales_by_category_year_text(spark, folder):
 
 @query
 def sales_by_year_report(spark, folder):
-    return plain(sales_by_year(keyable(silver(spark, folder))))
+    return plain(sales_by_year(loaded_lake(spark, folder, "years").gold_table(FACT)))
 
 
 QUERIES["sales_by_year"] = QUERIES.pop("sales_by_year_report")
@@ -406,10 +392,91 @@ QUERIES["sales_by_year"] = QUERIES.pop("sales_by_year_report")
 
 @query
 def load_check_years(spark, folder):
-    """The years after the threshold that the fact holds, and whether the load passes."""
-    fact = keyable(silver(spark, folder))
-    passed = F.lit(load_check(fact, CHECK_AFTER)).alias("passed")
-    return years_after(fact, CHECK_AFTER).select("sale_year", passed)
+    """The years after two thresholds that the fact holds; the load does not reach the second."""
+    fact = staged(loaded_lake(spark, folder, "check").gold_table(FACT).select("sale_year"), "check-years")
+    checks = [
+        load_check(fact, year).select(
+            F.lit(year).alias("after"), F.array_join("years", ",").alias("years"), "passed"
+        )
+        for year in (CHECK_AFTER, CHECK_FAILS)
+    ]
+    return checks[0].unionByName(checks[1])
+
+
+# --- after failures, and what loads lack
+
+
+def _lost_record(lake: Lake, stage: str, step: Callable[[], object]) -> None:
+    """Run a step that writes its batch and dies before that stage is recorded."""
+
+    class Lost(OSError):
+        pass
+
+    ledger = type(lake.ledger)
+    record = ledger.record
+
+    def dying(self, at, *args, **kwargs):
+        if at == stage:
+            raise Lost(at)
+        return record(self, at, *args, **kwargs)
+
+    ledger.record = dying
+    try:
+        step()
+    except Lost:
+        pass
+    finally:
+        ledger.record = record
+
+
+@query
+def load_after_failed_attempt(spark, folder):
+    """An increment is written but lost, a newer batch comes, and both are loaded: nothing twice."""
+    rows = silver_by_month(spark, folder)
+    lake = lake_with(spark, "failed", rows.filter(up_to(CUT)))
+    load_full(lake)
+    later = staged(rows.filter(later_than(CUT)), "later")
+    middle = F.pmod(F.xxhash64("order_id"), F.lit(2)) == 0
+    _lost_record(lake, SILVER, lambda: write_silver(lake, later.filter(middle), 2, LOADED_AT))
+    write_silver(lake, later.filter(middle), 2, LOADED_AT)
+    _lost_record(lake, GOLD, lambda: load_increment(lake, late="ledger", stamp=LOADED_AT))
+    write_silver(lake, later.filter(~middle), 3, LOADED_AT)
+    load_increment(lake, late="ledger", stamp=LOADED_AT)
+    tables_now = star(lake)
+    counts = [
+        table.agg(F.lit(name).alias("table_name"), F.count("*").alias("row_count"))
+        for name, table in tables_now.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query
+def compacted_fact_total(spark, folder):
+    """Totals by year of a fact whose two batches were written together."""
+    lake = lake_in_two_loads(spark, folder, "compact")
+    compact_fact(lake, LOADED_AT)
+    return plain(sales_by_year(lake.gold_table(FACT)))
+
+
+@query
+def batch_quality_counts(spark, folder):
+    """What an increment lacked, lost and left behind: a third of its sales is undated, a third late."""
+    rows = staged(silver_by_month(spark, folder), "quality")
+    lake = lake_with(spark, "quality", rows.filter(up_to(CUT)))
+    load_full(lake)
+    third = F.pmod("customer_id", F.lit(3))
+    day, nothing = F.date_sub(F.lit(CUT), 60), F.lit(None)
+    odd = (
+        rows.filter(later_than(CUT))
+        .withColumn("sale_date", F.when(third == 0, nothing).when(third == 1, day).otherwise(F.col("sale_date")))
+        .withColumn("unit_price", F.when(F.col("product_id") % 5 == 0, nothing).otherwise(F.col("unit_price")))
+    )
+    write_silver(lake, with_period(odd.drop(*PERIOD)), 2, LOADED_AT)
+    load_increment(lake, stamp=LOADED_AT)
+    return batch_quality(lake).filter(F.col(BATCH) == 2).drop(BATCH)
+
+
+QUERIES["batch_quality"] = QUERIES.pop("batch_quality_counts")
 
 
 # --- catalog and streams

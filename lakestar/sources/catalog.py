@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestar.sources.ledger import few_rows
+from lakestar.sources.ledger import Current, few_rows
 from lakestar.sources.tables import Lake
-from lakestar.specs import GOLD_SCHEMAS
+from lakestar.specs import ATTEMPT, BATCH, FACT, GOLD_SCHEMAS, PERIOD
 
 # Table and column names that existing queries on the source tables use.
 LEGACY_VIEWS = {
@@ -83,50 +83,78 @@ LEGACY_VIEWS = {
 }
 
 
+#: Table property that says which version of a table the catalog shows.
+VERSION = "lakestar.version"
+#: And which batches of it are there: all up to this one.
+UP_TO = "lakestar.batch"
+
+
 def register_gold(lake: Lake, database: str) -> DataFrame:
     """Create the database and one external table per gold table; return (table, path).
 
-    Which tables exist is known from the specs and the ledger, so nothing is listed. A table
-    of an earlier version is pointed at the current one.
+    Which tables exist, and which folders they are made of, the ledger knows, so nothing is
+    listed and an unfinished attempt can't get in. A table keeps its entry: new batches are
+    added to it, and for a new version its location changes and its parts are exchanged.
     """
     spark = lake.spark
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{lake.root}/catalog'")
     rows = []
-    for table, (version, last_batch) in sorted(lake.ledger.current_versions().items()):
-        path = lake.gold(table, version)
+    for table, at in sorted(lake.ledger.current_versions().items()):
+        path = lake.gold(table, at.version)
         name = f"{database}.{table}"
-        partitions = ["batch_id", "sale_year", "sale_month"] if table == "fact_sales" else ["batch_id"]
-        columns = ", ".join(
-            f"{f.name} {f.dataType.simpleString()}" for f in GOLD_SCHEMAS[table].fields
-        )
-        if spark.catalog.tableExists(name) and not _location(spark, name).endswith(path):
-            spark.sql(f"DROP TABLE {name}")  # external: the entry goes, the files stay
+        fields = GOLD_SCHEMAS[table].fields
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
+        inner = list(PERIOD) if table == FACT else []
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({columns}, batch_id bigint) USING {lake.fmt} "
-            f"PARTITIONED BY ({', '.join(partitions)}) LOCATION '{path}'"
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns}, {BATCH} bigint, {ATTEMPT} string) USING {lake.fmt} "
+            f"PARTITIONED BY ({', '.join([BATCH, ATTEMPT, *inner])}) LOCATION '{path}'"
         )
         if lake.fmt == "parquet":
-            # a partitioned external table has no rows until its partitions are recorded
-            spark.catalog.recoverPartitions(name)
-            _forget_after(spark, name, last_batch)
+            _show_parts(lake, name, path, at, inner)
         rows.append((table, path))
     return few_rows(spark, "table_name string, path string", rows)
 
 
-def _location(spark: SparkSession, name: str) -> str:
-    details = spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
-    return details.filter(F.col("col_name") == "Location").first()["data_type"]
-
-
-def _forget_after(spark: SparkSession, name: str, last_batch: int) -> None:
-    """Take batches out of a catalog entry that a failed load left unfinished."""
-    batch = F.regexp_extract("partition", r"batch_id=(\d+)", 1).cast("long")
-    found = spark.sql(f"SHOW PARTITIONS {name}").filter(batch > last_batch).collect()
-    if found:
-        parts = [p.partition.split("/") for p in found]
-        specs = [", ".join("{}='{}'".format(*v.split("=")) for v in values) for values in parts]
-        drops = ", ".join(f"PARTITION ({spec})" for spec in specs)
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {drops}")
+def _show_parts(lake: Lake, name: str, path: str, at: Current, inner: list[str]) -> None:
+    """Make a catalog entry consist of exactly the recorded folders."""
+    spark = lake.spark
+    shown = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    same = shown.get(VERSION) == str(at.version)
+    if not same:
+        if VERSION in shown:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+        old = [r.partition for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+        _alter(spark, name, "DROP IF EXISTS", [_spec(p) for p in old])
+    done = int(shown.get(UP_TO, 0)) if same else 0
+    added = []
+    for batch_id, written in at.parts:
+        if batch_id > done:
+            folder = lake.folder(path, batch_id, written)
+            own = f"{BATCH}={batch_id}/{ATTEMPT}={written}"
+            for months in _months(spark, folder) if inner else [""]:
+                added.append(f"{_spec(own + months)} LOCATION '{folder}{months}'")
+    _alter(spark, name, "ADD IF NOT EXISTS", added)
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{VERSION}' = '{at.version}', '{UP_TO}' = '{at.batch_id}')")
+
+
+def _spec(partition: str) -> str:
+    parts = [v.split("=", 1) for v in partition.split("/")]
+    return "PARTITION (" + ", ".join(f"{k}='{v}'" for k, v in parts) + ")"
+
+
+def _alter(spark: SparkSession, name: str, what: str, specs: list[str]) -> None:
+    """A statement for some hundred partitions at a time."""
+    glue = ", " if what.startswith("DROP") else " "
+    for i in range(0, len(specs), 500):
+        spark.sql(f"ALTER TABLE {name} {what} {glue.join(specs[i : i + 500])}")
+
+
+def _months(spark: SparkSession, folder: str) -> list[str]:
+    """The year and month folders of one attempt, from its own listing."""
+    year, month = PERIOD
+    found = spark.read.parquet(folder).select(year, month).distinct().collect()
+    shown = [["__HIVE_DEFAULT_PARTITION__" if x is None else x for x in r] for r in found]
+    return [f"/{year}={y}/{month}={m}" for y, m in shown]
 
 
 def registered_tables(spark: SparkSession, database: str) -> list[str]:

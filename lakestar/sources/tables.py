@@ -1,8 +1,9 @@
-"""Batch tables: a folder of ``batch_id=<n>`` folders, each written once as a whole.
+"""Batch tables: ``batch_id=<n>/attempt=<a>`` folders, each written once as a whole.
 
-Writing a batch again replaces that batch and nothing else, so a retried job cannot repeat
-rows, without needing a transactional format. Where the jar of one is present,
-``fmt='delta'`` makes each table one Delta table in which a batch replaces its own rows.
+A table is read from the folders that the ledger names and no others, so a retried job
+cannot repeat rows, without needing a transactional format. ``fmt='delta'`` makes each table
+one Delta table with the attempt as a column; no Delta jar is at hand here, so that path is
+untested.
 """
 
 from __future__ import annotations
@@ -10,13 +11,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakestar.sources.ledger import Ledger, no_rows
-from lakestar.specs import BATCH, BRONZE_SCHEMA, GOLD_SCHEMAS, SILVER_SCHEMA
+from lakestar.sources.ledger import BRONZE, SILVER, Current, Ledger, new_attempt, no_rows
+from lakestar.specs import ATTEMPT, BATCH, BRONZE_SCHEMA, GOLD_SCHEMAS, SILVER_SCHEMA
 
 
 def gathered(rows: DataFrame, *columns: str) -> DataFrame:
@@ -38,14 +38,11 @@ def write_table(
     partition_by: Sequence[str] = (),
     max_records_per_file: int | None = None,
     fmt: str = "parquet",
-    merge_schema: bool = False,
 ) -> None:
     """Write a table. Rows for a partitioned one should come :func:`gathered`."""
     writer = df.write.format(fmt).mode(mode).partitionBy(*partition_by)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    if merge_schema:
-        writer = writer.option("mergeSchema", True)
     writer.save(path)
 
 
@@ -109,41 +106,56 @@ class Lake:
         batch_id: int,
         partition_by: Sequence[str] = (),
         max_records_per_file: int | None = None,
-    ) -> None:
-        if self.fmt == "delta":
-            rows = df.withColumn(BATCH, F.lit(batch_id).cast("long"))
-            writer = rows.write.format("delta").mode("overwrite").option("mergeSchema", True)
-            writer = writer.option("replaceWhere", f"{BATCH} = {batch_id}")
+    ) -> str:
+        """Write one attempt at a batch and return its name, to be recorded."""
+        attempt = new_attempt()
+        if self.fmt == "delta":  # untested: no jar is at hand
+            rows = df.withColumns({BATCH: F.lit(batch_id).cast("long"), ATTEMPT: F.lit(attempt)})
+            writer = rows.write.format("delta").mode("append").option("mergeSchema", True)
             if max_records_per_file:
                 writer = writer.option("maxRecordsPerFile", max_records_per_file)
-            writer.partitionBy(BATCH, *partition_by).save(path)
-            return
+            writer.partitionBy(BATCH, ATTEMPT, *partition_by).save(path)
+            return attempt
         write_table(
             df.drop(BATCH),
-            f"{path}/{BATCH}={batch_id}",
+            self.folder(path, batch_id, attempt),
+            mode="error",
             partition_by=partition_by,
             max_records_per_file=max_records_per_file,
             fmt=self.fmt,
         )
+        return attempt
+
+    @staticmethod
+    def folder(path: str, batch_id: int, attempt: str) -> str:
+        return f"{path}/{BATCH}={batch_id}/{ATTEMPT}={attempt}"
 
-    def _read_batches(self, path: str, schema: T.StructType) -> DataFrame:
-        reader = self.spark.read.format(self.fmt)
-        if self.fmt != "delta":  # Delta keeps the schema itself
-            reader = reader.schema(schema)
-        try:
-            return reader.load(path).select(*schema.names)
-        except AnalysisException as problem:
-            if problem.getCondition() not in ("PATH_NOT_FOUND", "DELTA_PATH_DOES_NOT_EXIST"):
-                raise
+    def read_parts(
+        self, path: str, schema: T.StructType, parts: Sequence[tuple[int, str]]
+    ) -> DataFrame:
+        """The rows of exactly these (batch, attempt) folders."""
+        if not parts:
             return no_rows(self.spark, schema)
+        if self.fmt == "delta":
+            rows = self.spark.read.format("delta").load(path)
+            return rows.filter(F.col(ATTEMPT).isin([a for _, a in parts])).select(*schema.names)
+        reader = self.spark.read.format(self.fmt).schema(schema).option("basePath", path)
+        return reader.load([self.folder(path, b, a) for b, a in parts]).select(*schema.names)
+
+    def _stage(self, stage: str, path: str, schema: T.StructType, batches: Sequence[int] | None) -> DataFrame:
+        parts = self.ledger.finished(stage)
+        if batches is not None:
+            parts = [p for p in parts if p[0] in set(batches)]
+        return self.read_parts(path, schema, parts)
 
-    def bronze_sales(self) -> DataFrame:
-        return self._read_batches(self.bronze, BRONZE_SCHEMA)
+    def bronze_sales(self, batches: Sequence[int] | None = None) -> DataFrame:
+        """The finished bronze batches, or those of them that are named."""
+        return self._stage(BRONZE, self.bronze, BRONZE_SCHEMA, batches)
 
-    def silver_sales(self) -> DataFrame:
-        return self._read_batches(self.silver, SILVER_SCHEMA)
+    def silver_sales(self, batches: Sequence[int] | None = None) -> DataFrame:
+        return self._stage(SILVER, self.silver, SILVER_SCHEMA, batches)
 
-    def gold_table(self, table: str, at: tuple[int, int] | None = None) -> DataFrame:
+    def gold_table(self, table: str, at: Current | None = None) -> DataFrame:
         """The finished batches of a gold table's current version; empty before the first.
 
         ``at`` is the table's entry of ``ledger.current_versions()``, if at hand.
@@ -152,9 +164,4 @@ class Lake:
         at = at or self.ledger.current_versions().get(table)
         if at is None:
             return no_rows(self.spark, schema)
-        version, batch_id = at
-        path = self.gold(table, version)
-        with_batch = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
-        return (
-            self._read_batches(path, with_batch).filter(F.col(BATCH) <= batch_id).drop(BATCH)
-        )
+        return self.read_parts(self.gold(table, at.version), schema, at.parts)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import types as T
 
@@ -64,6 +64,7 @@ RAW_COLUMNS = tuple(RAW_TYPES)
 PERIOD = ("sale_year", "sale_month")
 STAMP = "updated_at"
 BATCH = "batch_id"
+ATTEMPT = "attempt"
 
 SILVER_TYPES = {
     "sale_date": T.DateType(),
@@ -146,8 +147,10 @@ MANUFACTURER = Dimension(
     columns=("manufacturer_id", "manufacturer"),
     key=("manufacturer_id",),
     sk="manufacturer_sk",
-    lookup="manufacturer",
+    lookup="manufacturer_id",
 )
+#: As the original jobs join it: a manufacturer that changes its name loses the sales under the other.
+MANUFACTURER_BY_NAME = replace(MANUFACTURER, lookup="manufacturer")
 GEOGRAPHY = Dimension(
     "dim_geography",
     columns=("city", "state", "region", "district", "country", "postal_code"),
@@ -171,6 +174,7 @@ DERIVED_FROM = {CATEGORY: PRODUCT, GEOGRAPHY: CUSTOMER}
 
 FACT = "fact_sales"
 FACT_LOOKUPS = (PRODUCT, CATEGORY, SEGMENT, MANUFACTURER, CUSTOMER)
+FACT_LOOKUPS_BY_NAME = (PRODUCT, CATEGORY, SEGMENT, MANUFACTURER_BY_NAME, CUSTOMER)
 FACT_MEASURES = ("units", "unit_price", "unit_cost", "total_sales")
 FACT_SCHEMA = struct(
     {

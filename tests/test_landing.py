@@ -109,7 +109,7 @@ def test_a_batch_written_twice_counts_once(lake):
     deliver(lake, "one.csv", raw_rows(30))
     record = type(lake.ledger).record
     try:
-        type(lake.ledger).record = lambda *a: (_ for _ in ()).throw(OSError("lost"))
+        type(lake.ledger).record = lambda *a, **k: (_ for _ in ()).throw(OSError("lost"))
         with pytest.raises(OSError):
             ingest(lake)
     finally:
@@ -157,13 +157,15 @@ def test_refine_takes_pending_batches_only(lake):
     assert lake.ledger.last_batch(SILVER) == 2
 
 
-def test_refine_needs_no_shuffle(lake):
+def test_refine_needs_no_shuffle_and_reads_its_batch_only(lake):
     from lakestar.operators.silver import clean
 
-    deliver(lake, "one.csv", raw_rows(30))
-    ingest(lake)
-    plan = clean(lake.bronze_sales().filter("batch_id = 1"))._jdf.queryExecution().toString()
-    assert "Exchange" not in plan and "PartitionFilters: [isnotnull(batch_id" in plan
+    for i in (1, 2):
+        deliver(lake, f"{i}.csv", raw_rows(30, seed=i))
+        ingest(lake)
+    rows = clean(lake.bronze_sales([2]))
+    assert "Exchange" not in rows._jdf.queryExecution().toString()
+    assert rows.inputFiles() and all("batch_id=2" in f for f in rows.inputFiles())
 
 
 def test_stream_reads_each_file_once_and_archives(lake):
@@ -180,22 +182,23 @@ def test_stream_reads_each_file_once_and_archives(lake):
 
 
 def test_stream_resumes_after_a_failure(lake):
-    """The step fails after it has written; the repeated micro-batch replaces those rows."""
+    """The step fails after it has recorded its batch; the repeated micro-batch adds nothing."""
     deliver(lake, "one.csv", raw_rows(30))
     header = header_of(lake.spark, lake.landing)
     tries = []
 
-    def step(lake, rows, batch_id, stamp):
-        to_bronze(lake, rows, batch_id, stamp)
-        tries.append(batch_id)
+    def step(lake, rows, source, stamp):
+        to_bronze(lake, rows, source, stamp)
+        tries.append(source)
         if len(tries) == 1:
             raise OSError("lost")
 
     with pytest.raises(Exception, match="lost"):
         run_available(lake, header, step)
     run_available(lake, header, step)
-    assert tries == [1, 1]
+    assert tries == ["stream-0", "stream-0"]
     assert lake.bronze_sales().count() == 30
+    assert lake.ledger.last_batch(BRONZE) == 1
 
 
 def test_stream_to_gold_counts_late_sales(lake):

@@ -14,11 +14,13 @@ from lakestar.operators.lookup import (
     Lookup,
     Size,
     attach,
-    hot_fingerprints,
+    hot_keys,
+    row_identity,
     measure,
 )
 
-NEVER = Limits(broadcast_bytes=-1, salts=8)
+NEVER = Limits(broadcast_bytes=-1, rows_per_task=500)
+PLAIN = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
 
 
 @pytest.fixture(scope="module")
@@ -63,7 +65,7 @@ def test_rows_are_those_of_the_plain_join(facts, table, how, null_safe, limits):
 
 def test_large_tables_are_not_broadcast(spark, facts, table):
     with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
-        joined = attach(facts, [Lookup("t", table, ("a", "b"), "sk")], limits=NEVER)
+        joined = attach(facts, [Lookup("t", table, ("a", "b"), "sk")], limits=Limits(broadcast_bytes=-1))
         plan = joined._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
         joined = attach(facts, [Lookup("t", table, ("a", "b"), "sk")])
@@ -71,25 +73,53 @@ def test_large_tables_are_not_broadcast(spark, facts, table):
         assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
-def test_hot_keys_are_found_and_bounded(facts):
-    limits = Limits(hot_share=0.1)
-    found = hot_fingerprints(facts, ["a"], limits)
-    hot = facts.filter(F.col("a") == "hot").select(F.xxhash64("a")).first()[0]
-    assert hot in found and len(found) <= 10
+def test_tables_that_fit_one_by_one_but_not_together(facts, table):
+    lookups = [Lookup(n, table.select("a", "b", F.col("sk").alias(n)), ("a", "b"), n) for n in ("s1", "s2", "s3")]
+    sizes = measure(lookups)
+    one = sizes["s1"].bytes
+    limits = Limits(broadcast_bytes=2 * one + one // 2)
+    assert len(limits.small(lookups, sizes)) == 2
+    assert [len(Limits(broadcast_bytes=k * one).small(lookups, sizes)) for k in (0, 1, 3)] == [0, 1, 3]
+    got = attach(facts, lookups, limits=limits).collect()
+    assert got and all(r.s1 == r.s2 == r.s3 for r in got)
+
+
+def test_every_key_with_more_rows_than_a_task_takes_is_split(spark):
+    """300 keys of equal size, and one with a third of the rows."""
+    third = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 300)
+    facts = spark.range(90_000).select(third.alias("a"))
+    lookup = Lookup("t", facts, ("a",), "a")
+    found = {r.fingerprint: r.salts for r in hot_keys(facts, [lookup], Limits(rows_per_task=250)).collect()}
+    assert len(found) == 201 and sorted(found.values())[-2:] == [2, 120]
+    assert hot_keys(facts, [lookup], Limits(rows_per_task=40_000)).isEmpty()
+
+
+def tasks_of(joined):
+    return joined.groupBy(F.spark_partition_id()).count().count()
 
 
 def test_a_hot_key_reaches_many_tasks(spark, facts, table):
-    plain = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
-    with settings(spark, plain):
+    with settings(spark, PLAIN):
         joined = attach(facts, [Lookup("t", table, ("a", "b"), "sk")], limits=NEVER)
-        tasks = joined.filter(F.col("a") == "hot").groupBy(F.spark_partition_id()).count().count()
-    assert tasks > 4
+        assert tasks_of(joined.filter(F.col("a") == "hot")) > 4
+
+
+def test_equal_rows_of_a_hot_key_reach_many_tasks(spark, tmp_path):
+    """Rows of files are told apart by their place, though their values are the same."""
+    spark.range(20_000).select(F.lit("hot").alias("a")).repartition(4).write.parquet(str(tmp_path / "t"))
+    facts = spark.read.parquet(str(tmp_path / "t"))
+    table = spark.createDataFrame([("hot", 1), ("cold", 2)], "a string, sk long")
+    with settings(spark, PLAIN):
+        joined = attach(facts.filter("a is not null").select("a"), [Lookup("t", table, ("a",), "sk")], limits=NEVER)
+        assert tasks_of(joined) == 8 and joined.count() == 20_000
+    place = [r["__row"] for r in row_identity(facts).collect()]
+    assert len(set(place)) == 20_000 and set(place) == {r["__row"] for r in row_identity(facts).collect()}
 
 
 def test_duplicates_stop_or_fan_out(spark, facts):
     table = spark.createDataFrame([("hot", 1), ("hot", 2), (None, 3), (None, 4)], "a string, sk long")
     lookup = Lookup("t", table, ("a",), "sk")
-    assert measure([lookup])["t"] == Size(rows=2, keys=1, bytes=2 * 35)
+    assert measure([lookup])["t"] == Size(rows=2, keys=1, bytes=2 * (2 * 3 + 160))
     with pytest.raises(DuplicateLookupKey, match="'t': 1"):
         attach(facts, [lookup])
     hot = facts.filter(F.col("a") == "hot").count()

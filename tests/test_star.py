@@ -11,12 +11,7 @@ from sample import raw_rows, silver_of
 from settings import settings
 
 from lakestar.functions.calendar import later_than, up_to
-from lakestar.operators.analytics import (
-    load_check,
-    sales_by_category_year,
-    sales_by_year,
-    years_after,
-)
+from lakestar.operators.analytics import load_check, sales_by_category_year, sales_by_year
 from lakestar.operators.dimensions import build_dimensions, latest_members, members, stamped, upsert
 from lakestar.operators.fact import build_fact, rejects
 from lakestar.operators.incremental import high_water_mark, mark_of, slice_after
@@ -31,13 +26,14 @@ from lakestar.specs import (
     DIMENSIONS,
     FACT,
     FACT_LOOKUPS,
+    FACT_LOOKUPS_BY_NAME,
     GEOGRAPHY,
     MANUFACTURER,
     PERIOD,
     PRODUCT,
 )
 
-NEVER_BROADCAST = Limits(broadcast_bytes=-1, salts=4)
+NEVER_BROADCAST = Limits(broadcast_bytes=-1, rows_per_task=40)
 
 
 def lake_of(spark, path, rows, batch_id=1) -> Lake:
@@ -144,7 +140,7 @@ def test_a_repeated_load_replaces_its_own_rows(spark, silver, tmp_path):
     ledger = type(lake.ledger)
     record = ledger.record
     try:
-        ledger.record = lambda *a: (_ for _ in ()).throw(OSError("lost"))
+        ledger.record = lambda *a, **k: (_ for _ in ()).throw(OSError("lost"))
         with pytest.raises(OSError):
             load_increment(lake)
     finally:
@@ -202,7 +198,8 @@ def test_changed_member_keeps_its_key(spark, tmp_path):
     assert {k: v for k, v in after.items() if k != 1} == {k: v for k, v in before.items() if k != 1}
     # the dimension has a new version; the others only gained a batch
     versions = lake.ledger.current_versions()
-    assert versions[CUSTOMER.name] == (2, 2) and versions[CATEGORY.name] == (1, 2)
+    at = {n: (v.version, v.batch_id) for n, v in versions.items()}
+    assert at[CUSTOMER.name] == (2, 2) and at[CATEGORY.name] == (1, 2)
 
 
 def test_keep_leaves_a_changed_member(spark):
@@ -240,8 +237,9 @@ def test_one_name_for_two_manufacturers(spark):
     silver = silver_of(spark, rows)
     tables = build_dimensions(silver)
     assert tables[MANUFACTURER.name].count() == len({r["manufacturer_id"] for r in rows})
+    assert build_fact(silver, tables).count() == 50
     with pytest.raises(DuplicateLookupKey, match="dim_manufacturer"):
-        build_fact(silver, tables)
+        build_fact(silver, tables, by=FACT_LOOKUPS_BY_NAME)
 
 
 def test_latest_members(spark):
@@ -284,8 +282,9 @@ def test_report_is_ordered_and_right(spark, silver):
 
 
 def test_load_check(spark, silver):
-    assert load_check(silver) and not load_check(silver, 2012)
-    assert [r.sale_year for r in years_after(silver).collect()] == [2012]
+    assert load_check(silver).collect() == [([2012], True)]
+    assert load_check(silver, 2012).collect() == [([], False)]
+    assert load_check(silver.limit(0)).collect() == [([], False)]
 
 
 def test_file_caps(spark, tmp_path):
