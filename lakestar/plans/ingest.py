@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lakestar.operators.silver import clean, with_period
 from lakestar.sources.landing import FILE_IDENTITY, landing_files, read_landing
-from lakestar.sources.ledger import BRONZE, QUALITY, SILVER, few_rows
+from lakestar.sources.ledger import BRONZE, GOLD, SILVER
 from lakestar.sources.tables import Lake, gathered
 from lakestar.specs import BRONZE_SCHEMA, PERIOD, SILVER_SCHEMA
 
@@ -118,35 +118,23 @@ def write_silver(
     """Write clean rows, gathered by month, as a silver batch and record it with what it lacks."""
     written = lake.write_batch(rows, lake.silver, batch_id, PERIOD, max_records_per_file)
     stored = lake.read_parts(lake.silver, SILVER_SCHEMA, [(batch_id, written)])
-    record_quality(
-        lake,
-        batch_id,
-        stored.agg(
-            F.count("*").alias("rows"),
-            *[F.count_if(F.isnull(c)).alias(f"null_{c}") for c in ("sale_date", "unit_price", "unit_cost", "units")],
-        ),
-        stamp or now(),
-    )
-    item = few_rows(lake.spark, "item string", [("sales",)])
-    lake.ledger.record(SILVER, batch_id, item, stamp or now(), written=written)
-
-
-def record_quality(lake: Lake, batch_id: int, counts: DataFrame, stamp: dt.datetime) -> None:
-    """Keep one row of counts as ledger entries, one for each name."""
-    names = counts.columns
-    lake.ledger.record(QUALITY, batch_id, counts.unpivot([], names, "item", "row_count"), stamp)
+    lacking = [F.count_if(F.isnull(c)).alias(f"null_{c}") for c in ("sale_date", "unit_price", "unit_cost", "units")]
+    counts = stored.agg(F.count("*").alias("rows"), *lacking)
+    items = counts.unpivot([], counts.columns, "item", "row_count")
+    lake.ledger.record(SILVER, batch_id, items, stamp or now(), written=written)
 
 
 def batch_quality(lake: Lake) -> DataFrame:
     """``batch_id``, ``item``, ``row_count``: what batches lacked, lost or left behind.
 
-    A count of a later attempt at the same batch replaces the earlier one.
+    The counts are recorded with the batch. Those of a later attempt replace the earlier ones.
     """
+    counted = [lake.ledger.entries(stage).filter("row_count is not null") for stage in (SILVER, GOLD)]
     return (
-        lake.ledger.entries(QUALITY)
-        .groupBy(F.col("batch_id"), "item")
+        counted[0].unionByName(counted[1])
+        .groupBy("batch_id", "item")
         .agg(F.max_by("row_count", "attempt").alias("row_count"))
-    )
+    )
 
 
 def refine(lake: Lake, max_records_per_file: int | None = None) -> list[int]:

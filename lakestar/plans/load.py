@@ -19,7 +19,7 @@ from lakestar.operators.fact import build_fact, rejects
 from lakestar.operators.incremental import late as late_sales
 from lakestar.operators.incremental import slice_after, slice_of_batches, undated
 from lakestar.operators.lookup import Limits
-from lakestar.plans.ingest import now, record_quality
+from lakestar.plans.ingest import now
 from lakestar.sources.ledger import GOLD, SILVER, Current, few_rows
 from lakestar.sources.tables import Lake, gathered
 from lakestar.specs import (
@@ -65,14 +65,21 @@ def _added(
     return Current(version, batch_id, (*[p for p in kept if p[0] != batch_id], (batch_id, written)), latest)
 
 
-def _record(lake: Lake, versions: Versions, batch_id: int, stamp: dt.datetime | None) -> None:
-    """One entry per table. A table that the batch did not touch gets one without an attempt."""
-    items = few_rows(
-        lake.spark,
-        "item string, version long, written string, max_date date",
-        [(t, at.version, dict(at.parts).get(batch_id), at.max_date) for t, at in sorted(versions.items())],
-    )
-    lake.ledger.record(GOLD, batch_id, items, stamp or now())
+def _record(
+    lake: Lake,
+    versions: Versions,
+    batch_id: int,
+    stamp: dt.datetime | None,
+    counts: dict[str, int] | None = None,
+) -> None:
+    """One entry per table, and one per count of rows loaded, lost or left behind.
+
+    A table that the batch did not touch gets one without an attempt.
+    """
+    tables = [(t, at.version, dict(at.parts).get(batch_id), at.max_date, None) for t, at in sorted(versions.items())]
+    rows = [(name, None, None, None, n) for name, n in (counts or {}).items()]
+    columns = "item string, version long, written string, max_date date, row_count long"
+    lake.ledger.record(GOLD, batch_id, few_rows(lake.spark, columns, tables + rows), stamp or now())
 
 
 def _write_dimensions(
@@ -101,10 +108,10 @@ def _write_fact(
     by_name: bool,
     limits: Limits,
     max_records_per_file: int | None,
-) -> Current:
+) -> tuple[Current, dict[str, int]]:
     """The fact joins the dimensions as written, so its keys are the ones readers find.
 
-    Rows that find no key are counted by dimension and recorded.
+    Rows that find no key are counted by dimension.
     """
     by = FACT_LOOKUPS_BY_NAME if by_name else FACT_LOOKUPS
     dimensions = {d.name: lake.gold_table(d.name, versions[d.name]) for d in DIMENSIONS}
@@ -115,16 +122,12 @@ def _write_fact(
     )
     stored = lake.read_parts(lake.gold(FACT, version), FACT_SCHEMA, [(batch_id, dict(at.parts)[batch_id])])
     latest, kept = stored.agg(F.max("sale_date"), F.count("*")).first()
-    offered = rows.count()
-    counts = few_rows(lake.spark, "rows_offered long, rows_loaded long", [(offered, kept)])
-    if kept != offered and on_duplicate == "fail":
+    counts = {"rows_offered": rows.count(), "rows_loaded": kept}
+    if kept != counts["rows_offered"] and on_duplicate == "fail":
         lost = rejects(rows, dimensions, by=by, limits=limits).collect()
-        names = ", ".join(f"lost_{r.dimension} long" for r in lost)
-        found = (offered, kept, *[r.rows_lost for r in lost])
-        counts = few_rows(lake.spark, f"rows_offered long, rows_loaded long, {names}", [found])
-    record_quality(lake, batch_id, counts, stamp or now())
+        counts |= {f"lost_{r.dimension}": r.rows_lost for r in lost}
     dates = [d for d in (at.max_date, latest) if d is not None]
-    return Current(at.version, batch_id, at.parts, max(dates, default=None))
+    return Current(at.version, batch_id, at.parts, max(dates, default=None)), counts
 
 
 def load_full(
@@ -146,7 +149,7 @@ def load_full(
     tables = {name: stamped(table, stamp) for name, table in tables.items()}
     at = _write_dimensions(lake, tables, batch_id, before)
     version = before[FACT].version + 1 if FACT in before else 1
-    at[FACT] = _write_fact(
+    at[FACT], counts = _write_fact(
         lake,
         silver,
         at,
@@ -159,7 +162,7 @@ def load_full(
         limits=limits,
         max_records_per_file=max_records_per_file,
     )
-    _record(lake, at, batch_id, stamp)
+    _record(lake, at, batch_id, stamp, counts)
     return batch_id
 
 
@@ -192,6 +195,7 @@ def load_increment(
     stamp = stamp or now()
     before = lake.ledger.current_versions()
     silver = lake.silver_sales()
+    left: dict[str, int] = {}
     if late == "ledger":
         rows = slice_of_batches(silver, pending)
     else:
@@ -199,12 +203,11 @@ def load_increment(
         new = lake.silver_sales(pending)
         rows = slice_after(silver, mark)
         if mark is not None:
-            left = late_sales(new, pending, mark).agg(F.count("*").alias("left_late"))
+            left["left_late"] = late_sales(new, pending, mark).count()
             if with_undated:
                 rows = rows.unionByName(undated(new, pending))
             else:
-                left = left.crossJoin(undated(new, pending).agg(F.count("*").alias("left_undated")))
-            record_quality(lake, batch_id, left, stamp)
+                left["left_undated"] = undated(new, pending).count()
     if dimensions == "replace":
         tables = build_dimensions(rows, null_safe=null_safe, limits=limits)
         tables = {name: stamped(table, stamp) for name, table in tables.items()}
@@ -221,7 +224,7 @@ def load_increment(
             limits=limits,
         )
     version = before[FACT].version if FACT in before else 1
-    at[FACT] = _write_fact(
+    at[FACT], counts = _write_fact(
         lake,
         rows,
         at,
@@ -234,7 +237,7 @@ def load_increment(
         limits=limits,
         max_records_per_file=max_records_per_file,
     )
-    _record(lake, at, batch_id, stamp)
+    _record(lake, at, batch_id, stamp, left | counts)
     return batch_id
 
 

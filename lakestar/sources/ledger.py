@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
-BRONZE, SILVER, GOLD, QUALITY = "bronze", "silver", "gold", "quality"
+BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
 
 _ENTRY = T.StructType(
     [
@@ -131,7 +131,8 @@ class Ledger:
 
     def current_versions(self) -> dict[str, Current]:
         """What each gold table consists of now."""
-        latest = self.entries(GOLD).groupBy("item", "version", "batch_id").agg(
+        tables = self.entries(GOLD).filter("version is not null")
+        latest = tables.groupBy("item", "version", "batch_id").agg(
             F.max_by(F.struct("written", "max_date"), "attempt").alias("at")
         )
         version = F.col("version")
