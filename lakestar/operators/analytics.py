@@ -31,11 +31,6 @@ def sales_by_year(fact: DataFrame) -> DataFrame:
     )
 
 
-def years_after(fact: DataFrame, year: int = CHECK_YEAR) -> DataFrame:
-    """The years after ``year`` that the fact holds; partition values only, no column is read."""
-    return fact.select("sale_year").filter(F.col("sale_year") > year).distinct()
-
-
 def load_check(fact: DataFrame, year: int = CHECK_YEAR) -> DataFrame:
     """One row in one pass: ``years`` after ``year`` that the fact holds, and whether it ``passed``.
 
