@@ -51,6 +51,15 @@ def numbered(df: DataFrame, label: str, name: str = "row_no") -> DataFrame:
     return written(df.withColumn(name, F.monotonically_increasing_id()), label)
 
 
+def without(rows: DataFrame, dropped: DataFrame, label: str) -> DataFrame:
+    """The rows whose ``row_no`` is not in ``dropped``.
+
+    The numbers are written, so Spark knows their size and need not shuffle texts while they are few.
+    """
+    numbers = written(dropped.select("row_no").distinct().sort("row_no"), label)
+    return rows.join(numbers, "row_no", "left_anti")
+
+
 def uniform(*parts: Column) -> Column:
     """A number in [0, 1) with 53 random bits that depends on the parts alone."""
     return F.shiftrightunsigned(F.xxhash64(*parts), 11) / F.lit(float(1 << 53))

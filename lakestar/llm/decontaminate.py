@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestar.llm.common import col, numbered, step_aside, written
+from lakestar.llm.common import col, numbered, step_aside, without, written
 
 WINDOW = 13
 ANCHORS = 3
@@ -218,7 +218,10 @@ def search(rows: DataFrame, items: DataFrame, anchors: int = ANCHORS, slop: int
             )
 
     schema = "row_no long, n_hit long, phrases array<long>, places array<struct<phrase_no:long,start:int>>"
-    exact = written(asked.join(rows, "row_no").select("row_no", "text", "asked").mapInArrow(compare, schema), "phrase-matches")
+    # the numbers first: while they are few, Spark need not shuffle texts
+    wanted = written(within.select("row_no").distinct().sort("row_no"), "phrase-texts")
+    texts = rows.select("row_no", "text").join(wanted, "row_no", "left_semi")
+    exact = written(asked.join(texts, "row_no").select("row_no", "text", "asked").mapInArrow(compare, schema), "phrase-matches")
     true = exact.select("row_no", F.explode("places").alias("p")).select("row_no", "p.phrase_no", "p.start")
     near = places.select("row_no", "phrase_no", "start").join(true, ["row_no", "phrase_no", "start"], "left_anti")
     return Found(index, exact, near.distinct(), all_phrases, items)
@@ -242,6 +245,28 @@ def judge(
     """
     out = ("n_words", "n_hit", "items", "n_near", "contaminated", "row_no")
     rows = numbered(step_aside(df, out), "decontaminate-rows")
+    result = _judged(rows, benchmark, text, item_id, item_text, window)
+    return rows.join(written(result, "decontaminate-result"), "row_no").drop("row_no")
+
+
+def clean(
+    df: DataFrame,
+    benchmark: DataFrame,
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    window: int = WINDOW,
+) -> DataFrame:
+    """All columns of the rows that ``judge`` does not find contaminated."""
+    rows = numbered(step_aside(df, ("row_no",)), "decontaminate-rows")
+    result = _judged(rows, benchmark, text, item_id, item_text, window)
+    return without(rows, result.where("contaminated"), "decontaminate-dropped").drop("row_no")
+
+
+def _judged(
+    rows: DataFrame, benchmark: DataFrame, text: str, item_id: str, item_text: str, window: int
+) -> DataFrame:
+    """``row_no`` and the results of numbered rows."""
     found = search(rows.select("row_no", col(text).alias("text")), phrases(benchmark, item_id, item_text, window))
     items = (
         found.exact.select("row_no", F.explode("phrases").alias("phrase_no"))
@@ -251,7 +276,8 @@ def judge(
         .agg(F.sort_array(F.collect_set("item")).alias("items"))
     )
     near = found.near.groupBy("row_no").agg(F.countDistinct("phrase_no").alias("n_near"))
-    result = (
+    contaminated = (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+    return (
         found.index.select("row_no", "n_words")
         .join(found.exact.select("row_no", "n_hit"), "row_no", "left")
         .join(items, "row_no", "left")
@@ -263,6 +289,5 @@ def judge(
             F.coalesce("items", F.array().cast("array<string>")).alias("items"),
             F.coalesce("n_near", F.lit(0)).alias("n_near"),
         )
+        .withColumn("contaminated", contaminated)
     )
-    contaminated = (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
-    return rows.join(written(result, "decontaminate-result"), "row_no").withColumn("contaminated", contaminated).drop("row_no")
