@@ -6,6 +6,9 @@ rest is a sample without replacement with unequal inclusion probabilities: each
 draws a uniform number and is ranked by its odds divided by the odds of its inclusion
 probability (Pareto sampling). Documents are taken in that order until the words that remain are
 reached; one more may follow that comes nearest to what is missing then.
+
+What decides is one row per source and weight, so documents are joined with that, and Spark need not
+shuffle texts while it is small.
 """
 
 from __future__ import annotations
@@ -17,6 +20,8 @@ from lakestar.llm.common import col, numbered, step_aside, written
 
 #: Rows of one piece of a source's order; only the piece in which the words run out is sorted.
 PIECE_ROWS = 4096
+#: What documents of a source are ordered by.
+ORDER = ("rank", "doc_id", "size", "row_no")
 
 
 def draw(key: Column, seed: int = 0) -> Column:
@@ -76,103 +81,90 @@ def expected_copies(levels: DataFrame, most: int = 3) -> DataFrame:
     return ranked.select("source", "odds", "words", copies.alias("copies"))
 
 
-def take(
-    docs: DataFrame, doc_id: str, size: str, source: str, seed: int = 0, most: int = 3
-) -> DataFrame:
-    """Per row ``row_no``: ``source_size``, ``target``, ``copies`` (whole times it is taken).
+def _rank(doc_id: Column, chance: Column, seed: int) -> Column:
+    """Odds of the uniform number by odds of inclusion; null where nothing is left to chance."""
+    u = draw(doc_id, seed)
+    return F.when(chance > 0, u / (1 - u) / (chance / (1 - chance)))
+
+
+def choice(rows: DataFrame, seed: int = 0, most: int = 3) -> DataFrame:
+    """Per ``source`` and ``odds`` what decides about a document: it is small, whatever the corpus.
 
-    ``docs`` are numbered rows (``row_no``). A document's odds are the number of binary digits of
-    its size, so long ones are somewhat likelier. Rows without words count nothing and are
-    taken once in a source that has a target of its size or more, else not at all.
+    ``source_size``, ``target``, ``whole`` copies, ``chance`` of one more; ``stop``: documents with an order
+    (rank, id, size, row) before it are drawn, all if null; ``best``: the row drawn beyond it.
+    ``rows``: row_no, doc_id, source, size, odds.
     """
-    rows = docs.select(
-        "row_no", col(doc_id).alias("doc_id"), col(source).alias("source"), col(size).alias("size"),
-        F.length(F.bin(col(size))).alias("odds"),
-    )
     levels = written(
         rows.groupBy("source", "odds").agg(F.sum("size").alias("words"), F.count("*").alias("n")),
         "mix-levels",
     )
-    sources = targets(levels.groupBy("source").agg(F.sum("words").alias("source_size")), most)
-    same = lambda a, b: a["source"].eqNullSafe(b["source"])
-    filled = levels.where("words > 0").join(sources, same(levels, sources)).drop(sources["source"])
+    sources = written(targets(levels.groupBy("source").agg(F.sum("words").alias("source_size")), most), "mix-sources")
+    same = F.expr("source <=> s")
+    filled = levels.where("words > 0").join(sources.withColumnRenamed("source", "s"), same)
     copies = expected_copies(filled.select("source", "odds", "words", "target"), most)
     whole = F.floor("copies")
-    chance = (F.col("copies") - whole).alias("chance")
-    plan = written(copies.select("source", "odds", "words", whole.alias("whole"), chance), "mix-plan")
+    plan = written(
+        copies.select("source", "odds", "words", whole.alias("whole"), (F.col("copies") - whole).alias("chance")), "mix-plan"
+    )
+    rows_of = levels.groupBy(F.col("source").alias("t")).agg(F.sum("n").alias("n"))
     quota = written(
-        plan.groupBy("source").agg(
-            F.sum(F.col("whole") * F.col("words")).alias("certain"),
-            F.max("chance").alias("likely"),
-        ).join(sources.withColumnRenamed("source", "s"), F.expr("source <=> s"))
-        .join(levels.groupBy(F.col("source").alias("t")).agg(F.sum("n").alias("n")), F.expr("source <=> t"))
+        plan.groupBy("source").agg(F.sum(F.col("whole") * F.col("words")).alias("certain"), F.max("chance").alias("likely"))
+        .join(sources.withColumnRenamed("source", "s"), same)
+        .join(rows_of, F.expr("source <=> t"))
         .select(
-            F.col("s").alias("source"), "source_size", "target", "likely",
-            (F.round("target").cast("long") - F.col("certain")).alias("quota"),
+            "s", "likely", (F.round("target").cast("long") - F.col("certain")).alias("quota"),
             F.ceil(F.col("n") / PIECE_ROWS).alias("pieces"),
         ),
         "mix-quota",
     )
-    plan = plan.drop("words").join(quota.drop("source_size", "target").withColumnRenamed("source", "s"), F.expr("source <=> s")).drop("s")
-    u, odds = F.col("u"), F.col("chance") / (1 - F.col("chance"))
+    odds = plan.join(quota, same).select("s", F.col("odds").alias("o"), "chance", "likely", "quota", "pieces")
     scaled = F.col("rank") * F.col("likely") / (1 - F.col("likely"))
     ranked = written(
-        rows.join(plan.withColumnsRenamed({"source": "s", "odds": "o"}), F.expr("source <=> s and odds = o"))
-        .withColumn("u", draw(F.col("doc_id"), seed))
-        .withColumn("rank", F.when(F.col("chance") > 0, u / (1 - u) / odds))
+        rows.join(odds, F.expr("source <=> s and odds = o"))
+        .withColumn("rank", _rank(F.col("doc_id"), F.col("chance"), seed))
+        .where("rank is not null")
         .withColumn("piece", F.least(F.floor(scaled / (1 + scaled) * F.col("pieces")), F.col("pieces") - 1))
-        .select("row_no", "source", "doc_id", "size", "whole", "rank", "piece", "quota"),
+        .select("source", F.struct(*ORDER).alias("at"), "size", "piece", "quota"),
         "mix-ranks",
     )
-    ahead = Window.partitionBy("source").orderBy("piece")
     pieces = (
-        ranked.where("rank is not null")
-        .groupBy("source", "piece", "quota")
-        .agg(F.sum("size").alias("words"))
-        .withColumn("end", F.sum("words").over(ahead))
-    )
+        ranked.groupBy("source", "piece", "quota").agg(F.sum("size").alias("words"))
+        .withColumn("end", F.sum("words").over(Window.partitionBy("source").orderBy("piece")))
+    )
     # in the first piece that ends beyond the quota the words run out
     cut = written(
-        pieces.where("end > quota").groupBy("source", "quota")
-        .agg(F.min_by(F.struct("piece", (F.col("end") - F.col("words")).alias("start")), "piece").alias("c"))
-        .select(F.col("source").alias("s"), "c.piece", "c.start"),
+        pieces.where("end > quota").groupBy(F.col("source").alias("s"))
+        .agg(F.min_by(F.struct(F.col("piece").alias("last"), (F.col("end") - F.col("words")).alias("start")), "piece").alias("c"))
+        .select("s", "c.*"),
         "mix-cut",
-    ).withColumnRenamed("piece", "last")
-    inside = Window.partitionBy("source").orderBy("rank", "doc_id", "size", "row_no")
-    placed = ranked.where("rank is not null").join(cut, F.expr("source <=> s"), "left").drop("s")
-    last = (
+    )
+    placed = ranked.join(cut, same)
+    inside = Window.partitionBy("source").orderBy("at")
+    late = (
         placed.where("piece = last")
         .withColumn("end", F.col("start") + F.sum("size").over(inside))
-        .withColumn("taken", F.col("end") <= F.col("quota"))
+        .where("end > quota")
+        .groupBy(F.col("source").alias("s"))
+        .agg(F.min("at").alias("stop"), F.max(F.col("quota") - F.col("end") + F.col("size")).alias("gap"))
     )
-    last = written(last.select("row_no", "source", "doc_id", "size", "rank", "quota", "end", "taken"), "mix-last")
-    gaps = last.groupBy("source").agg(
-        F.min(F.when(~F.col("taken"), F.col("end") - F.col("size"))).alias("reached"), F.first("quota").alias("quota")
-    ).select(F.col("source").alias("s"), (F.col("quota") - F.col("reached")).alias("gap"))
-    outside = placed.where("piece > last").select("row_no", "source", "doc_id", "size", "rank")
+    stops = written(late, "mix-stops")
     near = F.abs(F.col("gap") - F.col("size"))
-    one_more = (
-        outside.unionByName(last.where("not taken").select(outside.columns))
-        .join(written(gaps, "mix-gaps"), F.expr("source <=> s"))
-        .where(near < F.col("gap"))
-        .groupBy("source")
-        .agg(F.min(F.struct(near, "rank", "doc_id", "size", "row_no")).alias("best"))
-        .select("best.row_no", F.lit(1).alias("more"))
+    best = (
+        ranked.join(stops, same)
+        .where((F.col("at") >= F.col("stop")) & (near < F.col("gap")))
+        .groupBy(F.col("source").alias("b"))
+        .agg(F.min(F.struct(near, "at")).alias("best"))
+        .select("b", F.col("best.at.row_no").alias("best"))
     )
-    drawn = last.where("taken").select("row_no", F.lit(1).alias("more")).unionByName(one_more)
-    early = (F.col("rank").isNotNull() & (F.col("last").isNull() | (F.col("piece") < F.col("last")))).cast("int")
-    copies = (
-        ranked.join(cut, F.expr("source <=> s"), "left").select("row_no", "whole", early.alias("early"))
-        .join(written(drawn, "mix-drawn"), "row_no", "left")
-        .select("row_no", (F.col("whole") + F.col("early") + F.coalesce("more", F.lit(0))).alias("copies"))
+    return written(
+        levels.select("source", "odds")
+        .join(sources.withColumnRenamed("source", "s"), same).drop("s", "weight")
+        .join(plan.select(F.col("source").alias("p"), F.col("odds").alias("o"), "whole", "chance"), F.expr("source <=> p and odds = o"), "left")
+        .join(stops.select("s", "stop"), same, "left")
+        .join(best, F.expr("source <=> b"), "left")
+        .select("source", "odds", "source_size", "target", "whole", "chance", "stop", "best"),
+        "mix-choice",
     )
-    both = rows.select("row_no", "source").join(
-        sources.withColumnRenamed("source", "s"), F.expr("source <=> s")
-    )
-    return (
-        both.join(copies, "row_no", "left")
-        .select("row_no", "source_size", "target", F.coalesce("copies", F.when(F.col("target") >= F.col("source_size"), 1).otherwise(0)).cast("long").alias("copies"))
-    )
 
 
 def mix(
@@ -181,10 +173,29 @@ def mix(
 ) -> DataFrame:
     """All rows and columns with ``source_size``, ``target`` and ``copies`` (0 to ``most``).
 
-    ``size`` is a column of word counts, never null. A null source is a source; rows with the
-    same id share their random number and are taken by size, then in the order of rows. An
-    empty table gives an empty one; input columns with a result's name become ``<name>_input``.
+    ``size`` is a column of word counts, never null. A document's odds are the number of binary
+    digits of its size, so long ones are somewhat likelier. A null source is a source; rows with
+    the same id share their random number and are taken by size, then in the order of rows.
+    Rows without words count nothing; if all of a source's shortest are without, they are taken once
+    where the target is the source's size or more. An empty table gives an empty one; input
+    columns with a result's name become ``<name>_input``.
     """
-    docs = step_aside(docs, ("source_size", "target", "copies", "row_no"))
+    out = ("source_size", "target", "copies")
+    own = ("row_no", "m_source", "m_odds", "whole", "chance", "stop", "best")
+    docs = step_aside(docs, (*out, *own))
     rows = numbered(docs, "mix-rows")
-    return rows.join(take(rows, doc_id, size, source, seed, most), "row_no").drop("row_no")
+    digits = F.length(F.bin(col(size)))
+    narrow = rows.select(
+        "row_no", col(doc_id).alias("doc_id"), col(source).alias("source"), col(size).alias("size"), digits.alias("odds")
+    )
+    chosen = choice(narrow, seed, most).withColumnsRenamed({"source": "m_source", "odds": "m_odds"})
+    rank = _rank(col(doc_id), F.col("chance"), seed)
+    at = F.struct(rank.alias("rank"), col(doc_id).alias("doc_id"), col(size).alias("size"), F.col("row_no"))
+    drawn = F.isnotnull(rank) & (F.isnull("stop") | (at < F.col("stop")) | F.coalesce(F.col("row_no") == F.col("best"), F.lit(False)))
+    without = F.when(F.col("target") >= F.col("source_size"), 1).otherwise(0)
+    copies = F.coalesce(F.col("whole") + drawn.cast("int"), without).cast("long")
+    return (
+        rows.join(chosen, col(source).eqNullSafe(F.col("m_source")) & (digits == F.col("m_odds")))
+        .withColumn("copies", copies)
+        .select(*[col(c) for c in docs.columns], *out)
+    )
