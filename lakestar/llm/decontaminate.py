@@ -258,7 +258,7 @@ def clean(
     window: int = WINDOW,
 ) -> DataFrame:
     """All columns of the rows that ``judge`` does not find contaminated."""
-    rows = numbered(step_aside(df, ("row_no",)), "decontaminate-rows")
+    rows = numbered(step_aside(df, ("row_no",)), "decontaminate-rows", level=9)
     result = _judged(rows, benchmark, text, item_id, item_text, window)
     return without(rows, result.where("contaminated"), "decontaminate-dropped").drop("row_no")
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestar.llm.common import col, numbered, step_aside, written
+from lakestar.llm.common import col, numbered, step_aside, without, written
 from lakestar.llm.components import components
 from lakestar.llm.shingles import WordHashes, lowered_words, mixed, shingles
 
@@ -227,12 +227,12 @@ def _block_links(similarity: float):
     return compare
 
 
-def _rest_links(rest: DataFrame, sets: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
-    """Links between components that share a bucket; ``rest``: key, band, rep, label."""
+def _rest_links(rest: DataFrame, sets: DataFrame, signed: DataFrame, similarity: float) -> DataFrame:
+    """Links between components that share a bucket; ``rest``: key, band, rep, label; ``signed``: rep, bands."""
     wanted = written(rest.select("rep").distinct(), "near-wanted")
     known = written(
         sets.withColumnRenamed("row_no", "rep").join(wanted, "rep", "left_semi")
-        .join(classes.select("rep", "bands").join(wanted, "rep", "left_semi"), "rep"),
+        .join(signed.join(wanted, "rep", "left_semi"), "rep"),
         "near-known",
     )
     size = known.select("rep", F.octet_length("set").alias("bytes"))
@@ -265,9 +265,10 @@ def groups(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     signed = written(rows.select("row_no", "text").mapInArrow(_sign, "row_no long, digest binary, bands array<long>"), "near-signed")
     with_words = signed.where("digest is not null")
     classes = written(
-        with_words.groupBy("digest").agg(F.min("row_no").alias("rep"), F.first("bands").alias("bands")), "near-classes"
+        with_words.groupBy("digest").agg(F.min("row_no").alias("rep")), "near-classes"
     )
-    keys = classes.select("rep", F.posexplode("bands").alias("band", "key"))
+    first = with_words.select(F.col("row_no").alias("rep"), "bands").join(classes.select("rep"), "rep", "left_semi")
+    keys = first.select("rep", F.posexplode("bands").alias("band", "key"))
     turn = F.xxhash64("rep", F.floor(F.col("band") / HUB_BANDS)).alias("turn")
     buckets = written(
         keys.groupBy("key").agg(F.min(F.struct(turn, "rep")).alias("hub"), F.count("*").alias("n"))
@@ -287,7 +288,7 @@ def groups(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     # two members were compared with each other already: one was the hub
     open_ = written(spans.where("lo < hi and n > 2").select("key"), "near-open")
     rest = written(labelled.join(open_, "key"), "near-rest")
-    found = written(_rest_links(rest, sets, classes, similarity), "near-links")
+    found = written(_rest_links(rest, sets, first, similarity), "near-links")
     if not found.isEmpty():
         labels = components(links.unionByName(found))
     label = F.coalesce("least", "rep", "row_no").alias("group_no")
@@ -309,3 +310,10 @@ def with_groups(df: DataFrame, text: str = "text", similarity: float = SIMILARIT
     rows = numbered(step_aside(df, ("row_no", "group_no", "stays")), "near-rows")
     found = groups(rows.select("row_no", col(text).alias("text")), similarity)
     return rows.join(written(found, "near-groups"), "row_no").withColumn("stays", F.col("row_no") == F.col("group_no"))
+
+
+def one_of_each(df: DataFrame, text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """All columns of the rows that stay; edge cases as for ``with_groups``."""
+    rows = numbered(step_aside(df, ("row_no",)), "near-rows", level=9)
+    found = groups(rows.select("row_no", col(text).alias("text")), similarity)
+    return without(rows, found.where("row_no <> group_no"), "near-dropped").drop("row_no")

@@ -183,7 +183,7 @@ def mix(
     out = ("source_size", "target", "copies")
     own = ("row_no", "m_source", "m_odds", "whole", "chance", "stop", "best")
     docs = step_aside(docs, (*out, *own))
-    rows = numbered(docs, "mix-rows")
+    rows = numbered(docs, "mix-rows", level=9)
     digits = F.length(F.bin(col(size)))
     narrow = rows.select(
         "row_no", col(doc_id).alias("doc_id"), col(source).alias("source"), col(size).alias("size"), digits.alias("odds")

@@ -199,7 +199,7 @@ def verdicts(
     p = len(FLOORS)
     measured = step_aside(measured, ("base_failed", "distance", "kept", "key", "k0", "k1", "x", "mean", "inverse", "scale"))
     kept_columns = measured.columns
-    measured = written(measured.withColumn("base_failed", base_failed()), "quality-counts")
+    measured = written(measured.withColumn("base_failed", base_failed()), "quality-counts", level=9)
     groups = written(_grouped(measured, list(keys), least_rows), "quality-groups")
     same = [col(k).eqNullSafe(F.col(f"k{i}")) for i, k in enumerate(keys)]
     rows = measured.join(groups, same[0] & same[1]).withColumn("x", F.array(*vector()))

@@ -22,6 +22,7 @@ from lakestar.llm import (
     url_reputation,
 )
 from lakestar.llm.common import word_count
+from lakestar.sources.ledger import few_rows
 
 SEED = 20
 SHARDS = 16
@@ -102,7 +103,7 @@ def op6_chat(spark: SparkSession, folder: str) -> DataFrame:
     said = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     conv, text = HOSTILE
     more = [(conv, 0, "user", text), (conv, 1, "assistant", text)]
-    hostile = spark.createDataFrame(more, "conv_id long, turn long, role string, text string")
+    hostile = few_rows(spark, "conv_id long, turn long, role string, text string", more)
     formatted = chat.format_conversations(said.unionByName(hostile))
     return formatted.mapInArrow(_digests, FORMATTED)
 
@@ -146,7 +147,7 @@ def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_url_reputation(spark: SparkSession, folder: str) -> DataFrame:
-    rules = spark.createDataFrame(URL_RULES, "rule_host string, rule_path string, rule_verdict string")
+    rules = few_rows(spark, "rule_host string, rule_path string, rule_verdict string", list(URL_RULES))
     pages = table(spark, folder, "pages").select("page_id", "url")
     return url_reputation.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 

@@ -168,5 +168,5 @@ def shuffle_to_shards(
     if shards < 1:
         raise ValueError("shards must be 1 or more")
     df = step_aside(df, ("shard", "slot", "row_no"))
-    rows = numbered(df, "shard-rows")
+    rows = numbered(df, "shard-rows", level=9)
     return rows.join(assign(rows, shards, seed, block_rows), "row_no").drop("row_no")

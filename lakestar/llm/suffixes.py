@@ -182,13 +182,16 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     ordered = found.select("row_no", F.inline("kept")).repartitionByRange(*keys).sortWithinPartitions(*keys)
     matched = ordered.mapInArrow(_matched, "row_no long, at int").groupBy("row_no").agg(F.collect_list("at").alias("places"))
     once = matched.join(classes.select(F.col("rep").alias("row_no")), "row_no", "left_semi")
+    once = written(once, "suffix-matches")
+    # the numbers first: while they are few, Spark need not shuffle texts
+    wanted = written(once.select("row_no").sort("row_no"), "suffix-texts")
     windows = written(
-        rows.select("row_no", "text")
-        .join(written(once, "suffix-matches"), "row_no")
+        rows.select("row_no", "text").join(wanted, "row_no", "left_semi")
+        .join(once, "row_no")
         .select("row_no", "text", "places")
         .mapInArrow(_windows, "row_no long, start int, window long"),
         "suffix-windows",
-    )
+    )
     twice = windows.groupBy("window").agg(F.count("*").alias("copies"), F.min("row_no").alias("first_row"))
     repeats = written(twice.where("copies > 1"), "suffix-repeats")
     own = _joined(windows.join(repeats, "window").select("row_no", "start", "copies", "first_row"))
