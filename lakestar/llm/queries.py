@@ -47,9 +47,13 @@ def op1_minhash(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_suffixes(spark: SparkSession, folder: str) -> DataFrame:
     spans = suffixes.with_spans(table(spark, folder, "documents").select("doc_id", "text"))
-    return spans.select(
-        "doc_id", F.col("start").alias("start_word"), F.col("end").alias("end_word"), "copies", F.col("first").alias("is_first")
+    span = F.struct(F.col("start").alias("start_word"), F.col("end").alias("end_word"), "copies", F.col("first").alias("is_first"))
+    piece = lambda x: F.struct(
+        x["start"].alias("start_word"), x["end"].alias("end_word"), x["copies"].alias("copies"), F.lit(False).alias("is_first")
     )
+    # dropping what is not first keeps a passage once, so a span that is first lists its pieces that are not beside it
+    pieces = F.filter(F.transform("again", piece), lambda _: F.col("first"))
+    return spans.select("doc_id", F.inline(F.concat(F.array(span), pieces)))
 
 
 def op3_pitman_yor(spark: SparkSession, folder: str) -> DataFrame:

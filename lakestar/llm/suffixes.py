@@ -35,6 +35,8 @@ GRAM = 8
 REACH = 34
 #: Words from a kept suffix to the end of the shortest window in which it is the first.
 AHEAD = WORDS - REACH + 1
+#: Pieces of a span, with the copies of the span they were found in.
+PIECES = "array<struct<start:int,end:int,copies:bigint>>"
 
 
 def _words(text: bytes | None) -> list[bytes]:
@@ -117,10 +119,13 @@ def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The windows of WORDS words in which a matched suffix may be the first minimiser."""
+    """The windows of WORDS words in which a matched suffix may be the first minimiser.
+
+    ``fresh`` are the first ones of their kind in the text.
+    """
     known = WordHashes()
     for batch in batches:
-        rows, starts, keys = [], [], []
+        rows, starts, keys, fresh = [], [], [], []
         for row, text, places in zip(
             batch.column("row_no").to_pylist(),
             batch.column("text").cast(pa.binary()).to_pylist(),
@@ -135,37 +140,59 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows.append(np.full(len(at), row, np.int64))
             starts.append(at.astype(np.int32))
             keys.append(hashes[at].view(np.int64))
+            fresh.append(np.zeros(len(at), bool))
+            fresh[-1][np.unique(keys[-1], return_index=True)[1]] = True
         if rows:
-            arrays = [np.concatenate(x) for x in (rows, starts, keys)]
-            yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], ["row_no", "start", "window"])
+            arrays = [np.concatenate(x) for x in (rows, starts, keys, fresh)]
+            yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], ["row_no", "start", "window", "fresh"])
 
 
 def _joined(windows: DataFrame) -> DataFrame:
-    """Maximal spans of overlapping or touching windows per row."""
+    """Maximal spans of overlapping or touching windows per row.
+
+    ``own`` windows have their first place here; ``again`` is what of a span none of them covers.
+    """
     order = Window.partitionBy("row_no").orderBy("start")
     apart = F.coalesce((F.col("start") - F.lag("start").over(order) > WORDS).cast("int"), F.lit(0))
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    covered = F.coalesce(F.max(F.when(F.col("own"), F.col("start"))).over(earlier) + WORDS, F.lit(0))
+    piece = lambda a, b: F.struct(a.cast("int").alias("start"), b.cast("int").alias("end"))
+    gap = F.when(F.col("own") & (F.col("covered") < F.col("start")), piece(F.col("covered"), F.col("start")))
+    last = piece(F.coalesce(F.col("own_end"), F.col("start")), F.col("end"))
+    pieces = F.transform(
+        F.concat("gaps", F.array(last)), lambda x: piece(F.greatest(x["start"], F.col("start")), x["end"])
+    )
     return (
         windows.withColumn("apart", apart)
+        .withColumn("covered", covered)
         .withColumn("span", F.sum("apart").over(order))
         .groupBy("row_no", "span")
         .agg(
             F.min("start").alias("start"),
             (F.max("start") + WORDS).alias("end"),
             F.max("copies").alias("copies"),
-            F.min("first_row").alias("first_row"),
+            (F.max(F.when(F.col("own"), F.col("start"))) + WORDS).alias("own_end"),
+            F.sort_array(F.collect_list(gap)).alias("gaps"),
         )
-        .drop("span")
+        .withColumn("again", F.filter(pieces, lambda x: x["start"] < x["end"]))
+        .withColumn("again", F.transform("again", lambda x: x.withField("copies", F.col("copies"))))
+        .drop("span", "own_end", "gaps")
     )
 
 
 def repeated_spans(rows: DataFrame) -> DataFrame:
-    """``row_no``, ``start``, ``end`` (words), ``copies``, ``first_row`` of every maximal repeated span.
+    """``row_no``, ``start``, ``end`` (words), ``copies``, ``again`` of every maximal repeated span.
 
     ``rows`` are numbered, with a ``text``. A text of 50 words or more that has exact copies is
     one span, with the number of its copies. In a text without copies a span is a union of
     overlapping windows of 50 words that stand at two places or more, the copies of a text
-    counted once; ``copies`` is how often its most frequent window does. ``first_row`` is the
-    least row that holds any of it.
+    counted once; ``copies`` is how often its most frequent window does.
+
+    ``again`` are the pieces of the span to drop so that a passage stays once. The first place of a
+    window is in the least row, and there the first one. All of a text that has a copy in a lesser
+    row goes; of other texts what windows cover whose first place is elsewhere, but for words that a
+    window in its first place needs. So no window loses its first place, and one stays in another
+    place only if windows that have theirs there cover all of it.
     """
     found = written(
         rows.select("row_no", "text").mapInArrow(
@@ -189,31 +216,38 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
         rows.select("row_no", "text").join(wanted, "row_no", "left_semi")
         .join(once, "row_no")
         .select("row_no", "text", "places")
-        .mapInArrow(_windows, "row_no long, start int, window long"),
+        .mapInArrow(_windows, "row_no long, start int, window long, fresh boolean"),
         "suffix-windows",
     )
     twice = windows.groupBy("window").agg(F.count("*").alias("copies"), F.min("row_no").alias("first_row"))
     repeats = written(twice.where("copies > 1"), "suffix-repeats")
-    own = _joined(windows.join(repeats, "window").select("row_no", "start", "copies", "first_row"))
-    parts = own.join(classes.where("n = 1").select("digest", F.col("rep").alias("row_no")), "row_no").select(
-        "digest", "start", "end", "copies", "first_row"
+    here = F.col("fresh") & (F.col("row_no") == F.col("first_row"))
+    own = _joined(windows.join(repeats, "window").select("row_no", "start", "copies", here.alias("own")))
+    parts = own.join(classes.withColumn("row_no", F.col("rep")), "row_no").select(
+        "digest", "start", "end", "copies", "rep", "n", "again"
     )
-    whole = classes.where("n > 1").select(
+    parts = written(parts, "suffix-parts")
+    within = parts.where("n > 1").groupBy("digest").agg(F.sort_array(F.flatten(F.collect_list("again"))).alias("again"))
+    whole = classes.where("n > 1").join(within, "digest", "left").select(
         "digest", F.lit(0).alias("start"), F.col("n_words").cast("int").alias("end"), F.col("n").alias("copies"),
-        F.col("rep").alias("first_row"),
+        "rep", "n", F.coalesce("again", F.array().cast(PIECES)).alias("again"),
     )
-    spans = written(parts.unionByName(whole), "suffix-spans")
-    return long.join(spans, "digest").select("row_no", "start", "end", "copies", "first_row")
+    spans = written(parts.where("n = 1").unionByName(whole), "suffix-spans")
+    all_of_it = F.array(F.struct("start", "end", "copies")).cast(PIECES)
+    again = F.when(F.col("row_no") == F.col("rep"), F.col("again")).otherwise(all_of_it)
+    return long.join(spans, "digest").select("row_no", "start", "end", "copies", again.alias("again"))
 
 
 def with_spans(df: DataFrame, text: str = "text") -> DataFrame:
-    """All columns of ``df``, a row for each repeated span with ``start``, ``end``, ``copies``.
+    """All columns of ``df``, a row for each repeated span with ``start``, ``end``, ``copies``, ``again``.
 
-    ``first`` tells whether the row is the least one that holds any of the span, so dropping
-    the others' spans keeps a passage once. Rows without a repeated span don't come back; nor do
+    ``again`` are the pieces of the span that stand elsewhere before; dropping these words keeps a
+    passage once (see ``repeated_spans``). ``first`` tells whether anything else is in the span, so dropping
+    spans that are not first loses no passage, but leaves the pieces of the others. Rows without a repeated span don't come back; nor do
     null, empty or short texts. Repeated rows are copies. Input columns with a result's name are kept
     as ``<name>_input``.
     """
-    rows = numbered(step_aside(df, ("row_no", "start", "end", "copies", "first", "first_row")), "suffix-rows")
+    rows = numbered(step_aside(df, ("row_no", "start", "end", "copies", "again", "first")), "suffix-rows")
     spans = written(repeated_spans(rows.select("row_no", col(text).alias("text"))), "suffix-result")
-    return rows.join(spans, "row_no").withColumn("first", F.col("row_no") == F.col("first_row"))
+    whole = F.exists("again", lambda x: (x["start"] == F.col("start")) & (x["end"] == F.col("end")))
+    return rows.join(spans, "row_no").withColumn("first", ~whole)

@@ -7,6 +7,7 @@ import edges
 import numpy as np
 
 from lakestar.llm import suffixes
+from lakestar.llm.queries import op2_suffixes
 
 SCHEMA = "doc_id long, text string"
 W = suffixes.WORDS
@@ -69,6 +70,53 @@ def test_copies_and_first(spark):
     assert {(r["start"], r["end"], r["copies"]) for r in got} == {(0, 80, 5)} and sum(r["first"] for r in got) == 1
 
 
+def left(spark, texts):
+    """How often each repeated window is left after the pieces that stand elsewhere before are dropped."""
+    rows = suffixes.with_spans(spark.createDataFrame(list(texts.items()), SCHEMA).coalesce(1)).collect()
+    gone = {i: set() for i in texts}
+    for r in rows:
+        assert all(r["start"] <= a < b <= r["end"] for a, b, _ in r["again"])
+        assert r["first"] == ([(a, b) for a, b, _ in r["again"]] != [(r["start"], r["end"])])
+        gone[r["doc_id"]] |= {k for a, b, _ in r["again"] for k in range(a, b)}
+    copies, out, seen = Counter(), Counter(), set()
+    for i, t in texts.items():
+        w = t.split()
+        for j in range(len(w) - W + 1):
+            copies[tuple(w[j : j + W])] += t not in seen
+            out[tuple(w[j : j + W])] += not gone[i] & set(range(j, j + W))
+        seen.add(t)
+    return {w: out[w] for w in copies if copies[w] > 1}
+
+
+def test_dropping_what_stands_before_leaves_each_window_once(spark, tmp_path):
+    a, b, c, p = ([f"{x}{i}" for i in range(60)] for x in "abcp")
+    own = lambda x, n: [f"{x}own{i}" for i in range(n)]
+    texts = {
+        3: own("x", 9) + a, 7: own("y", 5) + a + b + own("z", 5), 9: b + own("w", 9),
+        12: p + own("p", 9), 15: own("q", 70) + p + own("r", 70), 16: own("q", 70) + p + own("r", 70),
+        20: c + own("s", 9) + c, 21: a + b + c,
+    }
+    texts = {i: " ".join(w) for i, w in texts.items()}
+    found = left(spark, texts)
+    assert len(found) >= 44 and set(found.values()) == {1}
+    spark.createDataFrame(list(texts.items()), SCHEMA).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {tuple(r) for r in op2_suffixes(spark, str(tmp_path)).collect()}
+    of = lambda i: {r[1:] for r in rows if r[0] == i}
+    assert of(7) == {(5, 125, 3, True), (5, 16, 3, False)} and of(9) == {(0, 60, 3, False)}
+    assert of(15) == {(0, 200, 2, True), (70, 130, 2, False)} and of(16) == {(0, 200, 2, False)}
+
+
+def test_no_window_is_lost_where_passages_overlap(spark):
+    r = random.Random(11)
+    words = [f"o{i}" for i in range(400)]
+    texts = {}
+    for i in range(60):
+        at = r.randrange(0, 300)
+        texts[i] = " ".join([f"f{i}"] + words[at : at + r.randrange(50, 100)] + [f"g{i}"]) if i % 7 else texts.get(i - 5, "")
+    found = left(spark, texts)
+    assert len(found) > 100 and min(found.values()) == 1
+
+
 def test_minimisers_depend_on_their_window_alone():
     r = np.random.default_rng(1)
     common = r.integers(0, 50, 200).astype(np.uint64)  # with ties
