@@ -70,7 +70,7 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
-    found = secrets.scan(table(spark, folder, "documents").select("doc_id", "text")).drop("text")
+    found = secrets.scan(table(spark, folder, "documents").select("doc_id", "text"), apart=True).drop("text")
     base = F.filter("found", lambda x: x["kind"].isin("assign", "access", "hex"))
     number = lambda kind: F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select(

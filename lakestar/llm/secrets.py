@@ -3,7 +3,8 @@
 Strong spans (an assignment to a secret's name, an access identifier, a long hex run) are
 reported wherever they stand. Weak candidates (an endpoint, a user name, an opaque string) are
 everywhere in harmless text; they are reported only if a part that complements them overlaps
-their scope, some characters to either side: credentials come in parts.
+their scope, some characters to either side: credentials come in parts. With ``apart``, candidates
+cut from one text are not parts of each other: of those that overlap the kind listed first counts.
 
 The link is an interval join. Text is cut into cells as wide as the scope reaches; of the parts
 that overlap a cell only the first start and the last end are kept per role, which is enough to
@@ -43,7 +44,7 @@ _ASSIGN = (
     r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]"
     r"|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
 )
-#: In the order in which spans with the same start are listed.
+#: In the order in which spans with the same start are listed; strong kinds first.
 KINDS = (
     Kind("assign", _ASSIGN, "secret", True, 8, 2, r"[:=]"),
     Kind("access", r"AKIA[A-Z0-9]+", "id", True, 16, 0, "AKIA"),
@@ -71,11 +72,13 @@ def _pieces(text: Column, kind: Kind) -> Column:
     return F.when(text.rlike(kind.hint), matches) if kind.hint else matches
 
 
-def spans(rows: DataFrame, text: str, reach: int = REACH) -> DataFrame:
+def spans(rows: DataFrame, text: str, reach: int = REACH, apart: bool = False) -> DataFrame:
     """``row_no``, ``kind``, ``start``, ``end`` (code points, end exclusive) of what is reported.
 
     ``rows`` are numbered. Matches of one kind are leftmost and don't overlap; opaque strings
     need a letter and a digit, and a weak candidate is dropped where a strong span covers part of it.
+    With ``apart`` it is dropped, too, where a weak candidate of a kind listed before does: the piece of a
+    link that looks opaque, or a long user name, is no secret beside the link or the name.
     """
     whole = F.coalesce(col(text), F.lit(""))
     none = F.array().cast("array<struct<gap:int,size:int,judged:int,mixed:boolean>>")
@@ -104,7 +107,7 @@ def spans(rows: DataFrame, text: str, reach: int = REACH) -> DataFrame:
         "secret-spans",
     )
     strong, weak = found.where("strong"), found.where("not strong")
-    reached = written(_linked(weak, strong, reach), "secret-links")
+    reached = written(_linked(weak, strong, reach, apart), "secret-links")
     return strong.select("row_no", "kind_no", "kind", "start", "end").unionByName(reached)
 
 
@@ -134,23 +137,27 @@ def _overlapping(parts: DataFrame, bounds: DataFrame, width: int, lo: Column, hi
     )
 
 
-def _uncovered(weak: DataFrame, strong: DataFrame) -> DataFrame:
-    """The weak candidates that no strong span of their row overlaps."""
-    order = Window.partitionBy("row_no").orderBy("key", "strong").rowsBetween(Window.unboundedPreceding, 0)
-    met = F.max(F.when(F.col("strong"), F.col("end"))).over(order)
-    events = weak.withColumn("key", F.col("end")).unionByName(strong.withColumn("key", F.col("start")))
+def _uncovered(weak: DataFrame, covers: DataFrame) -> DataFrame:
+    """The weak candidates that no cover of their row overlaps whose kind is listed before theirs."""
+    order = Window.partitionBy("row_no").orderBy("key", "cover").rowsBetween(Window.unboundedPreceding, 0)
+    met = F.lit(None)
+    for i in [i for i, k in enumerate(KINDS) if not k.strong]:
+        before = F.max(F.when(F.col("cover") & (F.col("kind_no") < i), F.col("end"))).over(order)
+        met = F.when(F.col("kind_no") == i, before).otherwise(met)
+    event = lambda parts, key, cover: parts.withColumns({"key": F.col(key), "cover": F.lit(cover)})
     return (
-        events.withColumn("met", F.coalesce(met, F.lit(-1)))
-        .where(~F.col("strong") & (F.col("met") <= F.col("start")))
-        .drop("key", "met")
-    )
+        event(weak, "end", False).unionByName(event(covers, "start", True))
+        .withColumn("met", F.coalesce(met, F.lit(-1)))
+        .where(~F.col("cover") & (F.col("met") <= F.col("start")))
+        .drop("key", "cover", "met")
+    )
 
 
-def _linked(weak: DataFrame, strong: DataFrame, reach: int) -> DataFrame:
+def _linked(weak: DataFrame, strong: DataFrame, reach: int, apart: bool) -> DataFrame:
     """The weak candidates that no strong span overlaps and that a complementary part is near."""
     keys = ["row_no", "kind_no", "start"]
     start, end = F.col("start"), F.col("end")
-    alone = written(_uncovered(weak, strong), "secret-weak")
+    alone = written(_uncovered(weak, strong.unionByName(weak) if apart else strong), "secret-weak")
     fits = F.lit(False)
     for role, others in COMPLEMENT.items():
         fits = fits | ((F.col("role") == role) & F.col("other").isin(*others))
@@ -159,17 +166,17 @@ def _linked(weak: DataFrame, strong: DataFrame, reach: int) -> DataFrame:
     return alone.join(near, keys, "left_semi").select("row_no", "kind_no", "kind", "start", "end")
 
 
-def scan(df: DataFrame, text: str = "text", reach: int = REACH) -> DataFrame:
+def scan(df: DataFrame, text: str = "text", reach: int = REACH, apart: bool = False) -> DataFrame:
     """All rows and columns with ``found``: the spans as structs of kind, start, end, in order.
 
-    By start, then kind as listed in ``KINDS``; empty for a null or empty text. Rows are numbered,
+    ``apart`` as in ``spans``. By start, then kind as listed in ``KINDS``; empty for a null or empty text. Rows are numbered,
     so null and repeated ids don't matter; an empty table gives an empty one. An input column
     called found is kept as ``found_input``.
     """
     rows = numbered(step_aside(df, ("found", "row_no")), "secret-rows")
     each = F.struct("start", "kind_no", "kind", "end")
     lists = (
-        spans(rows, text, reach)
+        spans(rows, text, reach, apart)
         .groupBy("row_no")
         .agg(F.sort_array(F.collect_list(each)).alias("listed"))
         .select("row_no", F.transform("listed", lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"))).alias("found"))

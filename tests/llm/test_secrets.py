@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakestar.llm import secrets
+from lakestar.llm.queries import op5_secrets
 
 SCHEMA = "doc_id long, text string"
 
@@ -59,6 +60,20 @@ def test_weak_parts_need_each_other(spark):
     assert got == {1: [], 2: ["user", "opaque"], 3: [], 4: [], 5: ["endpoint", "opaque"], 6: [], 7: ["assign", "user"]}
 
 
+def test_parts_of_one_text_do_not_complement_each_other(spark, tmp_path):
+    key, link = "Zm9vYmFyYmF6cXV4MTIzNDU2", "https://en.wikipedia.org/wiki/History_of_Rome_476"
+    docs = [
+        (1, f"see {link} for more"), (2, f"{link} and {link}?page_number=12345678901234567890, {link}"),
+        (3, f"image_gallery_link_2={link}"), (4, "login=abcdefghij0123456789xyz"), (5, f"https://example.com/?user=bob&x={key}"),
+        (6, f"{link} {key}"), (7, f"user=bob {key} {link}"), (8, f"{link} token=abcdefgh1"),
+    ]
+    spark.createDataFrame(docs, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = op5_secrets(spark, str(tmp_path)).select("doc_id", "spans").collect()
+    got = {i: [s.split(":")[0] for s in spans.split(",") if s] for i, spans in rows}
+    both = {6: ["endpoint", "opaque"], 7: ["user", "opaque", "endpoint"], 8: ["endpoint", "assign"]}
+    assert got == {**{i: [] for i in range(1, 6)}, **both}
+
+
 def test_a_match_that_fails_uses_up_its_text(spark):
     text = "token: secret : abcdefgh12"
     assert secrets.scan(spark.createDataFrame([(1, text)], SCHEMA)).first()["found"] == []
