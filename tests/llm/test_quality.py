@@ -84,6 +84,35 @@ def test_centre_and_covariance_are_those_of_the_bulk(spark):
     assert np.abs(found - want).max() < 0.35 * np.abs(want).max()
 
 
+def test_a_third_of_bad_rows_shapes_nothing(spark):
+    """With production values, wherever they are; they are all rejected, and nearly no others."""
+    r = np.random.default_rng(4)
+    p = len(quality.FLOORS)
+    mix = r.normal(size=(p, p)) + 3 * np.eye(p)
+    bulk = r.normal(size=(2400, p)) @ mix
+    rows = []
+    for key, far in {
+        "one side": r.normal(size=(1200, p)) * 0.1 + 40,
+        "wide": r.normal(size=(1200, p)) * 30 + 60,
+        "one statistic": bulk[:1200] + 60 * np.eye(p)[3],
+    }.items():
+        rows += [(key, x.tolist(), i >= len(bulk)) for i, x in enumerate(np.concatenate([bulk, far]))]
+    df = spark.createDataFrame(rows, "key string, x array<double>, bad boolean")
+    fit = quality.robust_fit(df.select("key", "x"))
+    out = df.join(fit, "key").withColumn("out", quality._square_distance(p) / F.col("scale") > quality.CUTOFF)
+    shares = out.groupBy("key", "bad").agg(F.avg(F.col("out").cast("double")).alias("share")).collect()
+    assert len(shares) == 6 and all(s["share"] > 0.98 if s["bad"] else s["share"] < 0.01 for s in shares), shares
+
+
+def test_small_groups_are_judged_by_their_whole_language_or_not_at_all(spark):
+    rows = [("en", "a", i) for i in range(300)] + [("en", "b", i) for i in range(9)] + [("de", "a", i) for i in range(20)]
+    docs = spark.createDataFrame([(i, " ".join(["word"] * 5 + [f"w{i}x{j}" for j in range(40)]), a, b) for a, b, i in rows], SCHEMA)
+    long = spark.createDataFrame([(-1, " ".join(f"v{j}" for j in range(90_000)), "en", "b"), (-2, " ".join(f"v{j}" for j in range(90_000)), "de", "a")], SCHEMA)
+    got = quality.verdicts(quality.measure(docs.unionByName(long))).collect()
+    assert {r["doc_id"] for r in got if not r["kept"]} == {-1}
+    assert all((r["distance"] is None) == (r["lang"] == "de") for r in got)
+
+
 def test_inverse_factor(spark):
     r = np.random.default_rng(1)
     p = len(quality.FLOORS)
