@@ -24,7 +24,8 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 MORE_COUNTS = ("n_lines", "n_upper", "n_marks")
 WINDOW = 8
 #: Least standard deviation of each transformed statistic, in the order of ``vector``.
-FLOORS = (0.5, 0.1, 0.035, 0.06, 0.3, 0.3)
+#: With these a share of repeated lines or words rejects by itself above 19 %, in a group where few have any.
+FLOORS = (0.5, 0.1, 0.035, 0.06, 0.1, 0.1)
 #: Concentration steps at most, and the fall of the determinant's logarithm below which they end.
 STEPS = 30
 TOLERANCE = 1e-3

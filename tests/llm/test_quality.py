@@ -113,6 +113,24 @@ def test_small_groups_are_judged_by_their_whole_language_or_not_at_all(spark):
     assert all((r["distance"] is None) == (r["lang"] == "de") for r in got)
 
 
+def test_repeated_lines_are_rejected_and_few_of_them_kept(spark):
+    r = random.Random(8)
+    line = lambda: " ".join("".join(r.choice("abcdefghij") for _ in range(max(2, int(r.gauss(5, 1))))) for _ in range(r.randrange(1, 7)))
+    menu = [f"menu{c}" for c in "abcdefghij"]
+
+    def page(repeated, n=200):
+        again = menu + r.choices(menu, k=repeated) if repeated else []
+        lines = again + [line() + f" {i}x" for i in range(n - len(again))]
+        r.shuffle(lines)
+        return "\n".join(lines)
+
+    clean = [(i, page(0), "en", "a") for i in range(300)] + [(300 + i, page(2 + i), "en", "a") for i in range(8)]
+    bad = [(1000 + k, page(k), "en", "a") for k in (100, 120, 140, 160, 180)]
+    got = quality.verdicts(quality.measure(spark.createDataFrame(clean + bad, SCHEMA))).collect()
+    assert not any(r["base_failed"] for r in got)
+    assert {r["doc_id"] for r in got if not r["kept"]} == {i for i, *_ in bad}
+
+
 def test_inverse_factor(spark):
     r = np.random.default_rng(1)
     p = len(quality.FLOORS)
