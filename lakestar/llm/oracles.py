@@ -168,9 +168,48 @@ select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items,
 from d left join h on d.row_no = h.row_no left join t on d.row_no = t.row_no
 """
 
+
+
+def _op13(k: int = 40, rounds: int = 5) -> str:
+    """Each round of Lloyd's algorithm is two tables: the assignment, and the centroids after it."""
+    part = "(v.x[i] - c.x[i]) * (v.x[i] - c.x[i])"
+    near = (
+        "select vec_id, x, row_no, d.c as c, d.d as d from (select vec_id, x, row_no, min({{'d': d, 'c': c}}) as d from ("
+        f"select v.*, c.c, cast(list_sum(list_transform(range(1, 65), lambda i: {part})) as bigint) as d "
+        "from v, c{0} c) group by vec_id, x, row_no)"
+    )
+    move = (
+        "select c.c, coalesce(n.x, c.x) as x from c{0} c left join (select c, list(m order by i) as x from ("
+        "select c, i, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) as m from ("
+        "select c, unnest(x) as x, unnest(range(1, 65)) as i from a{0}) group by c, i) group by c) n on c.c = n.c"
+    )
+    steps = [
+        """v as materialized (
+  select vec_id, list_transform(embedding, lambda e: cast(floor(256 * cast(e as double)) as bigint)) as x, row_number() over () as row_no
+  from embeddings where len(embedding) = 64 and len(list_filter(embedding, lambda e: e is not null and isfinite(e))) = 64)""",
+        f"""c0 as materialized (
+  select row_number() over (order by h, x) - 1 as c, x
+  from (select x, sha256('2:' || coalesce(cast(vec_id as varchar), '')) as h from v order by h, x limit {k}))""",
+    ]
+    for r in range(rounds):
+        steps += [f"a{r} as materialized ({near.format(r)})", f"c{r + 1} as materialized ({move.format(r)})"]
+    steps += [f"a{rounds} as materialized ({near.format(rounds)})"]
+    return (
+        "with " + ",\n".join(steps) + f"""
+select vec_id, cast(a.c as int) as cluster, d as distance,
+       cast(sum(d) over (partition by a.c) as bigint) as cluster_inertia, cast(sum(d) over () as bigint) as inertia,
+       sha256(array_to_string(c.x, ',')) as centroid_sha256
+from a{rounds} a join c{rounds} c on a.c = c.c
+"""
+    )
+
+
+OP13 = _op13()
+
 ORACLES: dict[str, str] = {
     "op4_mixing": OP4,
     "op6_chat": OP6,
     "op8_decontaminate": OP8,
     "op10_url_reputation": OP10,
+    "op13_centroids": OP13,
 }

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestar.llm import (
+    centroids,
     chat,
     decontaminate,
     minhash,
@@ -156,6 +157,11 @@ def op10_url_reputation(spark: SparkSession, folder: str) -> DataFrame:
     return url_reputation.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op13_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact clusters of the vectors; vectors with nulls or a wrong length are left out, ties go to the smaller number."""
+    return centroids.cluster(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_suffixes": op2_suffixes,
@@ -167,4 +173,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_sharding": op9_sharding,
     "op10_url_reputation": op10_url_reputation,
+    "op13_centroids": op13_centroids,
 }
