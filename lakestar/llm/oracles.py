@@ -169,6 +169,39 @@ from d left join h on d.row_no = h.row_no left join t on d.row_no = t.row_no
 """
 
 
+OP11 = r"""
+with d as (
+  select * from (
+    select doc_id, row_number() over () as row_no,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w
+    from documents)
+  where len(w) > 0),
+g as (select count(*) as n_docs, cast(sum(len(w)) as bigint) as n_terms from d),
+b as (
+  select item_id, query_no, unnest(list_distinct(w)) as term
+  from (
+    select item_id, row_number() over () as query_no,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w
+    from benchmark)),
+t as (
+  select row_no, doc_id, n, term, count(*) as tf from (select row_no, doc_id, len(w) as n, unnest(w) as term from d)
+  where term in (select term from b) group by row_no, doc_id, n, term),
+f as (
+  select term, cast(floor(1000 * ln(cast(2 * any_value(n_docs) + 2 as double) / cast(2 * count(*) + 1 as double))) as bigint) as weight
+  from t, g group by term),
+s as (
+  select query_no, item_id, row_no, doc_id,
+         cast(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms)))) as bigint) as score
+  from b join t on b.term = t.term join f on t.term = f.term, g group by query_no, item_id, row_no, doc_id)
+select item_id, rank, doc_id, score
+from (
+  select *, cast(row_number() over (partition by query_no order by score desc, doc_id nulls last, row_no) as int) as rank
+  from s where score > 0)
+where rank <= 10
+"""
+
 
 def _op13(k: int = 40, rounds: int = 5) -> str:
     """Each round of Lloyd's algorithm is two tables: the assignment, and the centroids after it."""
@@ -211,5 +244,6 @@ ORACLES: dict[str, str] = {
     "op6_chat": OP6,
     "op8_decontaminate": OP8,
     "op10_url_reputation": OP10,
+    "op11_ranked": OP11,
     "op13_centroids": OP13,
 }

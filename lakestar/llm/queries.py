@@ -17,6 +17,7 @@ from lakestar.llm import (
     mixing,
     pitman_yor,
     quality,
+    ranked,
     secrets,
     sharding,
     suffixes,
@@ -157,6 +158,12 @@ def op10_url_reputation(spark: SparkSession, folder: str) -> DataFrame:
     return url_reputation.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_ranked(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents of each benchmark item; null texts are in no result, ties go to the smaller id."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return ranked.search(docs, table(spark, folder, "benchmark").select("item_id", "text"))
+
+
 def op13_centroids(spark: SparkSession, folder: str) -> DataFrame:
     """Exact clusters of the vectors; vectors with nulls or a wrong length are left out, ties go to the smaller number."""
     return centroids.cluster(table(spark, folder, "embeddings"))
@@ -173,5 +180,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_sharding": op9_sharding,
     "op10_url_reputation": op10_url_reputation,
+    "op11_ranked": op11_ranked,
     "op13_centroids": op13_centroids,
 }
