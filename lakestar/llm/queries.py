@@ -21,6 +21,7 @@ from lakestar.llm import (
     secrets,
     sharding,
     suffixes,
+    tokenfile,
     url_reputation,
 )
 from lakestar.llm.common import word_count
@@ -164,6 +165,19 @@ def op11_ranked(spark: SparkSession, folder: str) -> DataFrame:
     return ranked.search(docs, table(spark, folder, "benchmark").select("item_id", "text"))
 
 
+#: Vocabulary of ``op12_token_file``, and the id that ends a document.
+VOCABULARY, END_ID = "word_bpe_49k.json", 2
+
+
+def op12_token_file(spark: SparkSession, folder: str) -> DataFrame:
+    """What the token files say of each document; null texts have their end id only, rows of one id are told apart by text."""
+    import public_tokenizers
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = tokenfile.round_trip(docs, public_tokenizers.path(VOCABULARY), END_ID)
+    return found.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op13_centroids(spark: SparkSession, folder: str) -> DataFrame:
     """Exact clusters of the vectors; vectors with nulls or a wrong length are left out, ties go to the smaller number."""
     return centroids.cluster(table(spark, folder, "embeddings"))
@@ -181,5 +195,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sharding": op9_sharding,
     "op10_url_reputation": op10_url_reputation,
     "op11_ranked": op11_ranked,
+    "op12_token_file": op12_token_file,
     "op13_centroids": op13_centroids,
 }

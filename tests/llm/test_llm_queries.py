@@ -15,13 +15,14 @@ COLUMNS = {
     "op3_pitman_yor": {"doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"},
     "op5_secrets": {"doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"},
     "op7_quality": {"doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance"},
+    "op12_token_file": {"doc_id", "start", "n_tokens", "ids_crc32"},
     "op9_sharding": {"doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"},
 }
 
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(ORACLES) <= set(oracle_sql())
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) == set(ORACLES) | set(COLUMNS)
 
 
