@@ -5,13 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakestar.operators.dimensions import stamped
-from lakestar.operators.lookup import Limits, Lookup, attach, measure
+from lakestar.operators.lookup import Limits, Lookup, Size, attach, measure
 from lakestar.sources.tables import gathered
-from lakestar.specs import FACT_LOOKUPS, FACT_MEASURES, FACT_SCHEMA, PERIOD, Dimension
+from lakestar.specs import FACT_LOOKUPS, FACT_MEASURES, FACT_SCHEMA, PERIOD, ROW_PLACE, Dimension
 
 
 def fact_lookups(
@@ -20,30 +20,52 @@ def fact_lookups(
     return [Lookup(d.name, dimensions[d.name], (d.lookup,), d.sk) for d in by]
 
 
-def build_fact(
+def keyed_rows(
     rows: DataFrame,
     dimensions: dict[str, DataFrame],
     *,
     by: Sequence[Dimension] = FACT_LOOKUPS,
+    how: str = "inner",
     stamp: dt.datetime | None = None,
     on_duplicate: str = "fail",
     limits: Limits = Limits(),
+    sizes: dict[str, Size] | None = None,
 ) -> DataFrame:
-    """Silver rows with the keys of their five dimensions. A row that lacks one is left out.
+    """Silver rows as rows of the fact; ``how='left'`` keeps those that lack a key, which is null.
 
     If every lookup can be broadcast, rows stay where they were read, month by month.
-    Otherwise a lookup has shuffled them and they are gathered again for the write.
+    Otherwise a lookup has shuffled them and they are gathered again for the write. ``sizes`` are
+    those of the lookups, where they are known.
     """
-    needed = ["sale_date", *[d.lookup for d in by], *FACT_MEASURES, *PERIOD]
+    place = [ROW_PLACE] if ROW_PLACE in rows.columns else []
+    needed = ["sale_date", *[d.lookup for d in by], *FACT_MEASURES, *PERIOD, *place]
     lookups = fact_lookups(dimensions, by)
-    sizes = measure(lookups)
+    sizes = sizes or measure(lookups)
     keyed = attach(
-        rows.select(*needed), lookups, on_duplicate=on_duplicate, limits=limits, sizes=sizes
+        rows.select(*needed), lookups, how, on_duplicate=on_duplicate, limits=limits, sizes=sizes
     )
     fact = stamped(keyed, stamp).select(*FACT_SCHEMA.names)
     return fact if len(limits.small(lookups, sizes)) == len(lookups) else gathered(fact, *PERIOD)
 
 
+def lacks(by: Sequence[Dimension] = FACT_LOOKUPS) -> dict[str, Column]:
+    """For each dimension, whether a row kept by ``keyed_rows(how='left')`` finds no key in it."""
+    return {d.name: F.isnull(d.sk) for d in by}
+
+
+def build_fact(
+    rows: DataFrame,
+    dimensions: dict[str, DataFrame],
+    *,
+    by: Sequence[Dimension] = FACT_LOOKUPS,
+    stamp: dt.datetime | None = None,
+    on_duplicate: str = "fail",
+    limits: Limits = Limits(),
+) -> DataFrame:
+    """Silver rows with the keys of their five dimensions. A row that lacks one is left out."""
+    return keyed_rows(rows, dimensions, by=by, stamp=stamp, on_duplicate=on_duplicate, limits=limits)
+
+
 def rejects(
     rows: DataFrame,
     dimensions: dict[str, DataFrame],

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -11,9 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakestar.session import staged
+from lakestar.specs import ROW_PLACE
 
 _SALT = "__salt"
-_ROW = "__row"
 
 
 class DuplicateLookupKey(ValueError):
@@ -130,14 +131,17 @@ def hot_keys(facts: DataFrame, lookups: Sequence[Lookup], limits: Limits) -> Dat
 def row_identity(facts: DataFrame) -> DataFrame:
     """Add a number that a repeated task gives to the same row, and that equal rows don't share.
 
-    It is the row's place in its file. Rows that don't come straight from files are told apart
-    by their values only.
+    It is the row's place in its file: the one that rows bring (``sources.tables.with_place``), or the
+    scan's own where they come straight from one. Other rows, as those of a union, are told apart
+    by their values only, of which the caller is warned.
     """
+    if ROW_PLACE in facts.columns:
+        return facts
     try:
-        place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
-        return facts.select("*", place.alias(_ROW))
+        return facts.withColumn(ROW_PLACE, F.xxhash64("_metadata.file_path", "_metadata.row_index"))
     except AnalysisException:
-        return facts.withColumn(_ROW, F.xxhash64(*facts.columns))
+        warnings.warn("equal rows of a hot key go to one task: take their place at the scan", stacklevel=2)
+        return facts.withColumn(ROW_PLACE, F.xxhash64(*facts.columns))
 
 
 def _salted(facts: DataFrame, lookup: Lookup, how: str, hot: DataFrame) -> DataFrame:
@@ -150,7 +154,7 @@ def _salted(facts: DataFrame, lookup: Lookup, how: str, hot: DataFrame) -> DataF
     mine = F.broadcast(named.select(F.col("fingerprint").alias("__f"), F.col("salts").alias("__n")))
     left = (
         facts.join(mine, _fingerprint(lookup.on) == F.col("__f"), "left")
-        .withColumn(_SALT, F.coalesce(F.pmod(F.col(_ROW), F.col("__n")), F.lit(0)).cast("int"))
+        .withColumn(_SALT, F.coalesce(F.pmod(F.col(ROW_PLACE), F.col("__n")), F.lit(0)).cast("int"))
         .drop("__f", "__n")
     )
     right = (
@@ -200,4 +204,4 @@ def attach(
         else:
             columns = [*facts.columns, lookup.take]
             facts = facts.join(lookup.right, lookup.matches(), how).select(*columns)
-    return facts.drop(_ROW)
+    return facts.drop(ROW_PLACE)

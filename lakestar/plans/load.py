@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lakestar.operators.dimensions import (
@@ -15,20 +16,19 @@ from lakestar.operators.dimensions import (
     upsert,
     with_parent_key,
 )
-from lakestar.operators.fact import build_fact, rejects
+from lakestar.operators.fact import keyed_rows, lacks
 from lakestar.operators.incremental import late as late_sales
 from lakestar.operators.incremental import slice_after, slice_of_batches, undated
 from lakestar.operators.lookup import Limits
 from lakestar.plans.ingest import now
 from lakestar.sources.ledger import GOLD, SILVER, Current, few_rows
-from lakestar.sources.tables import Lake, gathered
+from lakestar.sources.tables import Lake, gathered, with_place
 from lakestar.specs import (
     CUSTOMER,
     DIMENSIONS,
     FACT,
     FACT_LOOKUPS,
     FACT_LOOKUPS_BY_NAME,
-    FACT_SCHEMA,
     PERIOD,
 )
 
@@ -111,21 +111,33 @@ def _write_fact(
 ) -> tuple[Current, dict[str, int]]:
     """The fact joins the dimensions as written, so its keys are the ones readers find.
 
-    Rows that find no key are counted by dimension.
+    Rows that find no key are kept up to the tasks that write, which count them by dimension and
+    leave them out; so neither the written rows nor silver are read again to be counted.
     """
     by = FACT_LOOKUPS_BY_NAME if by_name else FACT_LOOKUPS
     dimensions = {d.name: lake.gold_table(d.name, versions[d.name]) for d in DIMENSIONS}
-    fact = build_fact(rows, dimensions, by=by, stamp=stamp, on_duplicate=on_duplicate, limits=limits)
+    # rows that fan out can't be counted before the lookups; that mode counts what it offers by itself
+    how = "left" if on_duplicate == "fail" else "inner"
+    keyed = keyed_rows(rows, dimensions, by=by, how=how, stamp=stamp, on_duplicate=on_duplicate, limits=limits)
+    seen, lacking = Observation(), lacks(by)
+    whole = ~reduce(Column.__or__, lacking.values())
+    counted = keyed.observe(
+        seen,
+        F.count("*").alias("rows_offered"),
+        F.count_if(whole).alias("rows_loaded"),
+        F.max(F.when(whole, F.col("sale_date"))).alias("latest"),
+        *[F.count_if(lost).alias(f"lost_{name}") for name, lost in lacking.items()],
+    )
     at = _added(
-        lake, fact, FACT, version, batch_id, before,
+        lake, counted.where(whole), FACT, version, batch_id, before,
         partition_by=PERIOD, max_records_per_file=max_records_per_file,
     )
-    stored = lake.read_parts(lake.gold(FACT, version), FACT_SCHEMA, [(batch_id, dict(at.parts)[batch_id])])
-    latest, kept = stored.agg(F.max("sale_date"), F.count("*")).first()
-    counts = {"rows_offered": rows.count(), "rows_loaded": kept}
-    if kept != counts["rows_offered"] and on_duplicate == "fail":
-        lost = rejects(rows, dimensions, by=by, limits=limits).collect()
-        counts |= {f"lost_{r.dimension}": r.rows_lost for r in lost}
+    counts = dict(seen.get)
+    latest = counts.pop("latest")
+    if on_duplicate != "fail":
+        counts = {"rows_offered": rows.count(), "rows_loaded": counts["rows_loaded"]}
+    elif counts["rows_loaded"] == counts["rows_offered"]:
+        counts = {k: counts[k] for k in ("rows_offered", "rows_loaded")}
     dates = [d for d in (at.max_date, latest) if d is not None]
     return Current(at.version, batch_id, at.parts, max(dates, default=None)), counts
 
@@ -201,11 +213,13 @@ def load_increment(
     else:
         mark = before[FACT].max_date if FACT in before else None
         new = lake.silver_sales(pending)
-        rows = slice_after(silver, mark)
+        # rows are told apart by their place in files, which a union doesn't know
+        placed = with_place if lake.fmt == "parquet" else lambda scan: scan
+        rows = slice_after(placed(silver), mark)
         if mark is not None:
             left["left_late"] = late_sales(new, pending, mark).count()
             if with_undated:
-                rows = rows.unionByName(undated(new, pending))
+                rows = rows.unionByName(undated(placed(new), pending))
             else:
                 left["left_undated"] = undated(new, pending).count()
     if dimensions == "replace":

@@ -20,6 +20,8 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
+#: Lines of landing files that are no sales; a batch without any has no entry.
+MALFORMED_LINES = "malformed"
 
 _ENTRY = T.StructType(
     [

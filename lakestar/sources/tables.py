@@ -15,8 +15,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakestar.sources.ledger import BRONZE, SILVER, Current, Ledger, new_attempt, no_rows
-from lakestar.specs import ATTEMPT, BATCH, BRONZE_SCHEMA, GOLD_SCHEMAS, SILVER_SCHEMA
+from lakestar.sources.ledger import BRONZE, MALFORMED_LINES, SILVER, Current, Ledger, new_attempt, no_rows
+from lakestar.specs import (
+    ATTEMPT,
+    BATCH,
+    BRONZE_SCHEMA,
+    GOLD_SCHEMAS,
+    MALFORMED_SCHEMA,
+    ROW_PLACE,
+    SILVER_SCHEMA,
+)
 
 
 def gathered(rows: DataFrame, *columns: str) -> DataFrame:
@@ -67,6 +75,15 @@ def read_table(
     return reader.load(path)
 
 
+def with_place(rows: DataFrame) -> DataFrame:
+    """Rows of a scan with a number that tells each from all others and that a repeated task gives again.
+
+    It is made of the row's file and its place there, so it must be taken at the scan, before
+    rows of several scans come together; who doesn't use it doesn't pay for it.
+    """
+    return rows.withColumn(ROW_PLACE, F.xxhash64("_metadata.file_path", "_metadata.row_index"))
+
+
 @dataclass(frozen=True)
 class Lake:
     """Where the layers are. One root; landing may be elsewhere."""
@@ -88,6 +105,10 @@ class Lake:
     def bronze(self) -> str:
         return f"{self.root}/bronze/sales"
 
+    @property
+    def malformed(self) -> str:
+        return f"{self.root}/bronze/malformed"
+
     @property
     def silver(self) -> str:
         return f"{self.root}/silver/sales"
@@ -155,6 +176,10 @@ class Lake:
     def silver_sales(self, batches: Sequence[int] | None = None) -> DataFrame:
         return self._stage(SILVER, self.silver, SILVER_SCHEMA, batches)
 
+    def malformed_lines(self, batches: Sequence[int] | None = None) -> DataFrame:
+        """``source_file``, ``line`` and ``batch_id`` of the lines that are no sales."""
+        return self._stage(MALFORMED_LINES, self.malformed, MALFORMED_SCHEMA, batches)
+
     def gold_table(self, table: str, at: Current | None = None) -> DataFrame:
         """The finished batches of a gold table's current version; empty before the first.
 

@@ -65,6 +65,8 @@ PERIOD = ("sale_year", "sale_month")
 STAMP = "updated_at"
 BATCH = "batch_id"
 ATTEMPT = "attempt"
+#: Column that tells rows of a scan apart, see ``sources.tables.with_place``.
+ROW_PLACE = "__row"
 
 SILVER_TYPES = {
     "sale_date": T.DateType(),
@@ -98,6 +100,7 @@ BRONZE_SCHEMA = struct(
     }
 )
 SILVER_SCHEMA = struct({**SILVER_TYPES, BATCH: T.LongType()})
+MALFORMED_SCHEMA = struct({"source_file": T.StringType(), "line": T.StringType(), BATCH: T.LongType()})
 
 
 @dataclass(frozen=True)
