@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,6 +65,47 @@ def without(rows: DataFrame, dropped: DataFrame, label: str) -> DataFrame:
     return rows.join(numbers, "row_no", "left_anti")
 
 
+#: Bits of a map of numbers: 8 MB, whatever the data.
+MAP_BITS = 1 << 26
+#: Bits that one of Spark's bitmap aggregates covers.
+_BITMAP = 32768
+
+
+def bit_map(df: DataFrame, place: Column) -> np.ndarray:
+    """A map of fixed size with the bits set whose ``place`` (a long; the low bits count) some row has.
+
+    It goes to tasks that look through many rows for few: a row whose bit isn't set is none of those
+    wanted; a row that shares a bit with a wanted one costs some work and must do no harm.
+    """
+    at = F.pmod(place, F.lit(MAP_BITS))
+    parts = (
+        df.select((at / _BITMAP).cast("int").alias("part"), (at % _BITMAP).alias("bit"))
+        .groupBy("part")
+        .agg(F.bitmap_construct_agg("bit").alias("bits"))
+        .collect()  # at most MAP_BITS / _BITMAP rows of 4 KB
+    )
+    out = np.zeros(MAP_BITS // 8, np.uint8)
+    for r in parts:
+        bits = np.frombuffer(bytes(r["bits"]), np.uint8)
+        out[r["part"] * (_BITMAP // 8) :][: bits.size] = bits
+    return out
+
+
+def in_map(bits: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Whether the bit of each place is set."""
+    at = place & (MAP_BITS - 1)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def row_place(row_no: Column) -> Column:
+    """A place for numbers as ``numbered`` gives them: rows of one partition lie side by side."""
+    return F.shiftrightunsigned(row_no, 33) * 40503 + row_no.bitwiseAND(F.lit((1 << 33) - 1))
+
+
+def row_places(row_no: np.ndarray) -> np.ndarray:
+    return (row_no >> 33) * 40503 + (row_no & ((1 << 33) - 1))
+
+
 def uniform(*parts: Column) -> Column:
     """A number in [0, 1) with 53 random bits that depends on the parts alone."""
     return F.shiftrightunsigned(F.xxhash64(*parts), 11) / F.lit(float(1 << 53))

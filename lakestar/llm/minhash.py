@@ -6,6 +6,9 @@ documents agree in a register with the probability Jaccard similarity of their w
 shingles. Arrivals come in order of time: once a process is later than the last register filled, it
 ends (early termination), so a long document costs little more than one look at each shingle.
 
+A shingle's weight grows with its count from 1 to less than 1.24, so the weighted similarity that
+candidates are drawn by is never below 1 / 1.24 of the similarity of the sets, which decides.
+
 Registers are banded; equal bands make candidates, which are compared by their whole
 shingle sets. In a bucket of a band the members are compared with a hub first, not with each other;
 the hubs of the first and of the second half of the bands differ. Where a bucket still spans
@@ -24,14 +27,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestar.llm.common import col, numbered, step_aside, without, written
+from lakestar.llm.common import bit_map, col, in_map, numbered, row_place, row_places, step_aside, without, written
 from lakestar.llm.components import components
 from lakestar.llm.shingles import WordHashes, lowered_words, mixed, shingles
 
 WORDS = 5
 SIMILARITY = 0.8
-#: 20 bands of 5 registers find a pair of similarity 0.8 with probability 0.9996.
+#: 20 bands of 5 registers find a pair of weighted similarity 0.8 with probability 0.9996, of 0.8 / 1.24 with 0.905.
 BANDS, ROWS = 20, 5
+#: What repeats of a shingle add to its weight of 1, at most.
+REPEATS = 0.24
 #: Bands that share an order of hubs.
 HUB_BANDS = 10
 #: Members of a block, and bytes of their shingles, at most (a single member may be larger).
@@ -67,6 +72,15 @@ def signatures(document: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n:
     return keeper.reshape(n, registers)
 
 
+def weights(counts: np.ndarray) -> np.ndarray:
+    """Of shingles that occur so often in a document.
+
+    If all weights lie between 1 and c, the probability Jaccard of two documents is at least their
+    set Jaccard / c: each common shingle contributes 1 / (sum of ratios of weights), each at most c.
+    """
+    return 1 + REPEATS * (1 - 1 / counts)
+
+
 def _band_keys(kept: np.ndarray, bands: int) -> np.ndarray:
     n, registers = kept.shape
     parts = kept.reshape(n, bands, registers // bands)
@@ -90,7 +104,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kept = signatures(
                 document,
                 np.concatenate([s for s, _ in chunk]),  # noqa: B023
-                1 + np.log(np.concatenate([c for _, c in chunk])),  # noqa: B023
+                weights(np.concatenate([c for _, c in chunk])),  # noqa: B023
                 len(chunk),  # noqa: B023
                 BANDS * ROWS,
             )
@@ -119,15 +133,26 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The sorted distinct shingles of each text, as bytes."""
+def _sets(batches: Iterator[pa.RecordBatch], wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The sorted distinct shingles of the texts whose row is in the map, as bytes."""
     hashes = WordHashes()
     for batch in batches:
+        batch = batch.filter(pa.array(in_map(wanted, row_places(batch.column("row_no").to_numpy()))))
         texts = batch.column("text").cast(pa.binary()).to_pylist()
         found = [np.unique(shingles(hashes.of(lowered_words(t)), WORDS)).tobytes() for t in texts]
         yield pa.RecordBatch.from_arrays([batch.column("row_no"), pa.array(found, pa.binary())], ["row_no", "set"])
 
 
+def _shared_bands(batches: Iterator[pa.RecordBatch], shared: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """``rep``, ``band``, ``key`` of the bands whose key is in the map."""
+    for batch in batches:
+        keys = batch.column("bands").flatten().to_numpy()
+        kept = np.flatnonzero(in_map(shared, keys))
+        rep = batch.column("rep").to_numpy()[kept // BANDS]
+        columns = [pa.array(rep), pa.array((kept % BANDS).astype(np.int32)), pa.array(keys[kept])]
+        yield pa.RecordBatch.from_arrays(columns, ["rep", "band", "key"])
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
@@ -151,12 +176,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
 
 
 def _sets_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``row_no``, ``set`` of the texts whose row is in ``wanted`` (row_no).
+    """``row_no``, ``set`` of the texts whose row is in ``wanted`` (row_no), and of few others.
 
-    The numbers are written, so Spark knows their size and need not shuffle texts while they are few.
+    No text is shuffled, however many are wanted: every task has a map of the wanted rows.
     """
-    texts = rows.join(written(wanted.distinct(), "near-wanted"), "row_no", "left_semi").select("row_no", "text")
-    return written(texts.mapInArrow(_sets, "row_no long, set binary"), "near-sets")
+    sent = rows.sparkSession.sparkContext.broadcast(bit_map(wanted, row_place(F.col("row_no"))))
+    found = rows.select("row_no", "text").mapInArrow(lambda batches: _sets(batches, sent.value), "row_no long, set binary")
+    return written(found, "near-sets")
 
 
 def common_counts(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
@@ -275,7 +301,10 @@ def groups(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         .where("n > 1").select("key", F.col("hub.rep").alias("hub")),
         "near-buckets",
     )
-    members = written(keys.join(buckets, "key").select("key", "band", "rep", "hub"), "near-members")
+    # most keys are met once: the map leaves them out before the others are dealt out
+    sent = rows.sparkSession.sparkContext.broadcast(bit_map(buckets, F.col("key")))
+    shared = first.mapInArrow(lambda batches: _shared_bands(batches, sent.value), "rep long, band int, key long")
+    members = written(shared.join(buckets, "key").select("key", "band", "rep", "hub"), "near-members")
     pairs = written(members.where("rep <> hub").select(*_ordered("rep", "hub")).distinct(), "near-pairs")
     sets = _sets_of(rows, members.select(F.col("rep").alias("row_no")))
     links = written(_verified(pairs, sets, similarity).select("a", "b"), "near-links")

@@ -105,6 +105,53 @@ def test_share_of_registers_follows_the_weight():
     assert np.allclose([(kept == i).mean() for i in ids], weight / 8, atol=0.015)
 
 
+@pytest.mark.parametrize("repeated", [0.0, 0.1, 0.5])
+def test_recall_with_unequal_repeats(repeated):
+    """Pairs at a set similarity of 0.8, one text repeating some shared shingles 1,000 times."""
+    found = []
+    for trial in range(200):
+        ids = mixed(np.arange(90, dtype=np.uint64) + np.uint64(trial * 1000))
+        counts = np.ones(80)  # 70 of 90 shingles are shared; 80 in each text: 70 / 90 is 0.78, less than asked for
+        counts[: int(70 * repeated)] = 1000
+        shingle = np.concatenate([ids[:80], ids[:70], ids[80:]])
+        weight = minhash.weights(np.concatenate([counts, np.ones(80)]))
+        kept = minhash.signatures(np.repeat([0, 1], 80), shingle, weight, 2, minhash.BANDS * minhash.ROWS)
+        one, other = minhash._band_keys(kept, minhash.BANDS)
+        found.append(bool((one == other).any()))
+    assert np.mean(found) >= 0.9
+
+
+def test_copies_that_repeat_a_part_are_found(spark):
+    """Same shingles, one text repeating a tenth of them: set similarity 1 but for the seams."""
+    r = random.Random(9)
+    texts = {}
+    for i in range(40):
+        words = [f"v{i}x{r.randrange(10**6)}" for _ in range(120)]
+        texts[2 * i] = " ".join(words)
+        texts[2 * i + 1] = " ".join(words + words[:12] * 200)
+    assert groups(spark, texts) == brute(texts) == {frozenset({2 * i, 2 * i + 1}) for i in range(40)}
+
+
+def test_no_text_is_shuffled_however_many_are_wanted(spark, monkeypatch):
+    from settings import settings
+
+    plans = []
+    real = minhash.written
+
+    def noting(df, label, *more):
+        plans.append((label, df._jdf.queryExecution().toString()))
+        return real(df, label, *more)
+
+    monkeypatch.setattr(minhash, "written", noting)
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+        texts = {i: f"one two three four five six {i % 5} seven eight" for i in range(50)}
+        assert groups(spark, texts) == brute(texts)
+    assert [plan for label, plan in plans if label == "near-sets"] and not any(
+        "text" in line for _, plan in plans for line in plan.splitlines() if "Exchange" in line
+    )
+    assert not any("Exchange" in plan for label, plan in plans if label == "near-sets")
+
+
 @pytest.mark.parametrize("links", [[(1, 2), (2, 3), (4, 5)], [(i, i + 1) for i in range(40)], [(9, i) for i in range(9)], []])
 def test_components(spark, links):
     got = {r["node"]: r["least"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
