@@ -8,8 +8,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakestar.operators.colocated import Staged, attach_colocated
 from lakestar.operators.dimensions import stamped
-from lakestar.operators.lookup import Limits, Lookup, Size, attach, measure
+from lakestar.operators.lookup import SALT, Limits, Lookup, Size, attach, measure, refuse_duplicates
+from lakestar.sources.buckets import Buckets
 from lakestar.sources.tables import gathered
 from lakestar.specs import FACT_LOOKUPS, FACT_MEASURES, FACT_SCHEMA, PERIOD, ROW_PLACE, Dimension
 
@@ -40,7 +42,7 @@ def keyed_rows(
     place = [ROW_PLACE] if ROW_PLACE in rows.columns else []
     needed = ["sale_date", *[d.lookup for d in by], *FACT_MEASURES, *PERIOD, *place]
     lookups = fact_lookups(dimensions, by)
-    sizes = sizes or measure(lookups)
+    sizes = measure(lookups) if sizes is None else sizes
     keyed = attach(
         rows.select(*needed), lookups, how, on_duplicate=on_duplicate, limits=limits, sizes=sizes
     )
@@ -66,6 +68,29 @@ def build_fact(
     return keyed_rows(rows, dimensions, by=by, stamp=stamp, on_duplicate=on_duplicate, limits=limits)
 
 
+def build_fact_colocated(
+    staged: Staged,
+    lookup: Lookup,
+    dimensions: dict[str, DataFrame],
+    buckets: Buckets,
+    *,
+    by: Sequence[Dimension] = FACT_LOOKUPS,
+    stamp: dt.datetime | None = None,
+    limits: Limits = Limits(),
+) -> DataFrame:
+    """As ``build_fact``, for rows staged in buckets of one large lookup (usually customers).
+
+    The other lookups are broadcast, so rows stay in their buckets up to the join with the large one,
+    for which only its members are dealt out.
+    """
+    lookups = fact_lookups(dimensions, by)
+    refuse_duplicates(sizes := measure(lookups))
+    others = [l for l in lookups if l.name != lookup.name]
+    columns = ["sale_date", *[d.lookup for d in by], *FACT_MEASURES, *PERIOD, SALT]
+    keyed = attach(staged.rows.select(*columns), others, limits=limits, sizes=sizes)
+    return stamped(attach_colocated(staged, keyed, lookup, buckets), stamp).select(*FACT_SCHEMA.names)
+
+
 def rejects(
     rows: DataFrame,
     dimensions: dict[str, DataFrame],

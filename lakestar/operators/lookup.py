@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lakestar.session import staged
 from lakestar.specs import ROW_PLACE
 
-_SALT = "__salt"
+SALT, MEMBER_SALT = "__salt", "__right__salt"
 
 
 class DuplicateLookupKey(ValueError):
@@ -90,6 +90,8 @@ def measure(lookups: Sequence[Lookup]) -> dict[str, Size]:
 
     One row per lookup comes back to the driver. A key that can match nothing is not counted.
     """
+    if not lookups:
+        return {}
     keys = []
     for lookup in lookups:
         # as text, which any key can be, so that the tables can be counted together
@@ -144,28 +146,47 @@ def row_identity(facts: DataFrame) -> DataFrame:
         return facts.withColumn(ROW_PLACE, F.xxhash64(*facts.columns))
 
 
+def salted_facts(facts: DataFrame, lookup: Lookup, hot: DataFrame) -> DataFrame:
+    """The rows with exactly one salt each, 0 for keys that aren't hot."""
+    mine = _salts(lookup, hot)
+    return (
+        facts.join(mine, _fingerprint(lookup.on) == F.col("__f"), "left")
+        .withColumn(SALT, F.coalesce(F.pmod(F.col(ROW_PLACE), F.col("__n")), F.lit(0)).cast("int"))
+        .drop("__f", "__n")
+    )
+
+
+def salted_members(lookup: Lookup, hot: DataFrame) -> DataFrame:
+    """The members, those of hot keys once per salt."""
+    return (
+        lookup.right.join(_salts(lookup, hot), _fingerprint(lookup.others) == F.col("__f"), "left")
+        .withColumn(MEMBER_SALT, F.explode(F.sequence(F.lit(0), F.coalesce("__n", F.lit(1)) - 1)))
+        .drop("__f", "__n")
+    )
+
+
+def _salts(lookup: Lookup, hot: DataFrame) -> DataFrame:
+    named = hot.filter(F.col("name") == lookup.name)
+    return F.broadcast(named.select(F.col("fingerprint").alias("__f"), F.col("salts").alias("__n")))
+
+
 def _salted(facts: DataFrame, lookup: Lookup, how: str, hot: DataFrame) -> DataFrame:
     """A shuffled join in which the rows of a hot key go to several tasks, not to one.
 
     Every fact row keeps exactly one salt and the dimension rows of hot keys exist once per
     salt, so the result is that of the plain join.
     """
-    named = hot.filter(F.col("name") == lookup.name)
-    mine = F.broadcast(named.select(F.col("fingerprint").alias("__f"), F.col("salts").alias("__n")))
-    left = (
-        facts.join(mine, _fingerprint(lookup.on) == F.col("__f"), "left")
-        .withColumn(_SALT, F.coalesce(F.pmod(F.col(ROW_PLACE), F.col("__n")), F.lit(0)).cast("int"))
-        .drop("__f", "__n")
-    )
-    right = (
-        lookup.right.join(mine, _fingerprint(lookup.others) == F.col("__f"), "left")
-        .withColumn("__right" + _SALT, F.explode(F.sequence(F.lit(0), F.coalesce("__n", F.lit(1)) - 1)))
-        .drop("__f", "__n")
-    )
-    condition = lookup.matches() & (F.col(_SALT) == F.col("__right" + _SALT))
+    left, right = salted_facts(facts, lookup, hot), salted_members(lookup, hot)
+    condition = lookup.matches() & (F.col(SALT) == F.col(MEMBER_SALT))
     return left.join(right, condition, how).select(*facts.columns, lookup.take)
 
 
+def refuse_duplicates(sizes: dict[str, Size]) -> None:
+    bad = {n: s.rows - s.keys for n, s in sizes.items() if s.rows > s.keys}
+    if bad:
+        raise DuplicateLookupKey(f"surplus rows by lookup: {bad}")
+
+
 def attach(
     facts: DataFrame,
     lookups: Sequence[Lookup],
@@ -181,11 +202,9 @@ def attach(
     that names several members stops the load, unless ``on_duplicate='fan_out'`` asks for
     one row per member.
     """
-    sizes = sizes or measure(lookups)
+    sizes = measure(lookups) if sizes is None else sizes
     if on_duplicate == "fail":
-        bad = {n: s.rows - s.keys for n, s in sizes.items() if s.rows > s.keys}
-        if bad:
-            raise DuplicateLookupKey(f"surplus rows by lookup: {bad}")
+        refuse_duplicates(sizes)
     small = limits.small(lookups, sizes)
     large = [l for l in lookups if l not in small]
     if large:

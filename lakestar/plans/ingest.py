@@ -14,7 +14,7 @@ from lakestar.operators.silver import clean, with_period
 from lakestar.sources.landing import FILE_IDENTITY, MALFORMED, landing_files, read_landing
 from lakestar.sources.ledger import BRONZE, GOLD, MALFORMED_LINES, SILVER, few_rows
 from lakestar.sources.tables import Lake, gathered
-from lakestar.specs import PERIOD
+from lakestar.specs import PERIOD, RAW_COLUMNS
 
 
 #: Files whose names are on the driver at a time.
@@ -72,7 +72,8 @@ def write_bronze(lake: Lake, rows: DataFrame, batch_id: int, files: int, gather:
     if sum(stored.rows.values()) + stored.malformed != found["lines"]:
         raise RuntimeError(f"batch {batch_id} has more than the {files} files it was said to have")
     if stored.malformed:
-        lines = rows.where(~good).select("source_file", F.col(MALFORMED).alias("line"))
+        # with all fields, as far as they could be read: Spark takes no offence at a field it isn't asked for
+        lines = rows.where(~good).select(*RAW_COLUMNS, "source_file", F.col(MALFORMED).alias("line"))
         stored = replace(stored, malformed_attempt=lake.write_batch(lines, lake.malformed, batch_id))
     return stored
 

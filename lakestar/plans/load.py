@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -16,11 +17,13 @@ from lakestar.operators.dimensions import (
     upsert,
     with_parent_key,
 )
-from lakestar.operators.fact import keyed_rows, lacks
+from lakestar.operators.fact import fact_lookups, keyed_rows, lacks
+from lakestar.operators.incremental import high_water_mark
 from lakestar.operators.incremental import late as late_sales
 from lakestar.operators.incremental import slice_after, slice_of_batches, undated
-from lakestar.operators.lookup import Limits
+from lakestar.operators.lookup import Limits, measure
 from lakestar.plans.ingest import now
+from lakestar.sources.catalog import known_sizes
 from lakestar.sources.ledger import GOLD, SILVER, Current, few_rows
 from lakestar.sources.tables import Lake, gathered, with_place
 from lakestar.specs import (
@@ -47,6 +50,23 @@ def mark_of_lake(lake: Lake) -> dt.date | None:
     return at.max_date if at else None
 
 
+def mark_from_footers(lake: Lake) -> dt.date | None:
+    """The latest sale date of the fact, from the fact itself: Parquet's footers answer, no row is read."""
+    return marks_in_footers(lake).first()["max_sale_date"]
+
+
+def marks_in_footers(lake: Lake) -> DataFrame:
+    """``max_sale_date`` in a session of its own, in which Spark asks the footers for aggregates.
+
+    Sales without a date lie in the month null, whose files have no latest date to tell; it is left out.
+    """
+    session = lake.spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "")  # the reader that can
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    fact = replace(lake, spark=session).gold_table(FACT)
+    return high_water_mark(fact.where(F.col(PERIOD[0]).isNotNull()))
+
+
 def _added(
     lake: Lake,
     rows: DataFrame | None,
@@ -108,6 +128,7 @@ def _write_fact(
     by_name: bool,
     limits: Limits,
     max_records_per_file: int | None,
+    database: str | None = None,
 ) -> tuple[Current, dict[str, int]]:
     """The fact joins the dimensions as written, so its keys are the ones readers find.
 
@@ -118,7 +139,10 @@ def _write_fact(
     dimensions = {d.name: lake.gold_table(d.name, versions[d.name]) for d in DIMENSIONS}
     # rows that fan out can't be counted before the lookups; that mode counts what it offers by itself
     how = "left" if on_duplicate == "fail" else "inner"
-    keyed = keyed_rows(rows, dimensions, by=by, how=how, stamp=stamp, on_duplicate=on_duplicate, limits=limits)
+    lookups = fact_lookups(dimensions, by)
+    sizes = known_sizes(lake, database, versions, by) if database else {}
+    sizes |= measure([l for l in lookups if l.name not in sizes])
+    keyed = keyed_rows(rows, dimensions, by=by, how=how, stamp=stamp, on_duplicate=on_duplicate, limits=limits, sizes=sizes)
     seen, lacking = Observation(), lacks(by)
     whole = ~reduce(Column.__or__, lacking.values())
     counted = keyed.observe(
@@ -152,8 +176,13 @@ def load_full(
     stamp: dt.datetime | None = None,
     limits: Limits = Limits(),
     max_records_per_file: int | None = None,
+    database: str | None = None,
 ) -> int:
-    """Build the whole star from silver as a new version of every table."""
+    """Build the whole star from silver as a new version of every table.
+
+    ``database``: where gold is registered; statistics there (``catalog.analyze_gold``) are used for
+    dimensions they were taken of, the others are measured.
+    """
     silver = lake.silver_sales()
     batch_id = lake.ledger.last_batch(SILVER)
     before = lake.ledger.current_versions()
@@ -173,6 +202,7 @@ def load_full(
         by_name=manufacturer_by_name,
         limits=limits,
         max_records_per_file=max_records_per_file,
+        database=database,
     )
     _record(lake, at, batch_id, stamp, counts)
     return batch_id
@@ -191,6 +221,7 @@ def load_increment(
     stamp: dt.datetime | None = None,
     limits: Limits = Limits(),
     max_records_per_file: int | None = None,
+    database: str | None = None,
 ) -> int | None:
     """Load what silver got since the last load; the batch number, or None if nothing is new.
 
@@ -199,6 +230,7 @@ def load_increment(
     is recorded. ``'ledger'`` takes the new batches whatever their dates, late sales included.
     ``dimensions='upsert'`` keeps known members and their keys; ``'replace'`` makes each
     dimension anew from the slice, keys from 1, which leaves earlier fact rows behind.
+    ``database`` as for :func:`load_full`.
     """
     pending = lake.ledger.pending(SILVER, GOLD)
     if not pending:
@@ -250,6 +282,7 @@ def load_increment(
         by_name=manufacturer_by_name,
         limits=limits,
         max_records_per_file=max_records_per_file,
+        database=database,
     )
     _record(lake, at, batch_id, stamp, left | counts)
     return batch_id

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakestar.plans.queries import CHECK_AFTER, CHECK_FAILS
+from lakestar.plans.queries import AGAIN, CHECK_AFTER, CHECK_FAILS
 from lakestar.sources.fixture import CUT, ORDER_LINES_SQL, SALES_SQL, TABLES
 
 CUT_DATE = f"date '{CUT.isoformat()}'"
@@ -170,6 +170,19 @@ ORACLES: dict[str, str] = {
             "product_id, product, category, segment, manufacturer_id, manufacturer, customer_id"
         )
     ),
+    "malformed_lines": on_sales(
+        "select unnest(['rows_kept', 'rows_recorded', 'lines_kept', 'lines_without_units', 'lines_without_price', "
+        "'malformed_lines']) as item, unnest([n - bad, n - bad, bad, no_units, no_price, bad]) as row_count from ("
+        "select count(*) as n, count(*) filter (product_id % 7 = 0 or order_id % 11 = 0) as bad, "
+        "count(*) filter (product_id % 7 = 0) as no_units, count(*) filter (order_id % 11 = 0) as no_price from sales)"
+    ),
+    "period_redelivery": on_silver(
+        "select sale_year, sale_month, count(*) as bronze_rows, cast(sum(units) as bigint) as units, "
+        f"count(*) as silver_rows, {MONEY} from delivered group by 1, 2",
+        delivered="select * from silver where not (sale_year = {0} and sale_month = {1}) union all "
+        "select * replace (units * 2 as units, total_sales * 2 as total_sales) from silver "
+        "where sale_year = {0} and sale_month = {1} and product_id % 3 <> 0".format(*AGAIN),
+    ),
     "bronze_partitioned_roundtrip": on_sales(
         "select cast(year(sale_date) as int) as sale_year, "
         "cast(month(sale_date) as int) as sale_month, count(*) as row_count, "
@@ -189,6 +202,7 @@ ORACLES: dict[str, str] = {
         _customers("silver", "=")
     ),
     "fact_sales": on_silver(SILVER_ROWS + f"({FACT})", **_star()),
+    "fact_by_buckets": on_silver(SILVER_ROWS + f"({FACT})", **_star()),
     "fact_rejects": on_silver(
         " union all ".join(
             f"select '{table}' as dimension, count(*) as rows_lost from silver s where not exists "
@@ -288,6 +302,18 @@ ORACLES: dict[str, str] = {
         **_star(),
         fact=FACT,
     ),
+    "register_gold_increment": on_silver(
+        " union all ".join(
+            f"select '{name}' as table_name, count(*) as row_count from {name}" for name in _star()
+        )
+        + " union all select 'fact_sales', count(*) from fact",
+        **_star(),
+        fact=FACT,
+    ),
+    "landing_stream_admission": on_sales(
+        "select cast(year(sale_date) as int) as sale_year, count(*) as row_count, cast(sum(units) as bigint) as units, "
+        "cast(3 as bigint) as batches, cast(2 as bigint) as most_files from sales group by 1"
+    ),
     "landing_stream_ingest": on_sales(
         f"select cast(case when sale_date <= {CUT_DATE} then 1 else 2 end as bigint) as batch_id, "
         "cast(year(sale_date) as int) as sale_year, count(*) as row_count, "

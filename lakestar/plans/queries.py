@@ -25,17 +25,21 @@ from lakestar.operators.dimensions import (
     upsert,
     with_parent_key,
 )
-from lakestar.operators.fact import rejects
+from lakestar.operators.colocated import stage_rows
+from lakestar.operators.fact import build_fact_colocated, rejects
 from lakestar.operators.incremental import mark_of, slice_after
+from lakestar.operators.lookup import Lookup
 from lakestar.operators.silver import clean, clean_as_text, with_period
 from lakestar.plans.ingest import batch_quality, ingest, new_files, refine, write_silver
-from lakestar.plans.load import compact_fact, load_full, load_increment, mark_of_lake, star
+from lakestar.plans.load import compact_fact, load_full, load_increment, mark_from_footers, star
+from lakestar.plans.periods import bronze_months, deliver_months, in_months, silver_months
 from lakestar.session import fresh_folder, staged
 from lakestar.sources import catalog
+from lakestar.sources.buckets import Buckets
 from lakestar.sources.fixture import CUT, sales, tables
 from lakestar.sources.landing import header_of, read_landing, rows_per_file
-from lakestar.sources.ledger import BRONZE, GOLD, SILVER, few_rows
-from lakestar.sources.tables import Lake, read_table, write_table
+from lakestar.sources.ledger import BRONZE, few_rows
+from lakestar.sources.tables import Lake, read_table, with_place, write_table
 from lakestar.specs import (
     BATCH,
     CATEGORY,
@@ -150,6 +154,32 @@ def landing_csv_scan(spark, folder):
     return plain(rows.withColumns(cents).withColumn("order_id", F.col("order_id").cast("long")))
 
 
+@query
+def malformed_lines(spark, folder):
+    """A delivery in which some units and prices are no numbers: rows kept, lines set aside, both counted."""
+    lake = new_lake(spark, "malformed")
+    no_units, no_price = F.col("product_id") % 7 == 0, F.col("order_id") % 11 == 0
+    broken = sales(spark, folder).withColumns(
+        {
+            "units": F.when(no_units, "many").otherwise(F.col("units").cast("string")),
+            "unit_price": F.when(no_price, "n/a").otherwise(F.col("unit_price").cast("string")),
+        }
+    )
+    _deliver(lake, broken)
+    ingest(lake, LOADED_AT)
+    kept = lake.bronze_sales().agg(F.lit("rows_kept").alias("item"), F.count("*").alias("row_count"))
+    recorded = lake.ledger.entries(BRONZE).agg(F.lit("rows_recorded").alias("item"), F.sum("row_count").alias("row_count"))
+    lines = lake.malformed_lines().agg(
+        F.count("*").alias("lines_kept"),
+        F.count_if(F.col("line").contains(",many,")).alias("lines_without_units"),
+        F.count_if(F.col("line").contains(",n/a,")).alias("lines_without_price"),
+    )
+    counted = batch_quality(lake).select("item", "row_count")
+    return reduce(
+        DataFrame.unionByName, [kept, recorded, lines.unpivot([], lines.columns, "item", "row_count"), counted]
+    )
+
+
 @query
 def bronze_partitioned_roundtrip(spark, folder):
     """Rows and units per year and month of the partitioned bronze table."""
@@ -201,6 +231,26 @@ def silver_partitioned_roundtrip(spark, folder):
     )
 
 
+#: The month that is delivered again.
+AGAIN = (2000, 6)
+
+
+@query
+def period_redelivery(spark, folder):
+    """A month is delivered again, twice, with fewer rows and other units: it alone changes, and once."""
+    lake = new_lake(spark, "months")
+    rows = sales(spark, folder, by_month=True)
+    deliver_months(lake, rows)
+    month = in_months([AGAIN])
+    again = with_period(rows).filter(month & (F.col("product_id") % 3 != 0)).drop(*PERIOD)
+    for _ in range(2):
+        deliver_months(lake, again.withColumn("units", F.col("units") * 2))
+    bronze = bronze_months(lake).groupBy(*PERIOD).agg(F.count("*").alias("bronze_rows"), F.sum("units").alias("units"))
+    total = F.sum("total_sales").alias("total_sales")
+    clean_rows = silver_months(lake).groupBy(*PERIOD).agg(F.count("*").alias("silver_rows"), total)
+    return plain(bronze.join(clean_rows, list(PERIOD)))
+
+
 # --- dimensions
 
 
@@ -242,6 +292,17 @@ def fact_sales(spark, folder):
     return plain(lake.gold_table(FACT).drop(STAMP))
 
 
+@query
+def fact_by_buckets(spark, folder):
+    """The fact with customers looked up in buckets: sales and members lie alike, sales are not shuffled for it."""
+    lake = lake_with(spark, "buckets", silver_by_month(spark, folder))
+    tables_now = {name: staged(t, name) for name, t in build_dimensions(lake.silver_sales()).items()}
+    buckets = Buckets(spark, _database(lake), f"{lake.root}/buckets", 8)
+    lookup = Lookup(CUSTOMER.name, tables_now[CUSTOMER.name], (CUSTOMER.lookup,), CUSTOMER.sk)
+    rows = stage_rows(with_place(lake.silver_sales()), lookup, buckets)
+    return plain(build_fact_colocated(rows, lookup, tables_now, buckets).drop(STAMP))
+
+
 @query
 def fact_rejects(spark, folder):
     """All sales against the dimensions of the first load: rows that find no key, by dimension."""
@@ -257,10 +318,10 @@ def fact_rejects(spark, folder):
 
 @query
 def high_water_mark(spark, folder):
-    """The latest date of the fact of a first load, as the ledger has it."""
+    """The latest date of the fact of a first load, from the footers of its files."""
     lake = lake_with(spark, "mark", silver_by_month(spark, folder).filter(up_to(CUT)))
     load_full(lake)
-    return plain(few_rows(spark, "max_sale_date date", [(mark_of_lake(lake),)]))
+    return plain(few_rows(spark, "max_sale_date date", [(mark_from_footers(lake),)]))
 
 
 @query
@@ -403,49 +464,25 @@ def load_check_years(spark, folder):
     return checks[0].unionByName(checks[1])
 
 
-# --- after failures, and what loads lack
-
-
-def _lost_record(lake: Lake, stage: str, step: Callable[[], object]) -> None:
-    """Run a step that writes its batch and dies before that stage is recorded."""
-
-    class Lost(OSError):
-        pass
-
-    ledger = type(lake.ledger)
-    record = ledger.record
-
-    def dying(self, at, *args, **kwargs):
-        if at == stage:
-            raise Lost(at)
-        return record(self, at, *args, **kwargs)
-
-    ledger.record = dying
-    try:
-        step()
-    except Lost:
-        pass
-    finally:
-        ledger.record = record
+# --- what loads lack, what lost attempts leave, and many batches as one
 
 
 @query
 def load_after_failed_attempt(spark, folder):
-    """An increment is written but lost, a newer batch comes, and both are loaded: nothing twice."""
+    """Attempts at silver and at the fact are left unrecorded, a newer batch comes, and all is loaded: nothing twice."""
     rows = silver_by_month(spark, folder)
     lake = lake_with(spark, "failed", rows.filter(up_to(CUT)))
     load_full(lake)
     later = staged(rows.filter(later_than(CUT)), "later")
     middle = F.pmod(F.xxhash64("order_id"), F.lit(2)) == 0
-    _lost_record(lake, SILVER, lambda: write_silver(lake, later.filter(middle), 2, LOADED_AT))
+    lake.write_batch(later.filter(middle), lake.silver, 2, PERIOD)  # written, not recorded
     write_silver(lake, later.filter(middle), 2, LOADED_AT)
-    _lost_record(lake, GOLD, lambda: load_increment(lake, late="ledger", stamp=LOADED_AT))
+    lake.write_batch(lake.gold_table(FACT), lake.gold(FACT, 1), 2, PERIOD)
     write_silver(lake, later.filter(~middle), 3, LOADED_AT)
     load_increment(lake, late="ledger", stamp=LOADED_AT)
-    tables_now = star(lake)
     counts = [
         table.agg(F.lit(name).alias("table_name"), F.count("*").alias("row_count"))
-        for name, table in tables_now.items()
+        for name, table in star(lake).items()
     ]
     return reduce(DataFrame.unionByName, counts)
 
@@ -494,6 +531,21 @@ def register_gold_catalog(spark, folder):
     return catalog.count_registered(spark, _database(lake))
 
 
+@query
+def register_gold_increment(spark, folder):
+    """Row counts through the catalog after a load with statistics, an increment that uses them, and a new switch."""
+    rows = silver_by_month(spark, folder)
+    lake = lake_with(spark, "switch", rows.filter(up_to(CUT)))
+    database = _database(lake)
+    load_full(lake)
+    catalog.register_gold(lake, database)
+    catalog.analyze_gold(lake, database)
+    write_silver(lake, rows.filter(later_than(CUT)), 2, LOADED_AT)
+    load_increment(lake, stamp=LOADED_AT, database=database)
+    catalog.register_gold(lake, database)
+    return catalog.count_registered(spark, database)
+
+
 @query
 def legacy_names_report(spark, folder):
     """The category report as SQL on the source names of the tables and columns."""
@@ -536,6 +588,19 @@ def landing_stream_ingest(spark, folder):
     )
 
 
+@query
+def landing_stream_admission(spark, folder):
+    """A backlog of six files streamed two files at a time: rows and units by year, and how many batches."""
+    lake = new_lake(spark, "admission")
+    _deliver(lake, sales(spark, folder).repartition(6))
+    run_available(lake, header_of(spark, lake.landing), to_bronze, stamp=LOADED_AT, max_files=2)
+    years = lake.bronze_sales().groupBy("sale_year").agg(F.count("*").alias("row_count"), F.sum("units").alias("units"))
+    files = lake.ledger.entries(BRONZE).groupBy(BATCH).agg(F.count("*").alias("files"))
+    batches = files.agg(F.count("*").alias("batches"), F.max("files").alias("most_files"))
+    few = batches.first()
+    return years.select("*", F.lit(few.batches).alias("batches"), F.lit(few.most_files).alias("most_files"))
+
+
 @query
 def stream_to_gold_total(spark, folder):
     """Rows and totals by year of the fact after streaming two deliveries through all layers."""

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from lakestar.operators.lookup import ROW_BYTES, Lookup, Size, measure
 from lakestar.sources.ledger import Current, few_rows
 from lakestar.sources.tables import Lake
-from lakestar.specs import ATTEMPT, BATCH, FACT, GOLD_SCHEMAS, PERIOD
+from lakestar.specs import ATTEMPT, BATCH, FACT, FACT_LOOKUPS, GOLD_SCHEMAS, PERIOD, Dimension
 
 # Table and column names that existing queries on the source tables use.
 LEGACY_VIEWS = {
@@ -83,58 +88,136 @@ LEGACY_VIEWS = {
 }
 
 
-#: Table property that says which version of a table the catalog shows.
-VERSION = "lakestar.version"
-#: And which batches of it are there: all up to this one.
-UP_TO = "lakestar.batch"
+#: Table properties: that all parts of a table are there, and what its statistics were taken of.
+COMPLETE = "lakestar.complete"
+UNIQUE = "lakestar.unique"
 
 
 def register_gold(lake: Lake, database: str) -> DataFrame:
-    """Create the database and one external table per gold table; return (table, path).
+    """Create the database and one name per gold table; return (table, path).
 
-    Which tables exist, and which folders they are made of, the ledger knows, so nothing is
-    listed and an unfinished attempt can't get in. A table keeps its entry: new batches are
-    added to it, and for a new version its location changes and its parts are exchanged.
+    A name is a view of an external table that holds exactly the folders the ledger names, which
+    is made for this state of the table, filled, and only then shown: one ``CREATE OR REPLACE
+    VIEW`` is the switch, so a reader sees all of the state before or all of the new one. The
+    table of the state before stays for those who read it, older ones go; their files stay.
     """
     spark = lake.spark
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{lake.root}/catalog'")
+    _run(spark, f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{lake.root}/catalog'")
     rows = []
     for table, at in sorted(lake.ledger.current_versions().items()):
         path = lake.gold(table, at.version)
-        name = f"{database}.{table}"
-        fields = GOLD_SCHEMAS[table].fields
-        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
-        inner = list(PERIOD) if table == FACT else []
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({columns}, {BATCH} bigint, {ATTEMPT} string) USING {lake.fmt} "
-            f"PARTITIONED BY ({', '.join([BATCH, ATTEMPT, *inner])}) LOCATION '{path}'"
-        )
-        if lake.fmt == "parquet":
-            _show_parts(lake, name, path, at, inner)
+        shown = _backing(spark, database, table)
+        name = f"{table}{_STATE}{_state(at)}"
+        if shown != name:
+            _fill(lake, database, table, name, path, at, shown)
+            if spark.catalog.tableExists(f"{database}.{table}") and shown is None:
+                _run(spark, f"DROP TABLE {database}.{table}")  # a table of that name hides nothing: it is external
+            _run(spark, f"CREATE OR REPLACE VIEW {database}.{table} AS SELECT * FROM {database}.{name}")
+            for old in _backings(spark, database, table):
+                if old not in (name, shown):
+                    _run(spark, f"DROP TABLE IF EXISTS {database}.{old}")
         rows.append((table, path))
     return few_rows(spark, "table_name string, path string", rows)
 
 
-def _show_parts(lake: Lake, name: str, path: str, at: Current, inner: list[str]) -> None:
-    """Make a catalog entry consist of exactly the recorded folders."""
+def _run(spark: SparkSession, statement: str) -> DataFrame:
+    return spark.sql(statement)
+
+
+_STATE = "__state_"
+
+
+def _state(at: Current) -> str:
+    """What tells a table's contents from those before: its version, and its last part and their number."""
+    last = at.parts[-1][1].replace("-", "_") if at.parts else "none"
+    return f"v{at.version}_n{len(at.parts)}_{last}"
+
+
+def _backings(spark: SparkSession, database: str, table: str) -> list[str]:
+    found = spark.sql(f"SHOW TABLES IN {database} LIKE '{table}{_STATE}*'").collect()
+    return [r.tableName for r in found]
+
+
+def _backing(spark: SparkSession, database: str, table: str) -> str | None:
+    """The table that a name shows now."""
+    name = f"{database}.{table}"
+    if not spark.catalog.tableExists(name) or spark.catalog.getTable(name).tableType != "VIEW":
+        return None
+    text = [r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect() if r.col_name == "View Text"]
+    return text[0].rsplit(".", 1)[-1] if text else None
+
+
+def _properties(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+
+
+def _fill(lake: Lake, database: str, table: str, name: str, path: str, at: Current, before: str | None) -> None:
+    """Make the table of one state; one that a lost run left half made is made again."""
+    spark, full = lake.spark, f"{database}.{name}"
+    if spark.catalog.tableExists(full):
+        if _properties(spark, full).get(COMPLETE):
+            return
+        _run(spark, f"DROP TABLE {full}")
+    inner = list(PERIOD) if table == FACT else []
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in GOLD_SCHEMAS[table].fields)
+    _run(
+        spark,
+        f"CREATE TABLE {full} ({columns}, {BATCH} bigint, {ATTEMPT} string) USING {lake.fmt} "
+        f"PARTITIONED BY ({', '.join([BATCH, ATTEMPT, *inner])}) LOCATION '{path}'",
+    )
+    if lake.fmt == "parquet":
+        # months of parts that the state before has are listed there
+        known = [r.partition for r in spark.sql(f"SHOW PARTITIONS {database}.{before}").collect()] if before else []
+        added = []
+        for batch_id, written in at.parts:
+            folder, own = lake.folder(path, batch_id, written), f"{BATCH}={batch_id}/{ATTEMPT}={written}"
+            months = [k.removeprefix(own) for k in known if f"{k}/".startswith(f"{own}/")]
+            for month in months or (_months(spark, folder) if inner else [""]):
+                added.append(f"{_spec(own + month)} LOCATION '{folder}{month}'")
+        _alter(spark, full, "ADD IF NOT EXISTS", added)
+    _run(spark, f"ALTER TABLE {full} SET TBLPROPERTIES ('{COMPLETE}' = 'true')")
+
+
+def analyze_gold(lake: Lake, database: str, by: Sequence[Dimension] = FACT_LOOKUPS) -> None:
+    """Take statistics of the registered dimensions' lookup columns, and note which are unique.
+
+    A load that is told the database then knows what to broadcast without a job of its own, for
+    every dimension that has not changed since.
+    """
     spark = lake.spark
-    shown = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
-    same = shown.get(VERSION) == str(at.version)
-    if not same:
-        if VERSION in shown:
-            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
-        old = [r.partition for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
-        _alter(spark, name, "DROP IF EXISTS", [_spec(p) for p in old])
-    done = int(shown.get(UP_TO, 0)) if same else 0
-    added = []
-    for batch_id, written in at.parts:
-        if batch_id > done:
-            folder = lake.folder(path, batch_id, written)
-            own = f"{BATCH}={batch_id}/{ATTEMPT}={written}"
-            for months in _months(spark, folder) if inner else [""]:
-                added.append(f"{_spec(own + months)} LOCATION '{folder}{months}'")
-    _alter(spark, name, "ADD IF NOT EXISTS", added)
-    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{VERSION}' = '{at.version}', '{UP_TO}' = '{at.batch_id}')")
+    names = {d: _backing(spark, database, d.name) for d in by}
+    fresh = {d: f"{database}.{n}" for d, n in names.items() if n and UNIQUE not in _properties(spark, f"{database}.{n}")}
+    lookups = [Lookup(d.name, spark.table(name), (d.lookup,), d.sk) for d, name in fresh.items()]
+    sizes = measure(lookups) if lookups else {}
+    for d, name in fresh.items():
+        _run(spark, f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR COLUMNS {d.lookup}")
+        size = sizes[d.name]
+        # Spark's distinct counts are estimates: whether a key names several members is counted
+        _run(spark, f"ALTER TABLE {name} SET TBLPROPERTIES ('{UNIQUE}' = '{d.lookup}:{size.rows - size.keys}')")
+
+
+def known_sizes(
+    lake: Lake, database: str, versions: dict[str, Current], by: Sequence[Dimension] = FACT_LOOKUPS
+) -> dict[str, Size]:
+    """Sizes of the lookups whose statistics were taken of just these contents; no job runs for them."""
+    spark, found = lake.spark, {}
+    for d in by:
+        name = f"{database}.{d.name}{_STATE}{_state(versions[d.name])}"
+        if not spark.catalog.tableExists(name):
+            continue
+        column, surplus = _properties(spark, name).get(UNIQUE, ":").split(":")
+        if column != d.lookup:
+            continue
+        whole = [r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect() if r.col_name == "Statistics"]
+        about = {r.info_name: r.info_value for r in spark.sql(f"DESCRIBE EXTENDED {name} {column}").collect()}
+        counted = re.search(r"(\d+) rows", whole[0] if whole else "")
+        if not counted or about.get("avg_col_len") in (None, "NULL"):
+            continue
+        rows = int(counted[1]) - int(about["num_nulls"])
+        # a number's length is that of its text in measure(); 20 is the longest
+        length = int(about["avg_col_len"]) if isinstance(GOLD_SCHEMAS[d.name][column].dataType, T.StringType) else 20
+        found[d.name] = Size(rows, rows - int(surplus), rows * (2 * length + ROW_BYTES))
+    return found
 
 
 def _spec(partition: str) -> str:
@@ -146,7 +229,7 @@ def _alter(spark: SparkSession, name: str, what: str, specs: list[str]) -> None:
     """A statement for some hundred partitions at a time."""
     glue = ", " if what.startswith("DROP") else " "
     for i in range(0, len(specs), 500):
-        spark.sql(f"ALTER TABLE {name} {what} {glue.join(specs[i : i + 500])}")
+        _run(spark, f"ALTER TABLE {name} {what} {glue.join(specs[i : i + 500])}")
 
 
 def _months(spark: SparkSession, folder: str) -> list[str]:
@@ -158,9 +241,8 @@ def _months(spark: SparkSession, folder: str) -> list[str]:
 
 
 def registered_tables(spark: SparkSession, database: str) -> list[str]:
-    """Names of the tables a database lists, views left out."""
-    found = spark.catalog.listTables(database)
-    return sorted(t.name for t in found if not t.isTemporary and t.tableType != "VIEW")
+    """Names of the gold tables a database lists; what stands behind them, and other views, are left out."""
+    return sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary and t.name in GOLD_SCHEMAS)
 
 
 def count_registered(spark: SparkSession, database: str) -> DataFrame:

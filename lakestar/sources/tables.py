@@ -177,7 +177,7 @@ class Lake:
         return self._stage(SILVER, self.silver, SILVER_SCHEMA, batches)
 
     def malformed_lines(self, batches: Sequence[int] | None = None) -> DataFrame:
-        """``source_file``, ``line`` and ``batch_id`` of the lines that are no sales."""
+        """Lines that are no sales: ``source_file``, ``line``, ``batch_id``, and the fields that could be read."""
         return self._stage(MALFORMED_LINES, self.malformed, MALFORMED_SCHEMA, batches)
 
     def gold_table(self, table: str, at: Current | None = None) -> DataFrame:

@@ -100,7 +100,9 @@ BRONZE_SCHEMA = struct(
     }
 )
 SILVER_SCHEMA = struct({**SILVER_TYPES, BATCH: T.LongType()})
-MALFORMED_SCHEMA = struct({"source_file": T.StringType(), "line": T.StringType(), BATCH: T.LongType()})
+MALFORMED_SCHEMA = struct(
+    {**RAW_TYPES, "source_file": T.StringType(), "line": T.StringType(), BATCH: T.LongType()}
+)
 
 
 @dataclass(frozen=True)

@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
+import pytest
+from pyspark.sql import functions as F
 from sample import raw_rows, silver_of
 
+from lakestar.operators.fact import fact_lookups
+from lakestar.operators.lookup import measure
+from lakestar.plans import load
 from lakestar.plans.ingest import write_silver
-from lakestar.plans.load import load_full, load_increment
+from lakestar.plans.load import load_full, load_increment, mark_from_footers, mark_of_lake, marks_in_footers
+from lakestar.sources import catalog
 from lakestar.sources.catalog import (
     LEGACY_VIEWS,
+    analyze_gold,
     count_registered,
+    known_sizes,
     register_gold,
     register_legacy_views,
     registered_tables,
 )
 from lakestar.sources.tables import Lake
-from lakestar.specs import GOLD_SCHEMAS
+from lakestar.specs import FACT_LOOKUPS, GOLD_SCHEMAS
 
 
 def counts(spark, database):
@@ -60,3 +68,122 @@ def test_source_names(spark, tmp_path):
     for view, (table, names) in LEGACY_VIEWS.items():
         assert set(names) == set(GOLD_SCHEMAS[table].names)
         assert spark.table(f"gold_names.{view}").count() == lake.gold_table(table).count()
+
+
+def loaded(spark, tmp_path, rows):
+    lake = Lake(spark, str(tmp_path))
+    silver = silver_of(spark, rows)
+    write_silver(lake, silver.filter("sale_year = 2011"), 1)
+    load_full(lake)
+    return lake, silver
+
+
+def test_a_reader_between_any_two_statements_sees_one_state(spark, tmp_path, monkeypatch):
+    lake, silver = loaded(spark, tmp_path, raw_rows(100))
+    register_gold(lake, "gold_switch")
+    before = spark.table("gold_switch.fact_sales").count()
+    real, seen = catalog._run, []
+
+    def watched(session, statement):
+        result = real(session, statement)
+        seen.append(spark.table("gold_switch.fact_sales").count())
+        return result
+
+    monkeypatch.setattr(catalog, "_run", watched)
+    write_silver(lake, silver.filter("sale_year = 2012"), 2)
+    load_increment(lake)
+    register_gold(lake, "gold_switch")  # a new batch
+    load_full(lake)
+    register_gold(lake, "gold_switch")  # a new version
+    assert set(seen) == {before, 100} and seen == sorted(seen) and len(seen) > 20
+
+
+def test_a_table_that_was_left_half_made_is_made_again(spark, tmp_path, monkeypatch):
+    lake, _ = loaded(spark, tmp_path, raw_rows(100))
+    real = catalog._alter
+    monkeypatch.setattr(catalog, "_alter", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        register_gold(lake, "gold_half")
+    assert registered_tables(spark, "gold_half") == []
+    monkeypatch.setattr(catalog, "_alter", real)
+    register_gold(lake, "gold_half")
+    assert counts(spark, "gold_half") == {t: lake.gold_table(t).count() for t in GOLD_SCHEMAS}
+
+
+def test_older_states_go_and_the_last_one_stays(spark, tmp_path):
+    lake, _ = loaded(spark, tmp_path, raw_rows(100))
+    for _ in range(4):
+        register_gold(lake, "gold_states")
+        load_full(lake)
+    register_gold(lake, "gold_states")
+    assert len(catalog._backings(spark, "gold_states", "fact_sales")) == 2
+
+
+def test_a_table_in_the_place_of_the_name_gives_way(spark, tmp_path):
+    lake, _ = loaded(spark, tmp_path, raw_rows(50))
+    spark.sql("CREATE DATABASE gold_old")
+    spark.sql(f"CREATE TABLE gold_old.dim_segment (x int) USING parquet LOCATION '{tmp_path}/elsewhere'")
+    register_gold(lake, "gold_old")
+    assert counts(spark, "gold_old")["dim_segment"] == lake.gold_table("dim_segment").count()
+
+
+def test_statistics_take_the_place_of_measuring(spark, tmp_path, monkeypatch):
+    lake, silver = loaded(spark, tmp_path, raw_rows(100))
+    register_gold(lake, "gold_sizes")
+    at = lake.ledger.current_versions()
+    assert known_sizes(lake, "gold_sizes", at) == {}  # none taken yet
+    analyze_gold(lake, "gold_sizes")
+    sizes = known_sizes(lake, "gold_sizes", at)
+    lookups = fact_lookups({d.name: lake.gold_table(d.name) for d in FACT_LOOKUPS})
+    measured = measure(lookups)
+    assert {n: (s.rows, s.keys) for n, s in sizes.items()} == {n: (s.rows, s.keys) for n, s in measured.items()}
+    assert all(m.bytes / 2 <= sizes[n].bytes <= 2 * m.bytes for n, m in measured.items())
+    asked = []
+    monkeypatch.setattr(load, "measure", lambda lookups: asked.append([l.name for l in lookups]) or measure(lookups))
+    write_silver(lake, silver.filter("sale_year = 2012"), 2)
+    load_increment(lake, database="gold_sizes")
+    touched = {n for n, c in lake.ledger.current_versions().items() if c.parts != at[n].parts}
+    assert asked == [[d.name for d in FACT_LOOKUPS if d.name in touched]] and len(asked[0]) < len(FACT_LOOKUPS)
+    assert lake.gold_table("fact_sales").count() == 100
+
+
+def test_statistics_know_of_repeated_keys(spark, tmp_path):
+    rows = raw_rows(60)
+    rows[0] = dict(rows[0], product="another name", sale_date="2011-11-05")
+    lake, _ = loaded_with_versions(spark, tmp_path, rows)
+    register_gold(lake, "gold_twice")
+    analyze_gold(lake, "gold_twice")
+    size = known_sizes(lake, "gold_twice", lake.ledger.current_versions())["dim_product"]
+    assert size.rows == size.keys + 1
+
+
+def loaded_with_versions(spark, tmp_path, rows):
+    lake = Lake(spark, str(tmp_path))
+    silver = silver_of(spark, rows)
+    write_silver(lake, silver, 1)
+    load_full(lake, on_duplicate="fan_out")
+    return lake, silver
+
+
+def test_the_mark_from_footers(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    assert mark_from_footers(lake) is None
+    silver = silver_of(spark, raw_rows(100))
+    write_silver(lake, silver.filter("sale_year = 2011"), 1)
+    load_full(lake)
+    assert mark_from_footers(lake) == mark_of_lake(lake)
+    write_silver(lake, silver_of(spark, [dict(r, sale_date="") for r in raw_rows(10)]), 2)
+    load_increment(lake)  # files without any date
+    write_silver(lake, silver.filter("sale_year = 2012"), 3)
+    load_increment(lake)
+    assert mark_from_footers(lake) == mark_of_lake(lake) == silver.agg(F.max("sale_date")).first()[0]
+    plan = marks_in_footers(lake)._jdf.queryExecution().toString()
+    assert "PushedAggregation: [MAX(sale_date)]" in plan
+
+
+def test_the_mark_of_a_fact_without_dates_is_null(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    write_silver(lake, silver_of(spark, [dict(r, sale_date="") for r in raw_rows(20)]), 1)
+    load_full(lake)
+    assert lake.gold_table("fact_sales").count() == 20
+    assert mark_from_footers(lake) is None and mark_of_lake(lake) is None

@@ -1,0 +1,88 @@
+"""Months delivered again take the place of what was there; others stay."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from sample import raw_rows, write_csv
+
+from lakestar.plans.periods import (
+    bronze_months,
+    deliver_month_files,
+    deliver_months,
+    in_months,
+    silver_months,
+)
+from lakestar.sources.landing import read_landing
+from lakestar.sources.tables import Lake
+
+
+@pytest.fixture
+def lake(spark, tmp_path):
+    (tmp_path / "landing").mkdir()
+    return Lake(spark, str(tmp_path))
+
+
+def deliver(lake, name, rows):
+    path = os.path.join(lake.landing, name)
+    write_csv(path, rows)
+    return deliver_month_files(lake, path)
+
+
+def counts(table):
+    return {(r.sale_year, r.sale_month): r["count"] for r in table.groupBy("sale_year", "sale_month").count().collect()}
+
+
+def month(row):
+    return int(row["sale_date"][:4]), int(row["sale_date"][5:7])
+
+
+def test_one_month_is_replaced_and_repeats_change_nothing(lake):
+    rows = raw_rows(300)
+    months = deliver(lake, "all.csv", rows)
+    assert months == sorted({month(r) for r in rows}) and sum(counts(silver_months(lake)).values()) == 300
+    before = counts(silver_months(lake))
+    december = [dict(r, units=1) for r in rows if month(r) == (2011, 12)][:5]
+    for _ in range(2):
+        assert deliver(lake, "december.csv", december) == [(2011, 12)]
+        assert counts(silver_months(lake)) == before | {(2011, 12): 5} == counts(bronze_months(lake))
+    units = silver_months(lake).where(in_months([(2011, 12)])).select("units", "source_file").distinct().collect()
+    assert [tuple(r) for r in units] == [(1, "december.csv")]
+
+
+def test_sales_without_a_date_are_a_month_of_their_own(lake):
+    rows = raw_rows(40)
+    deliver(lake, "one.csv", [dict(r, sale_date="") if i < 10 else r for i, r in enumerate(rows)])
+    assert counts(silver_months(lake))[None, None] == 10
+    assert deliver(lake, "two.csv", [dict(r, sale_date="unknown") for r in rows[:3]]) == [(None, None)]
+    assert counts(silver_months(lake))[None, None] == 3 and sum(counts(bronze_months(lake)).values()) == 33
+
+
+def test_an_empty_delivery_changes_nothing(lake):
+    deliver(lake, "one.csv", raw_rows(20))
+    assert deliver(lake, "none.csv", []) == []
+    assert sum(counts(silver_months(lake)).values()) == 20
+
+
+def test_a_delivery_with_malformed_lines_is_refused_whole(lake):
+    rows = raw_rows(20)
+    deliver(lake, "one.csv", rows)
+    with pytest.raises(ValueError, match="two.csv"):
+        deliver(lake, "two.csv", [dict(rows[0], units="many"), *rows[1:4]])
+    assert sum(counts(silver_months(lake)).values()) == 20
+
+
+def test_silver_is_cleaned_from_the_delivered_months_only(lake):
+    rows = raw_rows(200)
+    deliver(lake, "all.csv", rows)
+    stored = bronze_months(lake).where(in_months([(2011, 12)]))
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+
+
+def test_rows_of_another_source_need_no_file_name(lake, spark):
+    path = os.path.join(lake.landing, "one.csv")
+    write_csv(path, raw_rows(10))
+    deliver_months(lake, read_landing(spark, path).drop("source_file"))
+    assert silver_months(lake).where("source_file is null").count() == 10
