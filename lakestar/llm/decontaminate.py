@@ -1,11 +1,13 @@
 """Benchmark decontamination by a distributed positional inverted index.
 
 A benchmark item is cut into phrases of 13 words (a shorter one is one phrase). Of each phrase
-the three rarest terms, by their counts in the training texts, are looked up in an index of
-postings (term, text, positions). The list of the rarest term gives candidate places; those of
-the other two, shifted by their offsets in the phrase, are intersected with it. What is left
-is compared with the text word by word. Places where all three terms stand within a few words of
-where they should, but not the phrase, are proximity matches.
+the four rarest terms that the training texts have at all are looked up in an index of postings
+(term, text, positions). Texts that hold the rarest one, or the one after it, are candidates; in
+each of them the sorted lists of the terms, shifted by their offsets in the phrase, are intersected
+from the rarest on, in time that grows with the lists' lengths. Where all of them stand where they
+should, the text is compared word by word. Where they stand within a few words of that, but the
+phrase does not, is a proximity match; the text may lack one of them, so a replaced word doesn't hide
+a phrase, nor do a few that no text has.
 
 The index holds the terms that some phrase is looked up by. Which terms those are goes to the
 tasks as a bit map of fixed size: a term outside the benchmark that shares a bit costs a posting,
@@ -24,12 +26,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestar.llm.common import col, numbered, step_aside, without, written
+from lakestar.llm.common import bit_map, col, in_map, numbered, row_place, row_places, step_aside, without, written
 
 WINDOW = 13
-ANCHORS = 3
+ANCHORS = 4
 #: Words by which each term of a proximity match may be off.
 SLOP = 4
+#: Words of a phrase that no text may have, for it to be looked up at all.
+UNSEEN = 4
+#: Phrases that are looked up in a text at a time, about.
+ASKED = 1 << 16
 #: Bits of the term map: 1 MB.
 BITS = 1 << 23
 #: Values that one of Spark's bitmap aggregates covers.
@@ -141,7 +147,7 @@ def _index(rows: DataFrame, terms: DataFrame) -> DataFrame:
 class Found:
     """``index``: row_no, n_words, postings. ``exact``: row_no, n_hit, phrases (their numbers).
 
-    ``near``: row_no, phrase_no, start of places that match by proximity only. ``phrases``:
+    ``near``: row_no, phrase_no of phrases with a place that matches by proximity only. ``phrases``:
     phrase_no, phrase. ``items``: phrase, item.
     """
 
@@ -152,79 +158,149 @@ class Found:
     items: DataFrame
 
 
+def close_starts(lists: list[np.ndarray], offsets: list[int], slop: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where a phrase may start, by its terms' sorted positions and offsets, the rarest term first.
+
+    Every start puts the first term exactly where it stands and each other one at most ``slop`` words
+    off; by how many, at most, comes with it.
+    """
+    starts = lists[0].astype(np.int64) - offsets[0]
+    away = np.zeros(len(starts), np.int64)
+    for at, offset in zip(lists[1:], offsets[1:]):
+        want = starts + offset
+        i = np.searchsorted(at, want)
+        below, above = at[np.maximum(i - 1, 0)], at[np.minimum(i, len(at) - 1)]
+        away = np.maximum(away, np.minimum(np.abs(want - below), np.abs(above - want)))
+        kept = away <= slop
+        starts, away = starts[kept], away[kept]
+    return starts, away
+
+
+def _positions(postings: pa.Array) -> dict[str, np.ndarray]:
+    terms, positions = postings.flatten()
+    return {t: positions[j].values.to_numpy() for j, t in enumerate(terms.to_pylist())}
+
+
+def _intersect(batches: Iterator[pa.RecordBatch], slop: int) -> Iterator[pa.RecordBatch]:
+    """Per text and phrase: how many starts are close, and those that may be exact."""
+    for batch in batches:
+        rows, numbers, sizes, close, exact = [], [], [], [], []
+        asked = batch.column("asked")
+        for i, (row, n_words) in enumerate(zip(batch.column("row_no").to_pylist(), batch.column("n_words").to_pylist())):
+            held = _positions(batch.column("postings")[i].values)
+            for phrase in asked[i].as_py():
+                n, anchors = phrase["n"], phrase["anchors"]
+                here = [a for a in anchors if a["term"] in held]
+                lacks = len(anchors) - len(here)
+                if lacks > (n > len(anchors)):  # of a short phrase the text must have all
+                    continue
+                starts, away = close_starts([held[a["term"]] for a in here], [a["off"] for a in here], slop)
+                if not len(starts):
+                    continue
+                rows.append(row)
+                numbers.append(phrase["phrase_no"])
+                sizes.append(n)
+                close.append(len(starts))
+                may_be = (away == 0) & (starts >= 0) & (starts + n <= n_words)
+                exact.append(starts[may_be & (phrase["whole"] and not lacks)].astype(np.int32))
+        lists = pa.ListArray.from_arrays(
+            pa.array(np.concatenate([[0], np.cumsum([len(e) for e in exact])]), pa.int32()),
+            pa.array(np.concatenate([np.empty(0, np.int32), *exact])),
+        )
+        columns = [pa.array(x, pa.int64()) for x in (rows, numbers, sizes, close)]
+        yield pa.RecordBatch.from_arrays([*columns, lists], ["row_no", "phrase_no", "n", "close", "starts"])
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per text: words inside a phrase that stands there word by word, and how often each one does."""
+    for batch in batches:
+        hits, counts = [], []
+        for i, text in enumerate(_texts(batch)):
+            w, spans, found = words(text), [], []
+            for asked in batch.column("asked")[i].as_py():
+                n, phrase = asked["n"], asked["phrase"].encode()
+                true = [s for s in asked["starts"] if b" ".join(w[s : s + n]) == phrase]
+                if true:
+                    found.append({"phrase_no": asked["phrase_no"], "n_true": len(true)})
+                    spans += [(s, s + n) for s in true]
+            covered, end = 0, 0
+            for start, stop in sorted(spans):
+                covered += max(0, stop - max(end, start))
+                end = max(end, stop)
+            hits.append(covered)
+            counts.append(found)
+        kind = pa.list_(pa.struct([("phrase_no", pa.int64()), ("n_true", pa.int64())]))
+        columns = [batch.column("row_no"), pa.array(hits, pa.int64()), pa.array(counts, kind)]
+        yield pa.RecordBatch.from_arrays(columns, ["row_no", "n_hit", "found"])
+
+
+def _those_in(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose ``row_no`` is in ``wanted``, and few others: none is shuffled to find out."""
+    sent = rows.sparkSession.sparkContext.broadcast(bit_map(wanted, row_place(F.col("row_no"))))
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(in_map(sent.value, row_places(batch.column("row_no").to_numpy()))))
+
+    return rows.mapInArrow(kept, rows.schema)
+
+
 def search(rows: DataFrame, items: DataFrame, anchors: int = ANCHORS, slop: int = SLOP) -> Found:
-    """Look all phrases up in all texts. ``rows``: row_no, text; ``items``: item, phrase."""
+    """Look all phrases up in all texts. ``rows``: row_no, text; ``items``: item, phrase.
+
+    A phrase with an unseen word is nowhere exactly. It is looked up by proximity if no more than a few
+    of its words are unseen and as many terms are left to look it up by as other phrases have.
+    """
     items = written(items, "benchmark-items")
     all_phrases = numbered(items.select("phrase").distinct(), "benchmark-phrases", "phrase_no")
     terms = all_phrases.select("phrase_no", F.posexplode(F.split("phrase", " ")).alias("off", "term"))
     frequencies = written(_frequencies(rows, terms), "benchmark-terms")
-    rarest = F.slice(F.sort_array(F.collect_list(F.struct("frequency", "off", "term"))), 1, anchors)
+    seen = F.when(F.col("frequency").isNotNull(), F.struct("frequency", "off", "term"))
     looked_up = written(
         terms.join(frequencies, "term", "left")
         .groupBy("phrase_no")
-        .agg(rarest.alias("rarest"), F.count("frequency").alias("met"), F.count("*").alias("n"))
-        .where("met = n")  # a phrase with a term that no text has is nowhere
-        .select("phrase_no", "n", F.posexplode("rarest").alias("turn", "a"))
-        .select("phrase_no", "n", "turn", "a.off", "a.term"),
+        .agg(
+            F.slice(F.sort_array(F.collect_list(seen)), 1, anchors).alias("anchors"),
+            F.count("frequency").alias("met"),
+            F.count("*").alias("n"),
+        )
+        .where((F.col("n") - F.col("met") <= UNSEEN) & (F.size("anchors") >= F.least("n", F.lit(anchors))))
+        .select("phrase_no", "n", (F.col("met") == F.col("n")).alias("whole"), "anchors"),
         "benchmark-anchors",
     )
-    index = written(_index(rows, looked_up.select("term").distinct()), "positional-index")
-    postings = index.select("row_no", "n_words", F.explode("postings").alias("p")).select("row_no", "n_words", "p.*")
-    places = (
-        postings.join(looked_up.where("turn = 0"), "term")
-        .select("row_no", "n_words", "phrase_no", "n", F.explode("positions").alias("at"), "off")
-        .select("row_no", "phrase_no", (F.col("at") - F.col("off")).alias("start"), "n", "n_words", F.lit(0).alias("away"))
+    index = written(_index(rows, looked_up.select(F.explode("anchors.term").alias("term")).distinct()), "positional-index")
+    chunks = max(1, -(-looked_up.count() // ASKED))
+    phrase = F.struct("phrase_no", "n", "whole", F.transform("anchors", lambda a: F.struct(a["off"].alias("off"), a["term"].alias("term"))).alias("anchors"))
+    # a text that lacks the rarest term of a phrase may hold it but for that word if it holds the next one
+    second = F.when(F.col("n") > F.size("anchors"), F.get("anchors", F.lit(1))["term"])
+    leads = F.array_distinct(F.array_compact(F.array(F.col("anchors")[0]["term"], second)))
+    rare = looked_up.select(phrase.alias("phrase"), F.explode(leads).alias("rare"))
+    candidates = written(
+        index.select("row_no", F.explode("postings.term").alias("rare"))
+        .join(rare, "rare")
+        .groupBy("row_no", F.pmod(F.xxhash64("phrase.phrase_no"), F.lit(chunks)).alias("chunk"))
+        .agg(F.collect_set("phrase").alias("asked"))
+        .drop("chunk"),
+        "phrase-candidates",
     )
-    for turn in range(1, anchors):
-        # a phrase with fewer words than anchors has no term to look up in this turn
-        place = places.join(
-            looked_up.where(f"turn = {turn}").select("phrase_no", "off", "term"), "phrase_no", "left"
-        )
-        lists = postings.select(F.col("row_no").alias("r"), F.col("term").alias("t"), "positions")
-        off = F.array_min(F.transform("positions", lambda p: F.abs(p - F.col("start") - F.col("off"))))
-        place = place.join(lists, F.expr("row_no = r and term = t"), "left").withColumn(
-            "away", F.greatest("away", F.when(F.col("off").isNull(), 0).otherwise(F.coalesce(off, F.lit(slop + 1))))
-        )
-        places = place.where(F.col("away") <= slop).select("row_no", "phrase_no", "start", "n", "n_words", "away")
-    places = written(places, "phrase-places")
-    within = places.where("away = 0 and start >= 0 and start + n <= n_words")
-    asked = (
-        within.join(all_phrases, "phrase_no")
+    asked = _those_in(index, candidates).join(candidates, "row_no").select("row_no", "n_words", "postings", "asked")
+    schema = "row_no long, phrase_no long, n long, close long, starts array<int>"
+    places = written(asked.mapInArrow(lambda batches: _intersect(batches, slop), schema), "phrase-places")
+    may_be = places.where(F.size("starts") > 0)
+    to_compare = written(
+        may_be.join(all_phrases, "phrase_no")
         .groupBy("row_no")
-        .agg(F.collect_list(F.struct("start", "n", "phrase_no", "phrase")).alias("asked"))
+        .agg(F.collect_list(F.struct("phrase_no", "n", "starts", "phrase")).alias("asked")),
+        "phrase-asked",
     )
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hits, numbers, starts = [], [], []
-            for text, asked in zip(_texts(batch), batch.column("asked").to_pylist()):
-                w = words(text)
-                true = [a for a in asked if b" ".join(w[a["start"] : a["start"] + a["n"]]) == a["phrase"].encode()]
-                covered, end = 0, 0
-                for a in sorted(true, key=lambda a: (a["start"], a["n"])):
-                    covered += max(0, a["start"] + a["n"] - max(end, a["start"]))
-                    end = max(end, a["start"] + a["n"])
-                hits.append(covered)
-                numbers.append(sorted({a["phrase_no"] for a in true}))
-                starts.append([{"phrase_no": a["phrase_no"], "start": a["start"]} for a in true])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("row_no"),
-                    pa.array(hits, pa.int64()),
-                    pa.array(numbers, pa.list_(pa.int64())),
-                    pa.array(starts, pa.list_(pa.struct([("phrase_no", pa.int64()), ("start", pa.int32())]))),
-                ],
-                ["row_no", "n_hit", "phrases", "places"],
-            )
-
-    schema = "row_no long, n_hit long, phrases array<long>, places array<struct<phrase_no:long,start:int>>"
-    # the numbers first: while they are few, Spark need not shuffle texts
-    wanted = written(within.select("row_no").distinct().sort("row_no"), "phrase-texts")
-    texts = rows.select("row_no", "text").join(wanted, "row_no", "left_semi")
-    exact = written(asked.join(texts, "row_no").select("row_no", "text", "asked").mapInArrow(compare, schema), "phrase-matches")
-    true = exact.select("row_no", F.explode("places").alias("p")).select("row_no", "p.phrase_no", "p.start")
-    near = places.select("row_no", "phrase_no", "start").join(true, ["row_no", "phrase_no", "start"], "left_anti")
-    return Found(index, exact, near.distinct(), all_phrases, items)
+    texts = _those_in(rows.select("row_no", "text"), to_compare)
+    schema = "row_no long, n_hit long, found array<struct<phrase_no:long,n_true:long>>"
+    compared = to_compare.join(texts, "row_no").select("row_no", "text", "asked").mapInArrow(_compare, schema)
+    compared = written(compared.where("n_hit > 0"), "phrase-matches")
+    exact = compared.select("row_no", "n_hit", F.col("found.phrase_no").alias("phrases"))
+    true = compared.select("row_no", F.inline("found"))
+    near = places.join(true, ["row_no", "phrase_no"], "left").where("close > coalesce(n_true, 0)").select("row_no", "phrase_no")
+    return Found(index, exact, near, all_phrases, items)
 
 
 def judge(
@@ -239,7 +315,7 @@ def judge(
 
     ``n_hit`` counts words inside any exact match, ``items`` are the items matched, as sorted
     strings; ``n_near`` counts phrases that match by proximity only. Contaminated: some words are
-    hit, at least one in twenty. A null or empty text has no words; neither has such an item. Null item
+    hit, at least one in twenty; proximity has no say in it. A null or empty text has no words; neither has such an item. Null item
     ids count as no item, though their phrases hit. Repeated rows are judged alike; an empty
     table on either side gives no hits. Input columns with a result's name become ``<name>_input``.
     """
@@ -275,7 +351,7 @@ def _judged(
         .groupBy("row_no")
         .agg(F.sort_array(F.collect_set("item")).alias("items"))
     )
-    near = found.near.groupBy("row_no").agg(F.countDistinct("phrase_no").alias("n_near"))
+    near = found.near.groupBy("row_no").agg(F.count("*").alias("n_near"))
     contaminated = (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
     return (
         found.index.select("row_no", "n_words")

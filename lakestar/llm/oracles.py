@@ -161,11 +161,41 @@ m as (select row_no, i, x.n, item from x join p on x.phrase = p.phrase and x.n =
 h as (select row_no, count(distinct k) as n_hit from (select row_no, unnest(range(i, i + n)) as k from m) group by row_no),
 t as (
   select row_no, count(*) as n_items, string_agg(item, ',' order by item) as items
-  from (select distinct row_no, item from m where item is not null) group by row_no)
+  from (select distinct row_no, item from m where item is not null) group by row_no),
+q as (select distinct phrase, n from p),
+k as (
+  select phrase, n, unnest(range(0, n)) as off, unnest(string_split(phrase, ' ')) as term from q),
+o as materialized (
+  select row_no, unnest(w) as term, unnest(range(0, len(w))) as pos from d),
+o2 as materialized (select * from o where term in (select term from k)),
+f as (select term, count(*) as frequency from o2 group by term),
+a as materialized (
+  select k.phrase, n, off, k.term, row_number() over (partition by k.phrase order by frequency, off, k.term) as turn,
+         count(*) over (partition by k.phrase) as met
+  from k join f on k.term = f.term),
+l as materialized (
+  select phrase, a.n, off, term, turn, least(met, 4) - cast(n > 4 as int) as need
+  from a where turn <= 4 and a.n - met <= 4 and met >= least(4, a.n)),
+c as materialized (
+  select row_no, phrase, l.n, count(*) as held, min(turn) as lead
+  from (select distinct row_no, term from o2) t join l on t.term = l.term group by row_no, phrase, l.n, need
+  having count(*) >= need),
+s1 as materialized (
+  select distinct row_no, phrase, c.n, held, pos - off as start
+  from c join l on l.phrase = c.phrase and l.turn = c.lead join o2 using (row_no, term)),
+s2 as (
+  select row_no, phrase, n, held, start, l.turn
+  from s1 join l using (phrase, n) join o2 using (row_no, term) where abs(o2.pos - start - l.off) <= 4
+  group by all),
+s3 as (select row_no, phrase, n, start from s2 group by row_no, phrase, n, start, held having count(*) = held),
+z as (
+  select row_no, count(distinct phrase) as n_near from s3
+  where not exists (select 1 from x where x.row_no = s3.row_no and x.i = s3.start + 1 and x.phrase = s3.phrase and x.n = s3.n)
+  group by row_no)
 select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
        sha256(coalesce(items, '')) as items_sha256,
-       coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
-from d left join h on d.row_no = h.row_no left join t on d.row_no = t.row_no
+       coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated, coalesce(n_near, 0) as n_near
+from d left join h on d.row_no = h.row_no left join t on d.row_no = t.row_no left join z on d.row_no = z.row_no
 """
 
 

@@ -132,6 +132,7 @@ def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         "contaminated",
+        "n_near",
     )
 
 

@@ -2,8 +2,11 @@ from __future__ import annotations
 
 import random
 import re
+import time
+from collections import Counter
 
 import edges
+import numpy as np
 import pytest
 
 from lakestar.llm import decontaminate
@@ -77,6 +80,81 @@ def test_proximity(spark):
     assert {r["doc_id"]: (r["n_hit"], r["n_near"]) for r in got} == {1: (0, 1), 2: (13, 0), 3: (0, 0), 4: (0, 0)}
 
 
+def brute_near(docs, items, anchors=4, slop=4, unseen=4):
+    """Document: phrases that stand nearby only, by looking at every start."""
+    texts = [(doc, words(text)) for doc, text in docs]
+    often = Counter(t for _, w in texts for t in w)
+    phrases = {tuple(w[i : i + 13]) for _, w in ((i, words(t)) for i, t in items) for i in range(max(1, len(w) - 12) if w else 0)}
+    out = Counter()
+    for doc, w in texts:
+        out[doc] += 0
+        for p in phrases:
+            terms = sorted((often[t], off, t) for off, t in enumerate(p) if often[t])
+            if len(p) - len(terms) > unseen or len(terms) < min(len(p), anchors):
+                continue
+            terms = [x for x in terms[:anchors] if x[2] in w]
+            if len(terms) < min(anchors, len(p)) - (len(p) > anchors):
+                continue
+            _, off, rarest = terms[0]
+            for s in [i - off for i, t in enumerate(w) if t == rarest]:
+                close = all(any(abs(i - s - o) <= slop for i, x in enumerate(w) if x == t) for _, o, t in terms[1:])
+                if close and tuple(w[s : s + len(p)] if s >= 0 else ()) != p:
+                    out[doc] += 1
+                    break
+    return out
+
+
+def near(spark, docs, items):
+    got = decontaminate.judge(spark.createDataFrame(docs, DOC).repartition(3), spark.createDataFrame(items, ITEM))
+    return Counter({r["doc_id"]: r["n_near"] for r in got.collect()})
+
+
+@pytest.mark.parametrize("n", [12, 60])
+def test_proximity_equals_brute_force(spark, n):
+    docs, items = corpus(n + 1, [f"w{i}" for i in range(n)])
+    docs, items = docs[:40], [(i, t) for i, t in items if i < 8]
+    want = brute_near(docs, items)
+    assert near(spark, docs, items) == want and sum(want.values()) > 0
+
+
+def test_a_replaced_or_unseen_word_is_a_proximity_match(spark):
+    item = [f"p{i}" for i in range(13)]
+    swap = lambda at, word: " ".join([*item[:at], word, *item[at + 1 :]])
+    docs = [(1, swap(5, "changed")), (2, "unlike all the others " * 5), (3, " ".join(item[:4])), (4, "x " + swap(0, "other"))]
+    assert near(spark, docs, [(1, " ".join(item))]) == {1: 1, 2: 0, 3: 0, 4: 1}
+    # p12 and p11 are in no text at all
+    assert near(spark, [(1, " ".join(item[:11]))], [(1, " ".join(item))]) == {1: 1}
+    # too little of the phrase is left to look it up by
+    assert near(spark, [(1, "p0 p1 p2 p3 p4")], [(1, " ".join(item))]) == {1: 0}
+
+
+def test_time_grows_with_a_texts_repeats_not_with_their_square():
+    def seconds(n):
+        at = np.arange(n, dtype=np.int32)
+        began = time.perf_counter()
+        starts, away = decontaminate.close_starts([at, at, at], [0, 1, 2], decontaminate.SLOP)
+        assert len(starts) == n and (away[: n - 2] == 0).all()
+        return time.perf_counter() - began
+
+    seconds(1000)
+    small, large = min(seconds(100_000) for _ in range(3)), min(seconds(1_600_000) for _ in range(3))
+    assert large < 16 * 4 * small
+
+
+def test_a_long_text_of_one_word(spark):
+    began = time.perf_counter()
+    docs = [(1, "the " * 200_000), (2, "the " * 12), (3, "a the b")]
+    got = judged(spark, docs, [(9, "the " * 13)])
+    assert got == [(1, 200_000, 200_000, ["9"], True), (2, 12, 0, [], False), (3, 3, 0, [], False)]
+    assert time.perf_counter() - began < 120
+
+
+def test_phrases_in_several_chunks(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "ASKED", 3)
+    docs, items = corpus(5, [f"w{i}" for i in range(50)])
+    assert judged(spark, docs, items) == brute(docs, items)
+
+
 def test_edges(spark):
     items = [(1, None), (2, ""), (None, "the quick brown fox"), (3, "Word"), (3, "Word"), (10, "word")]
     bench = edges.clashing(spark.createDataFrame(items, ITEM))
