@@ -181,7 +181,7 @@ c as materialized (
   from (select distinct row_no, term from o2) t join l on t.term = l.term group by row_no, phrase, l.n, need
   having count(*) >= need),
 s1 as materialized (
-  select distinct row_no, phrase, c.n, held, pos - off as start
+  select distinct row_no, c.phrase, c.n, held, pos - off as start
   from c join l on l.phrase = c.phrase and l.turn = c.lead join o2 using (row_no, term)),
 s2 as (
   select row_no, phrase, n, held, start, l.turn
