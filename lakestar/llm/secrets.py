@@ -3,7 +3,9 @@
 Strong spans (an assignment to a secret's name, an access identifier, a long hex run) are
 reported wherever they stand. Weak candidates (an endpoint, a user name, an opaque string) are
 everywhere in harmless text; they are reported only if a part that complements them overlaps
-their scope, some characters to either side: credentials come in parts. With ``apart``, candidates
+their scope, some characters to either side: credentials come in parts. An opaque string must look
+like a drawn one: letters, digits and cases change often in it, and it has many different
+characters; the words, numbers and dates of slugs, paths and names stand apart. With ``apart``, candidates
 cut from one text are not parts of each other: of those that overlap the kind listed first counts.
 
 The link is an interval join. Text is cut into cells as wide as the scope reaches; of the parts
@@ -44,6 +46,11 @@ _ASSIGN = (
     r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]"
     r"|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
 )
+#: Where a drawn string changes: letter to digit, digit to letter; and lower case to upper.
+NUMBERED = "(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])"
+CHANGES = NUMBERED + "|(?<=[a-z])(?=[A-Z])"
+#: A drawn string has a change in so many characters at least, two of them at digits, and so many different characters.
+STRETCH, DIGIT_CHANGES, DISTINCT = 5, 2, 10
 #: In the order in which spans with the same start are listed; strong kinds first.
 KINDS = (
     Kind("assign", _ASSIGN, "secret", True, 8, 2, r"[:=]"),
@@ -57,16 +64,25 @@ KINDS = (
 COMPLEMENT = {"id": ("secret",), "secret": ("id", "place"), "place": ("secret",)}
 
 
+def drawn(x: Column) -> Column:
+    """Whether a string looks drawn at random rather than written."""
+    return (
+        (F.regexp_count(x, F.lit(CHANGES)) * STRETCH >= F.length(x))
+        & (F.regexp_count(x, F.lit(NUMBERED)) >= DIGIT_CHANGES)
+        & (F.size(F.array_distinct(F.split(x, ""))) >= DISTINCT)
+    )
+
+
 def _pieces(text: Column, kind: Kind) -> Column:
     """Per match: code points before it since the last one, of itself, of what ``least`` is about."""
     found = F.regexp_extract_all(text, F.lit(kind.regex), F.lit(0))
     judged = F.regexp_extract_all(text, F.lit(kind.regex), F.lit(kind.group)) if kind.group else found
-    digit = F.transform(found, lambda x: x.rlike("[0-9]") & x.rlike("[A-Za-z]"))
+    random = F.transform(found, drawn if kind.name == "opaque" else lambda _: F.lit(True))
     gaps = F.split(text, kind.regex, -1)
     lengths = F.zip_with(
         F.zip_with(gaps, found, lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("size"))),
-        F.zip_with(judged, digit, lambda j, d: F.struct(F.length(j).alias("judged"), d.alias("mixed"))),
-        lambda a, b: F.struct(a["gap"].alias("gap"), a["size"].alias("size"), b["judged"].alias("judged"), b["mixed"].alias("mixed")),
+        F.zip_with(judged, random, lambda j, d: F.struct(F.length(j).alias("judged"), d.alias("drawn"))),
+        lambda a, b: F.struct(a["gap"].alias("gap"), a["size"].alias("size"), b["judged"].alias("judged"), b["drawn"].alias("drawn")),
     )
     matches = F.filter(lengths, lambda x: x["size"].isNotNull())
     return F.when(text.rlike(kind.hint), matches) if kind.hint else matches
@@ -76,12 +92,12 @@ def spans(rows: DataFrame, text: str, reach: int = REACH, apart: bool = False) -
     """``row_no``, ``kind``, ``start``, ``end`` (code points, end exclusive) of what is reported.
 
     ``rows`` are numbered. Matches of one kind are leftmost and don't overlap; opaque strings
-    need a letter and a digit, and a weak candidate is dropped where a strong span covers part of it.
+    must look drawn, and a weak candidate is dropped where a strong span covers part of it.
     With ``apart`` it is dropped, too, where a weak candidate of a kind listed before does: the piece of a
     link that looks opaque, or a long user name, is no secret beside the link or the name.
     """
     whole = F.coalesce(col(text), F.lit(""))
-    none = F.array().cast("array<struct<gap:int,size:int,judged:int,mixed:boolean>>")
+    none = F.array().cast("array<struct<gap:int,size:int,judged:int,drawn:boolean>>")
     pieces = rows.select(
         "row_no",
         F.explode(F.array(*[F.struct(F.lit(i).alias("kind_no"), F.coalesce(_pieces(whole, k), none).alias("m")) for i, k in enumerate(KINDS)])).alias("k"),
@@ -89,12 +105,11 @@ def spans(rows: DataFrame, text: str, reach: int = REACH, apart: bool = False) -
     order = Window.partitionBy("row_no", "kind_no").orderBy("pos")
     end = F.sum(F.col("gap") + F.col("size")).over(order)
     least = F.element_at(F.array(*[F.lit(k.least) for k in KINDS]), F.col("kind_no") + 1)
-    opaque = F.col("kind_no") == [k.name for k in KINDS].index("opaque")
     named = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), F.col("kind_no") + 1)
     found = written(
         pieces.select("row_no", "kind_no", "pos", "m.*")
         .withColumn("end", end)
-        .where((F.col("judged") >= least) & (~opaque | F.col("mixed")))
+        .where((F.col("judged") >= least) & F.col("drawn"))
         .select(
             "row_no",
             "kind_no",
