@@ -17,9 +17,11 @@ no more, so the benchmark may be of any size.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +36,10 @@ ANCHORS = 4
 SLOP = 4
 #: Words of a phrase that no text may have, for it to be looked up at all.
 UNSEEN = 4
-#: Phrases that are looked up in a text at a time, about.
-ASKED = 1 << 16
+#: Phrases that every task gets at a time, about: some 60 MB.
+ASKED = 1 << 17
+#: Places of a term up to which they are gone through one by one.
+FEW = 32
 #: Bits of the term map: 1 MB.
 BITS = 1 << 23
 #: Values that one of Spark's bitmap aggregates covers.
@@ -164,7 +168,8 @@ def close_starts(lists: list[np.ndarray], offsets: list[int], slop: int) -> tupl
     Every start puts the first term exactly where it stands and each other one at most ``slop`` words
     off; by how many, at most, comes with it.
     """
-    starts = lists[0].astype(np.int64) - offsets[0]
+    lists = [np.asarray(at, np.int64) for at in lists]
+    starts = lists[0] - offsets[0]
     away = np.zeros(len(starts), np.int64)
     for at, offset in zip(lists[1:], offsets[1:]):
         want = starts + offset
@@ -176,39 +181,96 @@ def close_starts(lists: list[np.ndarray], offsets: list[int], slop: int) -> tupl
     return starts, away
 
 
-def _positions(postings: pa.Array) -> dict[str, np.ndarray]:
-    terms, positions = postings.flatten()
-    return {t: positions[j].values.to_numpy() for j, t in enumerate(terms.to_pylist())}
-
-
-def _intersect(batches: Iterator[pa.RecordBatch], slop: int) -> Iterator[pa.RecordBatch]:
+@dataclass(frozen=True)
+class Asked:
+    """A phrase as it is looked up: number, words, whether texts have all of them, terms and offsets, rarest first."""
+
+    number: int
+    n: int
+    whole: bool
+    terms: tuple[str, ...]
+    offsets: tuple[int, ...]
+
+    @property
+    def leads(self) -> tuple[str, ...]:
+        """A text without the rarest term may hold the phrase but for that word if it holds the next one."""
+        return self.terms[: 1 + self.may_lack]
+
+    @property
+    def may_lack(self) -> int:
+        """Terms that a text may lack: one, but of a short phrase it must have all."""
+        return int(self.n > len(self.terms))
+
+
+def _few_starts(lists: list[list[int]], offsets: list[int], slop: int) -> tuple[list[int], list[int]]:
+    """``close_starts`` for a term that stands in few places."""
+    starts, aways = [], []
+    for place in lists[0]:
+        start, away = place - offsets[0], 0
+        for at, offset in zip(lists[1:], offsets[1:]):
+            i = bisect_left(at, start + offset)
+            away = max(away, min(abs(start + offset - x) for x in at[max(0, i - 1) : i + 1]))
+            if away > slop:
+                break
+        else:
+            starts.append(start)
+            aways.append(away)
+    return starts, aways
+
+
+def _intersect(batches: Iterator[pa.RecordBatch], by_lead: dict[str, list[Asked]], slop: int) -> Iterator[pa.RecordBatch]:
     """Per text and phrase: how many starts are close, and those that may be exact."""
     for batch in batches:
         rows, numbers, sizes, close, exact = [], [], [], [], []
-        asked = batch.column("asked")
+        postings = batch.column("postings")
         for i, (row, n_words) in enumerate(zip(batch.column("row_no").to_pylist(), batch.column("n_words").to_pylist())):
-            held = _positions(batch.column("postings")[i].values)
-            for phrase in asked[i].as_py():
-                n, anchors = phrase["n"], phrase["anchors"]
-                here = [a for a in anchors if a["term"] in held]
-                lacks = len(anchors) - len(here)
-                if lacks > (n > len(anchors)):  # of a short phrase the text must have all
+            terms, positions = postings[i].values.flatten()
+            at = {t: j for j, t in enumerate(terms.to_pylist())}
+            asked = {p.number: p for t in at for p in by_lead.get(t, ())}
+            lists: dict[str, list[int]] = {}
+            for phrase in asked.values():
+                here = [k for k, t in enumerate(phrase.terms) if t in at]
+                lacks = len(phrase.terms) - len(here)
+                if lacks > phrase.may_lack:
                     continue
-                starts, away = close_starts([held[a["term"]] for a in here], [a["off"] for a in here], slop)
+                for t in (phrase.terms[k] for k in here):
+                    if t not in lists:
+                        lists[t] = positions[at[t]].as_py()
+                found = close_starts if len(lists[phrase.terms[here[0]]]) > FEW else _few_starts
+                starts, aways = found([lists[phrase.terms[k]] for k in here], [phrase.offsets[k] for k in here], slop)
                 if not len(starts):
                     continue
+                may_be = phrase.whole and not lacks
                 rows.append(row)
-                numbers.append(phrase["phrase_no"])
-                sizes.append(n)
+                numbers.append(phrase.number)
+                sizes.append(phrase.n)
                 close.append(len(starts))
-                may_be = (away == 0) & (starts >= 0) & (starts + n <= n_words)
-                exact.append(starts[may_be & (phrase["whole"] and not lacks)].astype(np.int32))
-        lists = pa.ListArray.from_arrays(
-            pa.array(np.concatenate([[0], np.cumsum([len(e) for e in exact])]), pa.int32()),
-            pa.array(np.concatenate([np.empty(0, np.int32), *exact])),
-        )
+                exact.append(
+                    [s for s, away in zip(starts, aways) if not away and 0 <= s <= n_words - phrase.n] if may_be else []
+                )
         columns = [pa.array(x, pa.int64()) for x in (rows, numbers, sizes, close)]
-        yield pa.RecordBatch.from_arrays([*columns, lists], ["row_no", "phrase_no", "n", "close", "starts"])
+        yield pa.RecordBatch.from_arrays(
+            [*columns, pa.array(exact, pa.list_(pa.int32()))], ["row_no", "phrase_no", "n", "close", "starts"]
+        )
+
+
+def _places(index: DataFrame, looked_up: DataFrame, slop: int) -> DataFrame:
+    """``row_no``, ``phrase_no``, ``n``, ``close``, ``starts``, phrases in blocks of bounded size against all texts."""
+    blocks = max(1, -(-looked_up.count() // ASKED))
+    block = F.pmod(F.xxhash64("phrase_no"), F.lit(blocks))
+    schema = "row_no long, phrase_no long, n long, close long, starts array<int>"
+    found = []
+    for b in range(blocks):
+        by_lead: dict[str, list[Asked]] = {}
+        for r in looked_up.where(block == b).collect():
+            terms, offsets = zip(*[(a["term"], a["off"]) for a in r["anchors"]])
+            phrase = Asked(r["phrase_no"], r["n"], r["whole"], terms, offsets)
+            for t in set(phrase.leads):
+                by_lead.setdefault(t, []).append(phrase)
+        sent = index.sparkSession.sparkContext.broadcast(by_lead)
+        here = index.mapInArrow(lambda batches, sent=sent: _intersect(batches, sent.value, slop), schema)
+        found.append(written(here, "phrase-places"))
+    return reduce(DataFrame.unionByName, found)
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,23 +331,7 @@ def search(rows: DataFrame, items: DataFrame, anchors: int = ANCHORS, slop: int
         "benchmark-anchors",
     )
     index = written(_index(rows, looked_up.select(F.explode("anchors.term").alias("term")).distinct()), "positional-index")
-    chunks = max(1, -(-looked_up.count() // ASKED))
-    phrase = F.struct("phrase_no", "n", "whole", F.transform("anchors", lambda a: F.struct(a["off"].alias("off"), a["term"].alias("term"))).alias("anchors"))
-    # a text that lacks the rarest term of a phrase may hold it but for that word if it holds the next one
-    second = F.when(F.col("n") > F.size("anchors"), F.get("anchors", F.lit(1))["term"])
-    leads = F.array_distinct(F.array_compact(F.array(F.col("anchors")[0]["term"], second)))
-    rare = looked_up.select(phrase.alias("phrase"), F.explode(leads).alias("rare"))
-    candidates = written(
-        index.select("row_no", F.explode("postings.term").alias("rare"))
-        .join(rare, "rare")
-        .groupBy("row_no", F.pmod(F.xxhash64("phrase.phrase_no"), F.lit(chunks)).alias("chunk"))
-        .agg(F.collect_set("phrase").alias("asked"))
-        .drop("chunk"),
-        "phrase-candidates",
-    )
-    asked = _those_in(index, candidates).join(candidates, "row_no").select("row_no", "n_words", "postings", "asked")
-    schema = "row_no long, phrase_no long, n long, close long, starts array<int>"
-    places = written(asked.mapInArrow(lambda batches: _intersect(batches, slop), schema), "phrase-places")
+    places = _places(index, looked_up, slop)
     may_be = places.where(F.size("starts") > 0)
     to_compare = written(
         may_be.join(all_phrases, "phrase_no")

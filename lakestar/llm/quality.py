@@ -26,6 +26,9 @@ WINDOW = 8
 #: Least standard deviation of each transformed statistic, in the order of ``vector``.
 #: With these a share of repeated lines or words rejects by itself above 19 %, in a group where few have any.
 FLOORS = (0.5, 0.1, 0.035, 0.06, 0.1, 0.1)
+#: Lines and words without repeats that every document is given besides its own: one line that stands twice on
+#: a short page is one event, which shows in both shares, and says little about the page.
+GIVEN_LINES, GIVEN_WORDS = 10, 200
 #: Concentration steps at most, and the fall of the determinant's logarithm below which they end.
 STEPS = 30
 TOLERANCE = 1e-3
@@ -98,14 +101,17 @@ def base_failed() -> Column:
 
 def vector() -> list[Column]:
     """The statistics on scales where ordinary documents lie about evenly around a centre."""
-    share = lambda part, whole: F.asin(F.sqrt(F.least(F.col(part) / F.greatest(F.col(whole), F.lit(1)), F.lit(1.0))))
+
+    def share(part: str, whole: str, given: int = 0) -> Column:
+        return F.asin(F.sqrt(F.least(F.col(part) / F.greatest(F.col(whole) + given, F.lit(1)), F.lit(1.0))))
+
     return [
         F.log1p("n_words"),
         F.log(F.col("word_chars") / F.greatest(F.col("n_words"), F.lit(1)) + 1e-9),
         share("n_marks", "word_chars"),
         share("n_upper", "word_chars"),
-        share("n_dup_lines", "n_lines"),
-        share("n_repeat_words", "n_words"),
+        share("n_dup_lines", "n_lines", GIVEN_LINES),
+        share("n_repeat_words", "n_words", GIVEN_WORDS),
     ]
 
 

@@ -7,8 +7,8 @@ hypergeometric law. Then every block is permuted by itself and cut by its row of
 the pieces change places, and every shard is permuted again. No row is compared with rows
 of another block before the exchange.
 
-The matrix is drawn over a binary tree of blocks: a node splits what its shards take between
-its halves. Each level is one small join, so a million blocks need twenty steps, not a million.
+The matrix is drawn over a binary tree of blocks, which are numbered by all tasks together: a node
+splits what its shards take between its halves. Each level is one small join, so a million blocks need twenty steps, not a million.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakestar.llm.common import numbered, step_aside, uniform, written
+from lakestar.operators.keys import ranked, with_dense_keys
 
 #: Rows of one block, the unit that is permuted by one task, before and after the exchange.
 BLOCK_ROWS = 4096
@@ -77,15 +78,13 @@ def communication_matrix(blocks: DataFrame, shards: int, seed: int = 0) -> DataF
     No blocks give an empty matrix.
     """
     spark = blocks.sparkSession
-    leaves = written(
-        blocks.withColumn("leaf", F.row_number().over(Window.orderBy("block")) - F.lit(1)),
-        "shard-leaves",
-    )
+    in_order = ranked(blocks.select("block", "n"), ("block",), "shard-blocks")
+    leaves = written(with_dense_keys(in_order, "leaf", start=-1), "shard-leaves")
     total, n_blocks = leaves.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     levels = max(n_blocks - 1, 0).bit_length()
     sizes = written(
         leaves.select(F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("depth"), "leaf", "n")
-        .withColumn("at", F.expr(f"shiftright(leaf, {levels} - depth)"))
+        .withColumn("at", F.expr(f"cast(shiftright(leaf, {levels} - depth) as int)"))
         .groupBy("depth", "at")
         .agg(F.sum("n").alias("n_left")),
         "shard-sizes",

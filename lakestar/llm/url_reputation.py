@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from lakestar.llm.common import col, step_aside, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Suffixes of two labels under which names are registered; fixed values, a caller may give more.
+#: Suffixes of two labels under which names are registered; fixed values, for callers who give no table of suffixes.
 TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "com.br", "co.jp", "co.in", "co.nz")
 
 
@@ -48,6 +48,40 @@ def parents(host: Column, suffixes=TWO_LABEL_SUFFIXES) -> tuple[Column, Column]:
     return domain, suffix
 
 
+def with_parents(hosts: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
+    """Adds ``domain`` and ``suffix`` to distinct hosts.
+
+    ``suffixes`` has one column ``suffix`` of rules as in public lists: ``co.uk``, ``*.ck`` (any label
+    before it, too), ``!www.ck`` (but not this one). An exception goes before all, then the longest
+    rule; without any the last label is the suffix. Hosts are joined by their own and their parent
+    names, never with all rules. Null and repeated rules don't matter.
+    """
+    domain, suffix = parents(F.col("host"))
+    if suffixes is None:
+        return hosts.withColumns({"domain": domain, "suffix": suffix})
+    rules = suffixes.select(F.lower(F.trim("suffix")).alias("asked")).where("asked is not null").distinct()
+    name = F.regexp_replace("host", r"^.*@|:[0-9]*$", "")
+    labels = F.split(name, r"\.", -1)
+    n = F.size(labels)
+    tail = lambda i: F.concat_ws(".", F.slice(labels, i, F.greatest(n - i + 1, F.lit(0))))
+    # what a rule that starts at label i would be called, and at which label its suffix starts
+    ways = lambda i: F.array(
+        F.struct(F.concat(F.lit("!"), tail(i)).alias("asked"), F.lit(0).alias("kind"), (i + 1).alias("at")),
+        F.struct(tail(i).alias("asked"), F.lit(1).alias("kind"), i.alias("at")),
+        F.struct(F.concat(F.lit("*."), tail(i + 1)).alias("asked"), F.lit(1).alias("kind"), i.alias("at")),
+    )
+    asked = hosts.select("host", F.inline(F.flatten(F.transform(F.sequence(F.lit(1), n), ways))))
+    found = asked.join(rules, "asked").groupBy("host").agg(F.min(F.struct("kind", "at")).alias("rule"))
+    at = F.coalesce(F.col("rule.at"), n)
+    known = hosts.join(found, "host", "left").withColumn("number", name.rlike(r"^[0-9.]+$|^\["))
+    return known.withColumns(
+        {
+            "domain": F.when(F.col("number"), name).otherwise(tail(F.greatest(at - 1, F.lit(1)))),
+            "suffix": F.when(F.col("number"), F.lit("")).otherwise(tail(at)),
+        }
+    ).drop("rule", "number")
+
+
 def _strength(level: DataFrame, floor: float = 1e-4) -> float:
     """a + b of the beta prior; ``level`` has n, bad and the parents' mean rate p."""
     spread = F.col("p") * (1 - F.col("p"))
@@ -67,14 +101,14 @@ def _shrunk(level: DataFrame, strength: float) -> DataFrame:
     return level.withColumn("spread", F.col("rate") * (1 - F.col("rate")) / (size + 1) + share * share * F.col("v"))
 
 
-def reputation(hosts: DataFrame, z: float = 1.645, suffixes=TWO_LABEL_SUFFIXES) -> DataFrame:
+def reputation(hosts: DataFrame, z: float = 1.645, suffixes: DataFrame | None = None) -> DataFrame:
     """``host``, ``bad_rate``, ``bad_low``: posterior mean and low quantile (normal) of bad pages.
 
     ``hosts``: one row per host with ``n`` labelled pages, of them ``bad``; n may be 0. Without
-    any label every rate is one half and its quantile low, so nothing is blocked.
+    any label every rate is one half and its quantile low, so nothing is blocked. ``suffixes`` as
+    for ``with_parents``.
     """
-    domain, suffix = parents(F.col("host"), suffixes)
-    hosts = written(hosts.select("host", "n", "bad", domain.alias("domain"), suffix.alias("suffix")), "hosts")
+    hosts = written(with_parents(hosts.select("host", "n", "bad"), suffixes), "hosts")
     given = (F.col("rate").alias("p"), F.col("spread").alias("v"))
     sums = (F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     domains = written(hosts.groupBy("domain", "suffix").agg(*sums), "domains")
@@ -121,6 +155,7 @@ def judge(
     url: str = "url",
     block_above: float = 0.5,
     z: float = 1.645,
+    suffixes: DataFrame | None = None,
 ) -> DataFrame:
     """All rows and columns of ``pages`` with ``host``, ``path``, ``rule``, ``verdict``, ``bad_low``.
 
@@ -128,24 +163,25 @@ def judge(
     from which hosts are judged; pages without a rule are blocked if ``bad_low`` of their host
     is above ``block_above``. A null URL or one without ``://`` has an empty host and path and
     is judged like any host. Repeated pages count as often as they stand. Input columns with
-    a result's name are kept as ``<name>_input``; no pages, no rows.
+    a result's name are kept as ``<name>_input``; no pages, no rows. ``suffixes``: see ``with_parents``.
+
+    Only hosts are gathered: each page's rule is decided where the page is, and counts per host are
+    added up before they are dealt out.
     """
     out = ("host", "path", "rule", "verdict", "bad_low")
     pages = step_aside(pages, (*out, "fits", "rules", "n", "bad"))
     pages = pages.withColumns({"host": host_of(col(url)), "path": path_of(col(url))})
-    hosts = written(pages.groupBy("host", "path").agg(F.count("*").alias("n")), "url-paths")
-    fits = written(fitting_rules(hosts.select("host").distinct(), rules), "url-rules")
+    fits = written(fitting_rules(pages.select("host").distinct(), rules), "url-rules")
     first = F.expr("get(filter(rules, r -> startswith(path, r.path)), 0)")
+    decided = F.coalesce(first["verdict"], F.lit(""))
     outcomes = (
-        hosts.join(fits, "host", "left")
-        .select("host", "n", F.coalesce(first["verdict"], F.lit("")).alias("verdict"))
+        pages.select("host", "path")
+        .join(fits, "host", "left")
+        .select("host", decided.alias("verdict"))
         .groupBy("host")
-        .agg(
-            F.sum(F.when(F.col("verdict") != "", F.col("n")).otherwise(0)).alias("n"),
-            F.sum(F.when(F.col("verdict") == "block", F.col("n")).otherwise(0)).alias("bad"),
-        )
+        .agg(F.count_if(F.col("verdict") != "").alias("n"), F.count_if(F.col("verdict") == "block").alias("bad"))
     )
-    judged = reputation(outcomes, z).select("host", "bad_low").join(fits, "host", "left")
+    judged = reputation(outcomes, z, suffixes).select("host", "bad_low").join(fits, "host", "left")
     held = F.when(F.col("bad_low") > block_above, F.lit("block")).otherwise("allow")
     return (
         pages.join(written(judged, "url-hosts"), "host", "left")

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 import re
 from collections import defaultdict
+from itertools import combinations
 
 import edges
 import numpy as np
@@ -131,6 +132,37 @@ def test_repeated_lines_are_rejected_and_few_of_them_kept(spark):
     assert {r["doc_id"] for r in got if not r["kept"]} == {i for i, *_ in bad}
 
 
+def test_one_repeated_line_on_a_short_page_is_no_outlier(spark):
+    """Among pages that repeat nothing; it shows in two statistics, but it is one event."""
+    r = random.Random(6)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(max(2, int(r.gauss(5, 1)))))
+
+    def page(size):
+        return [" ".join(word() for _ in range(12)) for _ in range(size)]
+
+    clean = [(i, "\n".join(page(r.randrange(4, 30))), "en", "a") for i in range(400)]
+    once = [(1000 + i, "\n".join((lambda p: [*p, p[0]])(page(8 + i))), "en", "a") for i in range(8)]
+    got = quality.verdicts(quality.measure(spark.createDataFrame(clean + once, SCHEMA))).collect()
+    assert not [r["doc_id"] for r in got if r["doc_id"] >= 1000 and not r["kept"] and not r["base_failed"]]
+
+
+def test_the_determinant_is_nearly_the_least_of_all_halves(spark):
+    """A small group, all its halves tried one by one."""
+    r = np.random.default_rng(7)
+    p = len(quality.FLOORS)
+    x = np.concatenate([r.normal(size=(10, p)), r.normal(size=(3, p)) * 3 + 25])
+    half = (len(x) + p + 2) // 2
+    floors = np.diag(np.square(quality.FLOORS))
+    log_det = lambda rows: np.linalg.slogdet(np.cov(rows.T, bias=True) * quality.CONSISTENCY + floors)[1]
+    least = min(log_det(x[list(half_rows)]) for half_rows in combinations(range(len(x)), half))
+    fit = quality.robust_fit(spark.createDataFrame([("k", row.tolist()) for row in x], "key string, x array<double>")).first()
+    low = np.zeros((p, p))
+    low[np.tril_indices(p)] = fit["inverse"]
+    found = -2 * np.log(np.diag(low)).sum()
+    assert least - 1e-6 <= found + 1e-6 and found < least + 3  # bins may take in a row more
+    assert np.abs(np.array(fit["mean"])).max() < 2
+
+
 def test_inverse_factor(spark):
     r = np.random.default_rng(1)
     p = len(quality.FLOORS)

@@ -38,6 +38,21 @@ def test_margins_of_the_matrix(spark):
     assert [sum(c[j] for c in got.values()) for j in range(4)] == [17, 17, 16, 16]
 
 
+def test_blocks_are_numbered_without_a_task_that_sees_all(spark, monkeypatch):
+    """Only windows over a row per slice or over one block or shard are in the plans."""
+    plans, real = [], sharding.written
+
+    def noting(df, label):
+        plans.append(df._jdf.queryExecution().toString())
+        return real(df, label)
+
+    monkeypatch.setattr(sharding, "written", noting)
+    blocks = spark.range(3000).select(F.col("id").alias("block"), F.lit(5).cast("long").alias("n"))
+    got = sharding.communication_matrix(blocks, 3, seed=1).collect()
+    assert len(got) == 3000 and all(sum(r["counts"]) == 5 for r in got)
+    assert not any("row_number" in plan for plan in plans)
+
+
 def test_sizes_slots_and_rows(spark):
     df = spark.range(5000).repartition(9).withColumn("x", F.col("id") * 2)
     got = sharding.shuffle_to_shards(df, 7, seed=1, block_rows=64).collect()

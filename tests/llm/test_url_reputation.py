@@ -1,9 +1,13 @@
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
+from compare import difference
 from pyspark.sql import functions as F
 
 from lakestar.llm import url_reputation as U
+from lakestar.llm.queries import op10_url_reputation
 
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/de/", "block"), ("com", "/fr/", "allow")]
 PAGES = "page_id long, url string, html string"
@@ -75,6 +79,49 @@ def test_parents(spark, host, domain, suffix):
     assert tuple(spark.range(1).select(d, s).first()) == (domain, suffix)
 
 
+SUFFIXES = [("com",), ("uk",), ("co.uk",), ("*.ck",), ("!www.ck",), ("github.io",), ("com.cn",), (None,), ("com",)]
+
+
+@pytest.mark.parametrize(
+    ("host", "domain", "suffix"),
+    [("a.b.example.com", "example.com", "com"), ("w.x.co.uk:8080", "x.co.uk", "co.uk"), ("a.b.gov.uk", "gov.uk", "uk"),
+     ("me.github.io", "me.github.io", "github.io"), ("x.me.github.io", "me.github.io", "github.io"), ("shop.example.com.cn", "example.com.cn", "com.cn"),
+     ("a.b.c.ck", "b.c.ck", "c.ck"), ("a.www.ck", "www.ck", "ck"), ("www.ck", "www.ck", "ck"), ("c.ck", "c.ck", "c.ck"),
+     ("never.listed.zz", "listed.zz", "zz"), ("localhost", "localhost", "localhost"), ("10.1.2.3", "10.1.2.3", ""), ("", "", "")],
+)
+def test_parents_by_a_table_of_suffixes(spark, host, domain, suffix):
+    table = spark.createDataFrame(SUFFIXES, "suffix string")
+    got = U.with_parents(spark.createDataFrame([(host,)], "host string"), table).first()
+    assert (got["domain"], got["suffix"]) == (domain, suffix)
+
+
+def test_hosts_under_a_listed_suffix_are_no_kin(spark):
+    """One bad name under a suffix where everyone registers says little about the others."""
+    urls = [f"http://bad.github.io/x/{i}" for i in range(300)] + [f"http://good{k}.github.io/y/{i}" for k in range(30) for i in range(10)]
+    pages = spark.createDataFrame([(i, u, "") for i, u in enumerate([*urls, "http://bad.github.io/z", "http://new.github.io/z"])], PAGES)
+    own = rules(spark, [("github.io", "/x/", "block"), ("github.io", "/y/", "allow")])
+    got = {r["url"]: r for r in U.judge(pages, own, suffixes=spark.createDataFrame(SUFFIXES, "suffix string")).collect()}
+    assert got["http://bad.github.io/z"]["verdict"] == "block" and got["http://new.github.io/z"]["verdict"] == "allow"
+
+
+def test_reputation_decides_in_the_registered_query(spark, tmp_path):
+    """Pages without a rule are blocked by what rules say of their host; the SQL says the same."""
+    urls = [f"http://bad.com/de/{i}" for i in range(200)] + [f"http://good.com/fr/{i}" for i in range(200)]
+    urls += [f"http://{h}.evil.com/de/{i}" for h in "abc" for i in range(300)] + ["http://bad.com/x", "http://new.evil.com/x", "http://good.com/x"]
+    table = pa.table({"page_id": list(range(len(urls))), "url": urls, "html": [""] * len(urls)})
+    pq.write_table(table, tmp_path / "pages.parquet")
+    got = {r["page_id"]: r for r in op10_url_reputation(spark, str(tmp_path)).collect()}
+    last = [(got[i]["rule"], got[i]["verdict"]) for i in range(len(urls) - 3, len(urls))]
+    assert last == [(None, "block"), (None, "block"), (None, "allow")]
+    assert difference(spark, str(tmp_path), "op10_url_reputation") is None
+
+
+def test_pages_are_not_dealt_out_by_url(spark, capsys):
+    pages = spark.createDataFrame([(i, u, None) for i, u in enumerate(URLS)], PAGES)
+    U.judge(pages, rules(spark)).explain()
+    assert not [x for x in capsys.readouterr().out.splitlines() if "Exchange hashpartitioning" in x and "path" in x]
+
+
 def test_edges(spark):
     one = "page_id long, url string, html string, host string, rule string, n string, bad_low string, rule_host string"
     pages = spark.createDataFrame([(1, "http://x.com/de/", None, "own", None, "n", "b", "r"), (None, None, None, None, None, None, None, None)], one)
