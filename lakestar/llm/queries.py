@@ -43,12 +43,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def op1_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document with the id of its group; null, empty and blank texts are groups of their own, repeated rows are copies."""
     found = minhash.with_groups(table(spark, folder, "documents").select("doc_id", "text")).drop("text")
     first = found.where("stays").select("group_no", F.col("doc_id").alias("group_id"))
     return found.select("doc_id", "group_no").join(first, "group_no").select("doc_id", "group_id")
 
 
 def op2_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    """Passages that stand more than once; null and empty texts have none, repeated rows are whole-text passages."""
     spans = suffixes.with_spans(table(spark, folder, "documents").select("doc_id", "text"))
     span = F.struct(F.col("start").alias("start_word"), F.col("end").alias("end_word"), "copies", F.col("first").alias("is_first"))
     piece = lambda x: F.struct(
@@ -60,6 +62,7 @@ def op2_suffixes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of all documents; a null or empty text is its end only, repeated rows teach as often as they stand."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return pitman_yor.score_documents(docs).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
@@ -67,12 +70,14 @@ def op3_pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Words that the mix takes of each document; null and empty texts have no size, a null source is one like others."""
     docs = table(spark, folder, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
     taken = (F.col("size") * F.col("copies")).alias("taken")
     return mixing.mix(docs, seed=SEED).select("doc_id", "size", "source_size", "target", taken)
 
 
 def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Spans of secrets in each document; null and empty texts have none, repeated rows are scanned alike."""
     found = secrets.scan(table(spark, folder, "documents").select("doc_id", "text"), apart=True).drop("text")
     base = F.filter("found", lambda x: x["kind"].isin("assign", "access", "hex"))
     number = lambda kind: F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -107,6 +112,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def op6_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of the conversations read back from the formatted text; a null text is an empty one."""
     said = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     conv, text = HOSTILE
     more = [(conv, 0, "user", text), (conv, 1, "assistant", text)]
@@ -116,6 +122,7 @@ def op6_chat(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and verdict of each document; null and empty texts fail, repeated rows are judged alike."""
     measured = quality.measure(table(spark, folder, "documents").select("doc_id", "text", "lang", "source"))
     return quality.verdicts(measured.drop("text")).select(
         "doc_id", *quality.COUNTS, "base_failed", "kept", F.round("distance", 3).alias("distance")
@@ -123,6 +130,7 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """What of the benchmark each document holds; null texts have no words, null and empty items find nothing."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     items = table(spark, folder, "benchmark").select("item_id", "text")
     return decontaminate.judge(docs, items).select(
@@ -137,6 +145,7 @@ def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """Shard and slot of each document; a null text has a size of 1, repeated rows are rows like others."""
     text = F.coalesce("text", F.lit(""))
     docs = table(spark, folder, "documents").select(
         "doc_id",
@@ -155,6 +164,7 @@ def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_url_reputation(spark: SparkSession, folder: str) -> DataFrame:
+    """Rule and verdict of each page; a null url or one without a scheme has an empty host and path."""
     rules = few_rows(spark, "rule_host string, rule_path string, rule_verdict string", list(URL_RULES))
     pages = table(spark, folder, "pages").select("page_id", "url")
     return url_reputation.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
