@@ -22,6 +22,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -114,7 +115,6 @@ def _frequencies(rows: DataFrame, terms: DataFrame) -> DataFrame:
 def _index(rows: DataFrame, terms: DataFrame) -> DataFrame:
     """Per text ``row_no``, ``n_words`` and ``postings``: positions of each term that is looked up."""
     shared = rows.sparkSession.sparkContext.broadcast(_term_map(terms).tobytes())
-    posting = pa.list_(pa.struct([("term", pa.string()), ("positions", pa.list_(pa.int32()))]))
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, crc = shared.value, zlib.crc32
@@ -122,26 +122,34 @@ def _index(rows: DataFrame, terms: DataFrame) -> DataFrame:
         for batch in batches:
             if len(looked_up) > 1_000_000:
                 looked_up = {}
-            sizes, lists = [], []
+            sizes, held = [], [0]
+            terms: list[bytes] = []
+            positions: list[list[int]] = []
             for text in _texts(batch):
                 w = words(text)
-                wanted = set()
+                places: dict[bytes, list[int]] = {}
                 for t in set(w):
                     if (hit := looked_up.get(t)) is None:
                         hit = looked_up[t] = bool(known[crc(t) % BITS])
                     if hit:
-                        wanted.add(t)
-                places: dict[bytes, list[int]] = {t: [] for t in wanted}
-                if wanted:
+                        places[t] = []
+                if places:
                     for i, t in enumerate(w):
                         if t in places:
                             places[t].append(i)
                 sizes.append(len(w))
-                lists.append([{"term": t.decode(), "positions": p} for t, p in places.items()])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row_no"), pa.array(sizes, pa.int64()), pa.array(lists, posting)],
-                ["row_no", "n_words", "postings"],
+                terms.extend(places)
+                positions.extend(places.values())
+                held.append(len(terms))
+            ends = np.cumsum([0, *map(len, positions)])
+            flat = pa.array(np.fromiter(chain.from_iterable(positions), np.int32, ends[-1]))
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
+            named = pa.array(terms, pa.binary()).view(pa.string())
+            postings = pa.ListArray.from_arrays(
+                pa.array(held, pa.int32()), pa.StructArray.from_arrays([named, lists], ["term", "positions"])
             )
+            columns = [batch.column("row_no"), pa.array(sizes, pa.int64()), postings]
+            yield pa.RecordBatch.from_arrays(columns, ["row_no", "n_words", "postings"])
 
     schema = "row_no long, n_words long, postings array<struct<term:string,positions:array<int>>>"
     return rows.select("row_no", "text").mapInArrow(post, schema)
