@@ -1,51 +1,55 @@
 """Language-model scores by a hierarchical Pitman-Yor model.
 
-A token is drawn in the restaurant of its context: the class, out of 32, of the word before it,
-or the start of a text. All contexts share one parent, whose customers are the tables of the
-contexts, and its base is uniform over the vocabulary and one unknown word. Words are told apart by
-58 bits of a hash.
-
-Training gathers how often each word follows each context. Seating is sampled by Gibbs steps on
-the number of tables of each dish in each restaurant, given those of the others: up to 64
-customers from the exact law with generalised Stirling numbers, beyond by its saddle point,
-so the work for a dish does not grow with its customers. All dishes of one word are seated by
-one task, in a row of at most 33 contexts, given the totals of the restaurants, which are gathered
-between rounds; these are 33 numbers per sample whatever the corpus. Probabilities are averaged
-over samples of the last round.
-
-The probabilities of the most frequent words go to all tasks as a table of bounded size;
-all other tokens are joined with theirs by word.
+A token is drawn in the restaurant of the word before it, or of the start of a text. All
+restaurants share one parent, whose customers are their tables, and its base is uniform over the
+vocabulary and one unknown word. Words are told apart by 61 bits of a hash, pairs by 64.
+
+Training counts how often each word follows each other. Seating is sampled by Gibbs steps on the
+number of tables of each dish in each restaurant, given those of the others: up to 64 customers
+from the exact law with generalised Stirling numbers, beyond by its saddle point, so the work
+for a dish does not grow with its customers. A dish with one customer has one table. So only
+pairs found twice or more are seated, from one table per customer at the start, and each
+round goes on from the tables that the round before drew: draws depend on the pair and the
+round alone, so tasks repeat them from the totals of words, and nothing is written per pair and round.
+Totals are gathered between rounds, per word. Probabilities are averaged over samples of the last round.
+
+The totals of the most frequent words, and the probabilities of the most frequent pairs, go to all
+tasks as tables of bounded size; all others are joined, words by word and pairs by pair.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakestar.llm.common import col, numbered, step_aside, written
+from lakestar.llm.common import bit_map, col, in_map, numbered, step_aside, written
 from lakestar.llm.shingles import WordHashes, lowered_words, mixed
 
-CLASSES = 32
-#: Restaurants below the root: one per class, one for the start of a text.
-CONTEXTS = CLASSES + 1
-#: The low bits of a key hold the context, the others the word.
-LOW = 63
-END = 0x5EED0E2D << 6
+#: Tasks that the pairs of one word are dealt to, a power of two. The low bits of a word are free for that.
+SALTS = 8
+#: What stands for the end of a text, as a word, and for its start, as a context.
+END, START = 0x5EED0E28, 0x57A27E8
 CONCENTRATION = 1.0
 SAMPLES = 3
-#: Rounds between which totals are gathered, and sweeps in each.
-ROUNDS, SWEEPS = 2, 2
+#: Rounds before the one that samples are taken of.
+ROUNDS = 2
 #: Customers up to which the law of the tables is tabulated.
 TABULATED = 64
-#: At most so many of the most frequent words have their probabilities sent to every task: 18 MB.
-HEAD_WORDS = 65_536
-#: Tokens that a task counts at a time.
-CHUNK = 4_000_000
+#: At most so many of the most frequent words have their totals sent to every task (25 MB), and so many of the
+#: most frequent pairs their probabilities (25 MB).
+HEAD_WORDS, HEAD_PAIRS = 1 << 18, 1 << 20
+#: Tokens that a task counts at a time, and pairs whose tables it adds up.
+CHUNK, SUMMED = 2_000_000, 1 << 18
+#: Bytes of texts that are looked up at a time.
+SLICE = 1 << 20
+#: Beyond any count: tells that a pair is in a text that is not learned from.
+ASKED = 1 << 40
 
 
 def held_out(doc_id: Column) -> Column:
@@ -53,102 +57,102 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.encode(F.coalesce(doc_id.cast("string"), F.lit("")), "UTF-8")) % 10 == 0
 
 
-def _keys(known: WordHashes, text: bytes | None) -> np.ndarray:
-    """Word and context of each token, the end included."""
-    words = lowered_words(text)
-    out = np.empty(len(words) + 1, np.uint64)
-    out[:-1] = known.of(words)
-    out[-1] = END
-    out &= np.uint64(~LOW & (1 << 64) - 1)
-    context = np.empty(len(out), np.uint64)
-    context[0] = CLASSES
-    context[1:] = out[:-1] >> np.uint64(59)
-    return out | context
+def _tokens(known: WordHashes, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word and context of each token of some texts, ends included, and the number of tokens of each text."""
+    words, sizes = [], np.empty(len(texts), np.int64)
+    for i, text in enumerate(texts.cast(pa.binary()).to_pylist()):
+        found = known.of(lowered_words(text))
+        words += [found & np.uint64((1 << 64) - SALTS), np.array([END], np.uint64)]
+        sizes[i] = len(found) + 1
+    word = np.concatenate([np.empty(0, np.uint64), *words])
+    context = np.empty_like(word)
+    context[1:] = word[:-1]
+    context[np.cumsum(sizes) - sizes] = START
+    return word, context, sizes
+
+
+def _pair(word: np.ndarray, context: np.ndarray) -> np.ndarray:
+    """A hash of context and word."""
+    with np.errstate(over="ignore"):
+        return mixed((context ^ (context >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + word)
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of some hundred thousand tokens, or one text, each."""
+    for batch in batches:
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy())
+        at = 0
+        while at < batch.num_rows:
+            before = sizes[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(sizes, before + SLICE, "right")))
+            yield batch.slice(at, stop - at)
+            at = stop
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known = WordHashes()
-    waiting: list[np.ndarray] = []
+    waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     tokens = 0
 
     def counted() -> pa.RecordBatch:
-        keys, n = np.unique(np.concatenate(waiting), return_counts=True)
-        word = (keys & np.uint64(~LOW & (1 << 64) - 1)).view(np.int64)
-        context = (keys & np.uint64(LOW)).astype(np.int8)
-        return pa.RecordBatch.from_arrays([pa.array(word), pa.array(context), pa.array(n)], ["word", "context", "n"])
-
-    for batch in batches:
-        for text in batch.column("text").cast(pa.binary()).to_pylist():
-            waiting.append(_keys(known, text))
-            tokens += len(waiting[-1])
-            if tokens >= CHUNK:
-                yield counted()
-                waiting, tokens = [], 0
-    if waiting:
+        word, context, learned = (np.concatenate(x) for x in zip(*waiting))
+        _, at, pair = np.unique(_pair(word, context), return_index=True, return_inverse=True)
+        n = np.bincount(pair, learned, len(at)).astype(np.int64)
+        n[np.bincount(pair, ~learned, len(at)) > 0] += ASKED
+        # a word's pairs are dealt to some tasks; equal words side by side take little room
+        dish = word[at] | context[at] % np.uint64(SALTS)
+        order = np.argsort(dish)
+        arrays = [dish[order].view(np.int64), context[at][order].view(np.int64), n[order]]
+        return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], ["dish", "context", "n"])
+
+    for batch in _slices(batches):
+        word, context, sizes = _tokens(known, batch.column("text"))
+        learned = batch.column("learned").to_numpy(zero_copy_only=False)
+        waiting.append((word, context, np.repeat(learned, sizes)))
+        tokens += len(word)
+        if tokens >= CHUNK:
+            yield counted()
+            waiting, tokens = [], 0
+    if tokens:
         yield counted()
 
 
-def counts(texts: DataFrame) -> DataFrame:
-    """``word``, ``n``, ``contexts``, ``customers``: one row per word of the training texts."""
-    raw = texts.select("text").mapInArrow(_count, "word long, context byte, n long")
-    pairs = raw.repartition("word").groupBy("word", "context").agg(F.sum("n").alias("n"))
-    listed = F.sort_array(F.collect_list(F.struct("context", "n")))
-    return written(
-        pairs.groupBy("word")
-        .agg(F.sum("n").alias("n"), listed.alias("p"))
-        .select("word", "n", F.col("p.context").alias("contexts"), F.col("p.n").alias("customers")),
-        "lm-words",
-    )
+def counts(texts: DataFrame, all_asked: bool = True) -> DataFrame:
+    """``word``, ``context``, ``n``: one row per pair of the texts that are ``learned``.
+
+    Unless all pairs are asked for, those that are there once, and not in the texts that are not learned, are
+    added up per word, without their context.
+    """
+    raw = texts.select("text", "learned").mapInArrow(_count, "dish long, context long, n long")
+    n, asked = F.col("n").bitwiseAND(F.lit(ASKED - 1)), F.lit(True) if all_asked else F.col("n") >= ASKED
+    pairs = raw.repartition("dish").groupBy("dish", "context").agg(F.sum("n").alias("n")).where(n > 0)
+    kept = pairs.select("dish", F.when((n > 1) | asked, F.col("context")).alias("context"), n.alias("n"))
+    found = kept.groupBy("dish", "context").agg(F.sum("n").alias("n")).sortWithinPartitions("dish")
+    return written(found.select(F.col("dish").bitwiseAND(~(SALTS - 1)).alias("word"), "context", "n"), "lm-pairs")
 
 
 @dataclass(frozen=True)
 class Totals:
-    """``customers``: per context. ``tables``, ``root_customers``, ``root_tables``: one row per sample."""
+    """``root_customers``, ``root_tables``: of the parent, one number per state that words have totals of."""
 
     vocabulary: int
     tokens: int
     discount: float
     root_discount: float
-    customers: np.ndarray
-    tables: np.ndarray
-    root_customers: np.ndarray
-    root_tables: np.ndarray
+    root_customers: tuple[float, ...]
+    root_tables: tuple[float, ...]
 
-    def new_table(self) -> np.ndarray:
-        """Weight of a new table per context, before the parent's probability; a row per sample."""
-        return CONCENTRATION + self.discount * self.tables
+    def new_table(self, tables: np.ndarray) -> np.ndarray:
+        """Weight of a new table in restaurants with these tables, before the parent's probability."""
+        return CONCENTRATION + self.discount * tables
 
-    def root(self, customers: np.ndarray, tables: np.ndarray) -> np.ndarray:
-        """The parent's probability of words with these customers and tables, per sample (last axis)."""
-        base = (CONCENTRATION + self.root_discount * self.root_tables) / (self.vocabulary + 1)
-        return (customers - self.root_discount * tables + base) / (CONCENTRATION + self.root_customers)
+    def base(self, state: int) -> float:
+        """Weight of one word by the uniform base alone."""
+        return (CONCENTRATION + self.root_discount * self.root_tables[state]) / (self.vocabulary + 1)
 
-
-def _first_totals(words: DataFrame) -> Totals:
-    """Totals when every dish has one table; discounts from how many dishes have one and two customers."""
-    share = lambda one, two: min(max(one / (one + 2 * two), 0.05), 0.95) if one + two else 0.5
-    v, n, root1, root2 = words.agg(
-        F.count("*"),
-        F.coalesce(F.sum("n"), F.lit(0)),
-        F.count(F.when(F.size("contexts") == 1, 1)),
-        F.count(F.when(F.size("contexts") == 2, 1)),
-    ).first()
-    pairs = words.select(F.inline(F.arrays_zip("contexts", "customers")))
-    rows = (
-        pairs.groupBy("contexts")
-        .agg(
-            F.sum("customers").alias("c"),
-            F.count("*").alias("t"),
-            F.count(F.when(F.col("customers") == 1, 1)).alias("one"),
-            F.count(F.when(F.col("customers") == 2, 1)).alias("two"),
-        )
-        .collect()
-    )
-    customers, tables = np.zeros(CONTEXTS), np.zeros((1, CONTEXTS))
-    for r in rows:
-        customers[r["contexts"]], tables[0, r["contexts"]] = r["c"], r["t"]
-    leaf = share(sum(r["one"] for r in rows), sum(r["two"] for r in rows))
-    return Totals(v, n, leaf, share(root1, root2), customers, tables, np.array([tables.sum()]), np.array([float(v)]))
+    def root(self, state: int, customers: np.ndarray, tables: np.ndarray) -> np.ndarray:
+        """The parent's probability of words with these customers and tables."""
+        return (customers - self.root_discount * tables + self.base(state)) / (CONCENTRATION + self.root_customers[state])
 
 
 def stirling(most: int, discount: float) -> np.ndarray:
@@ -202,224 +206,498 @@ def _uniform(key: np.ndarray, step: int) -> np.ndarray:
     return (x >> np.uint64(11)) / (1 << 53)
 
 
-def _seat(words: pa.RecordBatch, totals: Totals, leaf: np.ndarray, root: np.ndarray, first: int, sweeps: int):
-    """Sweeps over the dishes of some words; yields pairs' tables, root customers and tables of each.
+#: What is known of a word: its count, that of the words after it, and per state the parent's customers and
+#: tables of the dish, and the tables of the word's own restaurant. A word that is there once has null for these:
+#: it is one customer with one table, and its own restaurant has a table for the word after it, if there is one.
+STATES = ("customers", "dish_tables", "tables")
+WORDS = "word long, n long, followed long, customers array<double>, dish_tables array<double>, tables array<double>"
 
-    ``totals`` has one sample.
-    """
-    lists = words.column("contexts")
-    context = lists.flatten().to_numpy().astype(np.int64)
-    customers = words.column("customers").flatten().to_numpy()
-    sizes = np.diff(lists.offsets.to_numpy())
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    key = words.column("word").to_numpy().view(np.uint64)
-    pair_key = key[owner] | context.astype(np.uint64)
-    tables = np.ones(len(context))
-    fresh = totals.new_table()[0][context]
-    at_root = np.bincount(owner, tables, len(sizes))
-    root_tables = np.ones(len(sizes))
-    base = CONCENTRATION + totals.root_discount * totals.root_tables[0]
-    for sweep in range(first, first + sweeps):
-        # the first table of a dish is there; what is drawn are further ones, given the other customers
-        others = at_root[owner] - tables + 1
-        p = totals.root(others[:, None], np.minimum(root_tables[owner], others)[:, None])[:, 0]
-        step = sweep * 4
-        tables = draw_tables(customers, fresh * p, totals.discount, leaf, _uniform(pair_key, step), _uniform(pair_key, step + 1))
-        at_root = np.bincount(owner, tables, len(sizes))
-        new = np.full(len(sizes), base / (totals.vocabulary + 1))
-        root_tables = draw_tables(
-            at_root.astype(np.int64), new, totals.root_discount, root, _uniform(key, step + 2), _uniform(key, step + 3)
-        )
-        yield context, tables, customers, owner, at_root, root_tables
 
+def _lists(array: pa.Array) -> np.ndarray:
+    """Lists of one length as a table, a row per list."""
+    flat = array.flatten().to_numpy()
+    return flat.reshape(len(array), flat.size // max(len(array), 1))
 
-def _round(words: DataFrame, totals: Totals, first: int) -> Totals:
-    """Totals after some sweeps, which start from one table per dish."""
 
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        leaf, root = stirling(TABULATED, totals.discount), stirling(TABULATED, totals.root_discount)
-        found = np.zeros(CONTEXTS + 2)
+def _slim(numbers: np.ndarray) -> np.ndarray:
+    """Whole numbers in half the room, if they fit."""
+    return numbers.astype(np.int32) if numbers.size and numbers.max() < 1 << 31 else numbers
+
+
+@dataclass(frozen=True)
+class Head:
+    """Totals of some words, sorted by word; tables of states by words."""
+
+    word: np.ndarray
+    n: np.ndarray
+    followed: np.ndarray
+    states: dict[str, np.ndarray]
+
+    @classmethod
+    def of(cls, words: DataFrame) -> Head:
+        table = words.toArrow().combine_chunks()
+        if not table.num_rows:
+            return cls(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), {s: np.empty((1 + ROUNDS + SAMPLES, 0)) for s in STATES})
+        found = {c: pa.concat_arrays(table.column(c).chunks) for c in table.column_names}
+        word = found["word"].to_numpy().view(np.uint64)
+        order = np.argsort(word)
+        states = {s: _slim(np.ascontiguousarray(_lists(found[s])[order].T)) for s in STATES}
+        return cls(word[order], _slim(found["n"].to_numpy()[order]), _slim(found["followed"].to_numpy()[order]), states)
+
+    def places(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where words are, and whether they are there at all."""
+        if not len(self.word):
+            return np.zeros(len(words), np.int64), np.zeros(len(words), bool)
+        at = np.minimum(np.searchsorted(self.word, words), len(self.word) - 1)
+        return at, self.word[at] == words
+
+
+@dataclass(frozen=True)
+class Facts:
+    """What is known of the words and contexts of some pairs; a word never seen has zeros."""
+
+    n: np.ndarray
+    customers: np.ndarray
+    dish_tables: np.ndarray
+    followed: np.ndarray
+    tables: np.ndarray
+
+
+def _from_head(head: Head, at_word: np.ndarray, at_context: np.ndarray) -> Facts:
+    take = lambda name, at: head.states[name][:, at]
+    return Facts(
+        head.n[at_word], take("customers", at_word), take("dish_tables", at_word), head.followed[at_context], take("tables", at_context)
+    )
+
+
+def _joined_facts(batch: pa.RecordBatch, head: Head, states: int) -> Facts:
+    """Facts of a batch as ``_beside`` joins them: of frequent words from the head, else from the joined columns."""
+    rows = batch.num_rows
+
+    def facts(side: str, counted: str, names: list[str]) -> list[np.ndarray]:
+        at, there = head.places(batch.column(side).to_numpy().view(np.uint64))
+        own = batch.column(f"{side}_{counted}")
+        found = own.is_valid().to_numpy(zero_copy_only=False)
+        number = np.zeros(rows, np.int64)
+        number[there] = getattr(head, counted)[at[there]]
+        number[found] = own.drop_null().to_numpy()
+        out = [number]
+        for name in names:
+            x = np.zeros((states, rows))
+            if there.any():
+                x[:, there] = head.states[name][:, at[there]]
+            lists = batch.column(f"{side}_{name}")
+            listed = lists.is_valid().to_numpy(zero_copy_only=False)
+            if listed.any():
+                x[:, listed] = _lists(lists.drop_null()).T
+            x[:, found & ~listed] = number[found & ~listed]
+            out.append(x)
+        return out
+
+    return Facts(*facts("word", "n", ["customers", "dish_tables"]), *facts("context", "followed", ["tables"]))
+
+
+def _places_to_join(word: np.ndarray, there: np.ndarray, salt: np.ndarray) -> pa.Array:
+    """The word to be joined, or, where the head has it, a number that is no word and no other row's."""
+    return pa.array(np.where(there, mixed(salt), word).view(np.int64))
+
+
+def _beside(rows: DataFrame, words: DataFrame) -> DataFrame:
+    """Rows of words and contexts that the head lacks, with what ``words`` has of them beside them."""
+    w = words.select(F.col("word").alias("word_at"), *[F.col(c).alias(f"word_{c}") for c in ("n", "customers", "dish_tables")])
+    c = words.select(F.col("word").alias("context_at"), *[F.col(c).alias(f"context_{c}") for c in ("followed", "tables")])
+    return rows.join(w, "word_at", "left").join(c, "context_at", "left").drop("word_at", "context_at")
+
+
+def _over_pairs(
+    pairs: DataFrame, rare: DataFrame, head, states: int, work: Callable[[Iterator], Iterator[pa.RecordBatch]], schema: str
+) -> DataFrame:
+    """``work`` on (word, context, n, Facts) of all pairs: of those with two frequent words where they are, others after joins."""
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found():
+            for batch in batches:
+                word, context = (batch.column(c).to_numpy().view(np.uint64) for c in ("word", "context"))
+                (a, x), (b, y) = head.value.places(word), head.value.places(context)
+                both = x & y
+                if both.any():
+                    yield word[both], context[both], batch.column("n").to_numpy()[both], _from_head(head.value, a[both], b[both])
+
+        yield from work(found())
+
+    def far(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                *_, (context, tables, _, _, at_root, root_tables) = _seat(batch, totals, leaf, root, first, SWEEPS)
-                found[:CONTEXTS] += np.bincount(context, tables, CONTEXTS)
-                found[CONTEXTS:] += at_root.sum(), root_tables.sum()
-        yield pa.RecordBatch.from_arrays([pa.array(range(CONTEXTS + 2)), pa.array(found)], ["i", "x"])
+            word, context = (batch.column(c).to_numpy().view(np.uint64) for c in ("word", "context"))
+            x, y = head.value.places(word)[1], head.value.places(context)[1]
+            rest = np.flatnonzero(~(x & y))
+            word, context = word[rest], context[rest]
+            key = _pair(word, context)
+            places = [_places_to_join(word, x[rest], key), _places_to_join(context, y[rest], ~key)]
+            arrays = [pa.array(word.view(np.int64)), pa.array(context.view(np.int64)), batch.column("n").take(pa.array(rest)), *places]
+            yield pa.RecordBatch.from_arrays(arrays, ["word", "context", "n", "word_at", "context_at"])
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found():
+            for batch in batches:
+                if batch.num_rows:
+                    word, context = (batch.column(c).to_numpy().view(np.uint64) for c in ("word", "context"))
+                    yield word, context, batch.column("n").to_numpy(), _joined_facts(batch, head.value, states)
+
+        yield from work(found())
+
+    rest = pairs.mapInArrow(far, "word long, context long, n long, word_at long, context_at long")
+    return pairs.mapInArrow(near, schema).unionByName(_beside(rest, rare).mapInArrow(joined, schema))
+
+
+def _seated(word: np.ndarray, context: np.ndarray, n: np.ndarray, facts: Facts, totals: Totals, leaf: np.ndarray, draws: int):
+    """Tables of pairs: the last ``draws`` of the chain that goes through all rounds up to the totals at hand."""
+    key, t = _pair(word, context), n.astype(float)
+    rounds = len(totals.root_customers)
+    for state in range(rounds):
+        # the first table of a dish is there; what is drawn are further ones, given the other customers
+        others = np.maximum(facts.customers[state] - t, 0) + 1
+        p = totals.root(state, others, np.minimum(facts.dish_tables[state], others))
+        weight = totals.new_table(facts.tables[state]) * p
+        drawn = []
+        for i in range(draws if state == rounds - 1 else 1):
+            step = 2 * ((state << 8) + i)
+            drawn.append(draw_tables(n, weight, totals.discount, leaf, _uniform(key, step), _uniform(key, step + 1)))
+        t = drawn[-1]
+    return drawn
 
-    rows = words.mapInArrow(sums, "i long, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()
-    return _with_sums(totals, {r["i"]: r["x"] for r in rows}, 1)
 
+def _first(pairs: DataFrame) -> tuple[DataFrame, Totals]:
+    """Words with one table per customer; discounts from how many dishes have one and two customers.
 
-def _with_sums(totals: Totals, found: dict[int, float], samples: int) -> Totals:
-    """``found``: by number, CONTEXTS sums of tables, one of root customers, one of root tables per sample."""
-    x = np.array([found.get(i, 0.0) for i in range(samples * (CONTEXTS + 2))]).reshape(samples, CONTEXTS + 2)
-    return Totals(
-        totals.vocabulary, totals.tokens, totals.discount, totals.root_discount, totals.customers,
-        x[:, :CONTEXTS], x[:, CONTEXTS], x[:, CONTEXTS + 1],
+    The start of a text is a word with no count of its own.
+    """
+    one = F.sum(F.when(F.col("n") > 1, 0).otherwise(F.col("n")))
+    kinds = F.sum(F.when(F.isnull("context"), F.col("n")).otherwise(1))
+    lone = F.sum(F.when(F.isnull("context"), F.col("n")).when(F.col("n") == 1, 1).otherwise(0))
+    counted = written(
+        pairs.groupBy("word").agg(
+            F.sum("n").alias("n"), kinds.alias("kinds"), lone.alias("one"), F.count(F.when((F.col("n") == 2) & F.col("context").isNotNull(), 1)).alias("two")
+        ),
+        "lm-counts",
+    )
+    share = lambda one, two: min(max(one / (one + 2 * two), 0.05), 0.95) if one + two else 0.5
+    zero = F.lit(0)
+    v, n, ends, one, two, root1, root2 = counted.agg(
+        F.count("*"),
+        *[F.coalesce(F.sum(c), zero) for c in ("n", F.when(F.col("word") == END, F.col("n")), "one", "two")],
+        F.count(F.when(F.col("kinds") == 1, 1)),
+        F.count(F.when(F.col("kinds") == 2, 1)),
+    ).first()
+    start = counted.sparkSession.createDataFrame([(START, 0, ends)] if ends else [], "word long, n long, followed long")
+    followed = F.when(F.col("word") == END, 0).otherwise(F.col("n")).alias("followed")
+    words = counted.select("word", "n", followed).unionByName(start)
+    return words, Totals(v, n, share(one, two), share(root1, root2), (), ())
+
+
+def _dish_tables(words: DataFrame, totals: Totals, weights: list[float], state: int) -> DataFrame:
+    """The parent's tables of each dish, given its customers, for the last ``len(weights)`` states."""
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = stirling(TABULATED, totals.root_discount)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = batch.column("word").to_numpy().view(np.uint64)
+            customers = _lists(batch.column("customers"))
+            known = _lists(batch.column("dish_tables"))
+            fresh = []
+            for i, weight in enumerate(weights):
+                c = customers[:, known.shape[1] + i].astype(np.int64)
+                u, v = (_uniform(key, (1 << 20) + 2 * (state + i) + j) for j in (0, 1))
+                fresh.append(np.where(c > 0, draw_tables(c, np.full(len(c), weight), totals.root_discount, table, u, v), 0))
+            drawn = np.hstack([known, np.stack(fresh, 1)])
+            offsets = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * drawn.shape[1])
+            at = batch.schema.get_field_index("dish_tables")
+            yield batch.set_column(at, "dish_tables", pa.ListArray.from_arrays(offsets, pa.array(drawn.ravel())))
+
+    return words.mapInArrow(draw, WORDS)
+
+
+def _with_state(words: DataFrame, totals: Totals, draws: int) -> tuple[DataFrame, Totals]:
+    """Words whose lists of customers and tables have ``draws`` new states, with the parent's tables drawn for them."""
+    old = len(totals.root_customers)
+    # the uniform base weighs as the state before had it; at first, every dish has one table
+    tables = totals.root_tables[-1] if old else float(totals.vocabulary)
+    weight = (CONCENTRATION + totals.root_discount * tables) / (totals.vocabulary + 1)
+    seated = written(_dish_tables(words, totals, [weight] * draws, old), "lm-words")
+    sums = seated.agg(
+        *[F.coalesce(F.sum(F.col(c)[old + i]), F.lit(0.0)) for c in ("customers", "dish_tables") for i in range(draws)]
+    ).first()
+    return seated, replace(
+        totals, root_customers=(*totals.root_customers, *sums[:draws]), root_tables=(*totals.root_tables, *sums[draws:])
+    )
+
+
+def _round(pairs: DataFrame, words: DataFrame, frequent: Column, totals: Totals, draws: int) -> tuple[DataFrame, Totals]:
+    """Seat all pairs given the totals at hand; words and totals with the states that the draws give."""
+    shared = pairs.sparkSession.sparkContext.broadcast(Head.of(words.where(frequent)))
+    names = [f"{side}{i}" for side in "dt" for i in range(draws)]
+
+    def sums(found) -> Iterator[pa.RecordBatch]:
+        leaf, waiting, rows = stirling(TABULATED, totals.discount), [], 0
+
+        def added() -> pa.RecordBatch:
+            word, at = np.unique(np.concatenate([w for w, *_ in waiting] + [c for _, c, _ in waiting]), return_inverse=True)
+            less = np.hstack([l for *_, l in waiting])
+            half = less.shape[1]
+            total = [np.bincount(at[:half], l, len(word)) for l in less] + [np.bincount(at[half:], l, len(word)) for l in less]
+            return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), *map(pa.array, total)], ["word", *names])
+
+        for word, context, n, facts in found:
+            waiting.append((word, context, np.stack(_seated(word, context, n, facts, totals, leaf, draws)) - n))
+            rows += len(word)
+            if rows >= SUMMED:
+                yield added()
+                waiting, rows = [], 0
+        if rows:
+            yield added()
+
+    schema = "word long, " + ", ".join(f"{n} double" for n in names)
+    work = _over_pairs(pairs, words.where(~frequent), shared, len(totals.root_customers), sums, schema)
+    found = work.groupBy("word").agg(*[F.sum(n).alias(n) for n in names])
+    more = lambda side, base: F.array(*[F.col(base) + F.coalesce(f"{side}{i}", F.lit(0.0)) for i in range(draws)])
+    moved = words.join(found, "word", "left").select(
+        "word", "n", "followed",
+        F.concat("customers", more("d", "n")).alias("customers"),
+        "dish_tables",
+        F.concat("tables", more("t", "followed")).alias("tables"),
     )
+    return _with_state(moved, totals, draws)
 
 
 @dataclass(frozen=True)
 class Model:
-    """``words``: word, n, roots (the parent's customers less discounts, per sample), contexts, masses.
+    """``words``: as WORDS says, the last SAMPLES states being samples. ``pairs``: word, context, n.
 
-    A word's mass in a context is the probability it has there from its own customers.
+    ``frequent`` tells the words that every task has. ``pairs`` has all that occur twice or more, and of
+    the others those that were asked for.
     """
 
     words: DataFrame
+    frequent: Column
+    pairs: DataFrame
     totals: Totals
 
 
 def fit(texts: DataFrame) -> Model:
-    """Learn from the column ``text``; a null or empty text is just an end."""
-    words = counts(texts)
-    totals = _first_totals(words)
-    for i in range(ROUNDS):
-        totals = _round(words, totals, i * SWEEPS)
-    given = totals
-
-    def seat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        leaf, root = stirling(TABULATED, given.discount), stirling(TABULATED, given.root_discount)
-        sums = np.zeros((SAMPLES, CONTEXTS + 2))
-        names = ["word", "n", "roots", "contexts", "masses", "sums"]
-        kinds = [pa.int64(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.int8()), pa.list_(pa.float64()), pa.list_(pa.float64())]
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            steps = list(_seat(batch, given, leaf, root, ROUNDS * SWEEPS, 1 + SAMPLES))[1:]
-            mean, roots = 0.0, []
-            for i, (context, tables, customers, _, at_root, root_tables) in enumerate(steps):
-                sums[i, :CONTEXTS] += np.bincount(context, tables, CONTEXTS)
-                sums[i, CONTEXTS:] += at_root.sum(), root_tables.sum()
-                mean = mean + tables / SAMPLES
-                roots.append(at_root - given.root_discount * root_tables)
-            mass = (customers - given.discount * mean) / (CONCENTRATION + given.customers[context])
-            size = np.arange(batch.num_rows + 1, dtype=np.int32) * SAMPLES
-            offsets = pa.array((lambda o: o - o[0])(batch.column("contexts").offsets.to_numpy()))
-            arrays = [
-                batch.column("word"),
-                batch.column("n"),
-                pa.ListArray.from_arrays(pa.array(size), pa.array(np.stack(roots, 1).ravel())),
-                batch.column("contexts"),
-                pa.ListArray.from_arrays(offsets, pa.array(mass)),
-                pa.nulls(batch.num_rows, kinds[5]),
-            ]
-            yield pa.RecordBatch.from_arrays([a.cast(k) for a, k in zip(arrays, kinds)], names)
-        yield pa.RecordBatch.from_arrays([pa.nulls(1, k) for k in kinds[:5]] + [pa.array([sums.ravel()], kinds[5])], names)
-
-    schema = "word long, n long, roots array<double>, contexts array<byte>, masses array<double>, sums array<double>"
-    seated = written(words.mapInArrow(seat, schema), "lm-seated")
-    sums = seated.where("sums is not null").select(F.posexplode("sums").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x"))
-    totals = _with_sums(given, {r["i"]: r["x"] for r in sums.collect()}, SAMPLES)
-    return Model(seated.where("sums is null").drop("sums"), totals)
-
-
-def _most_frequent(words: DataFrame, most: int) -> DataFrame:
-    """The words whose count is so high that there are at most ``most`` of them.
+    """Learn from the column ``text``; a null or empty text is just an end.
+
+    With a column ``learned``, only rows where it is true teach, and the model is good for scoring
+    these rows, with that column. Without it, the model is good for any.
+    """
+    told = "learned" in texts.columns
+    pairs = counts(texts if told else texts.withColumn("learned", F.lit(True)), all_asked=not told)
+    words, totals = _first(pairs)
+    as_lists = [F.array(F.col(n).cast("double")).alias(c) for c, n in (("customers", "n"), ("tables", "followed"))]
+    nothing = F.array().cast("array<double>").alias("dish_tables")
+    # a word that is there once is in no pair that is seated: its totals never change
+    once = (F.col("n") <= 1) & (F.col("followed") <= 1)
+    lone = words.where(once)
+    alone = float(lone.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    moving = words.where(~once).select("word", "n", "followed", as_lists[0], nothing, as_lists[1])
+    moving, totals = _with_state(moving, totals, 1)
+    totals = _plus(totals, alone, 1)
+    frequent = _most_frequent(moving, F.greatest("n", "followed"), HEAD_WORDS)
+    twice = pairs.where("n > 1 and context is not null")
+    for draws in [1] * ROUNDS + [SAMPLES]:
+        moving, totals = _round(twice, moving, frequent, totals, draws)
+        totals = _plus(totals, alone, draws)
+    still = lone.select("word", "n", "followed", *[F.lit(None).cast("array<double>").alias(c) for c in STATES])
+    return Model(moving.unionByName(still), frequent & F.col("customers").isNotNull(), pairs.where("context is not null"), totals)
+
+
+def _plus(totals: Totals, alone: float, last: int) -> Totals:
+    """Totals with the words that are there once in the last states: one customer and one table of the parent each."""
+    add = lambda x: (*x[:-last], *(n + alone for n in x[-last:]))
+    return replace(totals, root_customers=add(totals.root_customers), root_tables=add(totals.root_tables))
+
+
+def _most_frequent(rows: DataFrame, n: Column, most: int) -> Column:
+    """Whether a row's count is so high that there are at most ``most`` of such rows.
 
     Counts are binned by their logarithm, so the driver gets a few hundred numbers to set the bound by.
     """
-    bin_ = F.floor(F.log2("n") * 8)
-    rows = words.groupBy(bin_.alias("bin")).agg(F.count("*").alias("words")).collect()
+    bin_ = F.floor(F.log2(n) * 8)
+    found = rows.groupBy(bin_.alias("bin")).agg(F.count("*").alias("rows")).collect()
     bound, total = None, 0
-    for r in sorted(rows, key=lambda r: -r["bin"]):
-        total += r["words"]
+    for r in sorted(found, key=lambda r: -r["bin"]):
+        total += r["rows"]
         if total > most:
             break
         bound = r["bin"]
-    return words.where(bin_ >= bound) if bound is not None else words.limit(0)
+    return bin_ >= bound if bound is not None else F.lit(False)
+
+
+def _samples(t: Totals) -> range:
+    return range(len(t.root_customers) - SAMPLES, len(t.root_customers))
+
+
+def _shares(t: Totals, tables: np.ndarray, followed: np.ndarray) -> np.ndarray:
+    """What restaurants leave to the parent, per sample; divided by the number of samples."""
+    return np.stack([t.new_table(tables[s]) / (CONCENTRATION + followed) / SAMPLES for s in _samples(t)])
+
+
+def _roots(t: Totals, customers: np.ndarray, dish_tables: np.ndarray) -> np.ndarray:
+    """The parent's probability of words, per sample."""
+    return np.stack([t.root(s, customers[s], dish_tables[s]) for s in _samples(t)])
+
 
+def _parent(facts: Facts, t: Totals) -> np.ndarray:
+    """The parent's share of the probability of words in contexts, averaged over samples."""
+    return (_shares(t, facts.tables, facts.followed) * _roots(t, facts.customers, facts.dish_tables)).sum(axis=0)
 
-def _log_table(model: Model, head: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted words, their log10 probability in each context, their log10 base probability."""
+
+def _single(followed: np.ndarray, t: Totals) -> np.ndarray:
+    """What a word has in a context that it followed once, besides the parent's share."""
+    return (1 - t.discount) / (CONCENTRATION + followed)
+
+
+def _base(n: np.ndarray, t: Totals) -> np.ndarray:
+    return np.log10((n + 0.1) / (t.tokens + 0.1 * (t.vocabulary + 1)))
+
+
+def _gains(model: Model, pairs: DataFrame, head) -> DataFrame:
+    """``key``, ``unseen``, ``single``: what log10 of a pair's probability is above that of the pair not seen, and seen once."""
     t = model.totals
-    head = head.combine_chunks()
-    words = head.column("word").to_numpy().view(np.uint64)
-    flat = lambda name: np.concatenate([np.empty(0), *(c.flatten().to_numpy() for c in head.column(name).chunks)])
-    p = _averaged(t, _root_probability(t, flat("roots").reshape(len(words), SAMPLES)))
-    sizes = np.concatenate([np.empty(0, int), *(np.diff(c.offsets.to_numpy()) for c in head.column("contexts").chunks)])
-    p[np.repeat(np.arange(len(words)), sizes), flat("contexts").astype(int)] += flat("masses")
-    order = np.argsort(words)
-    base = np.log10((head.column("n").to_numpy() + 0.1) / (t.tokens + 0.1 * (t.vocabulary + 1)))
-    return words[order], np.log10(p)[order], base[order]
+    seated = replace(t, root_customers=t.root_customers[: 1 + ROUNDS], root_tables=t.root_tables[: 1 + ROUNDS])
 
+    def work(found) -> Iterator[pa.RecordBatch]:
+        leaf = stirling(TABULATED, t.discount)
+        for word, context, n, facts in found:
+            tables = np.mean(_seated(word, context, n, facts, seated, leaf, SAMPLES), axis=0)
+            parent = _parent(facts, t)
+            whole = np.log10(parent + (n - t.discount * tables) / (CONCENTRATION + facts.followed))
+            single = whole - np.log10(parent + _single(facts.followed, t))
+            arrays = [_pair(word, context).view(np.int64), whole - np.log10(parent), single]
+            yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], ["key", "unseen", "single"])
 
-def _root_probability(t: Totals, roots: np.ndarray) -> np.ndarray:
-    """Words by samples, from what ``Model.words.roots`` holds."""
-    return t.root(roots, np.zeros_like(roots))
+    schema = "key long, unseen double, single double"
+    return _over_pairs(pairs, model.words.where(~model.frequent), head, len(t.root_customers), work, schema)
 
 
-def _averaged(t: Totals, roots: np.ndarray) -> np.ndarray:
-    """Words by contexts: the parent's share of the probability, averaged over samples."""
-    return roots @ t.new_table() / SAMPLES / (CONCENTRATION + t.customers)
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        word, context = (batch.column(c).to_numpy().view(np.uint64) for c in ("word", "context"))
+        yield pa.RecordBatch.from_arrays([pa.array(_pair(word, context).view(np.int64))], ["key"])
 
 
 def score(rows: DataFrame, model: Model) -> DataFrame:
-    """``row_no``, ``n_tokens``, ``n_known``, ``base_score``, ``score`` of numbered rows with a ``text``."""
-    t = model.totals
-    head = _most_frequent(model.words, HEAD_WORDS).toArrow()
-    shared = rows.sparkSession.sparkContext.broadcast(_log_table(model, head))
+    """``row_no``, ``n_tokens``, ``n_known``, ``base_score``, ``score`` of numbered rows with a ``text``.
+
+    Rows may have a column ``learned``, which is true for those the model learned from: their pairs are all known.
+    Others need a model that was asked for them, or for any.
+
+    A token scores as if its pair had been seen once (in rows learned from) or never; what is more is
+    found by the pair, at hand for the most frequent ones, by a join for the others.
+    """
+    if "learned" not in rows.columns:
+        rows = rows.withColumn("learned", F.lit(False))
+    t, context = model.totals, rows.sparkSession.sparkContext
+    states = len(t.root_customers)
+    head = Head.of(model.words.where(model.frequent))
+    words = context.broadcast(head)
+    parts = context.broadcast(
+        (
+            _shares(t, head.states["tables"], head.followed),
+            _roots(t, head.states["customers"], head.states["dish_tables"]),
+            _single(head.followed, t),
+            _base(head.n, t),
+        )
+    )
+    often = _most_frequent(model.pairs, F.col("n"), HEAD_PAIRS)
+    table = _gains(model, model.pairs.where(often), words).toArrow()
+    known = [table.column(c).to_numpy() for c in ("key", "unseen", "single")]
+    order = np.argsort(known[0].view(np.uint64))
+    most = context.broadcast((known[0].view(np.uint64)[order], known[1][order], known[2][order]))
+    others = model.pairs.where(~often)
+    at_all = context.broadcast(bit_map(others.mapInArrow(_keys, "key long"), F.col("key")))
+
+    def places(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        keys = most.value[0]
+        at = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
+        return at, keys[at] == key if len(keys) else np.zeros(len(key), bool)
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, logs, bases = shared.value
-        known = WordHashes()
-        for batch in batches:
-            out: list[list] = [[], [], [], [], []]
-            for text in batch.column("text").cast(pa.binary()).to_pylist():
-                keys = _keys(known, text)
-                word = keys & np.uint64(~LOW & (1 << 64) - 1)
-                at = np.minimum(np.searchsorted(words, word), max(len(words) - 1, 0))
-                hit = words[at] == word if len(words) else np.zeros(len(word), bool)
-                place = at[hit]
-                out[0].append(len(keys))
-                out[1].append(len(place))
-                out[2].append(logs[place, (keys[hit] & np.uint64(LOW)).astype(np.int64)].sum())
-                out[3].append(bases[place].sum())
-                out[4].append(keys[~hit].view(np.int64))
-            arrays = [pa.array(o, k) for o, k in zip(out[:4], (pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
-            ends = pa.array(np.cumsum([0] + [len(r) for r in out[4]]).astype(np.int32))
-            rest = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(out[4]) if out[4] else np.empty(0, np.int64)))
+        hashes, head = WordHashes(), words.value
+        shares, roots, single, bases = parts.value
+        for batch in _slices(batches):
+            word, before, sizes = _tokens(hashes, batch.column("text"))
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            learned = batch.column("learned").to_numpy(zero_copy_only=False)[owner]
+            (a, x), (b, y) = head.places(word), head.places(before)
+            here = x & y
+            w, c = a[here], b[here]
+            s, base = np.zeros(len(word)), np.zeros(len(word))
+            parent = sum(share[c] * root[w] for share, root in zip(shares, roots))
+            s[here], base[here] = np.log10(parent + learned[here] * single[c]), bases[w]
+            at, there = places(_pair(word, before))
+            s[there] += np.where(learned[there], most.value[2][at[there]], most.value[1][at[there]])
+            seen = np.zeros(len(word))
+            seen[here] = head.n[w] > 0
+            sums = [sizes, np.bincount(owner, seen, len(sizes)).astype(np.int64)]
+            sums += [np.bincount(owner, v, len(sizes)) for v in (s, base)]
+            rest = ~here
+            ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(owner[rest], minlength=len(sizes)))]).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(ends, pa.array(v[rest].view(np.int64))) for v in (word, before)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row_no"), *arrays, rest], ["row_no", "n_tokens", "n_head", "score", "base", "rest"]
+                [batch.column("row_no"), batch.column("learned"), *map(pa.array, sums), *lists],
+                ["row_no", "learned", "n_tokens", "n_head", "s", "b", "words", "contexts"],
             )
 
-    schema = "row_no long, n_tokens long, n_head long, score double, base double, rest array<long>"
-    begun = written(rows.select("row_no", "text").mapInArrow(look_up, schema), "lm-begun")
-    key = F.col("key")
-    rest = begun.select("row_no", F.explode("rest").alias("key")).select(
-        "row_no", key.bitwiseAND(~LOW).alias("word"), key.bitwiseAND(LOW).cast("byte").alias("context")
-    )
-    share = t.new_table() / SAMPLES / (CONCENTRATION + t.customers)
-    root = t.root(np.zeros((1, SAMPLES)), np.zeros((1, SAMPLES)))[0]
-    of_context = lambda numbers: F.get(F.array(*[F.lit(float(x)) for x in numbers]), F.col("context").cast("int"))
-    parent = sum(
-        (
-            of_context(share[s])
-            * (F.coalesce(F.col("roots")[s], F.lit(0.0)) / float(CONCENTRATION + t.root_customers[s]) + float(root[s]))
-            for s in range(SAMPLES)
-        ),
-        F.lit(0.0),
+    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Tokens whose pair may be among those that not all tasks have."""
+        hashes = WordHashes()
+        for batch in _slices(batches):
+            word, before, sizes = _tokens(hashes, batch.column("text"))
+            key = _pair(word, before)
+            own = np.flatnonzero(in_map(at_all.value, key.view(np.int64)) & ~places(key)[1])
+            owner = pa.array(np.repeat(np.arange(len(sizes)), sizes)[own])
+            arrays = [batch.column("row_no").take(owner), batch.column("learned").take(owner), pa.array(key[own].view(np.int64))]
+            yield pa.RecordBatch.from_arrays(arrays, ["row_no", "learned", "key"])
+
+    def apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            word, before = (batch.column(c).to_numpy().view(np.uint64) for c in ("word", "context"))
+            with np.errstate(over="ignore"):
+                salt = mixed(batch.column("row_no").to_numpy().view(np.uint64) + _pair(word, before))
+            at = [_places_to_join(w, words.value.places(w)[1], x) for w, x in ((word, salt), (before, ~salt))]
+            arrays = [*batch.columns, *at]
+            yield pa.RecordBatch.from_arrays(arrays, [*batch.schema.names, "word_at", "context_at"])
+
+    def with_rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                facts = _joined_facts(batch, words.value, states)
+                learned = batch.column("learned").to_numpy(zero_copy_only=False)
+                s = np.log10(_parent(facts, t) + learned * _single(facts.followed, t))
+                k = (facts.n > 0).astype(np.int64)
+                arrays = [batch.column("row_no"), pa.array(s), pa.array(_base(facts.n, t)), pa.array(k)]
+                yield pa.RecordBatch.from_arrays(arrays, ["row_no", "s", "b", "k"])
+
+    texts = rows.select("row_no", "learned", "text")
+    schema = "row_no long, learned boolean, n_tokens long, n_head long, s double, b double, words array<long>, contexts array<long>"
+    begun = written(texts.mapInArrow(look_up, schema), "lm-begun")
+    each = begun.select("row_no", "learned", F.inline(F.arrays_zip("words", "contexts"))).toDF("row_no", "learned", "word", "context")
+    each = each.mapInArrow(apart, "row_no long, learned boolean, word long, context long, word_at long, context_at long")
+    of_words = _beside(each, model.words.where(~model.frequent)).mapInArrow(with_rare, "row_no long, s double, b double, k long")
+    tokens = texts.mapInArrow(rare, "row_no long, learned boolean, key long")
+    of_pairs = tokens.join(_gains(model, others, words), "key").select(
+        "row_no", F.when(F.col("learned"), F.col("single")).otherwise(F.col("unseen")).alias("s")
     )
-    own = F.get("masses", (F.array_position("contexts", F.col("context")) - 1).cast("int"))
-    own = F.when(F.array_contains("contexts", F.col("context")), own).otherwise(0.0)
-    count = F.coalesce("n", F.lit(0))
-    base = (count + 0.1) / F.lit(t.tokens + 0.1 * (t.vocabulary + 1))
-    scored = (
-        rest.join(model.words, "word", "left")
-        .select(
-            "row_no",
-            F.log10(parent + F.coalesce(own, F.lit(0.0))).alias("s"),
-            F.log10(base).alias("b"),
-            (count > 0).cast("long").alias("k"),
-        )
+    nothing = [F.lit(0.0).alias("b"), F.lit(0).cast("long").alias("k")]
+    found = (
+        of_words.unionByName(of_pairs.select("row_no", "s", *nothing))
         .groupBy("row_no")
-        .agg(F.sum("s").alias("s"), F.sum("b").alias("b"), F.sum("k").alias("k"))
+        .agg(*[F.sum(c).alias(f"more_{c}") for c in "sbk"])
     )
-    plus = lambda a, b: (F.col(a) + F.coalesce(b, F.lit(0))).alias
-    return (
-        begun.drop("rest")
-        .join(scored, "row_no", "left")
-        .select("row_no", "n_tokens", plus("n_head", "k")("n_known"), plus("base", "b")("base_score"), plus("score", "s")("score"))
+    plus = lambda a, b, name: (F.col(a) + F.coalesce(b, F.lit(0))).alias(name)
+    return begun.drop("words", "contexts").join(found, "row_no", "left").select(
+        "row_no", "n_tokens", plus("n_head", "more_k", "n_known"), plus("b", "more_b", "base_score"), plus("s", "more_s", "score")
     )
 
 
@@ -437,7 +715,7 @@ def score_documents(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     """
     out = ("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "row_no")
     rows = numbered(step_aside(df, out).withColumn("held_out", held_out(col(doc_id))), "lm-rows")
-    texts = rows.select("row_no", "held_out", col(text).alias("text"))
-    model = fit(texts.where(~F.col("held_out")))
+    texts = rows.select("row_no", (~F.col("held_out")).alias("learned"), col(text).alias("text"))
+    model = fit(texts)
     found = score(texts, model).withColumn("train_tokens", F.lit(model.totals.tokens).cast("long"))
     return rows.join(written(found, "lm-scores"), "row_no").drop("row_no")

@@ -94,11 +94,81 @@ def test_context_helps_on_held_out_texts(spark):
     assert abs(P.perplexity(scored).first()[0] - model) < 1e-6 * model
 
 
-def test_probabilities_sum_to_one(spark):
-    model = P.fit(spark.createDataFrame(corpus(), SCHEMA))
-    _, logs, _ = P._log_table(model, model.words.toArrow())
-    unknown = P._averaged(model.totals, P._root_probability(model.totals, np.zeros((1, P.SAMPLES))))[0]
-    assert np.allclose((10**logs).sum(axis=0) + unknown, 1)
+def probabilities(model):
+    """A function of word and context, from the model's tables by plain arithmetic."""
+    t, listed = model.totals, {r["word"]: r for r in model.words.collect()}
+    head = model.words.sparkSession.sparkContext.broadcast(P.Head.of(model.words.where(model.frequent)))
+    gain = {r["key"]: r["unseen"] for r in P._gains(model, model.pairs, head).collect()}
+    states = range(1 + P.ROUNDS, 1 + P.ROUNDS + P.SAMPLES)
+
+    def p(word, context):
+        w, c = (listed.get(int(np.uint64(x).view(np.int64))) for x in (word, context))
+        followed, parent = c["followed"] if c else 0, 0.0
+        for s in states:
+            seats = lambda r, name, lone: 0 if r is None else lone if r[name] is None else r[name][s]  # noqa: E731, B023
+            base = (P.CONCENTRATION + t.root_discount * t.root_tables[s]) / (t.vocabulary + 1)
+            dish = seats(w, "customers", 1) - t.root_discount * seats(w, "dish_tables", 1)
+            back = (P.CONCENTRATION + t.discount * seats(c, "tables", followed)) / (P.CONCENTRATION + followed)
+            parent += back * (dish + base) / (P.CONCENTRATION + t.root_customers[s]) / P.SAMPLES
+        key = P._pair(np.array([word], np.uint64), np.array([context], np.uint64)).view(np.int64)[0]
+        return parent * 10 ** gain.get(int(key), 0.0)
+
+    return p
+
+
+def hashed(word):
+    return int(P.WordHashes().of([word.encode()])[0]) // P.SALTS * P.SALTS
+
+
+@pytest.mark.parametrize("head_words", [P.HEAD_WORDS, 20])
+def test_probabilities_sum_to_one_in_every_context(spark, monkeypatch, head_words):
+    monkeypatch.setattr(P, "HEAD_WORDS", head_words)
+    texts = corpus() + [(1000, "rare w1 w2"), (1001, "w3 seldom seldom")]
+    p = probabilities(P.fit(spark.createDataFrame(texts, SCHEMA)))
+    vocabulary = [hashed(w) for w in {w for _, t in texts for w in t.lower().split()} | {"unknown"}] + [P.END]
+    for context in (hashed("w3"), hashed("rare"), hashed("seldom"), hashed("unknown"), P.START):
+        assert math.isclose(sum(p(w, context) for w in vocabulary), 1, rel_tol=1e-9)
+
+
+@pytest.mark.parametrize("head", [None, 5])
+def test_scores_are_the_products_of_probabilities(spark, monkeypatch, head):
+    if head:
+        monkeypatch.setattr(P, "HEAD_WORDS", head)
+        monkeypatch.setattr(P, "HEAD_PAIRS", head)
+    model = P.fit(spark.createDataFrame(corpus(60), SCHEMA))
+    p = probabilities(model)
+    asked = ["w1 w2 w3 w9 w1", "w5 unknown w6 unknown", "", None, "w59 w0"]
+    rows = spark.createDataFrame(list(enumerate(asked)), "row_no long, text string")
+    for r in P.score(rows, model).collect():
+        words = [hashed(w) for w in (asked[r["row_no"]] or "").split()] + [P.END]
+        want = sum(math.log10(p(w, c)) for w, c in zip(words, [P.START, *words]))
+        assert math.isclose(r["score"], want, rel_tol=1e-9)
+
+
+def test_texts_learned_from_score_as_any_others_do(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in corpus(200) if not crc32(str(i).encode()) % 10 == 0], SCHEMA)
+    model = P.fit(docs)
+    rows = docs.withColumnRenamed("doc_id", "row_no")
+    plain = {r["row_no"]: r["score"] for r in P.score(rows, model).collect()}
+    own = {r["doc_id"]: r["score"] for r in P.score_documents(docs).collect()}
+    assert all(math.isclose(own[i], plain[i], rel_tol=1e-9) for i in plain)
+
+
+def test_every_word_is_a_context_of_its_own(spark):
+    """Of 3,000 words each has one that follows it mostly: 32 classes of words before can't tell which."""
+    r = random.Random(5)
+    follows = list(range(3000))
+    r.shuffle(follows)
+    docs = []
+    for i in range(1500):
+        at, words = r.randrange(3000), []
+        for _ in range(60):
+            at = follows[at] if r.random() < 0.9 else r.randrange(3000)
+            words.append(f"w{at}")
+        docs.append((i, " ".join(words)))
+    got = P.score_documents(spark.createDataFrame(docs, SCHEMA)).where("held_out").toPandas()
+    model, base = (10 ** -(got[c].sum() / got["n_tokens"].sum()) for c in ("score", "base_score"))
+    assert model < 0.02 * base  # the law itself: about 4 of 3,000
 
 
 def test_joined_words_score_like_those_that_all_tasks_have(spark, monkeypatch):
