@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -100,12 +101,17 @@ def rejects(
 ) -> DataFrame:
     """For each dimension, how many rows find no key in it.
 
-    Rows with equal lookup values are counted together before any join.
+    Rows with equal lookup values are counted together before any join, by one dimension at a time: few
+    values go through the shuffle, while nearly every sale differs from others in some dimension.
     """
-    columns = list(dict.fromkeys(d.lookup for d in by))
-    alike = rows.groupBy(*columns).agg(F.count("*").alias("n"))
-    keyed = attach(alike, fact_lookups(dimensions, by), "left", on_duplicate="fail", limits=limits)
-    lost = keyed.agg(
-        *[F.coalesce(F.sum(F.when(F.isnull(d.sk), F.col("n"))), F.lit(0)).alias(d.name) for d in by]
-    )
-    return lost.unpivot([], [d.name for d in by], "dimension", "rows_lost")
+    lookups = fact_lookups(dimensions, by)
+    sizes = measure(lookups)
+    refuse_duplicates(sizes)
+
+    def lost(d: Dimension, lookup: Lookup) -> DataFrame:
+        alike = rows.groupBy(d.lookup).agg(F.count("*").alias("n"))
+        keyed = attach(alike, [lookup], "left", on_duplicate="fail", limits=limits, sizes=sizes)
+        n = F.coalesce(F.sum(F.when(F.isnull(d.sk), F.col("n"))), F.lit(0))
+        return keyed.agg(F.lit(d.name).alias("dimension"), n.alias("rows_lost"))
+
+    return reduce(DataFrame.unionByName, [lost(d, l) for d, l in zip(by, lookups)])
