@@ -1,0 +1,58 @@
+"""What grows with the sales: how wide they are in shuffles, and how many tasks share them."""
+
+from __future__ import annotations
+
+import glob
+
+import pytest
+
+from lakestar.operators.dimensions import build_dimensions
+from lakestar.operators.fact import rejects
+from lakestar.plans import queries as Q
+from lakestar.sources import fixture
+from lakestar.sources.buckets import Buckets
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_sales_are_gathered_by_month_after_all_joins_of_large_tables(spark, folder):
+    """Joins above the gathering would deal the rows out again, and every task would write every month."""
+    lines = _plan(fixture.sales(spark, folder, by_month=True)).splitlines()
+    depth = next(l.index("Rebalance") for l in lines if "Rebalance" in l)
+    at = next(i for i, l in enumerate(lines) if "Rebalance" in l)
+    for key in ("c_custkey", "p_partkey", "s_suppkey", "l_orderkey"):
+        scans = [(i, len(l) - len(l.lstrip(" :+-"))) for i, l in enumerate(lines) if "Relation [" in l and key in l]
+        assert scans and all(i > at and indent > depth for i, indent in scans)
+
+
+def test_texts_of_sales_are_put_together_after_the_gathering(spark, folder):
+    plan = _plan(fixture.sales(spark, folder, by_month=True))
+    assert "EXAMPLE.com" in plan.split("Rebalance")[0] and "EXAMPLE.com" not in plan.split("Rebalance")[1]
+
+
+def test_rejects_count_by_one_lookup_at_a_time(spark, folder):
+    """Sales that differ in some lookup are nearly all of them, those that differ in one are few."""
+    rows = Q.silver(spark, folder).limit(500).cache()
+    plan = _plan(rejects(rows, build_dimensions(rows)))
+    grouped = [l.split("Aggregate [")[1].split("]")[0] for l in plan.splitlines() if "Aggregate [" in l and "count(1) AS n" in l]
+    assert len(grouped) >= 5 and all("," not in keys for keys in grouped)
+
+
+def test_buckets_grow_in_number_with_the_sales(spark, folder, monkeypatch):
+    made = []
+    write = Buckets.write
+    monkeypatch.setattr(Buckets, "write", lambda self, *a: made.append(self.count) or write(self, *a))
+    monkeypatch.setattr(Q, "BUCKET_ROWS", 500)
+    rows = Q.QUERIES["fact_by_buckets"](spark, folder).count()
+    assert rows > 500 * 8 and set(made) == {-(-rows // 500)}
+
+
+@pytest.mark.parametrize("compression", ["gzip", "none"])
+def test_delivered_files_hold_the_same_sales(spark, folder, compression):
+    lake = Q.new_lake(spark, "delivered")
+    rows = fixture.sales(spark, folder).where("order_id < 500")
+    Q._deliver(lake, rows, **({} if compression == "gzip" else {"compression": compression}))
+    assert glob.glob(f"{lake.landing}/*.csv" + (".gz" if compression == "gzip" else ""))
+    assert Q.read_landing(spark, lake.landing).count() == rows.count()
