@@ -49,9 +49,9 @@ SHARE = 0.9
 SEGMENT_IDS = 1 << 18
 FILE_SEGMENTS = 32
 #: Bytes of text that are cut into words at a time.
-PIECE = 8 << 20
-#: Words whose ids a worker process remembers (some 100 MB), and the length of the longest.
-KNOWN_WORDS, LONG_WORD = 1 << 19, 64
+PIECE = 4 << 20
+#: Words whose ids a worker process remembers (some 50 MB), and the length of the longest.
+KNOWN_WORDS, LONG_WORD = 1 << 18, 64
 MAGIC = b"LSTK"
 HEADER = "<4sIQIQII"
 BLOCK_HEADER = "<IBH"
