@@ -9,11 +9,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakestar.functions.calendar import period
 from lakestar.operators.colocated import Staged, attach_colocated
 from lakestar.operators.dimensions import stamped
 from lakestar.operators.lookup import SALT, Limits, Lookup, Size, attach, measure, refuse_duplicates
 from lakestar.sources.buckets import Buckets
-from lakestar.sources.tables import gathered
+from lakestar.sources.tables import gathered_by_month
 from lakestar.specs import FACT_LOOKUPS, FACT_MEASURES, FACT_SCHEMA, PERIOD, ROW_PLACE, Dimension
 
 
@@ -41,14 +42,17 @@ def keyed_rows(
     those of the lookups, where they are known.
     """
     place = [ROW_PLACE] if ROW_PLACE in rows.columns else []
-    needed = ["sale_date", *[d.lookup for d in by], *FACT_MEASURES, *PERIOD, *place]
     lookups = fact_lookups(dimensions, by)
     sizes = measure(lookups) if sizes is None else sizes
+    in_place = len(limits.small(lookups, sizes)) == len(lookups)
+    # year and month follow from the date: they need not go through shuffles with it
+    needed = ["sale_date", *[d.lookup for d in by], *FACT_MEASURES, *(PERIOD if in_place else ()), *place]
     keyed = attach(
         rows.select(*needed), lookups, how, on_duplicate=on_duplicate, limits=limits, sizes=sizes
     )
-    fact = stamped(keyed, stamp).select(*FACT_SCHEMA.names)
-    return fact if len(limits.small(lookups, sizes)) == len(lookups) else gathered(fact, *PERIOD)
+    if not in_place:
+        keyed = gathered_by_month(keyed, "sale_date").withColumns(period(F.col("sale_date")))
+    return stamped(keyed, stamp).select(*FACT_SCHEMA.names)
 
 
 def lacks(by: Sequence[Dimension] = FACT_LOOKUPS) -> dict[str, Column]:

@@ -103,6 +103,11 @@ def silver_by_month(spark: SparkSession, folder: str) -> DataFrame:
     return clean(sales(spark, folder, by_month=True))
 
 
+def later_silver(spark: SparkSession, folder: str) -> DataFrame:
+    """The sales after the cut, to be written to a partitioned table. They are few, so joins begin with their orders."""
+    return clean(sales(spark, folder, by_month=True, few=True)).filter(later_than(CUT))
+
+
 def loaded_lake(spark: SparkSession, folder: str, label: str) -> Lake:
     lake = lake_with(spark, label, silver_by_month(spark, folder))
     load_full(lake, max_records_per_file=FACT_FILE_ROWS)
@@ -111,10 +116,9 @@ def loaded_lake(spark: SparkSession, folder: str, label: str) -> Lake:
 
 def lake_in_two_loads(spark: SparkSession, folder: str, label: str) -> Lake:
     """Sales up to the cut loaded in full, the later ones as an increment."""
-    rows = silver_by_month(spark, folder)
-    lake = lake_with(spark, label, rows.filter(up_to(CUT)))
+    lake = lake_with(spark, label, silver_by_month(spark, folder).filter(up_to(CUT)))
     load_full(lake)
-    write_silver(lake, rows.filter(later_than(CUT)), 2, LOADED_AT)
+    write_silver(lake, later_silver(spark, folder), 2, LOADED_AT)
     load_increment(lake, stamp=LOADED_AT)
     return lake
 
@@ -319,10 +323,9 @@ def fact_by_buckets(spark, folder):
 @query
 def fact_rejects(spark, folder):
     """All sales against the dimensions of the first load: rows that find no key, by dimension."""
-    rows = silver_by_month(spark, folder)
-    lake = lake_with(spark, "rejects", rows.filter(up_to(CUT)))
+    lake = lake_with(spark, "rejects", silver_by_month(spark, folder).filter(up_to(CUT)))
     load_full(lake)
-    write_silver(lake, rows.filter(later_than(CUT)), 2, LOADED_AT)
+    write_silver(lake, later_silver(spark, folder), 2, LOADED_AT)
     return rejects(lake.silver_sales(), star(lake))
 
 
@@ -483,10 +486,9 @@ def load_check_years(spark, folder):
 @query
 def load_after_failed_attempt(spark, folder):
     """Attempts at silver and at the fact are left unrecorded, a newer batch comes, and all is loaded: nothing twice."""
-    rows = silver_by_month(spark, folder)
-    lake = lake_with(spark, "failed", rows.filter(up_to(CUT)))
+    lake = lake_with(spark, "failed", silver_by_month(spark, folder).filter(up_to(CUT)))
     load_full(lake)
-    later = staged(rows.filter(later_than(CUT)), "later")
+    later = staged(later_silver(spark, folder), "later")
     middle = F.pmod(F.xxhash64("order_id"), F.lit(2)) == 0
     lake.write_batch(later.filter(middle), lake.silver, 2, PERIOD)  # written, not recorded
     write_silver(lake, later.filter(middle), 2, LOADED_AT)
@@ -547,13 +549,12 @@ def register_gold_catalog(spark, folder):
 @query
 def register_gold_increment(spark, folder):
     """Row counts through the catalog after a load with statistics, an increment that uses them, and a new switch."""
-    rows = silver_by_month(spark, folder)
-    lake = lake_with(spark, "switch", rows.filter(up_to(CUT)))
+    lake = lake_with(spark, "switch", silver_by_month(spark, folder).filter(up_to(CUT)))
     database = _database(lake)
     load_full(lake)
     catalog.register_gold(lake, database)
     catalog.analyze_gold(lake, database)
-    write_silver(lake, rows.filter(later_than(CUT)), 2, LOADED_AT)
+    write_silver(lake, later_silver(spark, folder), 2, LOADED_AT)
     load_increment(lake, stamp=LOADED_AT, database=database)
     catalog.register_gold(lake, database)
     return catalog.count_registered(spark, database)

@@ -5,11 +5,8 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from lakestar.functions.calendar import period
-from lakestar.sources.tables import gathered
-from lakestar.specs import PERIOD
+from lakestar.sources.tables import gathered_by_month
 
 TABLES = ("lineitem", "orders", "customer", "nation", "region", "part", "supplier")
 
@@ -54,17 +51,33 @@ join {supplier} on l_suppkey = s_suppkey
 # to the last one: customers come with their orders, of which there are fewer than lines; what a
 # customer's names and place are made of goes along, and texts are put together at the end.
 BUYERS_ORDERS_SQL = """
-select o_orderkey, o_orderdate, c_custkey, c_name, c_mktsegment, c_nationkey
+select o_orderkey, cast(o_orderdate as date) as sale_date, c_custkey, c_name, c_mktsegment, c_nationkey
 from {orders} join {customer} on o_custkey = c_custkey
 """
-NARROW_SALES_SQL = """
-select o_orderkey, o_orderdate, c_custkey, c_name, c_mktsegment, c_nationkey,
+NARROW_COLUMNS = """
+select o_orderkey, sale_date, c_custkey, c_name, c_mktsegment, c_nationkey,
        l_linenumber, p_partkey, p_name, p_type, s_suppkey, s_name, l_quantity, l_extendedprice, l_discount
+"""
+# Orders first: if few of them are wanted, few lines meet their parts.
+NARROW_SALES_SQL = (
+    NARROW_COLUMNS
+    + """
 from {lineitem}
 join {buyers_orders} on l_orderkey = o_orderkey
 join {part} on l_partkey = p_partkey
 join {supplier} on l_suppkey = s_suppkey
 """
+)
+# Orders last: the lines of an order lie side by side in what follows, and what they share takes little room there.
+SALES_BY_ORDER_SQL = (
+    NARROW_COLUMNS
+    + """
+from {lineitem}
+join {part} on l_partkey = p_partkey
+join {buyers_orders} on l_orderkey = o_orderkey
+join {supplier} on l_suppkey = s_suppkey
+"""
+)
 NAMED_SALES_SQL = """
 with places as (
   select n_nationkey, concat(n_name, ', ', r_name) as city, n_name as state, r_name as region,
@@ -72,7 +85,8 @@ with places as (
          r_name as country, lpad(cast(n_nationkey as string), 5, '0') as postal_code
   from {nation} join {region} on n_regionkey = r_regionkey
 )
-select o_orderkey as order_id, l_linenumber as campaign_id, cast(o_orderdate as date) as sale_date,
+select /*+ broadcast(places) */
+       o_orderkey as order_id, l_linenumber as campaign_id, sale_date,
        concat('(', replace(c_name, '#', '.'), '@EXAMPLE.com):', split_part(c_name, '#', 2), ', ', split_part(c_name, '#', 1)) as email_name,
        city, state, region, district, country, postal_code,
        p_partkey as product_id, p_name as product, p_type as category, c_mktsegment as segment,
@@ -88,16 +102,18 @@ def tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {t: spark.read.parquet(f"{folder}/{t}.parquet") for t in TABLES}
 
 
-def sales(spark: SparkSession, folder: str, by_month: bool = False) -> DataFrame:
+def sales(spark: SparkSession, folder: str, by_month: bool = False, few: bool = False) -> DataFrame:
     """Raw sales; ``by_month`` for those to be written to a partitioned table.
 
     They are gathered by month after all joins of large tables, each of which deals rows out anew, and
-    before their texts are put together.
+    before their texts are put together. ``few``: a filter on the date will leave few of them. The rows
+    are the same, joined in another order.
     """
     found = tables(spark, folder)
     take = lambda *names: {t: found[t] for t in names}
     orders = spark.sql(BUYERS_ORDERS_SQL, **take("orders", "customer"))
-    narrow = spark.sql(NARROW_SALES_SQL, buyers_orders=orders, **take("lineitem", "part", "supplier"))
+    joins = SALES_BY_ORDER_SQL if by_month and not few else NARROW_SALES_SQL
+    narrow = spark.sql(joins, buyers_orders=orders, **take("lineitem", "part", "supplier"))
     if by_month:
-        narrow = gathered(narrow.withColumns(period(F.col("o_orderdate").cast("date"))), *PERIOD)
+        narrow = gathered_by_month(narrow, "sale_date")
     return spark.sql(NAMED_SALES_SQL, narrow=narrow, **take("nation", "region"))

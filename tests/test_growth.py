@@ -7,10 +7,13 @@ import glob
 import pytest
 
 from lakestar.operators.dimensions import build_dimensions
-from lakestar.operators.fact import rejects
+from lakestar.operators.fact import build_fact, rejects
+from lakestar.operators.lookup import Limits
 from lakestar.plans import queries as Q
 from lakestar.sources import fixture
 from lakestar.sources.buckets import Buckets
+from lakestar.sources.tables import read_table
+from lakestar.specs import FACT, PERIOD, PRODUCT
 
 
 def _plan(df) -> str:
@@ -56,3 +59,44 @@ def test_delivered_files_hold_the_same_sales(spark, folder, compression):
     Q._deliver(lake, rows, **({} if compression == "gzip" else {"compression": compression}))
     assert glob.glob(f"{lake.landing}/*.csv" + (".gz" if compression == "gzip" else ""))
     assert Q.read_landing(spark, lake.landing).count() == rows.count()
+
+
+def _tables(plan: str) -> list[str]:
+    """The large tables in the order in which they are joined."""
+    keys = ("l_orderkey", "o_orderkey", "p_partkey")
+    return [k for l in plan.splitlines() if "Relation [" in l for k in keys if f"{k}#" in l]
+
+
+def test_sales_meet_their_orders_last_unless_few_are_wanted(spark, folder):
+    """Lines of an order then lie side by side in the shuffle by month; few orders are worth joining first."""
+    assert _tables(_plan(fixture.sales(spark, folder, by_month=True))) == ["l_orderkey", "p_partkey", "o_orderkey"]
+    assert _tables(_plan(Q.later_silver(spark, folder))) == ["l_orderkey", "o_orderkey", "p_partkey"]
+
+
+def test_both_orders_of_joins_give_the_same_sales(spark, folder):
+    plain, by_month, few = (
+        fixture.sales(spark, folder, **how).where("order_id < 600") for how in ({}, {"by_month": True}, {"by_month": True, "few": True})
+    )
+    assert plain.columns == by_month.columns == few.columns
+    assert plain.count() > 100 and not any(plain.exceptAll(x).count() + x.exceptAll(plain).count() for x in (by_month, few))
+
+
+def test_year_and_month_stay_out_of_the_shuffles_of_the_fact(spark, folder):
+    rows = Q.new_lake(spark, "narrow").root
+    Q.write_table(Q.silver(spark, folder).where("order_id < 600"), rows, partition_by=PERIOD)
+    sales = read_table(spark, rows)
+    dimensions = build_dimensions(sales)
+    near, far = (build_fact(sales, dimensions, limits=limits) for limits in (Limits(), Limits(broadcast_bytes=0)))
+    below = _plan(far).split("Rebalance")[1]
+    shuffled = [l for l in below.splitlines() if "Project [" in l]
+    assert shuffled and not any("sale_year" in l or "sale_month" in l for l in shuffled)
+    assert near.count() > 100 and near.schema == far.schema
+    assert near.exceptAll(far).count() == far.exceptAll(near).count() == 0
+
+
+def test_sales_are_written_more_tightly_than_dimensions(spark, folder):
+    lake = Q.loaded_lake(spark, folder, "tight")
+    names = {t: glob.glob(f"{lake.root}/gold/{t}/**/*.parquet", recursive=True) for t in (FACT, PRODUCT.name)}
+    silver = glob.glob(f"{lake.silver}/**/*.parquet", recursive=True)
+    assert silver and all(".zstd." in f for f in silver + names[FACT])
+    assert names[PRODUCT.name] and not any(".zstd." in f for f in names[PRODUCT.name])
