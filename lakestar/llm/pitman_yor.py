@@ -13,25 +13,29 @@ round goes on from the tables that the round before drew: draws depend on the pa
 round alone, so tasks repeat them from the totals of words, and nothing is written per pair and round.
 Totals are gathered between rounds, per word. Probabilities are averaged over samples of the last round.
 
-The totals of the most frequent words, and the probabilities of the most frequent pairs, go to all
-tasks as tables of bounded size; all others are joined, words by word and pairs by pair.
+Words are counted first. A word found once that no text asks about is in no pair that matters; it is
+just one that is there once. The others are kept: the most frequent of them, in a table of bounded size that all
+tasks have, go by their place in it, so texts are written as places and pairs are counted and
+looked up by them, in lists dealt to buckets; all others go by their hashes and are joined. The
+probabilities of the most frequent pairs go to all tasks, too.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestar.llm.common import bit_map, col, in_map, numbered, step_aside, written
 from lakestar.llm.shingles import WordHashes, lowered_words, mixed
 
-#: Tasks that the pairs of one word are dealt to, a power of two. The low bits of a word are free for that.
+#: The low bits of a hash are free, a power of two: the number of a word that goes by its place has the lowest set.
 SALTS = 8
 #: What stands for the end of a text, as a word, and for its start, as a context.
 END, START = 0x5EED0E28, 0x57A27E8
@@ -41,15 +45,19 @@ SAMPLES = 3
 ROUNDS = 2
 #: Customers up to which the law of the tables is tabulated.
 TABULATED = 64
-#: At most so many of the most frequent words have their totals sent to every task (25 MB), and so many of the
-#: most frequent pairs their probabilities (25 MB).
-HEAD_WORDS, HEAD_PAIRS = 1 << 18, 1 << 20
+#: At most so many of the most frequent words have their totals sent to every task (28 bytes each, 88 if they are
+#: there more than 255 times; below 1 << 20), and so many of the most frequent pairs their probabilities (16 MB).
+HEAD_WORDS, HEAD_PAIRS = 3 << 18, 1 << 20
 #: Tokens that a task counts at a time, and pairs whose tables it adds up.
-CHUNK, SUMMED = 2_000_000, 1 << 18
+CHUNK, SUMMED = 4_000_000, 1 << 20
 #: Bytes of texts that are looked up at a time.
-SLICE = 1 << 20
-#: Beyond any count: tells that a pair is in a text that is not learned from.
+SLICE = 1 << 21
+#: Tokens for each bucket that pairs are dealt to, and the fewest buckets.
+BUCKET, LEAST_BUCKETS = 1 << 18, 32
+#: Beyond any count: tells that a word is in a text that is not learned from.
 ASKED = 1 << 40
+#: In place of a word that goes by its hash.
+FAR = -1
 
 
 def held_out(doc_id: Column) -> Column:
@@ -57,18 +65,14 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.encode(F.coalesce(doc_id.cast("string"), F.lit("")), "UTF-8")) % 10 == 0
 
 
-def _tokens(known: WordHashes, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word and context of each token of some texts, ends included, and the number of tokens of each text."""
+def _words(known: WordHashes, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each token of some texts, ends included, and the number of tokens of each text."""
     words, sizes = [], np.empty(len(texts), np.int64)
     for i, text in enumerate(texts.cast(pa.binary()).to_pylist()):
         found = known.of(lowered_words(text))
         words += [found & np.uint64((1 << 64) - SALTS), np.array([END], np.uint64)]
         sizes[i] = len(found) + 1
-    word = np.concatenate([np.empty(0, np.uint64), *words])
-    context = np.empty_like(word)
-    context[1:] = word[:-1]
-    context[np.cumsum(sizes) - sizes] = START
-    return word, context, sizes
+    return np.concatenate([np.empty(0, np.uint64), *words]), sizes
 
 
 def _pair(word: np.ndarray, context: np.ndarray) -> np.ndarray:
@@ -77,10 +81,10 @@ def _pair(word: np.ndarray, context: np.ndarray) -> np.ndarray:
         return mixed((context ^ (context >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + word)
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch], of: str) -> Iterator[pa.RecordBatch]:
     """Batches of some hundred thousand tokens, or one text, each."""
     for batch in batches:
-        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy())
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(of)), 0).to_numpy(), dtype=np.int64)
         at = 0
         while at < batch.num_rows:
             before = sizes[at - 1] if at else 0
@@ -89,46 +93,274 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = stop
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known = WordHashes()
-    waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    tokens = 0
+def _starts(ordered: np.ndarray) -> np.ndarray:
+    """Where a number of an ordered array differs from the one before."""
+    return np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.empty(0, np.int64)
+
+
+def _find(ordered: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where wanted numbers are in an ordered array, and whether they are there at all."""
+    if not len(ordered):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    order = np.argsort(wanted)  # neighbours are looked up in the same part of the array
+    at = np.empty(len(wanted), np.int64)
+    at[order] = np.minimum(np.searchsorted(ordered, wanted[order]), len(ordered) - 1)
+    return at, ordered[at] == wanted
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known, waiting, rows = WordHashes(), [], 0
+
+    def summed(word: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(word)
+        at = _starts(word[order])
+        asked = np.maximum.reduceat(n[order] >> 40, at) > 0
+        return word[order][at], np.add.reduceat(n[order] & (ASKED - 1), at) + asked * ASKED
 
     def counted() -> pa.RecordBatch:
-        word, context, learned = (np.concatenate(x) for x in zip(*waiting))
-        _, at, pair = np.unique(_pair(word, context), return_index=True, return_inverse=True)
-        n = np.bincount(pair, learned, len(at)).astype(np.int64)
-        n[np.bincount(pair, ~learned, len(at)) > 0] += ASKED
-        # a word's pairs are dealt to some tasks; equal words side by side take little room
-        dish = word[at] | context[at] % np.uint64(SALTS)
-        order = np.argsort(dish)
-        arrays = [dish[order].view(np.int64), context[at][order].view(np.int64), n[order]]
-        return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], ["dish", "context", "n"])
-
-    for batch in _slices(batches):
-        word, context, sizes = _tokens(known, batch.column("text"))
+        word, n = summed(*(np.concatenate(x) for x in zip(*waiting)))
+        return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], ["word", "n"])
+
+    for batch in _slices(batches, "text"):
+        word, sizes = _words(known, batch.column("text"))
         learned = batch.column("learned").to_numpy(zero_copy_only=False)
-        waiting.append((word, context, np.repeat(learned, sizes)))
-        tokens += len(word)
-        if tokens >= CHUNK:
+        waiting.append(summed(word, np.where(np.repeat(learned, sizes), 1, ASKED)))
+        rows += len(waiting[-1][0])
+        if rows >= CHUNK:
             yield counted()
-            waiting, tokens = [], 0
-    if tokens:
+            waiting, rows = [], 0
+    if rows:
         yield counted()
 
 
-def counts(texts: DataFrame, all_asked: bool = True) -> DataFrame:
-    """``word``, ``context``, ``n``: one row per pair of the texts that are ``learned``.
+@dataclass(frozen=True)
+class Vocabulary:
+    """``counts``: word, n, kept of all words learned. ``head``: the most frequent of the kept ones, and ``rare`` the others.
+
+    ``rare`` is None if there are none; ``bits`` is a map of these. Kept are words that pairs are needed of.
+    """
+
+    counts: DataFrame
+    head: Head
+    rare: DataFrame | None
+    bits: np.ndarray | None
+    words: int
+    tokens: int
+    alone: int
+
+
+def learn_words(texts: DataFrame, all_asked: bool) -> Vocabulary:
+    """Count the words of the texts that are ``learned``."""
+    raw = texts.select("text", "learned").mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    n = F.col("n").bitwiseAND(F.lit(ASKED - 1))
+    kept = F.lit(True) if all_asked else (n > 1) | (F.col("n") >= ASKED)
+    counts = written(raw.where(n > 0).select("word", n.alias("n"), kept.alias("kept")), "lm-counts")
+    zero = F.lit(0)
+    words, tokens, ends, alone = counts.agg(
+        F.count("*"), *[F.coalesce(F.sum(c), zero) for c in ("n", F.when(F.col("word") == END, F.col("n")))], F.count(F.when(~F.col("kept"), 1))
+    ).first()
+    followed = F.when(F.col("word") == END, 0).otherwise(F.col("n")).alias("followed")
+    told = counts.where("kept").select("word", "n", followed)
+    if ends:  # the start of a text is a word with no count of its own
+        start = [F.lit(x).cast("long").alias(c) for x, c in ((START, "word"), (0, "n"), (ends, "followed"))]
+        told = told.unionByName(counts.sparkSession.range(1, numPartitions=1).select(*start))
+    frequent = _most_frequent(told, F.greatest("n", "followed"), HEAD_WORDS)
+    head = Head.first(told.where(frequent))
+    rare = told.where(~frequent) if words - alone + bool(ends) > len(head.word) else None
+    bits = None if rare is None else bit_map(rare, F.shiftright("word", 3))
+    return Vocabulary(counts, head, rare, bits, words, tokens, alone)
+
+
+def encoded(texts: DataFrame, head: Head, bits: np.ndarray | None) -> DataFrame:
+    """``texts`` with their tokens for the text, written: places of words in the head as 32 bits each.
+
+    One beyond the last place is a word that is not kept: one that is there once, in a text learned
+    from, or else one that is not there. FAR is a word that may be kept; their hashes are in ``far``, in order.
+    """
+    context = texts.sparkSession.sparkContext
+    shared = context.broadcast((head.sorted, head.place_of_sorted, bits))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        ordered, place, marked = shared.value
+        for batch in _slices(batches, "text"):
+            word, sizes = _words(known, batch.column("text"))
+            at, there = _find(ordered, word)
+            code = np.full(len(word), len(ordered), np.int32)
+            code[there] = place[at[there]]
+            if marked is not None:
+                code[~there & in_map(marked, word.view(np.int64) >> 3)] = FAR
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            fars = np.concatenate([[0], np.cumsum(code == FAR)])[ends]
+            rest = [batch.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays([*rest, _bytes(code, ends), _bytes(word[code == FAR], fars)], [*names, "tokens", "far"])
+
+    names = [c for c in texts.columns if c != "text"]
+    schema = texts.drop("text").schema.add("tokens", "binary").add("far", "binary")
+    out = written(texts.select(*names, "text").mapInArrow(work, schema), "lm-tokens")
+    shared.destroy()
+    return out
+
+
+def _bytes(numbers: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Runs of numbers, as bytes."""
+    offsets = pa.py_buffer((ends * numbers.itemsize).astype(np.int64))
+    return pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, offsets, pa.py_buffer(numbers)]).cast(pa.binary())
+
+
+@dataclass(frozen=True)
+class Tokens:
+    """Tokens of some texts: place of word and context, their numbers where one is FAR, and the number of each text's."""
+
+    word: np.ndarray
+    context: np.ndarray
+    word_id: np.ndarray
+    context_id: np.ndarray
+    sizes: np.ndarray
+
+
+def _decoded(batch: pa.RecordBatch, start: int) -> Tokens:
+    """``start``: place of the start of a text."""
+    tokens, far = (batch.column(c).to_pylist() for c in ("tokens", "far"))
+    word = np.frombuffer(b"".join(tokens), np.int32).astype(np.int64)
+    sizes = np.fromiter((len(t) // 4 for t in tokens), np.int64, len(tokens))
+    word_id = _numbers(word)
+    word_id[word == FAR] = np.frombuffer(b"".join(far), np.int64)
+    firsts = np.cumsum(sizes) - sizes
+
+    def before(x: np.ndarray, first: int) -> np.ndarray:
+        out = np.empty_like(x)
+        out[1:] = x[:-1]
+        out[firsts] = first
+        return out
+
+    return Tokens(word, before(word, start), word_id, before(word_id, START if start == FAR else _numbers(start)), sizes)
+
+
+def _numbers(place):
+    """The numbers of words that go by their places."""
+    return place * SALTS + 1
+
+
+def _dealt(word: np.ndarray, context: np.ndarray, spread: np.ndarray | int, buckets: int) -> np.ndarray:
+    """Buckets of pairs: those of a word are dealt to ``spread`` of them at most."""
+    part = mixed(context.view(np.uint64)) % np.asarray(spread).astype(np.uint64)
+    with np.errstate(over="ignore"):
+        return (mixed(word.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + part) % np.uint64(buckets)).astype(np.int64)
+
+
+def _lists_of(bucket: np.ndarray, numbers: list[np.ndarray]) -> tuple[pa.Array, list[pa.Array]]:
+    """Buckets, of an ordered array, and lists of their numbers."""
+    at = _starts(bucket)
+    ends = pa.array(np.append(at, len(bucket)).astype(np.int32))
+    return pa.array(bucket[at].astype(np.int32)), [pa.ListArray.from_arrays(ends, pa.array(x)) for x in numbers]
+
+
+def _flat(table: pa.Table, name: str) -> np.ndarray:
+    """Lists, one after the other."""
+    chunks = [c.flatten().to_numpy() for c in table.column(name).chunks]
+    return np.concatenate(chunks) if chunks else np.empty(0, np.int64)
+
+
+PLACES, NUMBERS = ("word", "context", "n"), ("far_word", "far_context", "far_n")
+
+
+def _buckets(tokens: int) -> int:
+    return max(LEAST_BUCKETS, tokens // BUCKET)
+
+
+def counts(coded: DataFrame, vocabulary: Vocabulary, all_asked: bool) -> DataFrame:
+    """``word``, ``context``, ``n``: one row per pair of the texts that are ``learned``, as numbers of words.
 
     Unless all pairs are asked for, those that are there once, and not in the texts that are not learned, are
-    added up per word, without their context.
+    left out. Rows without context have of a word, in parts: how many others it follows, and after how many once
+    and twice. All words that are not kept are one there.
     """
-    raw = texts.select("text", "learned").mapInArrow(_count, "dish long, context long, n long")
-    n, asked = F.col("n").bitwiseAND(F.lit(ASKED - 1)), F.lit(True) if all_asked else F.col("n") >= ASKED
-    pairs = raw.repartition("dish").groupBy("dish", "context").agg(F.sum("n").alias("n")).where(n > 0)
-    kept = pairs.select("dish", F.when((n > 1) | asked, F.col("context")).alias("context"), n.alias("n"))
-    found = kept.groupBy("dish", "context").agg(F.sum("n").alias("n")).sortWithinPartitions("dish")
-    return written(found.select(F.col("dish").bitwiseAND(~(SALTS - 1)).alias("word"), "context", "n"), "lm-pairs")
+    head, other, buckets = vocabulary.head, len(vocabulary.head.word), _buckets(vocabulary.tokens)
+    start = head.start(vocabulary.rare)
+    # a word that is in many of a bucket's tokens is dealt to so many more
+    spread = np.append(1 + head.n.astype(np.int64) * (16 * buckets) // max(vocabulary.tokens, 1), 1)
+    shared = coded.sparkSession.sparkContext.broadcast(spread.astype(np.int32))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        near, far, tokens = [], [], 0
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            # bucket, word, context, and whether it is asked for
+            key = np.sort(np.concatenate(near))
+            at = _starts(key >> 1)
+            n = np.add.reduceat(1 - (key & 1), at) if len(at) else at
+            asked = np.append(key[at[1:] - 1], key[-1:]) & 1
+            own = key[at]
+            places = [((own >> s) & ((1 << 21) - 1)).astype(np.int32) for s in (22, 1)]
+            yield rows(own >> 43, [*places, (2 * n + asked).astype(np.int32)], PLACES)
+            word, context, bucket, asked = (np.concatenate(x) for x in zip(*far))
+            if len(word):
+                _, at, pair = np.unique(_pair(word.view(np.uint64), context.view(np.uint64)), return_index=True, return_inverse=True)
+                n = 2 * np.bincount(pair, ~asked, len(at)) + (np.bincount(pair, asked, len(at)) > 0)
+                order = np.argsort(bucket[at], kind="stable")
+                yield rows(bucket[at][order], [x[at][order] for x in (word, context)] + [n[order].astype(np.int32)], NUMBERS)
+
+        def rows(bucket: np.ndarray, numbers: list[np.ndarray], names: tuple[str, ...]) -> pa.RecordBatch:
+            found, lists = _lists_of(bucket, numbers)
+            listed = dict(zip(names, lists))
+            none = lambda c: pa.nulls(len(found), pa.list_(pa.int64() if c in NUMBERS[:2] else pa.int32()))
+            return pa.RecordBatch.from_arrays([found, *[listed.get(c, none(c)) for c in PLACES + NUMBERS]], ["bucket", *PLACES, *NUMBERS])
+
+        for batch in _slices(batches, "tokens"):
+            t = _decoded(batch, start)
+            learned = np.repeat(batch.column("learned").to_numpy(zero_copy_only=False), t.sizes)
+            alone = t.word == other
+            w, c = t.word, np.where(alone, other, t.context)
+            told = learned | ((w != other) & (c != other))  # else a word is not there, and the pair neither
+            use = np.flatnonzero(told & (w != FAR) & (c != FAR))
+            w, c = w[use], c[use]
+            bucket = _dealt(_numbers(w), _numbers(c), shared.value[w], buckets)
+            near.append((((bucket << 21 | w) << 21 | c) << 1) | ~learned[use])
+            use = np.flatnonzero(told & ~alone & ((t.word == FAR) | (t.context == FAR)))
+            many = np.where(t.word[use] == FAR, 1, shared.value[t.word[use]])
+            word, context = t.word_id[use], t.context_id[use]
+            far.append((word, context, _dealt(word, context, many, buckets), ~learned[use]))
+            tokens += len(t.word)
+            if tokens >= CHUNK:
+                yield from counted()
+                near, far, tokens = [], [], 0
+        if tokens:
+            yield from counted()
+
+    def merge(table: pa.Table) -> pa.Table:
+        found = []
+        for names in (PLACES, NUMBERS):
+            word, context, n = (_flat(table, c).astype(np.int64) for c in names)
+            if not len(word):
+                continue
+            if names == PLACES:
+                word, context = _numbers(word), _numbers(context)
+                order = np.argsort(word << 22 | context >> 2)
+            else:
+                order = np.lexsort((context, word))
+            word, context, n = word[order], context[order], n[order]
+            at = np.flatnonzero(np.concatenate([[True], (word[1:] != word[:-1]) | (context[1:] != context[:-1])]))
+            asked = np.maximum.reduceat(n & 1, at) > 0
+            word, context, n = word[at], context[at], np.add.reduceat(n >> 1, at)
+            there, many = n > 0, context == _numbers(other)
+            at = np.flatnonzero(there & ~many & ((n > 1) | asked | all_asked))
+            found.append((word[at], context[at], np.zeros(len(at), bool), n[at], np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)))
+            word, n, many = word[there], n[there], many[there]
+            at = _starts(word)
+            if len(at):
+                kinds, one, two = (np.add.reduceat(x, at) for x in (np.where(many, n, 1), np.where(many, n, n == 1), ((n == 2) & ~many).astype(np.int64)))
+                found.append((word[at], word[at], np.ones(len(at), bool), kinds, one, two))
+        word, context, total, n, one, two = (np.concatenate(x) for x in zip(*found)) if found else [np.empty(0, np.int64)] * 6
+        arrays = [pa.array(word), pa.array(context, mask=total.astype(bool)), *map(pa.array, (n, one, two))]
+        return pa.Table.from_arrays(arrays, ["word", "context", "n", "one", "two"])
+
+    lists = "bucket int, word array<int>, context array<int>, n array<int>, far_word array<long>, far_context array<long>, far_n array<int>"
+    raw = coded.select("learned", "tokens", "far").mapInArrow(count, lists)
+    found = raw.groupBy("bucket").applyInArrow(merge, "word long, context long, n long, one long, two long")
+    out = written(found, "lm-pairs")
+    shared.destroy()
+    return out
 
 
 @dataclass(frozen=True)
@@ -207,7 +439,7 @@ def _uniform(key: np.ndarray, step: int) -> np.ndarray:
 
 
 #: What is known of a word: its count, that of the words after it, and per state the parent's customers and
-#: tables of the dish, and the tables of the word's own restaurant. A word that is there once has null for these:
+#: tables of the dish, and the tables of the word's own restaurant. A word that is not kept has null for these:
 #: it is one customer with one table, and its own restaurant has a table for the word after it, if there is one.
 STATES = ("customers", "dish_tables", "tables")
 WORDS = "word long, n long, followed long, customers array<double>, dish_tables array<double>, tables array<double>"
@@ -221,35 +453,119 @@ def _lists(array: pa.Array) -> np.ndarray:
 
 def _slim(numbers: np.ndarray) -> np.ndarray:
     """Whole numbers in half the room, if they fit."""
-    return numbers.astype(np.int32) if numbers.size and numbers.max() < 1 << 31 else numbers
+    return numbers.astype(np.int32) if not numbers.size or numbers.max() < 1 << 31 else numbers.astype(np.int64)
 
 
-@dataclass(frozen=True)
+@dataclass
 class Head:
-    """Totals of some words, sorted by word; tables of states by words."""
+    """Totals of some words by their place, the most frequent first; tables of states by words."""
 
     word: np.ndarray
     n: np.ndarray
     followed: np.ndarray
     states: dict[str, np.ndarray]
 
+    @classmethod
+    def first(cls, words: DataFrame) -> Head:
+        """Of words with ``n`` and ``followed`` and no states."""
+        found = words.select("word", "n", "followed").toArrow()
+        word, n, followed = (found.column(c).to_numpy() for c in ("word", "n", "followed"))
+        order = np.lexsort((word, -np.maximum(n, followed)))
+        none = {s: np.empty((0, len(word)), np.int32) for s in STATES}
+        return cls(word[order].view(np.uint64), _slim(n[order]), _slim(followed[order]), none)
+
     @classmethod
     def of(cls, words: DataFrame) -> Head:
+        """Of words with ``place`` and states."""
         table = words.toArrow().combine_chunks()
         if not table.num_rows:
-            return cls(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), {s: np.empty((1 + ROUNDS + SAMPLES, 0)) for s in STATES})
+            return cls(np.empty(0, np.uint64), *[np.empty(0, np.int32)] * 2, {s: np.empty((1 + ROUNDS + SAMPLES, 0), np.int32) for s in STATES})
         found = {c: pa.concat_arrays(table.column(c).chunks) for c in table.column_names}
-        word = found["word"].to_numpy().view(np.uint64)
-        order = np.argsort(word)
+        order = np.argsort(found["place"].to_numpy())
         states = {s: _slim(np.ascontiguousarray(_lists(found[s])[order].T)) for s in STATES}
-        return cls(word[order], _slim(found["n"].to_numpy()[order]), _slim(found["followed"].to_numpy()[order]), states)
+        n, followed = (_slim(found[c].to_numpy()[order]) for c in ("n", "followed"))
+        return cls(found["word"].to_numpy()[order].view(np.uint64), n, followed, states)
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        """As rows: ``place``, and the columns of WORDS."""
+        lists = [pa.ListArray.from_arrays(np.arange(len(self.word) + 1, dtype=np.int32) * len(x), x.T.astype(float).ravel()) for x in (self.states[s] for s in STATES)]
+        numbers = [np.arange(len(self.word), dtype=np.int32), self.word.view(np.int64), self.n.astype(np.int64), self.followed.astype(np.int64)]
+        table = pa.Table.from_arrays([*map(pa.array, numbers), *lists], ["place", "word", "n", "followed", *STATES])
+        return spark.createDataFrame(table, "place int, " + WORDS)
+
+    def __getstate__(self) -> dict:
+        """Numbers take a byte from the first word on that has none above 255."""
+        most = np.maximum(self.n, self.followed)
+        at = int(np.searchsorted(-most, -255)) if len(most) else 0
+        cut = lambda x: (x[..., :at], x[..., at:].astype(np.uint8))
+        return {"word": self.word, "n": cut(self.n), "followed": cut(self.followed), "states": {s: cut(x) for s, x in self.states.items()}}
+
+    def __setstate__(self, state: dict) -> None:
+        whole = lambda x: np.concatenate([x[0], x[1].astype(x[0].dtype)], axis=-1)
+        self.word, self.n, self.followed = state["word"], whole(state["n"]), whole(state["followed"])
+        self.states = {s: whole(x) for s, x in state["states"].items()}
+
+    @cached_property
+    def place_of_sorted(self) -> np.ndarray:
+        return np.argsort(self.word).astype(np.int32)
+
+    @property
+    def sorted(self) -> np.ndarray:
+        return self.word[self.place_of_sorted]
+
+    def place(self, word: int) -> int:
+        """Of one word, or FAR."""
+        found = np.flatnonzero(self.word == np.uint64(word))
+        return int(found[0]) if len(found) else FAR
+
+    def start(self, rare: DataFrame | None) -> int:
+        """Place of the start of a text; if nothing is learned, of a word that is not there."""
+        found = self.place(START)
+        return found if found != FAR or rare is not None else len(self.word)
+
+    def places(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where words are by their numbers, and whether they are there at all."""
+        at = numbers >> 3
+        there = (numbers & 1 == 1) & (at < len(self.word))
+        return np.where(there, at, 0), there
+
+    def hashes(self, numbers: np.ndarray) -> np.ndarray:
+        out = numbers.view(np.uint64).copy()
+        at, there = self.places(numbers)
+        out[there] = self.word[at[there]]
+        return out
 
-    def places(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where words are, and whether they are there at all."""
-        if not len(self.word):
-            return np.zeros(len(words), np.int64), np.zeros(len(words), bool)
-        at = np.minimum(np.searchsorted(self.word, words), len(self.word) - 1)
-        return at, self.word[at] == words
+    def scoring(self, t: Totals) -> Scoring:
+        """What tokens score by, made once by each worker."""
+        if "_scoring" not in self.__dict__:
+            self._scoring = Scoring.of(self, t)
+        return self._scoring
+
+
+@dataclass(frozen=True)
+class Scoring:
+    """By place of the word or context; then of one there once that is not kept, then of one not there.
+
+    ``shares``, ``roots``: per sample. ``back``: what one customer of a restaurant weighs.
+    """
+
+    shares: list[np.ndarray]
+    roots: list[np.ndarray]
+    back: np.ndarray
+    base: np.ndarray
+    known: np.ndarray
+
+    @classmethod
+    def of(cls, head: Head, t: Totals) -> Scoring:
+        more = lambda x: np.concatenate([x, np.broadcast_to(np.array([1, 0], x.dtype), (*x.shape[:-1], 2))], axis=-1)
+        n, followed = more(head.n), more(head.followed)
+        customers, dish_tables, tables = (more(head.states[s]) for s in STATES)
+        return cls(
+            list(_shares(t, tables, followed)), list(_roots(t, customers, dish_tables)), 1 / (CONCENTRATION + followed), _base(n, t), n > 0
+        )
+
+    def parent(self, word: np.ndarray, context: np.ndarray) -> np.ndarray:
+        return sum(share[context] * root[word] for share, root in zip(self.shares, self.roots))
 
 
 @dataclass(frozen=True)
@@ -275,7 +591,7 @@ def _joined_facts(batch: pa.RecordBatch, head: Head, states: int) -> Facts:
     rows = batch.num_rows
 
     def facts(side: str, counted: str, names: list[str]) -> list[np.ndarray]:
-        at, there = head.places(batch.column(side).to_numpy().view(np.uint64))
+        at, there = head.places(batch.column(side).to_numpy())
         own = batch.column(f"{side}_{counted}")
         found = own.is_valid().to_numpy(zero_copy_only=False)
         number = np.zeros(rows, np.int64)
@@ -297,9 +613,9 @@ def _joined_facts(batch: pa.RecordBatch, head: Head, states: int) -> Facts:
     return Facts(*facts("word", "n", ["customers", "dish_tables"]), *facts("context", "followed", ["tables"]))
 
 
-def _places_to_join(word: np.ndarray, there: np.ndarray, salt: np.ndarray) -> pa.Array:
-    """The word to be joined, or, where the head has it, a number that is no word and no other row's."""
-    return pa.array(np.where(there, mixed(salt), word).view(np.int64))
+def _places_to_join(number: np.ndarray, salt: np.ndarray) -> pa.Array:
+    """The word to be joined, or, where it goes by its place, a number that is no word and no other row's."""
+    return pa.array(np.where(number & 1 == 1, (mixed(salt) | np.uint64(1)).view(np.int64), number))
 
 
 def _beside(rows: DataFrame, words: DataFrame) -> DataFrame:
@@ -310,48 +626,54 @@ def _beside(rows: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def _over_pairs(
-    pairs: DataFrame, rare: DataFrame, head, states: int, work: Callable[[Iterator], Iterator[pa.RecordBatch]], schema: str
+    pairs: DataFrame, rare: DataFrame | None, head, states: int, work: Callable[[Iterator], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
-    """``work`` on (word, context, n, Facts) of all pairs: of those with two frequent words where they are, others after joins."""
+    """``work`` on (word, context, key, n, Facts) of all pairs: of those with two frequent words where they are, others after joins."""
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found():
             for batch in batches:
-                word, context = (batch.column(c).to_numpy().view(np.uint64) for c in ("word", "context"))
-                (a, x), (b, y) = head.value.places(word), head.value.places(context)
-                both = x & y
-                if both.any():
-                    yield word[both], context[both], batch.column("n").to_numpy()[both], _from_head(head.value, a[both], b[both])
+                if batch.num_rows:
+                    word, context = (batch.column(c).to_numpy() for c in ("word", "context"))
+                    a, b = word >> 3, context >> 3
+                    h = head.value
+                    yield word, context, _pair(h.word[a], h.word[b]), batch.column("n").to_numpy(), _from_head(h, a, b)
 
         yield from work(found())
 
     def far(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            word, context = (batch.column(c).to_numpy().view(np.uint64) for c in ("word", "context"))
-            x, y = head.value.places(word)[1], head.value.places(context)[1]
-            rest = np.flatnonzero(~(x & y))
-            word, context = word[rest], context[rest]
-            key = _pair(word, context)
-            places = [_places_to_join(word, x[rest], key), _places_to_join(context, y[rest], ~key)]
-            arrays = [pa.array(word.view(np.int64)), pa.array(context.view(np.int64)), batch.column("n").take(pa.array(rest)), *places]
-            yield pa.RecordBatch.from_arrays(arrays, ["word", "context", "n", "word_at", "context_at"])
+            word, context = (batch.column(c).to_numpy() for c in ("word", "context"))
+            key = _pair(word.view(np.uint64), context.view(np.uint64))
+            places = [_places_to_join(word, key), _places_to_join(context, ~key)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *places], [*batch.schema.names, "word_at", "context_at"])
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found():
             for batch in batches:
                 if batch.num_rows:
-                    word, context = (batch.column(c).to_numpy().view(np.uint64) for c in ("word", "context"))
-                    yield word, context, batch.column("n").to_numpy(), _joined_facts(batch, head.value, states)
+                    word, context = (batch.column(c).to_numpy() for c in ("word", "context"))
+                    key = _pair(head.value.hashes(word), head.value.hashes(context))
+                    yield word, context, key, batch.column("n").to_numpy(), _joined_facts(batch, head.value, states)
 
         yield from work(found())
 
-    rest = pairs.mapInArrow(far, "word long, context long, n long, word_at long, context_at long")
-    return pairs.mapInArrow(near, schema).unionByName(_beside(rest, rare).mapInArrow(joined, schema))
+    both = _placed("word") & _placed("context")
+    pairs = pairs.select("word", "context", "n")
+    if rare is None:
+        return pairs.mapInArrow(near, schema)
+    rest = pairs.where(~both).mapInArrow(far, "word long, context long, n long, word_at long, context_at long")
+    return pairs.where(both).mapInArrow(near, schema).unionByName(_beside(rest, rare).mapInArrow(joined, schema))
+
+
+def _placed(number: str) -> Column:
+    """Whether a word goes by its place."""
+    return F.col(number).bitwiseAND(F.lit(1)) == 1
 
 
-def _seated(word: np.ndarray, context: np.ndarray, n: np.ndarray, facts: Facts, totals: Totals, leaf: np.ndarray, draws: int):
+def _seated(key: np.ndarray, n: np.ndarray, facts: Facts, totals: Totals, leaf: np.ndarray, draws: int):
     """Tables of pairs: the last ``draws`` of the chain that goes through all rounds up to the totals at hand."""
-    key, t = _pair(word, context), n.astype(float)
+    t = n.astype(float)
     rounds = len(totals.root_customers)
     for state in range(rounds):
         # the first table of a dish is there; what is drawn are further ones, given the other customers
@@ -366,36 +688,28 @@ def _seated(word: np.ndarray, context: np.ndarray, n: np.ndarray, facts: Facts,
     return drawn
 
 
-def _first(pairs: DataFrame) -> tuple[DataFrame, Totals]:
-    """Words with one table per customer; discounts from how many dishes have one and two customers.
-
-    The start of a text is a word with no count of its own.
-    """
-    one = F.sum(F.when(F.col("n") > 1, 0).otherwise(F.col("n")))
-    kinds = F.sum(F.when(F.isnull("context"), F.col("n")).otherwise(1))
-    lone = F.sum(F.when(F.isnull("context"), F.col("n")).when(F.col("n") == 1, 1).otherwise(0))
-    counted = written(
-        pairs.groupBy("word").agg(
-            F.sum("n").alias("n"), kinds.alias("kinds"), lone.alias("one"), F.count(F.when((F.col("n") == 2) & F.col("context").isNotNull(), 1)).alias("two")
-        ),
-        "lm-counts",
-    )
+def _first(pairs: DataFrame, vocabulary: Vocabulary) -> Totals:
+    """Discounts from how many dishes have one and two customers."""
+    other = int(_numbers(len(vocabulary.head.word)))  # each of the words that are not kept follows one other
+    found = pairs.where(F.isnull("context")).groupBy("word").agg(*[F.sum(c).alias(c) for c in ("n", "one", "two")])
     share = lambda one, two: min(max(one / (one + 2 * two), 0.05), 0.95) if one + two else 0.5
-    zero = F.lit(0)
-    v, n, ends, one, two, root1, root2 = counted.agg(
-        F.count("*"),
-        *[F.coalesce(F.sum(c), zero) for c in ("n", F.when(F.col("word") == END, F.col("n")), "one", "two")],
-        F.count(F.when(F.col("kinds") == 1, 1)),
-        F.count(F.when(F.col("kinds") == 2, 1)),
+    own, zero = F.col("word") != other, F.lit(0)
+    one, two, lone, root1, root2 = found.agg(
+        *[F.coalesce(F.sum(c), zero) for c in ("one", "two", F.when(~own, F.col("n")))],
+        F.count(F.when(own & (F.col("n") == 1), 1)),
+        F.count(F.when(own & (F.col("n") == 2), 1)),
     ).first()
-    start = counted.sparkSession.createDataFrame([(START, 0, ends)] if ends else [], "word long, n long, followed long")
-    followed = F.when(F.col("word") == END, 0).otherwise(F.col("n")).alias("followed")
-    words = counted.select("word", "n", followed).unionByName(start)
-    return words, Totals(v, n, share(one, two), share(root1, root2), (), ())
+    return Totals(vocabulary.words, vocabulary.tokens, share(one, two), share(root1 + lone, root2), (), ())
+
+
+def _drawn(key: np.ndarray, customers: np.ndarray, weight: float, discount: float, table: np.ndarray, state: int) -> np.ndarray:
+    """The parent's tables of dishes given their customers."""
+    u, v = (_uniform(key, (1 << 20) + 2 * state + j) for j in (0, 1))
+    return np.where(customers > 0, draw_tables(customers, np.full(len(customers), weight), discount, table, u, v), 0)
 
 
-def _dish_tables(words: DataFrame, totals: Totals, weights: list[float], state: int) -> DataFrame:
-    """The parent's tables of each dish, given its customers, for the last ``len(weights)`` states."""
+def _dish_tables(words: DataFrame, totals: Totals, weight: float, state: int, draws: int) -> DataFrame:
+    """The parent's tables of each dish, given its customers, for the last ``draws`` states, from ``state`` on."""
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = stirling(TABULATED, totals.root_discount)
@@ -405,11 +719,8 @@ def _dish_tables(words: DataFrame, totals: Totals, weights: list[float], state:
             key = batch.column("word").to_numpy().view(np.uint64)
             customers = _lists(batch.column("customers"))
             known = _lists(batch.column("dish_tables"))
-            fresh = []
-            for i, weight in enumerate(weights):
-                c = customers[:, known.shape[1] + i].astype(np.int64)
-                u, v = (_uniform(key, (1 << 20) + 2 * (state + i) + j) for j in (0, 1))
-                fresh.append(np.where(c > 0, draw_tables(c, np.full(len(c), weight), totals.root_discount, table, u, v), 0))
+            at = range(state, state + draws)
+            fresh = [_drawn(key, customers[:, s].astype(np.int64), weight, totals.root_discount, table, s) for s in at]
             drawn = np.hstack([known, np.stack(fresh, 1)])
             offsets = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * drawn.shape[1])
             at = batch.schema.get_field_index("dish_tables")
@@ -418,24 +729,39 @@ def _dish_tables(words: DataFrame, totals: Totals, weights: list[float], state:
     return words.mapInArrow(draw, WORDS)
 
 
-def _with_state(words: DataFrame, totals: Totals, draws: int) -> tuple[DataFrame, Totals]:
-    """Words whose lists of customers and tables have ``draws`` new states, with the parent's tables drawn for them."""
-    old = len(totals.root_customers)
-    # the uniform base weighs as the state before had it; at first, every dish has one table
-    tables = totals.root_tables[-1] if old else float(totals.vocabulary)
-    weight = (CONCENTRATION + totals.root_discount * tables) / (totals.vocabulary + 1)
-    seated = written(_dish_tables(words, totals, [weight] * draws, old), "lm-words")
-    sums = seated.agg(
-        *[F.coalesce(F.sum(F.col(c)[old + i]), F.lit(0.0)) for c in ("customers", "dish_tables") for i in range(draws)]
-    ).first()
-    return seated, replace(
-        totals, root_customers=(*totals.root_customers, *sums[:draws]), root_tables=(*totals.root_tables, *sums[draws:])
-    )
-
+@dataclass(frozen=True)
+class Seats:
+    """Totals of all words: of those in the head, of the rare ones, and of all together."""
 
-def _round(pairs: DataFrame, words: DataFrame, frequent: Column, totals: Totals, draws: int) -> tuple[DataFrame, Totals]:
-    """Seat all pairs given the totals at hand; words and totals with the states that the draws give."""
-    shared = pairs.sparkSession.sparkContext.broadcast(Head.of(words.where(frequent)))
+    head: Head
+    rare: DataFrame | None
+    totals: Totals
+    alone: int
+
+    def with_state(self, customers: np.ndarray, tables: np.ndarray, rare: DataFrame | None) -> Seats:
+        """With new states: of the head's words the customers and tables, a row per state, of the rare ones in their lists."""
+        t, old, draws = self.totals, len(self.totals.root_customers), len(customers)
+        # the uniform base weighs as the state before had it; at first, every dish has one table
+        before = t.root_tables[-1] if old else float(t.vocabulary)
+        weight = (CONCENTRATION + t.root_discount * before) / (t.vocabulary + 1)
+        table = stirling(TABULATED, t.root_discount)
+        dishes = np.stack([_drawn(self.head.word, c, weight, t.root_discount, table, old + i) for i, c in enumerate(customers)])
+        fresh = dict(zip(STATES, (customers, dishes, tables)))
+        states = {s: _slim(np.concatenate([x, fresh[s].astype(np.int64)])) for s, x in self.head.states.items()}
+        # a word that is not kept is one customer with one table
+        sums = [[float(x.sum()) + self.alone for x in rows] for rows in (customers, dishes)]
+        if rare is not None:
+            rare = written(_dish_tables(rare, t, weight, old, draws), "lm-words")
+            more = rare.agg(*[F.coalesce(F.sum(F.col(c)[old + i]), F.lit(0.0)) for c in STATES[:2] for i in range(draws)]).first()
+            sums = [[x + more[k * draws + i] for i, x in enumerate(s)] for k, s in enumerate(sums)]
+        totals = replace(t, root_customers=(*t.root_customers, *sums[0]), root_tables=(*t.root_tables, *sums[1]))
+        return replace(self, head=replace(self.head, states=states), rare=rare, totals=totals)
+
+
+def _round(pairs: DataFrame, seats: Seats, draws: int) -> Seats:
+    """Seat all pairs given the totals at hand; totals with the states that the draws give."""
+    totals, head = seats.totals, seats.head
+    shared = pairs.sparkSession.sparkContext.broadcast(head)
     names = [f"{side}{i}" for side in "dt" for i in range(draws)]
 
     def sums(found) -> Iterator[pa.RecordBatch]:
@@ -446,10 +772,10 @@ def _round(pairs: DataFrame, words: DataFrame, frequent: Column, totals: Totals,
             less = np.hstack([l for *_, l in waiting])
             half = less.shape[1]
             total = [np.bincount(at[:half], l, len(word)) for l in less] + [np.bincount(at[half:], l, len(word)) for l in less]
-            return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), *map(pa.array, total)], ["word", *names])
+            return pa.RecordBatch.from_arrays([pa.array(word), *(pa.array(x.astype(np.int64)) for x in total)], ["word", *names])
 
-        for word, context, n, facts in found:
-            waiting.append((word, context, np.stack(_seated(word, context, n, facts, totals, leaf, draws)) - n))
+        for word, context, key, n, facts in found:
+            waiting.append((word, context, np.stack(_seated(key, n, facts, totals, leaf, draws)) - n))
             rows += len(word)
             if rows >= SUMMED:
                 yield added()
@@ -457,32 +783,60 @@ def _round(pairs: DataFrame, words: DataFrame, frequent: Column, totals: Totals,
         if rows:
             yield added()
 
-    schema = "word long, " + ", ".join(f"{n} double" for n in names)
-    work = _over_pairs(pairs, words.where(~frequent), shared, len(totals.root_customers), sums, schema)
+    schema = "word long, " + ", ".join(f"{n} long" for n in names)
+    work = _over_pairs(pairs, seats.rare, shared, len(totals.root_customers), sums, schema)
     found = work.groupBy("word").agg(*[F.sum(n).alias(n) for n in names])
-    more = lambda side, base: F.array(*[F.col(base) + F.coalesce(f"{side}{i}", F.lit(0.0)) for i in range(draws)])
-    moved = words.join(found, "word", "left").select(
-        "word", "n", "followed",
-        F.concat("customers", more("d", "n")).alias("customers"),
-        "dish_tables",
-        F.concat("tables", more("t", "followed")).alias("tables"),
-    )
-    return _with_state(moved, totals, draws)
+    if seats.rare is not None:
+        found = written(found, "lm-sums")
+    own = found.where(_placed("word")).toArrow()
+    at = own.column("word").to_numpy() >> 3
+    base = {"d": head.n, "t": head.followed}
+    fresh = {side: np.tile(x.astype(np.int64), (draws, 1)) for side, x in base.items()}
+    for name in names:
+        fresh[name[0]][int(name[1:]), at] += own.column(name).to_numpy()
+    rare = seats.rare
+    if rare is not None:
+        more = lambda side, base: F.array(*[(F.col(base) + F.coalesce(f"{side}{i}", F.lit(0))).cast("double") for i in range(draws)])
+        rare = rare.join(found.where(~_placed("word")), "word", "left").select(
+            "word", "n", "followed",
+            F.concat("customers", more("d", "n")).alias("customers"),
+            "dish_tables",
+            F.concat("tables", more("t", "followed")).alias("tables"),
+        )
+    out = seats.with_state(fresh["d"], fresh["t"], rare)
+    shared.destroy()
+    return out
 
 
 @dataclass(frozen=True)
 class Model:
-    """``words``: as WORDS says, the last SAMPLES states being samples. ``pairs``: word, context, n.
+    """``head``, ``rare``: the words, the last SAMPLES states being samples. ``pairs``: word, context, n, as numbers of words.
 
-    ``frequent`` tells the words that every task has. ``pairs`` has all that occur twice or more, and of
-    the others those that were asked for.
+    ``lone``: the words that are not kept. ``pairs`` has all that occur twice or more, and of
+    the others those that were asked for. ``bits`` is a map of the rare words.
     """
 
-    words: DataFrame
-    frequent: Column
+    head: Head
+    rare: DataFrame | None
+    lone: DataFrame
+    bits: np.ndarray | None
     pairs: DataFrame
     totals: Totals
 
+    @property
+    def words(self) -> DataFrame:
+        """All words as WORDS says, with their ``place`` in the head, or null."""
+        nowhere = F.lit(None).cast("int").alias("place")
+        followed = F.when(F.col("word") == END, 0).otherwise(F.col("n")).alias("followed")
+        still = self.lone.select(nowhere, "word", "n", followed, *[F.lit(None).cast("array<double>").alias(c) for c in STATES])
+        out = self.head.frame(self.lone.sparkSession).unionByName(still)
+        return out if self.rare is None else out.unionByName(self.rare.select(nowhere, "*"))
+
+    @property
+    def frequent(self) -> Column:
+        """Tells the words that every task has."""
+        return F.col("place").isNotNull()
+
 
 def fit(texts: DataFrame) -> Model:
     """Learn from the column ``text``; a null or empty text is just an end.
@@ -491,30 +845,24 @@ def fit(texts: DataFrame) -> Model:
     these rows, with that column. Without it, the model is good for any.
     """
     told = "learned" in texts.columns
-    pairs = counts(texts if told else texts.withColumn("learned", F.lit(True)), all_asked=not told)
-    words, totals = _first(pairs)
-    as_lists = [F.array(F.col(n).cast("double")).alias(c) for c, n in (("customers", "n"), ("tables", "followed"))]
-    nothing = F.array().cast("array<double>").alias("dish_tables")
-    # a word that is there once is in no pair that is seated: its totals never change
-    once = (F.col("n") <= 1) & (F.col("followed") <= 1)
-    lone = words.where(once)
-    alone = float(lone.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
-    moving = words.where(~once).select("word", "n", "followed", as_lists[0], nothing, as_lists[1])
-    moving, totals = _with_state(moving, totals, 1)
-    totals = _plus(totals, alone, 1)
-    frequent = _most_frequent(moving, F.greatest("n", "followed"), HEAD_WORDS)
-    twice = pairs.where("n > 1 and context is not null")
+    texts = texts.select("text", "learned" if told else F.lit(True).alias("learned"))
+    vocabulary = learn_words(texts, all_asked=not told)
+    return _fitted(encoded(texts, vocabulary.head, vocabulary.bits), vocabulary, all_asked=not told)
+
+
+def _fitted(coded: DataFrame, vocabulary: Vocabulary, all_asked: bool) -> Model:
+    """Learn from texts that are encoded."""
+    found = counts(coded, vocabulary, all_asked)
+    pairs = found.where(F.col("context").isNotNull()).select("word", "context", "n")
+    rare = vocabulary.rare
+    if rare is not None:
+        as_lists = [F.array(F.col(n).cast("double")).alias(c) for c, n in (("customers", "n"), ("tables", "followed"))]
+        rare = rare.select("word", "n", "followed", as_lists[0], F.array().cast("array<double>").alias("dish_tables"), as_lists[1])
+    seats = Seats(vocabulary.head, None, _first(found, vocabulary), vocabulary.alone)
+    seats = seats.with_state(*(x.astype(np.int64)[None] for x in (vocabulary.head.n, vocabulary.head.followed)), rare)
     for draws in [1] * ROUNDS + [SAMPLES]:
-        moving, totals = _round(twice, moving, frequent, totals, draws)
-        totals = _plus(totals, alone, draws)
-    still = lone.select("word", "n", "followed", *[F.lit(None).cast("array<double>").alias(c) for c in STATES])
-    return Model(moving.unionByName(still), frequent & F.col("customers").isNotNull(), pairs.where("context is not null"), totals)
-
-
-def _plus(totals: Totals, alone: float, last: int) -> Totals:
-    """Totals with the words that are there once in the last states: one customer and one table of the parent each."""
-    add = lambda x: (*x[:-last], *(n + alone for n in x[-last:]))
-    return replace(totals, root_customers=add(totals.root_customers), root_tables=add(totals.root_tables))
+        seats = _round(pairs.where("n > 1"), seats, draws)
+    return Model(seats.head, seats.rare, vocabulary.counts.where(~F.col("kept")), vocabulary.bits, pairs, seats.totals)
 
 
 def _most_frequent(rows: DataFrame, n: Column, most: int) -> Column:
@@ -552,38 +900,31 @@ def _parent(facts: Facts, t: Totals) -> np.ndarray:
     return (_shares(t, facts.tables, facts.followed) * _roots(t, facts.customers, facts.dish_tables)).sum(axis=0)
 
 
-def _single(followed: np.ndarray, t: Totals) -> np.ndarray:
-    """What a word has in a context that it followed once, besides the parent's share."""
-    return (1 - t.discount) / (CONCENTRATION + followed)
-
-
 def _base(n: np.ndarray, t: Totals) -> np.ndarray:
     return np.log10((n + 0.1) / (t.tokens + 0.1 * (t.vocabulary + 1)))
 
 
+def _dishes(key: np.ndarray, n: np.ndarray, facts: Facts, t: Totals, leaf: np.ndarray) -> np.ndarray:
+    """Customers of dishes less the discount for their tables, averaged over samples."""
+    seated = replace(t, root_customers=t.root_customers[: 1 + ROUNDS], root_tables=t.root_tables[: 1 + ROUNDS])
+    return n - t.discount * np.mean(_seated(key, n, facts, seated, leaf, SAMPLES), axis=0)
+
+
 def _gains(model: Model, pairs: DataFrame, head) -> DataFrame:
-    """``key``, ``unseen``, ``single``: what log10 of a pair's probability is above that of the pair not seen, and seen once."""
+    """``key``, ``dish``, ``unseen``, ``single``: what log10 of a pair's probability is above that of the pair not seen, and seen once."""
     t = model.totals
-    seated = replace(t, root_customers=t.root_customers[: 1 + ROUNDS], root_tables=t.root_tables[: 1 + ROUNDS])
 
     def work(found) -> Iterator[pa.RecordBatch]:
         leaf = stirling(TABULATED, t.discount)
-        for word, context, n, facts in found:
-            tables = np.mean(_seated(word, context, n, facts, seated, leaf, SAMPLES), axis=0)
-            parent = _parent(facts, t)
-            whole = np.log10(parent + (n - t.discount * tables) / (CONCENTRATION + facts.followed))
-            single = whole - np.log10(parent + _single(facts.followed, t))
-            arrays = [_pair(word, context).view(np.int64), whole - np.log10(parent), single]
-            yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], ["key", "unseen", "single"])
+        for _, _, key, n, facts in found:
+            parent, dish = _parent(facts, t), _dishes(key, n, facts, t, leaf)
+            whole = np.log10(parent + dish / (CONCENTRATION + facts.followed))
+            single = whole - np.log10(parent + (1 - t.discount) / (CONCENTRATION + facts.followed))
+            arrays = [key.view(np.int64), dish, whole - np.log10(parent), single]
+            yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], ["key", "dish", "unseen", "single"])
 
-    schema = "key long, unseen double, single double"
-    return _over_pairs(pairs, model.words.where(~model.frequent), head, len(t.root_customers), work, schema)
-
-
-def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        word, context = (batch.column(c).to_numpy().view(np.uint64) for c in ("word", "context"))
-        yield pa.RecordBatch.from_arrays([pa.array(_pair(word, context).view(np.int64))], ["key"])
+    schema = "key long, dish double, unseen double, single double"
+    return _over_pairs(pairs, model.rare, head, len(t.root_customers), work, schema)
 
 
 def score(rows: DataFrame, model: Model) -> DataFrame:
@@ -591,114 +932,167 @@ def score(rows: DataFrame, model: Model) -> DataFrame:
 
     Rows may have a column ``learned``, which is true for those the model learned from: their pairs are all known.
     Others need a model that was asked for them, or for any.
+    """
+    learned = "learned" if "learned" in rows.columns else F.lit(False).alias("learned")
+    return _scored(encoded(rows.select("row_no", learned, "text"), model.head, model.bits), model)
+
+
+def _scored(coded: DataFrame, model: Model) -> DataFrame:
+    """Scores of texts that are encoded.
 
-    A token scores as if its pair had been seen once (in rows learned from) or never; what is more is
-    found by the pair, at hand for the most frequent ones, by a join for the others.
+    The dish of a token's pair is at hand for the most frequent pairs. Others score as if the pair had been
+    seen once (in rows learned from) or never; what is more is found by the pair, in its bucket, and for
+    tokens with a word that goes by its hash by joins.
     """
-    if "learned" not in rows.columns:
-        rows = rows.withColumn("learned", F.lit(False))
-    t, context = model.totals, rows.sparkSession.sparkContext
-    states = len(t.root_customers)
-    head = Head.of(model.words.where(model.frequent))
-    words = context.broadcast(head)
-    parts = context.broadcast(
-        (
-            _shares(t, head.states["tables"], head.followed),
-            _roots(t, head.states["customers"], head.states["dish_tables"]),
-            _single(head.followed, t),
-            _base(head.n, t),
-        )
-    )
+    t, context = model.totals, coded.sparkSession.sparkContext
+    other, start, buckets = len(model.head.word), model.head.start(model.rare), _buckets(t.tokens)
+    words = context.broadcast(model.head)
     often = _most_frequent(model.pairs, F.col("n"), HEAD_PAIRS)
-    table = _gains(model, model.pairs.where(often), words).toArrow()
-    known = [table.column(c).to_numpy() for c in ("key", "unseen", "single")]
-    order = np.argsort(known[0].view(np.uint64))
-    most = context.broadcast((known[0].view(np.uint64)[order], known[1][order], known[2][order]))
+    table = _gains(model, model.pairs.where(often), words).select("key", "dish").toArrow()
+    key, dish = table.column("key").to_numpy().view(np.uint64), table.column("dish").to_numpy()
+    order = np.argsort(key)
+    most = context.broadcast((key[order], dish[order]))
     others = model.pairs.where(~often)
-    at_all = context.broadcast(bit_map(others.mapInArrow(_keys, "key long"), F.col("key")))
 
-    def places(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        keys = most.value[0]
-        at = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
-        return at, keys[at] == key if len(keys) else np.zeros(len(key), bool)
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            word, before = (words.value.hashes(batch.column(c).to_numpy()) for c in ("word", "context"))
+            yield pa.RecordBatch.from_arrays([pa.array(_pair(word, before).view(np.int64))], ["key"])
+
+    at_all = context.broadcast(bit_map(others.select("word", "context").mapInArrow(keys, "key long"), F.col("key")))
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, head = WordHashes(), words.value
-        shares, roots, single, bases = parts.value
-        for batch in _slices(batches):
-            word, before, sizes = _tokens(hashes, batch.column("text"))
-            owner = np.repeat(np.arange(len(sizes)), sizes)
-            learned = batch.column("learned").to_numpy(zero_copy_only=False)[owner]
-            (a, x), (b, y) = head.places(word), head.places(before)
-            here = x & y
-            w, c = a[here], b[here]
-            s, base = np.zeros(len(word)), np.zeros(len(word))
-            parent = sum(share[c] * root[w] for share, root in zip(shares, roots))
-            s[here], base[here] = np.log10(parent + learned[here] * single[c]), bases[w]
-            at, there = places(_pair(word, before))
-            s[there] += np.where(learned[there], most.value[2][at[there]], most.value[1][at[there]])
-            seen = np.zeros(len(word))
-            seen[here] = head.n[w] > 0
-            sums = [sizes, np.bincount(owner, seen, len(sizes)).astype(np.int64)]
-            sums += [np.bincount(owner, v, len(sizes)) for v in (s, base)]
-            rest = ~here
-            ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(owner[rest], minlength=len(sizes)))]).astype(np.int32))
-            lists = [pa.ListArray.from_arrays(ends, pa.array(v[rest].view(np.int64))) for v in (word, before)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row_no"), batch.column("learned"), *map(pa.array, sums), *lists],
-                ["row_no", "learned", "n_tokens", "n_head", "s", "b", "words", "contexts"],
-            )
-
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Tokens whose pair may be among those that not all tasks have."""
-        hashes = WordHashes()
-        for batch in _slices(batches):
-            word, before, sizes = _tokens(hashes, batch.column("text"))
-            key = _pair(word, before)
-            own = np.flatnonzero(in_map(at_all.value, key.view(np.int64)) & ~places(key)[1])
-            owner = pa.array(np.repeat(np.arange(len(sizes)), sizes)[own])
-            arrays = [batch.column("row_no").take(owner), batch.column("learned").take(owner), pa.array(key[own].view(np.int64))]
-            yield pa.RecordBatch.from_arrays(arrays, ["row_no", "learned", "key"])
+        by = words.value.scoring(t)
+        hashes = words.value.word
+        for batch in _slices(batches, "tokens"):
+            found = _decoded(batch, start)
+            rows = batch.column("row_no").to_numpy()
+            owner = np.repeat(np.arange(len(rows)), found.sizes)
+            learned = batch.column("learned").to_numpy(zero_copy_only=False)
+            here = np.flatnonzero((found.word != FAR) & (found.context != FAR))
+            w, c, own = found.word[here], found.context[here], owner[here]
+            teaches = learned[own]
+            kept = np.flatnonzero((w < other) & (c < other))
+            key = _pair(hashes[w[kept]], hashes[c[kept]])
+            at, there = _find(most.value[0], key)
+            dish = np.where(teaches, 1 - t.discount, 0.0)
+            dish[kept[there]] = most.value[1][at[there]]
+            w, c = (x + ((x == other) & ~teaches) for x in (w, c))
+            s = np.log10(by.parent(w, c) + dish * by.back[c])
+            size = len(rows)
+            sums = [np.bincount(own, v, size).astype(float) for v in (by.known[w], by.base[w], s)]
+            yield lists(np.full(size, int(rows[0]) % buckets), [rows, found.sizes, sums[0].astype(np.int64), sums[1], sums[2]], SUMS)
+            rest = kept[~there & in_map(at_all.value, key.view(np.int64))]
+            bucket = _dealt(_numbers(w[rest]), _numbers(c[rest]), buckets, buckets)
+            order = np.argsort(bucket, kind="stable")
+            rest = rest[order]
+            places = [x[rest].astype(np.int32) for x in (w, c)]
+            yield lists(bucket[order], [*places, rows[own[rest]], teaches[rest].astype(np.int32)], ASKS)
+
+    def lists(bucket: np.ndarray, numbers: list[np.ndarray], names: dict[str, pa.DataType]) -> pa.RecordBatch:
+        found, arrays = _lists_of(bucket, numbers)
+        listed = dict(zip(names, arrays))
+        columns = [listed.get(c, pa.nulls(len(found), pa.list_(kind))) for c, kind in (SUMS | ASKS).items()]
+        return pa.RecordBatch.from_arrays([found, *columns], ["bucket", *SUMS, *ASKS])
+
+    def in_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                word, before, n = (batch.column(c).to_numpy() for c in ("word", "context", "n"))
+                bucket = _dealt(word, before, buckets, buckets)
+                order = np.argsort(bucket, kind="stable")
+                found, arrays = _lists_of(bucket[order], [(word >> 3).astype(np.int32)[order], (before >> 3).astype(np.int32)[order], n[order]])
+                yield pa.RecordBatch.from_arrays([found, *arrays], ["bucket", "word", "context", "n"])
+
+    def answered(asks: pa.Table, pairs: pa.Table) -> pa.Table:
+        rows, *sums = (_flat(asks, c) for c in SUMS)
+        w, c, asker, teaches = (_flat(asks, name).astype(np.int64) for name in ASKS)
+        word, before, n = (_flat(pairs, name).astype(np.int64) for name in PLACES)
+        order = np.argsort(word << 21 | before)
+        at, there = _find((word << 21 | before)[order], w << 21 | c)
+        if there.any():
+            # only pairs that are asked for are seated
+            wanted, back = np.unique(order[at[there]], return_inverse=True)
+            word, before, n, by = word[wanted], before[wanted], n[wanted], words.value.scoring(t)
+            key = _pair(words.value.word[word], words.value.word[before])
+            dish = _dishes(key, n, _from_head(words.value, word, before), t, stirling(TABULATED, t.discount))
+            parent, weight = by.parent(word, before), by.back[before]
+            whole, single, unseen = (np.log10(parent + x * weight) for x in (dish, 1 - t.discount, 0.0))
+            more = np.where(teaches[there] == 1, (whole - single)[back], (whole - unseen)[back])
+            own, at = np.unique(asker[there], return_inverse=True)
+            nothing = np.zeros(len(own), np.int64)
+            extra = [own, nothing, nothing, np.zeros(len(own)), np.bincount(at, more, len(own))]
+            rows, *sums = (np.concatenate(x) for x in zip([rows, *sums], extra))
+        kinds = ["row_no", *OUT]
+        return pa.Table.from_arrays([pa.array(x, kind) for x, kind in zip([rows, *sums], SUMS.values())], kinds)
+
+    out = "row_no long, n_tokens long, n_known long, base_score double, score double"
+    listed = ", ".join(f"{c} array<{'int' if kind == pa.int32() else 'double' if kind == pa.float64() else 'long'}>" for c, kind in (SUMS | ASKS).items())
+    asks = coded.select("row_no", "learned", "tokens", "far").mapInArrow(look_up, f"bucket int, {listed}")
+    near = others.where(_placed("word") & _placed("context"))
+    dealt = near.mapInArrow(in_buckets, "bucket int, word array<int>, context array<int>, n array<long>")
+    found = asks.groupBy("bucket").cogroup(dealt.groupBy("bucket")).applyInArrow(answered, out)
+    if model.rare is not None:
+        found = found.unionByName(_far_sums(coded, model, words, most, others, at_all))
+    return found.groupBy("row_no").agg(*[F.sum(c).alias(c) for c in OUT])
+
+
+#: Sums of rows, and tokens of a bucket.
+OUT = ("n_tokens", "n_known", "base_score", "score")
+SUMS = {"row": pa.int64(), "tokens": pa.int64(), "known": pa.int64(), "base": pa.float64(), "s": pa.float64()}
+ASKS = {"word": pa.int32(), "context": pa.int32(), "asker": pa.int64(), "teaches": pa.int32()}
+
+
+def _far_sums(coded: DataFrame, model: Model, words, most, others: DataFrame, at_all) -> DataFrame:
+    """What tokens with a word that goes by its hash add to the sums of rows."""
+    t, start = model.totals, model.head.start(model.rare)
+    states = len(t.root_customers)
 
     def apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            word, before = (batch.column(c).to_numpy().view(np.uint64) for c in ("word", "context"))
+        for batch in _slices(batches, "tokens"):
+            found = _decoded(batch, start)
+            at = np.flatnonzero((found.word == FAR) | (found.context == FAR))
+            owner = pa.array(np.repeat(np.arange(batch.num_rows), found.sizes)[at])
+            word, before = found.word_id[at], found.context_id[at]
+            key = _pair(words.value.hashes(word), words.value.hashes(before))
             with np.errstate(over="ignore"):
-                salt = mixed(batch.column("row_no").to_numpy().view(np.uint64) + _pair(word, before))
-            at = [_places_to_join(w, words.value.places(w)[1], x) for w, x in ((word, salt), (before, ~salt))]
-            arrays = [*batch.columns, *at]
-            yield pa.RecordBatch.from_arrays(arrays, [*batch.schema.names, "word_at", "context_at"])
+                salt = mixed(key + at.astype(np.uint64)) + batch.column("row_no").take(owner).to_numpy().view(np.uint64)
+            names = ["row_no", "learned", "word", "context", "key", "word_at", "context_at"]
+            numbers = [pa.array(x) for x in (word, before, key.view(np.int64))]
+            places = [_places_to_join(word, salt), _places_to_join(before, ~salt)]
+            yield pa.RecordBatch.from_arrays([batch.column("row_no").take(owner), batch.column("learned").take(owner), *numbers, *places], names)
 
-    def with_rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 facts = _joined_facts(batch, words.value, states)
                 learned = batch.column("learned").to_numpy(zero_copy_only=False)
-                s = np.log10(_parent(facts, t) + learned * _single(facts.followed, t))
+                # a word of a text learned from that has no totals is there once
+                for first, *more in ((facts.n, facts.customers, facts.dish_tables), (facts.followed, facts.tables)):
+                    lone = learned & (first == 0)
+                    for x in (first, *more):
+                        x[..., lone] = 1
+                key = batch.column("key").to_numpy().view(np.uint64)
+                at, there = _find(most.value[0], key)
+                dish = np.where(learned, 1 - t.discount, 0.0)
+                dish[there] = most.value[1][at[there]]
+                s = np.log10(_parent(facts, t) + dish / (CONCENTRATION + facts.followed))
                 k = (facts.n > 0).astype(np.int64)
-                arrays = [batch.column("row_no"), pa.array(s), pa.array(_base(facts.n, t)), pa.array(k)]
-                yield pa.RecordBatch.from_arrays(arrays, ["row_no", "s", "b", "k"])
-
-    texts = rows.select("row_no", "learned", "text")
-    schema = "row_no long, learned boolean, n_tokens long, n_head long, s double, b double, words array<long>, contexts array<long>"
-    begun = written(texts.mapInArrow(look_up, schema), "lm-begun")
-    each = begun.select("row_no", "learned", F.inline(F.arrays_zip("words", "contexts"))).toDF("row_no", "learned", "word", "context")
-    each = each.mapInArrow(apart, "row_no long, learned boolean, word long, context long, word_at long, context_at long")
-    of_words = _beside(each, model.words.where(~model.frequent)).mapInArrow(with_rare, "row_no long, s double, b double, k long")
-    tokens = texts.mapInArrow(rare, "row_no long, learned boolean, key long")
-    of_pairs = tokens.join(_gains(model, others, words), "key").select(
-        "row_no", F.when(F.col("learned"), F.col("single")).otherwise(F.col("unseen")).alias("s")
-    )
-    nothing = [F.lit(0.0).alias("b"), F.lit(0).cast("long").alias("k")]
-    found = (
-        of_words.unionByName(of_pairs.select("row_no", "s", *nothing))
-        .groupBy("row_no")
-        .agg(*[F.sum(c).alias(f"more_{c}") for c in "sbk"])
-    )
-    plus = lambda a, b, name: (F.col(a) + F.coalesce(b, F.lit(0))).alias(name)
-    return begun.drop("words", "contexts").join(found, "row_no", "left").select(
-        "row_no", "n_tokens", plus("n_head", "more_k", "n_known"), plus("b", "more_b", "base_score"), plus("s", "more_s", "score")
-    )
+                asks = ~there & in_map(at_all.value, key.view(np.int64))
+                arrays = [batch.column("row_no"), batch.column("learned"), pa.array(key.view(np.int64), mask=~asks), pa.array(k), pa.array(_base(facts.n, t)), pa.array(s)]
+                yield pa.RecordBatch.from_arrays(arrays, ["row_no", "learned", "key", "n_known", "base_score", "score"])
+
+    rows = coded.where(F.length("far") > 0) if start != FAR else coded
+    schema = "row_no long, learned boolean, word long, context long, key long, word_at long, context_at long"
+    each = rows.select("row_no", "learned", "tokens", "far").mapInArrow(apart, schema)
+    schema = "row_no long, learned boolean, key long, n_known long, base_score double, score double"
+    begun = written(_beside(each, model.rare).mapInArrow(scored, schema), "lm-begun")
+    far = others.where(~(_placed("word") & _placed("context")))
+    own = begun.where(F.col("key").isNotNull()).select("row_no", "learned", "key").join(_gains(model, far, words), "key")
+    more = F.when(F.col("learned"), F.col("single")).otherwise(F.col("unseen")).alias("score")
+    none = [F.lit(0).cast("long").alias(c) for c in OUT[:2]]
+    plain = begun.select("row_no", none[0], *OUT[1:])
+    return plain.unionByName(own.select("row_no", *none, F.lit(0.0).alias("base_score"), more))
 
 
 def perplexity(scored: DataFrame) -> DataFrame:
@@ -706,16 +1100,24 @@ def perplexity(scored: DataFrame) -> DataFrame:
     return scored.agg(F.pow(F.lit(10.0), -F.sum("score") / F.sum("n_tokens")).alias("perplexity"))
 
 
-def score_documents(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def score_documents(df: DataFrame, doc_id: str = "doc_id", text: str = "text", keep_text: bool = True) -> DataFrame:
     """All rows and columns with ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
 
     The model learns from the rows that are not held out and scores all. A null or empty text is
     one token, its end; repeated rows teach as often as they stand. If nothing is left to learn
     from, every token is unknown. Input columns with a result's name become ``<name>_input``.
+
+    Without ``keep_text`` the text is left out, and ``df`` is read twice instead of being written with its texts;
+    it must give the same texts each time.
     """
     out = ("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "row_no")
-    rows = numbered(step_aside(df, out).withColumn("held_out", held_out(col(doc_id))), "lm-rows")
-    texts = rows.select("row_no", (~F.col("held_out")).alias("learned"), col(text).alias("text"))
-    model = fit(texts)
-    found = score(texts, model).withColumn("train_tokens", F.lit(model.totals.tokens).cast("long"))
+    rows = step_aside(df, out).withColumn("held_out", held_out(col(doc_id)))
+    rows = numbered(rows, "lm-rows") if keep_text else rows.withColumn("row_no", F.monotonically_increasing_id())
+    others = [] if keep_text else [F.struct(*[col(c) for c in rows.columns if c not in (text, "row_no")]).alias("row")]
+    texts = rows.select("row_no", (~F.col("held_out")).alias("learned"), col(text).alias("text"), *others)
+    vocabulary = learn_words(texts, all_asked=False)
+    coded = encoded(texts, vocabulary.head, vocabulary.bits)
+    model = _fitted(coded, vocabulary, all_asked=False)
+    found = _scored(coded, model).withColumn("train_tokens", F.lit(model.totals.tokens).cast("long"))
+    rows = rows if keep_text else coded.select("row_no", "row.*")
     return rows.join(written(found, "lm-scores"), "row_no").drop("row_no")

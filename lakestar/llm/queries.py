@@ -64,7 +64,7 @@ def op2_suffixes(spark: SparkSession, folder: str) -> DataFrame:
 def op3_pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
     """Scores of all documents; a null or empty text is its end only, repeated rows teach as often as they stand."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return pitman_yor.score_documents(docs).select(
+    return pitman_yor.score_documents(docs, keep_text=False).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
 
