@@ -25,6 +25,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 from functools import cached_property
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -46,18 +47,20 @@ ROUNDS = 2
 #: Customers up to which the law of the tables is tabulated.
 TABULATED = 64
 #: At most so many of the most frequent words have their totals sent to every task (28 bytes each, 88 if they are
-#: there more than 255 times; below 1 << 20), and so many of the most frequent pairs their probabilities (16 MB).
-HEAD_WORDS, HEAD_PAIRS = 3 << 18, 1 << 20
+#: there more than 255 times; below 1 << 20), and so many of the most frequent pairs of such words their probabilities (4 MB).
+HEAD_WORDS, HEAD_PAIRS = 1 << 18, 1 << 18
 #: Tokens that a task counts at a time, and pairs whose tables it adds up.
 CHUNK, SUMMED = 4_000_000, 1 << 20
 #: Bytes of texts that are looked up at a time.
 SLICE = 1 << 21
-#: Tokens for each bucket that pairs are dealt to, and the fewest buckets.
-BUCKET, LEAST_BUCKETS = 1 << 18, 32
+#: Tokens for each bucket that pairs are counted in, and that they are looked up in, and the fewest buckets.
+BUCKET, ASKED_BUCKET, LEAST_BUCKETS = 1 << 18, 1 << 21, 32
+#: Rows whose sums are added up together, as a power of two.
+BLOCK = 12
 #: Beyond any count: tells that a word is in a text that is not learned from.
 ASKED = 1 << 40
-#: In place of a word that goes by its hash.
-FAR = -1
+#: In place of a word that goes by its hash, and of one that a worker has not met.
+FAR, UNMET = -1, -2
 
 
 def held_out(doc_id: Column) -> Column:
@@ -65,14 +68,22 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.encode(F.coalesce(doc_id.cast("string"), F.lit("")), "UTF-8")) % 10 == 0
 
 
-def _words(known: WordHashes, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each token of some texts, ends included, and the number of tokens of each text."""
-    words, sizes = [], np.empty(len(texts), np.int64)
+def _words(texts: pa.Array) -> tuple[list[bytes], np.ndarray]:
+    """The words of some texts, each text ended by an empty one, and the number of tokens of each text."""
+    words: list[bytes] = []
+    sizes = np.empty(len(texts), np.int64)
     for i, text in enumerate(texts.cast(pa.binary()).to_pylist()):
-        found = known.of(lowered_words(text))
-        words += [found & np.uint64((1 << 64) - SALTS), np.array([END], np.uint64)]
+        found = lowered_words(text)
+        words += found
+        words.append(b"")
         sizes[i] = len(found) + 1
-    return np.concatenate([np.empty(0, np.uint64), *words]), sizes
+    return words, sizes
+
+
+def _remembered() -> WordHashes:
+    known = WordHashes()
+    known[b""] = END
+    return known
 
 
 def _pair(word: np.ndarray, context: np.ndarray) -> np.ndarray:
@@ -109,27 +120,26 @@ def _find(ordered: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known, waiting, rows = WordHashes(), [], 0
-
-    def summed(word: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        order = np.argsort(word)
-        at = _starts(word[order])
-        asked = np.maximum.reduceat(n[order] >> 40, at) > 0
-        return word[order][at], np.add.reduceat(n[order] & (ASKED - 1), at) + asked * ASKED
+    known, waiting, tokens = _remembered(), [], 0
 
     def counted() -> pa.RecordBatch:
-        word, n = summed(*(np.concatenate(x) for x in zip(*waiting)))
-        return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], ["word", "n"])
+        key = np.sort(np.concatenate(waiting))
+        at = _starts(key >> np.uint64(1))
+        n = np.add.reduceat((key & np.uint64(1)).astype(np.int64), at)
+        asked = np.diff(np.append(at, len(key))) > n
+        word = key[at] & ~np.uint64(1)
+        return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n + asked * ASKED)], ["word", "n"])
 
     for batch in _slices(batches, "text"):
-        word, sizes = _words(known, batch.column("text"))
+        words, sizes = _words(batch.column("text"))
         learned = batch.column("learned").to_numpy(zero_copy_only=False)
-        waiting.append(summed(word, np.where(np.repeat(learned, sizes), 1, ASKED)))
-        rows += len(waiting[-1][0])
-        if rows >= CHUNK:
+        # a free bit tells whether the word is learned
+        waiting.append(known.of(words) & np.uint64((1 << 64) - SALTS) | np.repeat(learned, sizes))
+        tokens += len(words)
+        if tokens >= CHUNK:
             yield counted()
-            waiting, rows = [], 0
-    if rows:
+            waiting, tokens = [], 0
+    if tokens:
         yield counted()
 
 
@@ -181,19 +191,27 @@ def encoded(texts: DataFrame, head: Head, bits: np.ndarray | None) -> DataFrame:
     shared = context.broadcast((head.sorted, head.place_of_sorted, bits))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
+        hashes, codes = _remembered(), {}
         ordered, place, marked = shared.value
         for batch in _slices(batches, "text"):
-            word, sizes = _words(known, batch.column("text"))
+            words, sizes = _words(batch.column("text"))
+            code = np.fromiter(map(codes.get, words, repeat(UNMET)), np.int32, len(words))
+            unmet = np.flatnonzero(code == UNMET)
+            news = [words[i] for i in unmet]
+            word = hashes.of(news) & np.uint64((1 << 64) - SALTS)
             at, there = _find(ordered, word)
-            code = np.full(len(word), len(ordered), np.int32)
-            code[there] = place[at[there]]
+            fresh = np.full(len(word), len(ordered), np.int32)
+            fresh[there] = place[at[there]]
             if marked is not None:
-                code[~there & in_map(marked, word.view(np.int64) >> 3)] = FAR
+                fresh[~there & in_map(marked, word.view(np.int64) >> 3)] = FAR
+            code[unmet] = fresh
+            if len(codes) < hashes.most:
+                near = np.flatnonzero(fresh != FAR)  # of the others the hashes are needed
+                codes.update(zip([news[i] for i in near], fresh[near].tolist()))
             ends = np.concatenate([[0], np.cumsum(sizes)])
             fars = np.concatenate([[0], np.cumsum(code == FAR)])[ends]
             rest = [batch.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays([*rest, _bytes(code, ends), _bytes(word[code == FAR], fars)], [*names, "tokens", "far"])
+            yield pa.RecordBatch.from_arrays([*rest, _bytes(code, ends), _bytes(word[fresh == FAR], fars)], [*names, "tokens", "far"])
 
     names = [c for c in texts.columns if c != "text"]
     schema = texts.drop("text").schema.add("tokens", "binary").add("far", "binary")
@@ -249,11 +267,11 @@ def _dealt(word: np.ndarray, context: np.ndarray, spread: np.ndarray | int, buck
         return (mixed(word.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + part) % np.uint64(buckets)).astype(np.int64)
 
 
-def _lists_of(bucket: np.ndarray, numbers: list[np.ndarray]) -> tuple[pa.Array, list[pa.Array]]:
+def _lists_of(bucket: np.ndarray, numbers: list[np.ndarray], kind: type = np.int32) -> tuple[pa.Array, list[pa.Array]]:
     """Buckets, of an ordered array, and lists of their numbers."""
     at = _starts(bucket)
     ends = pa.array(np.append(at, len(bucket)).astype(np.int32))
-    return pa.array(bucket[at].astype(np.int32)), [pa.ListArray.from_arrays(ends, pa.array(x)) for x in numbers]
+    return pa.array(bucket[at].astype(kind)), [pa.ListArray.from_arrays(ends, pa.array(x)) for x in numbers]
 
 
 def _flat(table: pa.Table, name: str) -> np.ndarray:
@@ -265,8 +283,8 @@ def _flat(table: pa.Table, name: str) -> np.ndarray:
 PLACES, NUMBERS = ("word", "context", "n"), ("far_word", "far_context", "far_n")
 
 
-def _buckets(tokens: int) -> int:
-    return max(LEAST_BUCKETS, tokens // BUCKET)
+def _buckets(tokens: int, each: int) -> int:
+    return max(LEAST_BUCKETS, tokens // each)
 
 
 def counts(coded: DataFrame, vocabulary: Vocabulary, all_asked: bool) -> DataFrame:
@@ -276,7 +294,7 @@ def counts(coded: DataFrame, vocabulary: Vocabulary, all_asked: bool) -> DataFra
     left out. Rows without context have of a word, in parts: how many others it follows, and after how many once
     and twice. All words that are not kept are one there.
     """
-    head, other, buckets = vocabulary.head, len(vocabulary.head.word), _buckets(vocabulary.tokens)
+    head, other, buckets = vocabulary.head, len(vocabulary.head.word), _buckets(vocabulary.tokens, BUCKET)
     start = head.start(vocabulary.rare)
     # a word that is in many of a bucket's tokens is dealt to so many more
     spread = np.append(1 + head.n.astype(np.int64) * (16 * buckets) // max(vocabulary.tokens, 1), 1)
@@ -613,9 +631,9 @@ def _joined_facts(batch: pa.RecordBatch, head: Head, states: int) -> Facts:
     return Facts(*facts("word", "n", ["customers", "dish_tables"]), *facts("context", "followed", ["tables"]))
 
 
-def _places_to_join(number: np.ndarray, salt: np.ndarray) -> pa.Array:
-    """The word to be joined, or, where it goes by its place, a number that is no word and no other row's."""
-    return pa.array(np.where(number & 1 == 1, (mixed(salt) | np.uint64(1)).view(np.int64), number))
+def _places_to_join(number: np.ndarray) -> pa.Array:
+    """The word to be joined, or, where it goes by its place, a number that is no word and few other rows'."""
+    return pa.array(np.where(number & 1 == 1, np.arange(len(number)) * 2 + 1, number))
 
 
 def _beside(rows: DataFrame, words: DataFrame) -> DataFrame:
@@ -644,8 +662,7 @@ def _over_pairs(
     def far(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             word, context = (batch.column(c).to_numpy() for c in ("word", "context"))
-            key = _pair(word.view(np.uint64), context.view(np.uint64))
-            places = [_places_to_join(word, key), _places_to_join(context, ~key)]
+            places = [_places_to_join(word), _places_to_join(context)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *places], [*batch.schema.names, "word_at", "context_at"])
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -658,7 +675,7 @@ def _over_pairs(
 
         yield from work(found())
 
-    both = _placed("word") & _placed("context")
+    both = _both_placed()
     pairs = pairs.select("word", "context", "n")
     if rare is None:
         return pairs.mapInArrow(near, schema)
@@ -671,6 +688,10 @@ def _placed(number: str) -> Column:
     return F.col(number).bitwiseAND(F.lit(1)) == 1
 
 
+def _both_placed() -> Column:
+    return _placed("word") & _placed("context")
+
+
 def _seated(key: np.ndarray, n: np.ndarray, facts: Facts, totals: Totals, leaf: np.ndarray, draws: int):
     """Tables of pairs: the last ``draws`` of the chain that goes through all rounds up to the totals at hand."""
     t = n.astype(float)
@@ -708,8 +729,8 @@ def _drawn(key: np.ndarray, customers: np.ndarray, weight: float, discount: floa
     return np.where(customers > 0, draw_tables(customers, np.full(len(customers), weight), discount, table, u, v), 0)
 
 
-def _dish_tables(words: DataFrame, totals: Totals, weight: float, state: int, draws: int) -> DataFrame:
-    """The parent's tables of each dish, given its customers, for the last ``draws`` states, from ``state`` on."""
+def _dish_tables(words: DataFrame, totals: Totals, weights: list[float], state: int) -> DataFrame:
+    """The parent's tables of each dish, given its customers, for as many states as there are weights, from ``state`` on."""
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = stirling(TABULATED, totals.root_discount)
@@ -719,8 +740,8 @@ def _dish_tables(words: DataFrame, totals: Totals, weight: float, state: int, dr
             key = batch.column("word").to_numpy().view(np.uint64)
             customers = _lists(batch.column("customers"))
             known = _lists(batch.column("dish_tables"))
-            at = range(state, state + draws)
-            fresh = [_drawn(key, customers[:, s].astype(np.int64), weight, totals.root_discount, table, s) for s in at]
+            states = [(w, state + i) for i, w in enumerate(weights)]
+            fresh = [_drawn(key, customers[:, s].astype(np.int64), w, totals.root_discount, table, s) for w, s in states]
             drawn = np.hstack([known, np.stack(fresh, 1)])
             offsets = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * drawn.shape[1])
             at = batch.schema.get_field_index("dish_tables")
@@ -729,17 +750,29 @@ def _dish_tables(words: DataFrame, totals: Totals, weight: float, state: int, dr
     return words.mapInArrow(draw, WORDS)
 
 
+def _listed(words: DataFrame, states: int) -> DataFrame:
+    """Words whose customers and tables were the same in all states so far."""
+    lists = [F.array_repeat(F.col(n).cast("double"), states).alias(c) for c, n in (("customers", "n"), ("tables", "followed"))]
+    return words.select("word", "n", "followed", lists[0], F.array().cast("array<double>").alias("dish_tables"), lists[1])
+
+
 @dataclass(frozen=True)
 class Seats:
-    """Totals of all words: of those in the head, of the rare ones, and of all together."""
+    """Totals of all words: of those in the head, of the rare ones, and of all together.
+
+    ``moving``: rare words in a pair that is seated, as WORDS says; the totals of ``still`` ones change in nothing but
+    the parent's tables, which go by the ``weights`` of the states. Both are None if no word is rare.
+    """
 
     head: Head
-    rare: DataFrame | None
+    moving: DataFrame | None
+    still: DataFrame | None
     totals: Totals
     alone: int
+    weights: tuple[float, ...] = ()
 
-    def with_state(self, customers: np.ndarray, tables: np.ndarray, rare: DataFrame | None) -> Seats:
-        """With new states: of the head's words the customers and tables, a row per state, of the rare ones in their lists."""
+    def with_state(self, customers: np.ndarray, tables: np.ndarray, moving: DataFrame | None) -> Seats:
+        """With new states: of the head's words the customers and tables, a row per state, of the moving ones in their lists."""
         t, old, draws = self.totals, len(self.totals.root_customers), len(customers)
         # the uniform base weighs as the state before had it; at first, every dish has one table
         before = t.root_tables[-1] if old else float(t.vocabulary)
@@ -750,12 +783,25 @@ class Seats:
         states = {s: _slim(np.concatenate([x, fresh[s].astype(np.int64)])) for s, x in self.head.states.items()}
         # a word that is not kept is one customer with one table
         sums = [[float(x.sum()) + self.alone for x in rows] for rows in (customers, dishes)]
-        if rare is not None:
-            rare = written(_dish_tables(rare, t, weight, old, draws), "lm-words")
-            more = rare.agg(*[F.coalesce(F.sum(F.col(c)[old + i]), F.lit(0.0)) for c in STATES[:2] for i in range(draws)]).first()
-            sums = [[x + more[k * draws + i] for i, x in enumerate(s)] for k, s in enumerate(sums)]
+        fresh_weights = [weight] * draws
+        if moving is not None:
+            moving = written(_dish_tables(moving, t, fresh_weights, old), "lm-words")
+            still = _dish_tables(_listed(self.still, old + draws), t, fresh_weights, old)
+            for words, first in ((moving, old), (still, 0)):
+                found = [F.col("customers")[old + i] for i in range(draws)] + [F.col("dish_tables")[first + i] for i in range(draws)]
+                more = words.agg(*[F.coalesce(F.sum(c), F.lit(0.0)) for c in found]).first()
+                sums = [[x + more[k * draws + i] for i, x in enumerate(s)] for k, s in enumerate(sums)]
         totals = replace(t, root_customers=(*t.root_customers, *sums[0]), root_tables=(*t.root_tables, *sums[1]))
-        return replace(self, head=replace(self.head, states=states), rare=rare, totals=totals)
+        return replace(
+            self, head=replace(self.head, states=states), moving=moving, totals=totals, weights=(*self.weights, *fresh_weights)
+        )
+
+    def rare(self) -> DataFrame | None:
+        """Words that are not in the head, as WORDS says."""
+        if self.moving is None:
+            return None
+        still = _dish_tables(_listed(self.still, len(self.weights)), self.totals, list(self.weights), 0)
+        return written(self.moving.unionByName(still), "lm-words")
 
 
 def _round(pairs: DataFrame, seats: Seats, draws: int) -> Seats:
@@ -784,9 +830,9 @@ def _round(pairs: DataFrame, seats: Seats, draws: int) -> Seats:
             yield added()
 
     schema = "word long, " + ", ".join(f"{n} long" for n in names)
-    work = _over_pairs(pairs, seats.rare, shared, len(totals.root_customers), sums, schema)
+    work = _over_pairs(pairs, seats.moving, shared, len(totals.root_customers), sums, schema)
     found = work.groupBy("word").agg(*[F.sum(n).alias(n) for n in names])
-    if seats.rare is not None:
+    if seats.moving is not None:
         found = written(found, "lm-sums")
     own = found.where(_placed("word")).toArrow()
     at = own.column("word").to_numpy() >> 3
@@ -794,16 +840,16 @@ def _round(pairs: DataFrame, seats: Seats, draws: int) -> Seats:
     fresh = {side: np.tile(x.astype(np.int64), (draws, 1)) for side, x in base.items()}
     for name in names:
         fresh[name[0]][int(name[1:]), at] += own.column(name).to_numpy()
-    rare = seats.rare
-    if rare is not None:
+    moving = seats.moving
+    if moving is not None:
         more = lambda side, base: F.array(*[(F.col(base) + F.coalesce(f"{side}{i}", F.lit(0))).cast("double") for i in range(draws)])
-        rare = rare.join(found.where(~_placed("word")), "word", "left").select(
+        moving = moving.join(found.where(~_placed("word")), "word", "left").select(
             "word", "n", "followed",
             F.concat("customers", more("d", "n")).alias("customers"),
             "dish_tables",
             F.concat("tables", more("t", "followed")).alias("tables"),
         )
-    out = seats.with_state(fresh["d"], fresh["t"], rare)
+    out = seats.with_state(fresh["d"], fresh["t"], moving)
     shared.destroy()
     return out
 
@@ -854,15 +900,17 @@ def _fitted(coded: DataFrame, vocabulary: Vocabulary, all_asked: bool) -> Model:
     """Learn from texts that are encoded."""
     found = counts(coded, vocabulary, all_asked)
     pairs = found.where(F.col("context").isNotNull()).select("word", "context", "n")
-    rare = vocabulary.rare
-    if rare is not None:
-        as_lists = [F.array(F.col(n).cast("double")).alias(c) for c, n in (("customers", "n"), ("tables", "followed"))]
-        rare = rare.select("word", "n", "followed", as_lists[0], F.array().cast("array<double>").alias("dish_tables"), as_lists[1])
-    seats = Seats(vocabulary.head, None, _first(found, vocabulary), vocabulary.alone)
-    seats = seats.with_state(*(x.astype(np.int64)[None] for x in (vocabulary.head.n, vocabulary.head.followed)), rare)
+    twice, moving, still = pairs.where("n > 1"), None, None
+    if vocabulary.rare is not None:
+        ends = twice.where(~_both_placed()).select(F.explode(F.array("word", "context")).alias("word")).where(~_placed("word"))
+        told = vocabulary.rare.join(ends.distinct().withColumn("moves", F.lit(True)), "word", "left")
+        told = written(told.select("word", "n", "followed", "moves"), "lm-rare")
+        moving, still = _listed(told.where("moves"), 1), told.where("moves is null")
+    seats = Seats(vocabulary.head, None, still, _first(found, vocabulary), vocabulary.alone)
+    seats = seats.with_state(*(x.astype(np.int64)[None] for x in (vocabulary.head.n, vocabulary.head.followed)), moving)
     for draws in [1] * ROUNDS + [SAMPLES]:
-        seats = _round(pairs.where("n > 1"), seats, draws)
-    return Model(seats.head, seats.rare, vocabulary.counts.where(~F.col("kept")), vocabulary.bits, pairs, seats.totals)
+        seats = _round(twice, seats, draws)
+    return Model(seats.head, seats.rare(), vocabulary.counts.where(~F.col("kept")), vocabulary.bits, pairs, seats.totals)
 
 
 def _most_frequent(rows: DataFrame, n: Column, most: int) -> Column:
@@ -941,14 +989,15 @@ def _scored(coded: DataFrame, model: Model) -> DataFrame:
     """Scores of texts that are encoded.
 
     The dish of a token's pair is at hand for the most frequent pairs. Others score as if the pair had been
-    seen once (in rows learned from) or never; what is more is found by the pair, in its bucket, and for
-    tokens with a word that goes by its hash by joins.
+    seen once (in rows learned from) or never; what is more is found by the pair, in its bucket. A
+    token with one word that goes by its hash is scored in the bucket of this word, with two by joins.
     """
     t, context = model.totals, coded.sparkSession.sparkContext
-    other, start, buckets = len(model.head.word), model.head.start(model.rare), _buckets(t.tokens)
+    other, start, buckets = len(model.head.word), model.head.start(model.rare), _buckets(t.tokens, ASKED_BUCKET)
+    states = len(t.root_customers)
     words = context.broadcast(model.head)
-    often = _most_frequent(model.pairs, F.col("n"), HEAD_PAIRS)
-    table = _gains(model, model.pairs.where(often), words).select("key", "dish").toArrow()
+    often = _both_placed() & _most_frequent(model.pairs.where(_both_placed()), F.col("n"), HEAD_PAIRS)
+    table = _gains(replace(model, rare=None), model.pairs.where(often), words).select("key", "dish").toArrow()
     key, dish = table.column("key").to_numpy().view(np.uint64), table.column("dish").to_numpy()
     order = np.argsort(key)
     most = context.broadcast((key[order], dish[order]))
@@ -959,7 +1008,8 @@ def _scored(coded: DataFrame, model: Model) -> DataFrame:
             word, before = (words.value.hashes(batch.column(c).to_numpy()) for c in ("word", "context"))
             yield pa.RecordBatch.from_arrays([pa.array(_pair(word, before).view(np.int64))], ["key"])
 
-    at_all = context.broadcast(bit_map(others.select("word", "context").mapInArrow(keys, "key long"), F.col("key")))
+    near = others.where(_both_placed()).select("word", "context")
+    at_all = context.broadcast(bit_map(near.mapInArrow(keys, "key long"), F.col("key")))
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by = words.value.scoring(t)
@@ -969,7 +1019,8 @@ def _scored(coded: DataFrame, model: Model) -> DataFrame:
             rows = batch.column("row_no").to_numpy()
             owner = np.repeat(np.arange(len(rows)), found.sizes)
             learned = batch.column("learned").to_numpy(zero_copy_only=False)
-            here = np.flatnonzero((found.word != FAR) & (found.context != FAR))
+            far = found.word == FAR, found.context == FAR
+            here = np.flatnonzero(~far[0] & ~far[1])
             w, c, own = found.word[here], found.context[here], owner[here]
             teaches = learned[own]
             kept = np.flatnonzero((w < other) & (c < other))
@@ -979,120 +1030,184 @@ def _scored(coded: DataFrame, model: Model) -> DataFrame:
             dish[kept[there]] = most.value[1][at[there]]
             w, c = (x + ((x == other) & ~teaches) for x in (w, c))
             s = np.log10(by.parent(w, c) + dish * by.back[c])
-            size = len(rows)
-            sums = [np.bincount(own, v, size).astype(float) for v in (by.known[w], by.base[w], s)]
-            yield lists(np.full(size, int(rows[0]) % buckets), [rows, found.sizes, sums[0].astype(np.int64), sums[1], sums[2]], SUMS)
+            sums = [np.bincount(own, v, len(rows)).astype(float) for v in (by.known[w], by.base[w], s)]
+            bucket = np.full(len(rows), int(rows[0]) % buckets)
+            yield listed(bucket, [rows, found.sizes, sums[0].astype(np.int64), *sums[1:]], SUMS, LEFT)
             rest = kept[~there & in_map(at_all.value, key.view(np.int64))]
             bucket = _dealt(_numbers(w[rest]), _numbers(c[rest]), buckets, buckets)
-            order = np.argsort(bucket, kind="stable")
-            rest = rest[order]
-            places = [x[rest].astype(np.int32) for x in (w, c)]
-            yield lists(bucket[order], [*places, rows[own[rest]], teaches[rest].astype(np.int32)], ASKS)
-
-    def lists(bucket: np.ndarray, numbers: list[np.ndarray], names: dict[str, pa.DataType]) -> pa.RecordBatch:
-        found, arrays = _lists_of(bucket, numbers)
-        listed = dict(zip(names, arrays))
-        columns = [listed.get(c, pa.nulls(len(found), pa.list_(kind))) for c, kind in (SUMS | ASKS).items()]
-        return pa.RecordBatch.from_arrays([found, *columns], ["bucket", *SUMS, *ASKS])
-
-    def in_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield listed(bucket, [w[rest], c[rest], rows[own[rest]], teaches[rest]], ASKS, LEFT)
+            one = np.flatnonzero(far[0] != far[1])
+            numbers, own = [found.word_id[one], found.context_id[one]], owner[one]
+            yield listed(_dealt_far(*numbers, buckets), [*numbers, rows[own], learned[own]], FAR_ASKS, LEFT)
+
+    def dealt_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                word, before, n = (batch.column(c).to_numpy() for c in ("word", "context", "n"))
-                bucket = _dealt(word, before, buckets, buckets)
-                order = np.argsort(bucket, kind="stable")
-                found, arrays = _lists_of(bucket[order], [(word >> 3).astype(np.int32)[order], (before >> 3).astype(np.int32)[order], n[order]])
-                yield pa.RecordBatch.from_arrays([found, *arrays], ["bucket", "word", "context", "n"])
+            word, before, n = (batch.column(c).to_numpy() for c in ("word", "context", "n"))
+            both = word & before & 1 == 1
+            numbers = [x[both] for x in (word, before, n)]
+            bucket = _dealt(*numbers[:2], buckets, buckets)
+            yield listed(bucket, [numbers[0] >> 3, numbers[1] >> 3, numbers[2]], PAIRS, RIGHT)
+            numbers = [x[~both & ((word | before) & 1 == 1)] for x in (word, before, n)]
+            yield listed(_dealt_far(*numbers[:2], buckets), numbers, FAR_PAIRS, RIGHT)
+
+    def dealt_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            word, n, followed = (batch.column(c).to_numpy() for c in ("word", "n", "followed"))
+            lists = [_lists(batch.column(c)).astype(np.int64)[:, s] for c in STATES for s in range(states)] if batch.num_rows else []
+            if lists:
+                yield listed(_dealt(word, word, 1, buckets), [word, n, followed, *lists], RARE, RIGHT)
 
-    def answered(asks: pa.Table, pairs: pa.Table) -> pa.Table:
-        rows, *sums = (_flat(asks, c) for c in SUMS)
-        w, c, asker, teaches = (_flat(asks, name).astype(np.int64) for name in ASKS)
-        word, before, n = (_flat(pairs, name).astype(np.int64) for name in PLACES)
-        order = np.argsort(word << 21 | before)
-        at, there = _find((word << 21 | before)[order], w << 21 | c)
-        if there.any():
-            # only pairs that are asked for are seated
-            wanted, back = np.unique(order[at[there]], return_inverse=True)
-            word, before, n, by = word[wanted], before[wanted], n[wanted], words.value.scoring(t)
-            key = _pair(words.value.word[word], words.value.word[before])
-            dish = _dishes(key, n, _from_head(words.value, word, before), t, stirling(TABULATED, t.discount))
-            parent, weight = by.parent(word, before), by.back[before]
-            whole, single, unseen = (np.log10(parent + x * weight) for x in (dish, 1 - t.discount, 0.0))
-            more = np.where(teaches[there] == 1, (whole - single)[back], (whole - unseen)[back])
-            own, at = np.unique(asker[there], return_inverse=True)
-            nothing = np.zeros(len(own), np.int64)
-            extra = [own, nothing, nothing, np.zeros(len(own)), np.bincount(at, more, len(own))]
-            rows, *sums = (np.concatenate(x) for x in zip([rows, *sums], extra))
-        kinds = ["row_no", *OUT]
-        return pa.Table.from_arrays([pa.array(x, kind) for x, kind in zip([rows, *sums], SUMS.values())], kinds)
+    def listed(bucket: np.ndarray, numbers: list[np.ndarray], names: dict[str, pa.DataType], of: dict[str, pa.DataType]) -> pa.RecordBatch:
+        order = np.argsort(bucket, kind="stable")
+        found, arrays = _lists_of(bucket[order], [x[order].astype(kind.to_pandas_dtype()) for x, kind in zip(numbers, names.values())])
+        own = dict(zip(names, arrays))
+        return pa.RecordBatch.from_arrays([found, *[own.get(c, pa.nulls(len(found), pa.list_(kind))) for c, kind in of.items()]], ["bucket", *of])
 
-    out = "row_no long, n_tokens long, n_known long, base_score double, score double"
-    listed = ", ".join(f"{c} array<{'int' if kind == pa.int32() else 'double' if kind == pa.float64() else 'long'}>" for c, kind in (SUMS | ASKS).items())
-    asks = coded.select("row_no", "learned", "tokens", "far").mapInArrow(look_up, f"bucket int, {listed}")
-    near = others.where(_placed("word") & _placed("context"))
-    dealt = near.mapInArrow(in_buckets, "bucket int, word array<int>, context array<int>, n array<long>")
-    found = asks.groupBy("bucket").cogroup(dealt.groupBy("bucket")).applyInArrow(answered, out)
+    def answered(asks: pa.Table, pairs: pa.Table) -> pa.Table:
+        found = [[_flat(asks, c) for c in SUMS], _more_of_pairs(asks, pairs, words.value, t), _far_tokens(asks, pairs, words.value, t, RARE)]
+        rows, *sums = (np.concatenate(x) for x in zip(*found))
+        own, at = np.unique(rows, return_inverse=True)
+        sums = [np.bincount(at, x, len(own)) for x in sums]
+        blocks, lists = _lists_of(own >> BLOCK, [x.astype(kind.to_pandas_dtype()) for x, kind in zip([own, *sums], SUMS.values())], np.int64)
+        return pa.Table.from_arrays([blocks, *lists], ["block", *SUMS])
+
+    def added(table: pa.Table) -> pa.Table:
+        rows, *sums = (_flat(table, c) for c in SUMS)
+        own, at = np.unique(rows, return_inverse=True)
+        sums = [np.bincount(at, x, len(own)).astype(kind.to_pandas_dtype()) for x, kind in zip(sums, list(SUMS.values())[1:])]
+        return pa.Table.from_arrays([pa.array(x) for x in (own, *sums)], ["row_no", *OUT])
+
+    RARE = {"rare": pa.int64(), "n": pa.int64(), "followed": pa.int64()} | {f"{c}{s}": pa.int64() for c in STATES for s in range(states)}
+    RARE = {f"rare_{c}": kind for c, kind in RARE.items()}
+    LEFT, RIGHT = SUMS | ASKS | FAR_ASKS, PAIRS | FAR_PAIRS | (RARE if model.rare is not None else {})
+    schema = lambda of: "".join(f", {c} array<{_SQL[kind]}>" for c, kind in of.items())
+    asks = coded.select("row_no", "learned", "tokens", "far").mapInArrow(look_up, "bucket int" + schema(LEFT))
+    dealt = others.mapInArrow(dealt_pairs, "bucket int" + schema(RIGHT))
     if model.rare is not None:
-        found = found.unionByName(_far_sums(coded, model, words, most, others, at_all))
+        dealt = dealt.unionByName(model.rare.mapInArrow(dealt_words, "bucket int" + schema(RIGHT)))
+    found = asks.groupBy("bucket").cogroup(dealt.groupBy("bucket")).applyInArrow(answered, "block long" + schema(SUMS))
+    out = "row_no long, n_tokens long, n_known long, base_score double, score double"
+    found = found.groupBy("block").applyInArrow(added, out)
+    if model.rare is None:
+        return found
+    found = found.unionByName(_far_sums(coded, model, words, others))
     return found.groupBy("row_no").agg(*[F.sum(c).alias(c) for c in OUT])
 
 
-#: Sums of rows, and tokens of a bucket.
+#: Sums of rows; tokens and pairs of words that go by their places, and with one that goes by its hash.
 OUT = ("n_tokens", "n_known", "base_score", "score")
 SUMS = {"row": pa.int64(), "tokens": pa.int64(), "known": pa.int64(), "base": pa.float64(), "s": pa.float64()}
 ASKS = {"word": pa.int32(), "context": pa.int32(), "asker": pa.int64(), "teaches": pa.int32()}
-
-
-def _far_sums(coded: DataFrame, model: Model, words, most, others: DataFrame, at_all) -> DataFrame:
-    """What tokens with a word that goes by its hash add to the sums of rows."""
+FAR_ASKS = {"far_word": pa.int64(), "far_context": pa.int64(), "far_asker": pa.int64(), "far_teaches": pa.int32()}
+PAIRS = {"word": pa.int32(), "context": pa.int32(), "n": pa.int64()}
+FAR_PAIRS = {"far_word": pa.int64(), "far_context": pa.int64(), "far_n": pa.int64()}
+_SQL = {pa.int32(): "int", pa.int64(): "long", pa.float64(): "double"}
+
+
+def _dealt_far(word: np.ndarray, context: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets of pairs with one word that goes by its hash: those of the word."""
+    far = np.where(word & 1 == 0, word, context)
+    return _dealt(far, far, 1, buckets)
+
+
+def _more_of_pairs(asks: pa.Table, pairs: pa.Table, head: Head, t: Totals) -> list[np.ndarray]:
+    """Sums of rows: what tokens score above what was summed for them, by their pairs in the bucket."""
+    w, c, asker, teaches = (_flat(asks, name).astype(np.int64) for name in ASKS)
+    word, before, n = (_flat(pairs, name).astype(np.int64) for name in PAIRS)
+    order = np.argsort(word << 21 | before)
+    at, there = _find((word << 21 | before)[order], w << 21 | c)
+    # only pairs that are asked for are seated
+    wanted, back = np.unique(order[at[there]], return_inverse=True) if there.any() else [np.empty(0, np.int64)] * 2
+    word, before, n, by = word[wanted], before[wanted], n[wanted], head.scoring(t)
+    key = _pair(head.word[word], head.word[before])
+    dish = _dishes(key, n, _from_head(head, word, before), t, stirling(TABULATED, t.discount))
+    parent, weight = by.parent(word, before), by.back[before]
+    whole, single, unseen = (np.log10(parent + x * weight) for x in (dish, 1 - t.discount, 0.0))
+    more = np.where(teaches[there] == 1, (whole - single)[back], (whole - unseen)[back])
+    nothing = np.zeros(len(more), np.int64)
+    return [asker[there], nothing, nothing, np.zeros(len(more)), more]
+
+
+def _far_tokens(asks: pa.Table, pairs: pa.Table, head: Head, t: Totals, rare: dict) -> list[np.ndarray]:
+    """Sums of rows of tokens with one word that goes by its hash, by the rare words and the pairs in the bucket."""
+    word, before, asker, teaches = (_flat(asks, name).astype(np.int64) for name in FAR_ASKS)
+    if not len(word):
+        return [np.empty(0, np.int64)] * 3 + [np.empty(0)] * 2
+    own, *numbers = (_flat(pairs, c) for c in rare)
+    order = np.argsort(own)
+    own, (n, followed, *lists) = own[order], [x[order] for x in numbers]
+    size = len(lists) // len(STATES)
+    customers, dish_tables, tables = (np.stack(lists[i * size :][:size]) for i in range(len(STATES)))
+
+    def facts(word: np.ndarray, before: np.ndarray) -> Facts:
+        def side(numbers: np.ndarray, *known: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
+            (a, x), (b, y) = head.places(numbers), _find(own, numbers)
+            out = []
+            for of_head, of_rare in known:
+                found = np.zeros((*of_head.shape[:-1], len(numbers)), np.int64)
+                found[..., x], found[..., y] = of_head[..., a[x]], of_rare[..., b[y]]
+                out.append(found)
+            return out
+
+        of_word = side(word, (head.n, n), *((head.states[s], x) for s, x in zip(STATES, (customers, dish_tables))))
+        return Facts(*of_word, *side(before, (head.followed, followed), (head.states["tables"], tables)))
+
+    key = lambda word, before: _pair(head.hashes(word), head.hashes(before))
+    w, c, many = (_flat(pairs, name) for name in FAR_PAIRS)
+    dishes = _dishes(key(w, c), many, facts(w, c), t, stirling(TABULATED, t.discount))
+    order = np.argsort(key(w, c))
+    at, there = _find(key(w, c)[order], key(word, before))
+    learned = teaches == 1
+    dish = np.where(learned, 1 - t.discount, 0.0)
+    dish[there] = dishes[order][at[there]]
+    found = _with_lone(facts(word, before), learned)
+    s = np.log10(_parent(found, t) + dish / (CONCENTRATION + found.followed))
+    return [asker, np.zeros(len(s), np.int64), (found.n > 0).astype(np.int64), _base(found.n, t), s]
+
+
+def _with_lone(facts: Facts, learned: np.ndarray) -> Facts:
+    """A word of a text learned from that has no totals is there once."""
+    for first, *more in ((facts.n, facts.customers, facts.dish_tables), (facts.followed, facts.tables)):
+        lone = learned & (first == 0)
+        for x in (first, *more):
+            x[..., lone] = 1
+    return facts
+
+
+def _far_sums(coded: DataFrame, model: Model, words, others: DataFrame) -> DataFrame:
+    """What tokens with two words that go by their hashes add to the sums of rows."""
     t, start = model.totals, model.head.start(model.rare)
     states = len(t.root_customers)
 
     def apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches, "tokens"):
             found = _decoded(batch, start)
-            at = np.flatnonzero((found.word == FAR) | (found.context == FAR))
+            at = np.flatnonzero((found.word == FAR) & (found.context == FAR))
             owner = pa.array(np.repeat(np.arange(batch.num_rows), found.sizes)[at])
-            word, before = found.word_id[at], found.context_id[at]
-            key = _pair(words.value.hashes(word), words.value.hashes(before))
-            with np.errstate(over="ignore"):
-                salt = mixed(key + at.astype(np.uint64)) + batch.column("row_no").take(owner).to_numpy().view(np.uint64)
-            names = ["row_no", "learned", "word", "context", "key", "word_at", "context_at"]
-            numbers = [pa.array(x) for x in (word, before, key.view(np.int64))]
-            places = [_places_to_join(word, salt), _places_to_join(before, ~salt)]
-            yield pa.RecordBatch.from_arrays([batch.column("row_no").take(owner), batch.column("learned").take(owner), *numbers, *places], names)
+            numbers = [pa.array(x[at]) for x in (found.word_id, found.context_id)]
+            rows = [batch.column(c).take(owner) for c in ("row_no", "learned")]
+            yield pa.RecordBatch.from_arrays([*rows, *numbers, *numbers], ["row_no", "learned", "word", "context", "word_at", "context_at"])
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                facts = _joined_facts(batch, words.value, states)
                 learned = batch.column("learned").to_numpy(zero_copy_only=False)
-                # a word of a text learned from that has no totals is there once
-                for first, *more in ((facts.n, facts.customers, facts.dish_tables), (facts.followed, facts.tables)):
-                    lone = learned & (first == 0)
-                    for x in (first, *more):
-                        x[..., lone] = 1
-                key = batch.column("key").to_numpy().view(np.uint64)
-                at, there = _find(most.value[0], key)
-                dish = np.where(learned, 1 - t.discount, 0.0)
-                dish[there] = most.value[1][at[there]]
-                s = np.log10(_parent(facts, t) + dish / (CONCENTRATION + facts.followed))
-                k = (facts.n > 0).astype(np.int64)
-                asks = ~there & in_map(at_all.value, key.view(np.int64))
-                arrays = [batch.column("row_no"), batch.column("learned"), pa.array(key.view(np.int64), mask=~asks), pa.array(k), pa.array(_base(facts.n, t)), pa.array(s)]
-                yield pa.RecordBatch.from_arrays(arrays, ["row_no", "learned", "key", "n_known", "base_score", "score"])
-
-    rows = coded.where(F.length("far") > 0) if start != FAR else coded
-    schema = "row_no long, learned boolean, word long, context long, key long, word_at long, context_at long"
+                facts = _with_lone(_joined_facts(batch, words.value, states), learned)
+                s = np.log10(_parent(facts, t) + np.where(learned, 1 - t.discount, 0.0) / (CONCENTRATION + facts.followed))
+                key = _pair(*(batch.column(c).to_numpy().view(np.uint64) for c in ("word", "context")))
+                sums = [(facts.n > 0).astype(np.int64), _base(facts.n, t), s]
+                arrays = [batch.column("row_no"), batch.column("learned"), *map(pa.array, (key.view(np.int64), *sums))]
+                yield pa.RecordBatch.from_arrays(arrays, ["row_no", "learned", "key", *OUT[1:]])
+
+    rows = coded.where(F.length("far") > (8 if start != FAR else 0))
+    schema = "row_no long, learned boolean, word long, context long, word_at long, context_at long"
     each = rows.select("row_no", "learned", "tokens", "far").mapInArrow(apart, schema)
     schema = "row_no long, learned boolean, key long, n_known long, base_score double, score double"
-    begun = written(_beside(each, model.rare).mapInArrow(scored, schema), "lm-begun")
-    far = others.where(~(_placed("word") & _placed("context")))
-    own = begun.where(F.col("key").isNotNull()).select("row_no", "learned", "key").join(_gains(model, far, words), "key")
-    more = F.when(F.col("learned"), F.col("single")).otherwise(F.col("unseen")).alias("score")
-    none = [F.lit(0).cast("long").alias(c) for c in OUT[:2]]
-    plain = begun.select("row_no", none[0], *OUT[1:])
-    return plain.unionByName(own.select("row_no", *none, F.lit(0.0).alias("base_score"), more))
+    begun = _beside(each, model.rare).mapInArrow(scored, schema)
+    gains = _gains(model, others.where(~_placed("word") & ~_placed("context")), words)
+    more = F.when(F.col("learned"), F.col("single")).otherwise(F.col("unseen"))
+    score = (F.col("score") + F.coalesce(more, F.lit(0.0))).alias("score")
+    return begun.join(gains, "key", "left").select("row_no", F.lit(0).cast("long").alias("n_tokens"), *OUT[1:3], score)
 
 
 def perplexity(scored: DataFrame) -> DataFrame:
