@@ -13,11 +13,11 @@ round goes on from the tables that the round before drew: draws depend on the pa
 round alone, so tasks repeat them from the totals of words, and nothing is written per pair and round.
 Totals are gathered between rounds, per word. Probabilities are averaged over samples of the last round.
 
-Words are counted first. A word found once that no text asks about is in no pair that matters; it is
-just one that is there once. The others are kept: the most frequent of them, in a table of bounded size that all
-tasks have, go by their place in it, so texts are written as places and pairs are counted and
-looked up by them, in lists dealt to buckets; all others go by their hashes and are joined. The
-probabilities of the most frequent pairs go to all tasks, too.
+Texts are cut into words once and written as places in the list of words of a slice of texts. A word found
+once that no text asks about is in no pair that matters; it is just one that is there once. The others are
+kept: the most frequent of them, in a table of bounded size that all tasks have, go by their place in it, all
+others by their hashes. Pairs are counted and looked up in lists dealt to buckets; only tokens with two words that
+go by hashes are joined. The most frequent pairs go to all tasks, too.
 """
 
 from __future__ import annotations
@@ -25,13 +25,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 from functools import cached_property
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
 from lakestar.llm.common import bit_map, col, in_map, numbered, step_aside, written
 from lakestar.llm.shingles import WordHashes, lowered_words, mixed
@@ -51,16 +51,16 @@ TABULATED = 64
 HEAD_WORDS, HEAD_PAIRS = 1 << 18, 1 << 18
 #: Tokens that a task counts at a time, and pairs whose tables it adds up.
 CHUNK, SUMMED = 4_000_000, 1 << 20
-#: Bytes of texts that are looked up at a time.
-SLICE = 1 << 21
+#: Bytes of texts that are encoded at a time, and tokens that are looked up at a time.
+SLICE, PART = 1 << 23, 1 << 18
 #: Tokens for each bucket that pairs are counted in, and that they are looked up in, and the fewest buckets.
 BUCKET, ASKED_BUCKET, LEAST_BUCKETS = 1 << 18, 1 << 21, 32
 #: Rows whose sums are added up together, as a power of two.
 BLOCK = 12
 #: Beyond any count: tells that a word is in a text that is not learned from.
 ASKED = 1 << 40
-#: In place of a word that goes by its hash, and of one that a worker has not met.
-FAR, UNMET = -1, -2
+#: In place of a word that goes by its hash.
+FAR = -1
 
 
 def held_out(doc_id: Column) -> Column:
@@ -68,34 +68,16 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.encode(F.coalesce(doc_id.cast("string"), F.lit("")), "UTF-8")) % 10 == 0
 
 
-def _words(texts: pa.Array) -> tuple[list[bytes], np.ndarray]:
-    """The words of some texts, each text ended by an empty one, and the number of tokens of each text."""
-    words: list[bytes] = []
-    sizes = np.empty(len(texts), np.int64)
-    for i, text in enumerate(texts.cast(pa.binary()).to_pylist()):
-        found = lowered_words(text)
-        words += found
-        words.append(b"")
-        sizes[i] = len(found) + 1
-    return words, sizes
-
-
-def _remembered() -> WordHashes:
-    known = WordHashes()
-    known[b""] = END
-    return known
-
-
 def _pair(word: np.ndarray, context: np.ndarray) -> np.ndarray:
     """A hash of context and word."""
     with np.errstate(over="ignore"):
         return mixed((context ^ (context >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + word)
 
 
-def _slices(batches: Iterator[pa.RecordBatch], of: str) -> Iterator[pa.RecordBatch]:
-    """Batches of some hundred thousand tokens, or one text, each."""
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of about a million tokens, or one text, each."""
     for batch in batches:
-        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(of)), 0).to_numpy(), dtype=np.int64)
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(), dtype=np.int64)
         at = 0
         while at < batch.num_rows:
             before = sizes[at - 1] if at else 0
@@ -119,27 +101,64 @@ def _find(ordered: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return at, ordered[at] == wanted
 
 
+def encoded(texts: DataFrame) -> DataFrame:
+    """``texts`` in slices, written: a row has lists of the columns but the text, and the number of tokens of each text.
+
+    ``words`` has the hashes of the slice's words, the most frequent first, ``told`` twice how often each is learned
+    and whether it is in a text that is not learned from, ``tokens`` the place of each token's word among them.
+    """
+    names = [c for c in texts.columns if c != "text"]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, end = WordHashes(), np.array([END], np.uint64)
+        for batch in _slices(batches):
+            found = []
+            for text in batch.column("text").cast(pa.binary()).to_pylist():
+                found += [known.of(lowered_words(text)), end]
+            sizes = np.fromiter((len(x) + 1 for x in found[::2]), np.int32, batch.num_rows)
+            word = np.concatenate(found) & np.uint64((1 << 64) - SALTS)
+            learned = np.repeat(batch.column("learned").to_numpy(zero_copy_only=False), sizes)
+            order = np.argsort(word)
+            at = _starts(word[order])
+            count = np.diff(np.append(at, len(word)))
+            n = np.add.reduceat(learned[order].astype(np.int32), at)
+            frequent = np.argsort(-count, kind="stable")
+            place, tokens = np.empty(len(at), np.int32), np.empty(len(word), np.int32)
+            place[frequent] = np.arange(len(at), dtype=np.int32)
+            tokens[order] = np.repeat(place, count)
+            told = (2 * n + (count > n))[frequent].astype(np.int32)
+            lists = [pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), x) for x in (*(batch.column(c) for c in names), pa.array(sizes))]
+            numbers = [pa.array([x.tobytes()], pa.binary()) for x in (word[order][at][frequent], told, tokens)]
+            yield pa.RecordBatch.from_arrays([*lists, *numbers], [*names, "sizes", "words", "told", "tokens"])
+
+    schema = StructType([StructField(c, ArrayType(texts.schema[c].dataType)) for c in names])
+    for c, kind in (("sizes", ArrayType(IntegerType())), *[(c, BinaryType()) for c in ("words", "told", "tokens")]):
+        schema = schema.add(c, kind)
+    return written(texts.select(*names, "text").mapInArrow(work, schema), "lm-tokens")
+
+
+def _numbers_of(batch: pa.RecordBatch, name: str, i: int, kind: type) -> np.ndarray:
+    return np.frombuffer(batch.column(name)[i].as_py(), kind)
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known, waiting, tokens = _remembered(), [], 0
+    waiting, rows = [], 0
 
     def counted() -> pa.RecordBatch:
-        key = np.sort(np.concatenate(waiting))
-        at = _starts(key >> np.uint64(1))
-        n = np.add.reduceat((key & np.uint64(1)).astype(np.int64), at)
-        asked = np.diff(np.append(at, len(key))) > n
-        word = key[at] & ~np.uint64(1)
-        return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n + asked * ASKED)], ["word", "n"])
-
-    for batch in _slices(batches, "text"):
-        words, sizes = _words(batch.column("text"))
-        learned = batch.column("learned").to_numpy(zero_copy_only=False)
-        # a free bit tells whether the word is learned
-        waiting.append(known.of(words) & np.uint64((1 << 64) - SALTS) | np.repeat(learned, sizes))
-        tokens += len(words)
-        if tokens >= CHUNK:
-            yield counted()
-            waiting, tokens = [], 0
-    if tokens:
+        word, told = (np.concatenate(x) for x in zip(*waiting))
+        order = np.argsort(word)
+        at, told = _starts(word[order]), told[order].astype(np.int64)
+        n = np.add.reduceat(told >> 1, at) + np.maximum.reduceat(told & 1, at) * ASKED
+        return pa.RecordBatch.from_arrays([pa.array(word[order][at].view(np.int64)), pa.array(n)], ["word", "n"])
+
+    for batch in batches:
+        for i in range(batch.num_rows):
+            waiting.append((_numbers_of(batch, "words", i, np.uint64), _numbers_of(batch, "told", i, np.int32)))
+            rows += len(waiting[-1][0])
+            if rows >= CHUNK:
+                yield counted()
+                waiting, rows = [], 0
+    if rows:
         yield counted()
 
 
@@ -159,9 +178,9 @@ class Vocabulary:
     alone: int
 
 
-def learn_words(texts: DataFrame, all_asked: bool) -> Vocabulary:
+def learn_words(coded: DataFrame, all_asked: bool) -> Vocabulary:
     """Count the words of the texts that are ``learned``."""
-    raw = texts.select("text", "learned").mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    raw = coded.select("words", "told").mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     n = F.col("n").bitwiseAND(F.lit(ASKED - 1))
     kept = F.lit(True) if all_asked else (n > 1) | (F.col("n") >= ASKED)
     counts = written(raw.where(n > 0).select("word", n.alias("n"), kept.alias("kept")), "lm-counts")
@@ -181,78 +200,49 @@ def learn_words(texts: DataFrame, all_asked: bool) -> Vocabulary:
     return Vocabulary(counts, head, rare, bits, words, tokens, alone)
 
 
-def encoded(texts: DataFrame, head: Head, bits: np.ndarray | None) -> DataFrame:
-    """``texts`` with their tokens for the text, written: places of words in the head as 32 bits each.
+@dataclass(frozen=True)
+class Slice:
+    """Tokens of some texts: the places of word and context among ``codes`` and ``ids``.
 
-    One beyond the last place is a word that is not kept: one that is there once, in a text learned
-    from, or else one that is not there. FAR is a word that may be kept; their hashes are in ``far``, in order.
+    ``codes``: place in the head; one beyond the last of a word that is not kept: one that is there once, in a text
+    learned from, or else one that is not there; FAR of one that may be kept. ``ids``: numbers of words.
     """
-    context = texts.sparkSession.sparkContext
-    shared = context.broadcast((head.sorted, head.place_of_sorted, bits))
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, codes = _remembered(), {}
-        ordered, place, marked = shared.value
-        for batch in _slices(batches, "text"):
-            words, sizes = _words(batch.column("text"))
-            code = np.fromiter(map(codes.get, words, repeat(UNMET)), np.int32, len(words))
-            unmet = np.flatnonzero(code == UNMET)
-            news = [words[i] for i in unmet]
-            word = hashes.of(news) & np.uint64((1 << 64) - SALTS)
-            at, there = _find(ordered, word)
-            fresh = np.full(len(word), len(ordered), np.int32)
-            fresh[there] = place[at[there]]
-            if marked is not None:
-                fresh[~there & in_map(marked, word.view(np.int64) >> 3)] = FAR
-            code[unmet] = fresh
-            if len(codes) < hashes.most:
-                near = np.flatnonzero(fresh != FAR)  # of the others the hashes are needed
-                codes.update(zip([news[i] for i in near], fresh[near].tolist()))
-            ends = np.concatenate([[0], np.cumsum(sizes)])
-            fars = np.concatenate([[0], np.cumsum(code == FAR)])[ends]
-            rest = [batch.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays([*rest, _bytes(code, ends), _bytes(word[fresh == FAR], fars)], [*names, "tokens", "far"])
 
-    names = [c for c in texts.columns if c != "text"]
-    schema = texts.drop("text").schema.add("tokens", "binary").add("far", "binary")
-    out = written(texts.select(*names, "text").mapInArrow(work, schema), "lm-tokens")
-    shared.destroy()
-    return out
-
-
-def _bytes(numbers: np.ndarray, ends: np.ndarray) -> pa.Array:
-    """Runs of numbers, as bytes."""
-    offsets = pa.py_buffer((ends * numbers.itemsize).astype(np.int64))
-    return pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, offsets, pa.py_buffer(numbers)]).cast(pa.binary())
-
-
-@dataclass(frozen=True)
-class Tokens:
-    """Tokens of some texts: place of word and context, their numbers where one is FAR, and the number of each text's."""
-
-    word: np.ndarray
-    context: np.ndarray
-    word_id: np.ndarray
-    context_id: np.ndarray
+    rows: np.ndarray | None
+    learned: np.ndarray
     sizes: np.ndarray
+    at: np.ndarray
+    before: np.ndarray
+    codes: np.ndarray
+    ids: np.ndarray
 
 
-def _decoded(batch: pa.RecordBatch, start: int) -> Tokens:
-    """``start``: place of the start of a text."""
-    tokens, far = (batch.column(c).to_pylist() for c in ("tokens", "far"))
-    word = np.frombuffer(b"".join(tokens), np.int32).astype(np.int64)
-    sizes = np.fromiter((len(t) // 4 for t in tokens), np.int64, len(tokens))
-    word_id = _numbers(word)
-    word_id[word == FAR] = np.frombuffer(b"".join(far), np.int64)
-    firsts = np.cumsum(sizes) - sizes
-
-    def before(x: np.ndarray, first: int) -> np.ndarray:
-        out = np.empty_like(x)
-        out[1:] = x[:-1]
-        out[firsts] = first
-        return out
-
-    return Tokens(word, before(word, start), word_id, before(word_id, START if start == FAR else _numbers(start)), sizes)
+def _read(batches: Iterator[pa.RecordBatch], head: Head, bits: np.ndarray | None, start: int) -> Iterator[Slice]:
+    """Slices of PART tokens, or one text, each. ``start``: place of the start of a text."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            words = _numbers_of(batch, "words", i, np.uint64)
+            found, there = _find(head.sorted, words)
+            codes = np.full(len(words) + 1, len(head.word), np.int64)
+            codes[:-1][there] = head.place_of_sorted[found[there]]
+            if bits is not None:
+                codes[:-1][~there & in_map(bits, words.view(np.int64) >> 3)] = FAR
+            codes[-1] = start
+            ids = np.where(codes == FAR, np.append(words, np.uint64(START)).view(np.int64), _numbers(codes))
+            at = _numbers_of(batch, "tokens", i, np.int32)
+            sizes = batch.column("sizes")[i].values.to_numpy()
+            before = np.empty_like(at)
+            before[1:] = at[:-1]
+            before[np.cumsum(sizes) - sizes] = len(words)
+            learned = batch.column("learned")[i].values.to_numpy(zero_copy_only=False)
+            rows = batch.column("row_no")[i].values.to_numpy() if "row_no" in batch.schema.names else None
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            first = 0
+            while first < len(sizes):
+                last = max(first + 1, int(np.searchsorted(ends, ends[first] + PART, "right")) - 1)
+                own, part = slice(first, last), slice(ends[first], ends[last])
+                yield Slice(None if rows is None else rows[own], learned[own], sizes[own], at[part], before[part], codes, ids)
+                first = last
 
 
 def _numbers(place):
@@ -298,7 +288,7 @@ def counts(coded: DataFrame, vocabulary: Vocabulary, all_asked: bool) -> DataFra
     start = head.start(vocabulary.rare)
     # a word that is in many of a bucket's tokens is dealt to so many more
     spread = np.append(1 + head.n.astype(np.int64) * (16 * buckets) // max(vocabulary.tokens, 1), 1)
-    shared = coded.sparkSession.sparkContext.broadcast(spread.astype(np.int32))
+    shared = coded.sparkSession.sparkContext.broadcast((spread.astype(np.int32), head, vocabulary.bits))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         near, far, tokens = [], [], 0
@@ -325,21 +315,22 @@ def counts(coded: DataFrame, vocabulary: Vocabulary, all_asked: bool) -> DataFra
             none = lambda c: pa.nulls(len(found), pa.list_(pa.int64() if c in NUMBERS[:2] else pa.int32()))
             return pa.RecordBatch.from_arrays([found, *[listed.get(c, none(c)) for c in PLACES + NUMBERS]], ["bucket", *PLACES, *NUMBERS])
 
-        for batch in _slices(batches, "tokens"):
-            t = _decoded(batch, start)
-            learned = np.repeat(batch.column("learned").to_numpy(zero_copy_only=False), t.sizes)
-            alone = t.word == other
-            w, c = t.word, np.where(alone, other, t.context)
+        spread, own_head, bits = shared.value
+        for t in _read(batches, own_head, bits, start):
+            learned = np.repeat(t.learned, t.sizes)
+            w, c = t.codes[t.at], t.codes[t.before]
+            alone = w == other
+            c[alone] = other
             told = learned | ((w != other) & (c != other))  # else a word is not there, and the pair neither
             use = np.flatnonzero(told & (w != FAR) & (c != FAR))
-            w, c = w[use], c[use]
-            bucket = _dealt(_numbers(w), _numbers(c), shared.value[w], buckets)
-            near.append((((bucket << 21 | w) << 21 | c) << 1) | ~learned[use])
-            use = np.flatnonzero(told & ~alone & ((t.word == FAR) | (t.context == FAR)))
-            many = np.where(t.word[use] == FAR, 1, shared.value[t.word[use]])
-            word, context = t.word_id[use], t.context_id[use]
+            word, context = w[use], c[use]
+            bucket = _dealt(_numbers(word), _numbers(context), spread[word], buckets)
+            near.append((((bucket << 21 | word) << 21 | context) << 1) | ~learned[use])
+            use = np.flatnonzero(told & ~alone & ((w == FAR) | (c == FAR)))
+            many = np.where(w[use] == FAR, 1, spread[w[use]])
+            word, context = t.ids[t.at[use]], t.ids[t.before[use]]
             far.append((word, context, _dealt(word, context, many, buckets), ~learned[use]))
-            tokens += len(t.word)
+            tokens += len(t.at)
             if tokens >= CHUNK:
                 yield from counted()
                 near, far, tokens = [], [], 0
@@ -374,7 +365,7 @@ def counts(coded: DataFrame, vocabulary: Vocabulary, all_asked: bool) -> DataFra
         return pa.Table.from_arrays(arrays, ["word", "context", "n", "one", "two"])
 
     lists = "bucket int, word array<int>, context array<int>, n array<int>, far_word array<long>, far_context array<long>, far_n array<int>"
-    raw = coded.select("learned", "tokens", "far").mapInArrow(count, lists)
+    raw = coded.select("learned", "sizes", "words", "tokens").mapInArrow(count, lists)
     found = raw.groupBy("bucket").applyInArrow(merge, "word long, context long, n long, one long, two long")
     out = written(found, "lm-pairs")
     shared.destroy()
@@ -527,7 +518,7 @@ class Head:
     def place_of_sorted(self) -> np.ndarray:
         return np.argsort(self.word).astype(np.int32)
 
-    @property
+    @cached_property
     def sorted(self) -> np.ndarray:
         return self.word[self.place_of_sorted]
 
@@ -891,13 +882,12 @@ def fit(texts: DataFrame) -> Model:
     these rows, with that column. Without it, the model is good for any.
     """
     told = "learned" in texts.columns
-    texts = texts.select("text", "learned" if told else F.lit(True).alias("learned"))
-    vocabulary = learn_words(texts, all_asked=not told)
-    return _fitted(encoded(texts, vocabulary.head, vocabulary.bits), vocabulary, all_asked=not told)
+    return _fitted(encoded(texts.select("text", "learned" if told else F.lit(True).alias("learned"))), all_asked=not told)
 
 
-def _fitted(coded: DataFrame, vocabulary: Vocabulary, all_asked: bool) -> Model:
+def _fitted(coded: DataFrame, all_asked: bool) -> Model:
     """Learn from texts that are encoded."""
+    vocabulary = learn_words(coded, all_asked)
     found = counts(coded, vocabulary, all_asked)
     pairs = found.where(F.col("context").isNotNull()).select("word", "context", "n")
     twice, moving, still = pairs.where("n > 1"), None, None
@@ -982,7 +972,7 @@ def score(rows: DataFrame, model: Model) -> DataFrame:
     Others need a model that was asked for them, or for any.
     """
     learned = "learned" if "learned" in rows.columns else F.lit(False).alias("learned")
-    return _scored(encoded(rows.select("row_no", learned, "text"), model.head, model.bits), model)
+    return _scored(encoded(rows.select("row_no", learned, "text")), model)
 
 
 def _scored(coded: DataFrame, model: Model) -> DataFrame:
@@ -995,7 +985,7 @@ def _scored(coded: DataFrame, model: Model) -> DataFrame:
     t, context = model.totals, coded.sparkSession.sparkContext
     other, start, buckets = len(model.head.word), model.head.start(model.rare), _buckets(t.tokens, ASKED_BUCKET)
     states = len(t.root_customers)
-    words = context.broadcast(model.head)
+    words, bits = context.broadcast(model.head), context.broadcast(model.bits)
     often = _both_placed() & _most_frequent(model.pairs.where(_both_placed()), F.col("n"), HEAD_PAIRS)
     table = _gains(replace(model, rare=None), model.pairs.where(often), words).select("key", "dish").toArrow()
     key, dish = table.column("key").to_numpy().view(np.uint64), table.column("dish").to_numpy()
@@ -1014,30 +1004,29 @@ def _scored(coded: DataFrame, model: Model) -> DataFrame:
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by = words.value.scoring(t)
         hashes = words.value.word
-        for batch in _slices(batches, "tokens"):
-            found = _decoded(batch, start)
-            rows = batch.column("row_no").to_numpy()
-            owner = np.repeat(np.arange(len(rows)), found.sizes)
-            learned = batch.column("learned").to_numpy(zero_copy_only=False)
-            far = found.word == FAR, found.context == FAR
+        for x in _read(batches, words.value, bits.value, start):
+            rows, learned = x.rows, x.learned
+            owner = np.repeat(np.arange(len(rows)), x.sizes)
+            w, c = x.codes[x.at], x.codes[x.before]
+            far = w == FAR, c == FAR
             here = np.flatnonzero(~far[0] & ~far[1])
-            w, c, own = found.word[here], found.context[here], owner[here]
+            w, c, own = w[here], c[here], owner[here]
             teaches = learned[own]
             kept = np.flatnonzero((w < other) & (c < other))
             key = _pair(hashes[w[kept]], hashes[c[kept]])
             at, there = _find(most.value[0], key)
             dish = np.where(teaches, 1 - t.discount, 0.0)
             dish[kept[there]] = most.value[1][at[there]]
-            w, c = (x + ((x == other) & ~teaches) for x in (w, c))
+            w, c = (code + ((code == other) & ~teaches) for code in (w, c))
             s = np.log10(by.parent(w, c) + dish * by.back[c])
             sums = [np.bincount(own, v, len(rows)).astype(float) for v in (by.known[w], by.base[w], s)]
             bucket = np.full(len(rows), int(rows[0]) % buckets)
-            yield listed(bucket, [rows, found.sizes, sums[0].astype(np.int64), *sums[1:]], SUMS, LEFT)
+            yield listed(bucket, [rows, x.sizes, sums[0].astype(np.int64), *sums[1:]], SUMS, LEFT)
             rest = kept[~there & in_map(at_all.value, key.view(np.int64))]
             bucket = _dealt(_numbers(w[rest]), _numbers(c[rest]), buckets, buckets)
             yield listed(bucket, [w[rest], c[rest], rows[own[rest]], teaches[rest]], ASKS, LEFT)
             one = np.flatnonzero(far[0] != far[1])
-            numbers, own = [found.word_id[one], found.context_id[one]], owner[one]
+            numbers, own = [x.ids[x.at[one]], x.ids[x.before[one]]], owner[one]
             yield listed(_dealt_far(*numbers, buckets), [*numbers, rows[own], learned[own]], FAR_ASKS, LEFT)
 
     def dealt_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -1081,7 +1070,7 @@ def _scored(coded: DataFrame, model: Model) -> DataFrame:
     RARE = {f"rare_{c}": kind for c, kind in RARE.items()}
     LEFT, RIGHT = SUMS | ASKS | FAR_ASKS, PAIRS | FAR_PAIRS | (RARE if model.rare is not None else {})
     schema = lambda of: "".join(f", {c} array<{_SQL[kind]}>" for c, kind in of.items())
-    asks = coded.select("row_no", "learned", "tokens", "far").mapInArrow(look_up, "bucket int" + schema(LEFT))
+    asks = coded.select("row_no", "learned", "sizes", "words", "tokens").mapInArrow(look_up, "bucket int" + schema(LEFT))
     dealt = others.mapInArrow(dealt_pairs, "bucket int" + schema(RIGHT))
     if model.rare is not None:
         dealt = dealt.unionByName(model.rare.mapInArrow(dealt_words, "bucket int" + schema(RIGHT)))
@@ -1090,7 +1079,7 @@ def _scored(coded: DataFrame, model: Model) -> DataFrame:
     found = found.groupBy("block").applyInArrow(added, out)
     if model.rare is None:
         return found
-    found = found.unionByName(_far_sums(coded, model, words, others))
+    found = found.unionByName(_far_sums(coded, model, words, bits, others))
     return found.groupBy("row_no").agg(*[F.sum(c).alias(c) for c in OUT])
 
 
@@ -1174,19 +1163,18 @@ def _with_lone(facts: Facts, learned: np.ndarray) -> Facts:
     return facts
 
 
-def _far_sums(coded: DataFrame, model: Model, words, others: DataFrame) -> DataFrame:
+def _far_sums(coded: DataFrame, model: Model, words, bits, others: DataFrame) -> DataFrame:
     """What tokens with two words that go by their hashes add to the sums of rows."""
     t, start = model.totals, model.head.start(model.rare)
     states = len(t.root_customers)
 
     def apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches, "tokens"):
-            found = _decoded(batch, start)
-            at = np.flatnonzero((found.word == FAR) & (found.context == FAR))
-            owner = pa.array(np.repeat(np.arange(batch.num_rows), found.sizes)[at])
-            numbers = [pa.array(x[at]) for x in (found.word_id, found.context_id)]
-            rows = [batch.column(c).take(owner) for c in ("row_no", "learned")]
-            yield pa.RecordBatch.from_arrays([*rows, *numbers, *numbers], ["row_no", "learned", "word", "context", "word_at", "context_at"])
+        for x in _read(batches, words.value, bits.value, start):
+            at = np.flatnonzero((x.codes == FAR)[x.at] & (x.codes == FAR)[x.before])
+            owner = np.repeat(np.arange(len(x.rows)), x.sizes)[at]
+            numbers = [x.ids[y[at]] for y in (x.at, x.before)]
+            arrays = [pa.array(y) for y in (x.rows[owner], x.learned[owner], *numbers, *numbers)]
+            yield pa.RecordBatch.from_arrays(arrays, ["row_no", "learned", "word", "context", "word_at", "context_at"])
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -1199,9 +1187,8 @@ def _far_sums(coded: DataFrame, model: Model, words, others: DataFrame) -> DataF
                 arrays = [batch.column("row_no"), batch.column("learned"), *map(pa.array, (key.view(np.int64), *sums))]
                 yield pa.RecordBatch.from_arrays(arrays, ["row_no", "learned", "key", *OUT[1:]])
 
-    rows = coded.where(F.length("far") > (8 if start != FAR else 0))
     schema = "row_no long, learned boolean, word long, context long, word_at long, context_at long"
-    each = rows.select("row_no", "learned", "tokens", "far").mapInArrow(apart, schema)
+    each = coded.select("row_no", "learned", "sizes", "words", "tokens").mapInArrow(apart, schema)
     schema = "row_no long, learned boolean, key long, n_known long, base_score double, score double"
     begun = _beside(each, model.rare).mapInArrow(scored, schema)
     gains = _gains(model, others.where(~_placed("word") & ~_placed("context")), words)
@@ -1222,17 +1209,15 @@ def score_documents(df: DataFrame, doc_id: str = "doc_id", text: str = "text", k
     one token, its end; repeated rows teach as often as they stand. If nothing is left to learn
     from, every token is unknown. Input columns with a result's name become ``<name>_input``.
 
-    Without ``keep_text`` the text is left out, and ``df`` is read twice instead of being written with its texts;
-    it must give the same texts each time.
+    Without ``keep_text`` the text is left out, and not written again.
     """
     out = ("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "row_no")
     rows = step_aside(df, out).withColumn("held_out", held_out(col(doc_id)))
     rows = numbered(rows, "lm-rows") if keep_text else rows.withColumn("row_no", F.monotonically_increasing_id())
     others = [] if keep_text else [F.struct(*[col(c) for c in rows.columns if c not in (text, "row_no")]).alias("row")]
     texts = rows.select("row_no", (~F.col("held_out")).alias("learned"), col(text).alias("text"), *others)
-    vocabulary = learn_words(texts, all_asked=False)
-    coded = encoded(texts, vocabulary.head, vocabulary.bits)
-    model = _fitted(coded, vocabulary, all_asked=False)
+    coded = encoded(texts)
+    model = _fitted(coded, all_asked=False)
     found = _scored(coded, model).withColumn("train_tokens", F.lit(model.totals.tokens).cast("long"))
-    rows = rows if keep_text else coded.select("row_no", "row.*")
+    rows = rows if keep_text else coded.select(F.inline(F.arrays_zip("row_no", "row"))).select("row_no", "row.*")
     return rows.join(written(found, "lm-scores"), "row_no").drop("row_no")
