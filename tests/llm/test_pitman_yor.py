@@ -4,13 +4,17 @@ import math
 import random
 from collections import Counter
 from itertools import product
+from pathlib import Path
 from zlib import crc32
 
 import edges
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from lakestar.llm import pitman_yor as P
+from lakestar.llm.queries import QUERIES
+from lakestar.session import shared_folder
 
 SCHEMA = "doc_id long, text string"
 
@@ -196,3 +200,24 @@ def test_edges(spark):
     held = next(i for i in range(100) if crc32(str(i).encode()) % 10 == 0)
     only = P.score_documents(spark.createDataFrame([(held, "a b")], SCHEMA)).first()
     assert (only["train_tokens"], only["n_known"], only["base_score"], only["score"]) == (0, 0, 0.0, 0.0)
+
+
+def test_the_query_does_not_write_texts_again(spark, tmp_path):
+    docs = spark.createDataFrame(corpus(100), SCHEMA)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.rglob("*.parquet"))
+    got = {r["doc_id"]: r["score"] for r in QUERIES["op3_pitman_yor"](spark, str(tmp_path)).collect()}
+    files = [f for f in set(folder.rglob("*.parquet")) - before if f.is_file()]
+    assert files and not any("text" in pq.read_schema(f).names for f in files)
+    kept = P.score_documents(docs).collect()
+    assert len(got) == len(kept) and all(r["text"] is not None and abs(got[r["doc_id"]] - r["score"]) < 1e-9 * abs(r["score"]) for r in kept)
+
+
+def test_long_slices_are_looked_up_in_parts(spark, monkeypatch):
+    docs = spark.createDataFrame(corpus(100), SCHEMA).coalesce(1)
+    whole = {r["doc_id"]: r["score"] for r in P.score_documents(docs).collect()}
+    monkeypatch.setattr(P, "PART", 50)
+    monkeypatch.setattr(P, "HEAD_WORDS", 20)
+    parts = {r["doc_id"]: r["score"] for r in P.score_documents(docs).collect()}
+    assert all(abs(whole[i] - parts[i]) < 1e-9 * abs(whole[i]) for i in whole)
