@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakestar.operators.silver import clean, with_period
+from lakestar.session import freeing_shuffles
 from lakestar.sources.landing import MALFORMED, read_landing
 from lakestar.sources.tables import Lake, gathered, read_table
 from lakestar.specs import BATCH, BRONZE_SCHEMA, PERIOD, SILVER_SCHEMA
@@ -41,13 +42,9 @@ def replace_months(rows: DataFrame, path: str, gather: bool = True) -> Months:
     seen = Observation()
     rows = gathered(rows, *PERIOD) if gather else rows
     months = F.collect_set(F.struct(*PERIOD)).alias("months")  # as many as the delivery has
-    (
-        rows.observe(seen, months)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PERIOD)
-        .parquet(path)
-    )
+    writer = rows.observe(seen, months).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    with freeing_shuffles(rows.sparkSession):
+        writer.partitionBy(*PERIOD).parquet(path)
     return [tuple(m) for m in seen.get["months"] or []]
 
 

@@ -34,7 +34,7 @@ from lakestar.operators.silver import clean, clean_as_text, with_period
 from lakestar.plans.ingest import batch_quality, ingest, new_files, refine, write_silver
 from lakestar.plans.load import compact_fact, load_full, load_increment, mark_from_footers, star
 from lakestar.plans.periods import bronze_months, deliver_months, in_months, silver_months
-from lakestar.session import fresh_folder, staged
+from lakestar.session import freeing_shuffles, fresh_folder, staged
 from lakestar.sources import catalog
 from lakestar.sources.buckets import Buckets
 from lakestar.sources.fixture import CUT, sales, tables
@@ -147,7 +147,8 @@ def distinct_source_files(spark, folder):
 
 def _deliver(lake: Lake, rows: DataFrame, compression: str = "gzip") -> None:
     """Headed CSV files, a file per task. Compressed ones are read by one task each; few large files should not be."""
-    rows.write.mode("append").option("header", True).option("compression", compression).csv(lake.landing)
+    with freeing_shuffles(rows.sparkSession):
+        rows.write.mode("append").option("header", True).option("compression", compression).csv(lake.landing)
 
 
 @query

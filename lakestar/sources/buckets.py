@@ -8,6 +8,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakestar.session import freeing_shuffles
+
 
 @dataclass(frozen=True)
 class Buckets:
@@ -30,13 +32,14 @@ class Buckets:
         """
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{self.folder}/catalog'")
         name = f"{self.database}.{table}"
-        (
+        writer = (
             rows.repartition(self.count, *by)
             .write.format("parquet")
             .mode("overwrite")
             .bucketBy(self.count, *by)
             .sortBy(*by)
             .option("path", f"{self.folder}/{table}-{uuid.uuid4().hex}")
-            .saveAsTable(name)
         )
+        with freeing_shuffles(rows.sparkSession):
+            writer.saveAsTable(name)
         return self.spark.table(name)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakestar.session import freeing_shuffles
 from lakestar.sources.ledger import BRONZE, MALFORMED_LINES, SILVER, Current, Ledger, new_attempt, no_rows
 from lakestar.specs import (
     ATTEMPT,
@@ -65,7 +66,8 @@ def write_table(
         writer = writer.option("compression", COMPRESSION)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    writer.save(path)
+    with freeing_shuffles(df.sparkSession):
+        writer.save(path)
 
 
 def read_table(
@@ -149,7 +151,8 @@ class Lake:
             writer = rows.write.format("delta").mode("append").option("mergeSchema", True)
             if max_records_per_file:
                 writer = writer.option("maxRecordsPerFile", max_records_per_file)
-            writer.partitionBy(BATCH, ATTEMPT, *partition_by).save(path)
+            with freeing_shuffles(df.sparkSession):
+                writer.partitionBy(BATCH, ATTEMPT, *partition_by).save(path)
             return attempt
         write_table(
             df.drop(BATCH),
