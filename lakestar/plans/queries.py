@@ -47,10 +47,13 @@ from lakestar.specs import (
     CUSTOMER,
     FACT,
     FACT_FILE_ROWS,
+    FACT_LOOKUPS,
+    FACT_MEASURES,
     GEOGRAPHY,
     MANUFACTURER,
     PERIOD,
     PRODUCT,
+    ROW_PLACE,
     SEGMENT,
     SILVER_FILE_ROWS,
     STAMP,
@@ -317,7 +320,8 @@ def fact_by_buckets(spark, folder):
     count = max(8, math.ceil(_rows_of(lake) / BUCKET_ROWS))
     buckets = Buckets(spark, _database(lake), f"{lake.root}/buckets", count)
     lookup = Lookup(CUSTOMER.name, tables_now[CUSTOMER.name], (CUSTOMER.lookup,), CUSTOMER.sk)
-    rows = stage_rows(with_place(lake.silver_sales()), lookup, buckets)
+    needed = ["sale_date", *[d.lookup for d in FACT_LOOKUPS], *FACT_MEASURES, *PERIOD]
+    rows = stage_rows(with_place(lake.silver_sales()).select(*needed, ROW_PLACE), lookup, buckets)
     return plain(build_fact_colocated(rows, lookup, tables_now, buckets).drop(STAMP))
 
 

@@ -100,3 +100,12 @@ def test_sales_are_written_more_tightly_than_dimensions(spark, folder):
     silver = glob.glob(f"{lake.silver}/**/*.parquet", recursive=True)
     assert silver and all(".zstd." in f for f in silver + names[FACT])
     assert names[PRODUCT.name] and not any(".zstd." in f for f in names[PRODUCT.name])
+
+
+def test_buckets_hold_what_the_fact_is_made_of(spark, folder, monkeypatch):
+    made = {}
+    write = Buckets.write
+    monkeypatch.setattr(Buckets, "write", lambda self, rows, table, by: made.update({table: rows.columns}) or write(self, rows, table, by))
+    Q.QUERIES["fact_by_buckets"](spark, folder)
+    columns = made["dim_customer_rows"]
+    assert "customer_id" in columns and not {"email", "full_name", "product", "city", "source_file"} & set(columns)
