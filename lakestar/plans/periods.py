@@ -56,16 +56,18 @@ def in_months(months: Months) -> Column:
     )
 
 
-def deliver_months(lake: Lake, rows: DataFrame) -> Months:
+def deliver_months(lake: Lake, rows: DataFrame, gather: bool = True) -> Months:
     """Replace the months of raw rows in bronze, then in silver; the months, in order.
 
+    Rows that lie by month already need no shuffle: ``gather=False``.
+
     Silver is cleaned from bronze as stored, file by file: bronze files hold one month each, so this
     needs no shuffle. A delivery without rows changes nothing.
     """
     if "source_file" not in rows.columns:
         rows = rows.withColumn("source_file", F.lit(None).cast("string"))
     raw = with_period(rows).select(*_by_month(BRONZE_SCHEMA).names)
-    months = replace_months(raw, f"{lake.root}/bronze/months")
+    months = replace_months(raw, f"{lake.root}/bronze/months", gather)
     if months:
         stored = bronze_months(lake).where(in_months(months))
         replace_months(clean(stored).select(*_by_month(SILVER_SCHEMA).names), f"{lake.root}/silver/months", gather=False)

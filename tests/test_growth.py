@@ -9,6 +9,7 @@ import pytest
 from lakestar.operators.dimensions import build_dimensions
 from lakestar.operators.fact import build_fact, rejects
 from lakestar.operators.lookup import Limits
+from lakestar.plans import periods
 from lakestar.plans import queries as Q
 from lakestar.sources import fixture
 from lakestar.sources.buckets import Buckets
@@ -102,6 +103,15 @@ def test_sales_are_written_more_tightly_than_dimensions(spark, folder):
     assert names[PRODUCT.name] and not any(".zstd." in f for f in names[PRODUCT.name])
 
 
+def test_a_delivery_of_all_months_is_gathered_before_its_texts_are_put_together(spark, folder, monkeypatch):
+    widths = []
+    gather = periods.gathered
+    monkeypatch.setattr(periods, "gathered", lambda rows, *by: widths.append(rows.count()) or gather(rows, *by))
+    all_rows = fixture.sales(spark, folder).count()
+    Q.QUERIES["period_redelivery"](spark, folder)
+    assert len(widths) == 2 and max(widths) < all_rows / 10  # the month that comes again, twice
+
+
 def test_buckets_hold_what_the_fact_is_made_of(spark, folder, monkeypatch):
     made = {}
     write = Buckets.write
