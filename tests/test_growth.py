@@ -5,6 +5,7 @@ from __future__ import annotations
 import glob
 
 import pytest
+from settings import settings
 
 from lakestar.operators.dimensions import build_dimensions
 from lakestar.operators.fact import build_fact, rejects
@@ -103,6 +104,20 @@ def test_sales_are_written_more_tightly_than_dimensions(spark, folder):
     assert names[PRODUCT.name] and not any(".zstd." in f for f in names[PRODUCT.name])
 
 
+def test_a_number_of_files_takes_no_shuffle_of_whole_sales(spark, folder):
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "20k"}):
+        rows = fixture.sales(spark, folder, files=6)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "EXAMPLE.com" in plan.split("Exchange hashpartitioning")[0]
+        assert "EXAMPLE.com" not in "".join(plan.split("Exchange hashpartitioning")[1:]) and "RoundRobin" not in plan
+        lake = Q.new_lake(spark, "six")
+        Q._deliver(lake, rows, compression="none")
+    plain = fixture.sales(spark, folder)
+    assert len(glob.glob(f"{lake.landing}/*.csv")) == 6
+    assert rows.columns == plain.columns and rows.count() == plain.count()
+    assert rows.exceptAll(plain).count() == plain.exceptAll(rows).count() == 0
+
+
 def test_a_delivery_of_all_months_is_gathered_before_its_texts_are_put_together(spark, folder, monkeypatch):
     widths = []
     gather = periods.gathered
