@@ -86,8 +86,8 @@ def plain(df: DataFrame) -> DataFrame:
     )
 
 
-def silver(spark: SparkSession, folder: str) -> DataFrame:
-    return clean(sales(spark, folder))
+def silver(spark: SparkSession, folder: str, few: bool = False) -> DataFrame:
+    return clean(sales(spark, folder, few=few))
 
 
 def new_lake(spark: SparkSession, label: str) -> Lake:
@@ -111,6 +111,11 @@ def later_silver(spark: SparkSession, folder: str) -> DataFrame:
     return clean(sales(spark, folder, by_month=True, few=True)).filter(later_than(CUT))
 
 
+def later_sales(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw sales after the cut, to be delivered."""
+    return sales(spark, folder, few=True).filter(F.col("sale_date") > F.lit(CUT))
+
+
 def loaded_lake(spark: SparkSession, folder: str, label: str) -> Lake:
     lake = lake_with(spark, label, silver_by_month(spark, folder))
     load_full(lake, max_records_per_file=FACT_FILE_ROWS)
@@ -251,12 +256,12 @@ def period_redelivery(spark, folder):
     lake = new_lake(spark, "months")
     deliver_months(lake, sales(spark, folder, by_month=True), gather=False)
     month = in_months([AGAIN])
+    rows = sales(spark, folder, few=True)  # of one month
     again = staged(with_period(rows).filter(month & (F.col("product_id") % 3 != 0)).drop(*PERIOD), "again")
     for _ in range(2):
         deliver_months(lake, again.withColumn("units", F.col("units") * 2))
     bronze = bronze_months(lake).groupBy(*PERIOD).agg(F.count("*").alias("bronze_rows"), F.sum("units").alias("units"))
     total = F.sum("total_sales").alias("total_sales")
-    rows = sales(spark, folder, few=True)  # of one month
     clean_rows = silver_months(lake).groupBy(*PERIOD).agg(F.count("*").alias("silver_rows"), total)
     return plain(bronze.join(clean_rows, list(PERIOD)))
 
@@ -357,7 +362,7 @@ def incremental_slice(spark, folder):
 @query
 def dim_refresh_slice(spark, folder):
     """Products of the increment only, keys from 1: the replacing refresh."""
-    rows = silver(spark, folder).filter(later_than(CUT))
+    rows = silver(spark, folder, few=True).filter(later_than(CUT))
     table = stamped(build_dimension(rows, PRODUCT), LOADED_AT)
     return published(spark, "refresh", table).drop(STAMP)
 
@@ -432,7 +437,7 @@ def landing_ledger(spark, folder):
     rows = sales(spark, folder)
     _deliver(lake, rows.filter(F.col("sale_date") <= F.lit(CUT)))
     ingest(lake, LOADED_AT)
-    _deliver(lake, rows.filter(F.col("sale_date") > F.lit(CUT)))
+    _deliver(lake, later_sales(spark, folder))
     ingest(lake, LOADED_AT)
     left = new_files(lake).agg(F.count("*").alias("row_count"))
     batches = lake.ledger.entries(BRONZE).groupBy(BATCH).agg(F.sum("row_count").alias("row_count"))
@@ -591,7 +596,7 @@ def _stream_twice(spark: SparkSession, folder: str, label: str, step) -> Lake:
     _deliver(lake, rows.filter(F.col("sale_date") <= F.lit(CUT)))
     header = header_of(spark, lake.landing)
     run_available(lake, header, step, archive=True, stamp=LOADED_AT)
-    _deliver(lake, rows.filter(F.col("sale_date") > F.lit(CUT)))
+    _deliver(lake, later_sales(spark, folder))
     run_available(lake, header, step, archive=True, stamp=LOADED_AT)
     run_available(lake, header, step, archive=True, stamp=LOADED_AT)
     return lake

@@ -104,6 +104,12 @@ def test_sales_are_written_more_tightly_than_dimensions(spark, folder):
     assert names[PRODUCT.name] and not any(".zstd." in f for f in names[PRODUCT.name])
 
 
+def test_delivered_sales_meet_their_orders_last_and_the_few_after_the_cut_first(spark, folder):
+    """A file then has the lines of an order side by side, which takes less room there and in the shuffle by month."""
+    assert _tables(_plan(fixture.sales(spark, folder))) == ["l_orderkey", "p_partkey", "o_orderkey"]
+    assert _tables(_plan(Q.later_sales(spark, folder))) == ["l_orderkey", "o_orderkey", "p_partkey"]
+
+
 def test_a_number_of_files_takes_no_shuffle_of_whole_sales(spark, folder):
     with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "20k"}):
         rows = fixture.sales(spark, folder, files=6)
